@@ -1,0 +1,30 @@
+"""Broadcast a join side only after its size has been proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) that is ever hinted for broadcast by this package.
+DEFAULT_MAX_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``limit(max_rows + 1)`` stops each task early, so the check costs at most
+    ``max_rows + 1`` rows of work even when the frame turns out to be large.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    Beyond the bound the frame is returned unchanged and the planner keeps a
+    shuffle join (sort-merge, or a broadcast chosen by adaptive execution
+    from measured sizes).
+    """
+    if row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
