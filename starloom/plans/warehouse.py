@@ -88,8 +88,11 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, staging_raw: DataFrame, returns_seed: DataFrame,
                  managers: DataFrame, calendar_start: dt.date = CALENDAR_START,
-                 calendar_end: dt.date = CALENDAR_END):
+                 calendar_end: dt.date = CALENDAR_END, share_staging: bool = True):
+        """``share_staging`` writes staging once for its several consumers;
+        a caller that needs a single table from staging can skip the write."""
         self.spark = spark
+        self.share_staging = share_staging
         self.staging_raw = staging_raw
         self.returns_seed = returns_seed
         self.managers_dim = managers
@@ -97,15 +100,15 @@ class Warehouse:
         self.calendar_end = calendar_end
 
     @classmethod
-    def from_fixture(cls, spark: SparkSession, root: str) -> "Warehouse":
+    def from_fixture(cls, spark: SparkSession, root: str, share_staging: bool = True) -> "Warehouse":
         return cls(spark, fixture_staging(spark, root, keep_line=True), fixture_returns(spark, root),
-                   fixture_managers(spark, root))
+                   fixture_managers(spark, root), share_staging=share_staging)
 
     # -- staging -------------------------------------------------------------
     @cached_property
     def staging_base(self) -> DataFrame:
         """Staging as read (with lineage column), written once to the checkpoint folder."""
-        return materialize(self.staging_raw)
+        return materialize(self.staging_raw) if self.share_staging else self.staging_raw
 
     @property
     def staging(self) -> DataFrame:
