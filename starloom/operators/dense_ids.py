@@ -20,13 +20,19 @@ The order keys should determine a row up to identical rows; ties between
 identical rows do not change the numbered result.  An optional ``tiebreak``
 column (a deterministic per-row value) spreads a run of identical keys over
 several range partitions instead of one.
+
+Inputs expected to be small (a dimension after its distinct) can take a short
+path: the input is written once, counted exactly, and, only when the count is
+at most ``small_rows``, numbered by a single ordered window, one task over a
+table of proven size.  Above the bound the range path runs on the written
+input.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +42,9 @@ _PID = "_dense_pid"
 _POS = "_dense_pos"
 _OFF = "_dense_off"
 
+# Largest input (rows) numbered in one task; it must fit one task easily.
+SMALL_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Numbered:
@@ -51,16 +60,29 @@ def _sort_key(c: str | Column) -> Column:
 
 
 def with_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int = 1,
-                   tiebreak: list[str] | None = None, num_partitions: int | None = None) -> Numbered:
+                   tiebreak: list[str] | None = None, num_partitions: int | None = None,
+                   expect_small: bool = False, small_rows: int = SMALL_ROWS) -> Numbered:
     """Prepend ``id_col`` (bigint) numbering ``df`` by ``order_by`` ascending, NULLs first.
 
     ``tiebreak`` columns take part in the order but are dropped from the
     output.  Columns of ``df`` are kept in their order after the key.
+    ``expect_small`` tries the short path described in the module notes.
     """
-    spark = df.sparkSession
     tiebreak = list(tiebreak or [])
     keep = [c for c in df.columns if c not in tiebreak and c != id_col]
     keys = [_sort_key(c) for c in list(order_by) + tiebreak]
+    if expect_small:
+        df = materialize(df)
+        rows = df.count()
+        if rows <= small_rows:
+            key = (F.lit(start - 1).cast("long") + F.row_number().over(Window.orderBy(*keys))).alias(id_col)
+            return Numbered(df.select(key, *keep), rows)
+    return _range_numbering(df, keys, keep, id_col, start, num_partitions)
+
+
+def _range_numbering(df: DataFrame, keys: list[Column], keep: list[str], id_col: str, start: int,
+                     num_partitions: int | None) -> Numbered:
+    spark = df.sparkSession
     source = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = (source.sortWithinPartitions(*keys)
               .select(*keep,

@@ -21,7 +21,9 @@ def build_dimension(source: DataFrame, attributes: Mapping[str, str], id_col: st
     name).  NULLs are one value for the distinct, as in SQL ``DISTINCT``.
     The distinct is a two-phase hash aggregate (map-side combine, so the
     shuffle carries at most one row per tuple per task); numbering then
-    range-sorts only the reduced rows, in the order of the dimension columns.
+    sorts only the reduced rows, in the order of the dimension columns (in
+    one task when the distinct rows are proven few, else by ranges).
     """
     projected = source.select(*[F.col(src).alias(dst) for src, dst in attributes.items()]).distinct()
-    return with_dense_ids(projected, order_by=list(attributes.values()), id_col=id_col, start=start)
+    return with_dense_ids(projected, order_by=list(attributes.values()), id_col=id_col, start=start,
+                          expect_small=True)

@@ -14,8 +14,13 @@ from pyspark.sql import SparkSession
 
 # Settings the job relies on: adaptive execution coalesces small shuffle
 # partitions, splits skewed join partitions and turns joins whose built side
-# proves small at run time into broadcast joins.
+# proves small at run time into broadcast joins.  The planner's own broadcast
+# choice, made from file-size estimates before anything runs, is switched
+# off: broadcasts come from measured shuffle sizes (adaptive) or from
+# explicit hints placed after an exact row count.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.broadcast import bounded_broadcast
-from starloom.sources.tables import LINE_COL, line_salt, read_lines, read_table
+from starloom.sources.tables import LINE_COL, line_salt, read_lines, read_table, zero_pad
 
 STAGING_SCHEMA = T.StructType([
     T.StructField("order_id", T.StringType()),
@@ -81,7 +81,7 @@ def _customer_places(spark: SparkSession, root: str) -> DataFrame:
     return (customer.join(bounded_broadcast(nations), customer.c_nationkey == nations.n_nationkey, "inner")
             .select(
                 F.col("c_custkey"),
-                F.concat(F.lit("C"), F.format_string("%07d", F.col("c_custkey"))).alias("customer_id"),
+                F.concat(F.lit("C"), zero_pad(F.col("c_custkey"), 7)).alias("customer_id"),
                 F.col("c_name").alias("customer_name"),
                 F.col("c_mktsegment").alias("segment"),
                 F.lit(FIXTURE_COUNTRY).alias("country"),
@@ -89,7 +89,7 @@ def _customer_places(spark: SparkSession, root: str) -> DataFrame:
                  .otherwise(F.concat(F.lit("City_"), bucket.cast("string"))).alias("city"),
                 F.col("n_name").alias("state"),
                 F.when(gap, F.lit(None).cast("string"))
-                 .otherwise(F.format_string("%05d", F.col("c_nationkey") * 100 + bucket)).alias("postal_code"),
+                 .otherwise(zero_pad(F.col("c_nationkey") * 100 + bucket, 5)).alias("postal_code"),
                 F.col("r_name").alias("region"),
             ))
 
@@ -108,7 +108,7 @@ def fixture_orders(spark: SparkSession, root: str) -> DataFrame:
 def order_id_expr(order_ts, order_key):
     """``CA-<year>-<key padded to 6 digits>``; longer keys keep all digits."""
     return F.concat(F.lit("CA-"), F.year(order_ts).cast("string"), F.lit("-"),
-                    F.format_string("%06d", order_key))
+                    zero_pad(order_key, 6))
 
 
 def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) -> DataFrame:
@@ -135,7 +135,7 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
         F.col("l_shipdate").cast("date").alias("ship_date"),
         "ship_mode", "customer_id", "customer_name", "segment",
         "country", "city", "state", "postal_code", "region",
-        F.concat(F.lit("P-"), F.format_string("%08d", F.col("p_partkey"))).alias("product_id"),
+        F.concat(F.lit("P-"), zero_pad(F.col("p_partkey"), 8)).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),

@@ -38,3 +38,12 @@ def read_lines(spark: SparkSession, root: str, name: str, columns: list[str]) ->
     """Scan a line-grained table and attach the lineage value as ``_line``."""
     return (spark.read.parquet(table_path(root, name))
             .select(*columns, line_salt().alias(LINE_COL)))
+
+
+def zero_pad(value: Column, width: int) -> Column:
+    """Decimal digits of ``value`` left-padded with zeros to ``width``.
+
+    Never truncates: a value with more digits keeps all of them.
+    """
+    text = value.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
