@@ -50,6 +50,10 @@ def repair_postal_codes(df: DataFrame) -> DataFrame:
     return conditional_update(df, {"postal_code": GAP_POSTAL_CODE}, where)
 
 
+def _lineage(df: DataFrame) -> list[str]:
+    return [LINE_COL] if LINE_COL in df.columns else []
+
+
 def _dim_side(dim: Numbered, renames: dict[str, str] | None = None) -> DataFrame:
     """A dimension as a join side: broadcast when its exact row count is small."""
     df = dim.df
@@ -159,7 +163,7 @@ class Warehouse:
     @cached_property
     def fact(self) -> Numbered:
         lines = star_join(self.staging, self.shipping, self.geo, self.product, self.customer)
-        numbered = with_dense_ids(lines, FACT_ORDER, "sales_id", start=KEY_BASE + 1, tiebreak=[LINE_COL])
+        numbered = with_dense_ids(lines, FACT_ORDER, "sales_id", start=KEY_BASE + 1, tiebreak=_lineage(lines))
         return Numbered(numbered.df.select(*FACT_COLUMNS), numbered.rows)
 
     @property
@@ -175,7 +179,7 @@ class Warehouse:
     @cached_property
     def returns(self) -> Numbered:
         numbered = with_dense_ids(self.returns_seed, ["order_id", "returned"], "return_id", start=1,
-                                  tiebreak=[LINE_COL])
+                                  tiebreak=_lineage(self.returns_seed))
         return Numbered(numbered.df.select("return_id", "returned", "order_id"), numbered.rows)
 
     @property
