@@ -49,7 +49,7 @@ def read_returns(spark: SparkSession, path: str, fmt: str = "csv", header: bool
         raw = reader.option("header", header).csv(path)
     else:
         raw = reader.format(fmt).load(path)
-    return raw.select("returned", "order_id", line_salt().alias(LINE_COL))
+    return raw.select("returned", "order_id", line_salt(parquet=fmt == "parquet").alias(LINE_COL))
 
 
 def fixture_returns(spark: SparkSession, root: str) -> DataFrame:

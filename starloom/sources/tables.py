@@ -23,15 +23,20 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str]) ->
     return spark.read.parquet(table_path(root, name)).select(*columns)
 
 
-def line_salt() -> Column:
+def line_salt(parquet: bool = True) -> Column:
     """A deterministic per-row value taken at a file scan.
 
-    It is a hash of the file path and the row's position in that file, so a
-    retried task sees the same value.  It never reaches an output table; it
-    only breaks ties between otherwise identical rows when a global order is
-    cut into ranges, so a run of equal rows can spread over many partitions.
+    For Parquet it is a hash of the file path and the row's position in that
+    file; other formats have no row position in their metadata, and use the
+    row's position within its file split (taken directly at the scan, where
+    a retried task re-reads the same split in the same order).  It never
+    reaches an output table; it only breaks ties between otherwise identical
+    rows when a global order is cut into ranges, so a run of equal rows can
+    spread over many partitions.
     """
-    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    if parquet:
+        return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return F.monotonically_increasing_id()
 
 
 def read_lines(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:

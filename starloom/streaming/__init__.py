@@ -1,0 +1 @@
+"""Streaming delivery of the serial-keyed append (returns arriving as files)."""
