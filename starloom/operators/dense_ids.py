@@ -61,19 +61,23 @@ def _sort_key(c: str | Column) -> Column:
 
 def with_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int = 1,
                    tiebreak: list[str] | None = None, num_partitions: int | None = None,
-                   expect_small: bool = False, small_rows: int = SMALL_ROWS) -> Numbered:
+                   expect_small: bool = False, small_rows: int = SMALL_ROWS,
+                   known_rows: int | None = None) -> Numbered:
     """Prepend ``id_col`` (bigint) numbering ``df`` by ``order_by`` ascending, NULLs first.
 
     ``tiebreak`` columns take part in the order but are dropped from the
     output.  Columns of ``df`` are kept in their order after the key.
-    ``expect_small`` tries the short path described in the module notes.
+    ``expect_small`` tries the short path described in the module notes;
+    ``known_rows`` is an exact row count of an already written ``df``, which
+    takes the short path without another write when it is small enough.
     """
     tiebreak = list(tiebreak or [])
     keep = [c for c in df.columns if c not in tiebreak and c != id_col]
     keys = [_sort_key(c) for c in list(order_by) + tiebreak]
-    if expect_small:
-        df = materialize(df)
-        rows = df.count()
+    if expect_small or known_rows is not None:
+        if known_rows is None:
+            df = materialize(df)
+        rows = df.count() if known_rows is None else known_rows
         if rows <= small_rows:
             key = (F.lit(start - 1).cast("long") + F.row_number().over(Window.orderBy(*keys))).alias(id_col)
             return Numbered(df.select(key, *keep), rows)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import date_key
 from starloom.operators.broadcast import DEFAULT_MAX_ROWS
 from starloom.operators.dense_ids import Numbered, with_dense_ids
-from starloom.operators.dimension import KEY_BASE, build_dimension
+from starloom.operators.dimension import KEY_BASE, build_dimension, build_dimensions
 from starloom.operators.materialize import materialize
 from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
@@ -37,6 +37,13 @@ GEO_ATTRS = {"country": "country", "city": "city", "state": "state", "postal_cod
 PRODUCT_ATTRS = {"product_id": "product_id", "product_name": "product_name", "category": "category",
                  "subcategory": "sub_category", "segment": "segment"}
 
+DIMENSIONS = {
+    "shipping": (SHIPPING_ATTRS, "ship_id"),
+    "customer": (CUSTOMER_ATTRS, "cust_id"),
+    "geo": (GEO_ATTRS, "geo_id"),
+    "product": (PRODUCT_ATTRS, "prod_id"),
+}
+
 FACT_COLUMNS = ["sales_id", "cust_id", "order_date_id", "ship_date_id", "prod_id", "ship_id", "geo_id",
                 "order_id", "sales", "profit", "quantity", "discount"]
 # Order that defines sales_id: the order id first, then every other column.
@@ -124,21 +131,32 @@ class Warehouse:
         return self.staging.select(*STAGING_COLUMNS)
 
     # -- dimensions ----------------------------------------------------------
+    @cached_property
+    def dimensions(self) -> dict[str, Numbered]:
+        """All four dimensions from one pass over the written staging."""
+        return build_dimensions(self.staging, DIMENSIONS)
+
+    def _dimension(self, name: str) -> Numbered:
+        if self.share_staging:
+            return self.dimensions[name]
+        attrs, id_col = DIMENSIONS[name]
+        return build_dimension(self.staging, attrs, id_col)
+
     @cached_property
     def shipping(self) -> Numbered:
-        return build_dimension(self.staging, SHIPPING_ATTRS, "ship_id")
+        return self._dimension("shipping")
 
     @cached_property
     def customer(self) -> Numbered:
-        return build_dimension(self.staging, CUSTOMER_ATTRS, "cust_id")
+        return self._dimension("customer")
 
     @cached_property
     def geo(self) -> Numbered:
-        return build_dimension(self.staging, GEO_ATTRS, "geo_id")
+        return self._dimension("geo")
 
     @cached_property
     def product(self) -> Numbered:
-        return build_dimension(self.staging, PRODUCT_ATTRS, "prod_id")
+        return self._dimension("product")
 
     @cached_property
     def geo_unrepaired(self) -> Numbered:

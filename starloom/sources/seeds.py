@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.broadcast import bounded_broadcast
 from starloom.sources.staging import fixture_orders
 from starloom.sources.tables import LINE_COL, line_salt, read_lines, read_table
 
@@ -69,6 +70,6 @@ def managers_seed(spark: SparkSession, rows: list[tuple[str, str]] | None = None
 
 def fixture_managers(spark: SparkSession, root: str, rows: list[tuple[str, str]] | None = None) -> DataFrame:
     """Managers whose region exists in the fixture's region table."""
-    regions = read_table(spark, root, "region", ["r_name"])
+    regions = bounded_broadcast(read_table(spark, root, "region", ["r_name"]))
     seed = managers_seed(spark, rows)
     return seed.join(regions, seed.region == regions.r_name, "left_semi")
