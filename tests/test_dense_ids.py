@@ -60,3 +60,17 @@ def test_empty_input(spark):
     numbered = with_dense_ids(df, ["k"], "key")
     assert numbered.rows == 0
     assert numbered.df.count() == 0
+
+
+def test_hot_run_spreads_over_partitions(spark):
+    # a third of the rows share one key; the tiebreak splits that run across range partitions
+    n, hot = 6000, 2000
+    df = spark.range(0, n, numPartitions=6).select(
+        F.when(F.col("id") < hot, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("salt"))
+    numbered = with_dense_ids(df, ["k"], "key", tiebreak=["salt"], num_partitions=8)
+    sizes = [r["count"] for r in numbered.df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n
+    assert max(sizes) < hot
+    rows = numbered.df.orderBy("key").collect()
+    assert [r.k for r in rows[:hot]] == [-1] * hot
+    assert [r.key for r in rows] == list(range(1, n + 1))
