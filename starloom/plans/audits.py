@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.broadcast import bounded_broadcast
 from starloom.operators.dense_ids import Numbered
-from starloom.plans.warehouse import GAP_CITY, _dim_side
+from starloom.plans.warehouse import GAP_CITY, Warehouse, _dim_side, restrict_to_orders
 
 
 def geo_completeness_audit(staging: DataFrame) -> DataFrame:
@@ -64,9 +65,20 @@ def row_count_reconciliation(staging: DataFrame, fact: DataFrame, joined: DataFr
         .select(*[F.coalesce(F.col(t), F.lit(0).cast("long")).alias(t) for t in tags])
 
 
-def returns_preview(fact_with_returns: DataFrame, k: int = 10) -> DataFrame:
-    """The first ``k`` fact lines by ``sales_id`` (a top-k, not a full sort)."""
-    return fact_with_returns.orderBy("sales_id").limit(k)
+def first_fact_lines(w: Warehouse, k: int) -> DataFrame:
+    """The ``k`` fact lines with the smallest ``sales_id``: a top-k (each task
+    keeps its best ``k``, one merge), no sort or shuffle of the whole fact."""
+    return w.sales_fact.orderBy("sales_id").limit(k)
+
+
+def returns_preview(w: Warehouse, k: int = 10) -> DataFrame:
+    """The first ``k`` lines of the fact with returns, by ``sales_id``.
+
+    ``return_id`` depends only on a line's order, so the top ``k`` lines are
+    taken first and only they are enriched; the result equals the top ``k``
+    of the enriched fact.
+    """
+    return w.add_returns(first_fact_lines(w, k), few_orders=k).orderBy("sales_id")
 
 
 def _order_region_copies(staging: DataFrame) -> DataFrame:
@@ -79,15 +91,14 @@ def _manager_rows(fact_with_managers: DataFrame, managers: DataFrame) -> DataFra
     m = managers.select("manager_id", F.col("manager").alias("manager_name"),
                         F.col("region").alias("manager_region"))
     return (fact_with_managers.select("sales_id", "order_id", "manager_id")
-            .join(F.broadcast(m), ["manager_id"], "left")
+            .join(bounded_broadcast(m), ["manager_id"], "left")
             .select("sales_id", "order_id", "manager_id", "manager_name", "manager_region"))
 
 
 AUDIT_COLUMNS = ["sales_id", "order_id", "manager_id", "manager_name", "manager_region", "order_region"]
 
 
-def manager_assignment_audit(fact_with_managers: DataFrame, managers: DataFrame, staging: DataFrame,
-                             k: int = 20) -> DataFrame:
+def manager_assignment_audit(w: Warehouse, k: int = 20) -> DataFrame:
     """First ``k`` rows, by ``(sales_id, order_region)``, of
 
         fact LEFT JOIN managers ON manager_id LEFT JOIN staging ON order_id
@@ -98,9 +109,15 @@ def manager_assignment_audit(fact_with_managers: DataFrame, managers: DataFrame,
     ``k`` smallest (sales_id, region) groups hold the first ``k`` rows, since
     every group has at least one row; each of those is expanded to at most
     ``k`` copies, which is exact because no more than ``k`` rows are kept.
+
+    Those groups belong to the ``k`` lines with the smallest ``sales_id``, so
+    only these lines are looked up: their manager, and the staging lines of
+    their (at most ``k``) orders, cut out by a broadcast semi-join.
     """
-    groups = (_manager_rows(fact_with_managers, managers)
-              .join(_order_region_copies(staging), ["order_id"], "left")
+    top = w.add_managers(first_fact_lines(w, k).select("sales_id", "order_id"), few_orders=k)
+    lines = restrict_to_orders(w.staging.select("order_id", "region"), top, k)
+    groups = (_manager_rows(top, w.managers_dim)
+              .join(_order_region_copies(lines), ["order_id"], "left")
               .select(*AUDIT_COLUMNS, F.coalesce(F.col("copies"), F.lit(1)).alias("copies")))
     order = [F.col("sales_id").asc(), F.col("order_region").asc_nulls_first()]
     first_groups = groups.orderBy(*order).limit(k)
@@ -124,9 +141,9 @@ def manager_audit_fanout(fact: DataFrame, staging: DataFrame) -> DataFrame:
 def calendar_fk_gaps(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Date keys of the fact (order and ship dates) absent from ``calendar``,
     with their number of uses.  Keys are counted first (combined map-side),
-    then anti-joined to the calendar, whose size is bounded by its date span."""
+    then anti-joined to the calendar (broadcast when its day count is small)."""
     keys = (fact.select(F.col("order_date_id").alias("date_id"))
             .unionByName(fact.select(F.col("ship_date_id").alias("date_id"))))
     counted = keys.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
-    days = F.broadcast(calendar.select(F.col("dateid").alias("date_id")))
+    days = bounded_broadcast(calendar.select(F.col("dateid").alias("date_id")))
     return counted.join(days, ["date_id"], "left_anti")

@@ -98,7 +98,7 @@ def _sales_fact_with_returns(spark, root):
 
 
 def _returns_preview(spark, root):
-    return audits.returns_preview(_w(spark, root).sales_fact_with_returns)
+    return audits.returns_preview(_w(spark, root))
 
 
 def _managers_dim(spark, root):
@@ -110,13 +110,14 @@ def _sales_fact_with_managers(spark, root):
 
 
 def _manager_assignment_audit(spark, root):
-    w = _w(spark, root)
-    return audits.manager_assignment_audit(w.sales_fact_with_managers, w.managers_dim, w.staging)
+    return audits.manager_assignment_audit(_w(spark, root))
 
 
 def _manager_audit_fanout(spark, root):
+    # the managers join is many-to-one and keeps the row count, so the count
+    # needs only the fact's order ids
     w = _w(spark, root)
-    return audits.manager_audit_fanout(w.sales_fact_with_managers, w.staging)
+    return audits.manager_audit_fanout(w.sales_fact, w.staging)
 
 
 def _pk_violations(spark, root):

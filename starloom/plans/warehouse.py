@@ -1,9 +1,10 @@
 """The star schema: dimensions, calendar, sales fact and its enrichments.
 
 A :class:`Warehouse` holds the inputs (staging lines, returns list, managers)
-and builds each table lazily, once.  The repaired staging table is written to
-the checkpoint folder a single time and then read by its five consumers (four
-dimensions and the fact) instead of re-running the staging plan for each.
+and builds each table lazily, once.  Staging is written to the checkpoint
+folder a single time; the repaired lines are a projection over it, read by the
+one-pass dimension build, the fact and the manager lookup instead of
+re-running the staging plan for each.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
-from starloom.operators.broadcast import DEFAULT_MAX_ROWS
+from starloom.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from starloom.operators.dense_ids import Numbered, with_dense_ids
 from starloom.operators.dimension import KEY_BASE, build_dimension, build_dimensions
 from starloom.operators.materialize import materialize
@@ -57,6 +58,13 @@ def repair_postal_codes(df: DataFrame) -> DataFrame:
     return conditional_update(df, {"postal_code": GAP_POSTAL_CODE}, where)
 
 
+def restrict_to_orders(source: DataFrame, fact_rows: DataFrame, max_rows: int) -> DataFrame:
+    """Rows of ``source`` whose ``order_id`` occurs in ``fact_rows``, a frame
+    of at most ``max_rows`` rows: a broadcast semi-join, no shuffle of ``source``."""
+    ids = bounded_broadcast(fact_rows.select("order_id").distinct(), max_rows)
+    return source.join(ids, ["order_id"], "left_semi")
+
+
 def _lineage(df: DataFrame) -> list[str]:
     return [LINE_COL] if LINE_COL in df.columns else []
 
@@ -204,21 +212,40 @@ class Warehouse:
     def returns_dim(self) -> DataFrame:
         return self.returns.df
 
+    def add_returns(self, fact_rows: DataFrame, few_orders: int | None = None) -> DataFrame:
+        """``fact_rows`` with ``return_id``: the lowest return key of the order, or NULL.
+
+        ``few_orders`` declares that ``fact_rows`` holds at most that many
+        rows (e.g. a top-k); the returns are then cut to those orders by a
+        broadcast semi-join before the update, instead of shuffling them all.
+        """
+        source = self.returns_dim
+        if few_orders is not None:
+            source = restrict_to_orders(source, fact_rows, few_orders)
+        return update_from(fact_rows, source, ["order_id"], {"return_id": "return_id"})
+
     @cached_property
     def sales_fact_with_returns(self) -> DataFrame:
-        """The fact with ``return_id``: the lowest return key of the order, or NULL."""
-        return update_from(self.sales_fact, self.returns_dim, ["order_id"], {"return_id": "return_id"})
+        return self.add_returns(self.sales_fact)
 
     # -- managers ------------------------------------------------------------
     def order_managers(self) -> DataFrame:
         """``(order_id, manager_id)`` for every staging line whose region has a manager."""
         lines = self.staging.select("order_id", "region")
-        return (lines.join(F.broadcast(self.managers_dim.select("manager_id", "region")), ["region"], "inner")
+        managers = bounded_broadcast(self.managers_dim.select("manager_id", "region"))
+        return (lines.join(managers, ["region"], "inner")
                 .select("order_id", "manager_id"))
 
+    def add_managers(self, fact_rows: DataFrame, few_orders: int | None = None) -> DataFrame:
+        """``fact_rows`` with ``manager_id``: the lowest manager key among the
+        regions of the order's staging lines; NULL for regions without one.
+        ``few_orders`` as in :meth:`add_returns`."""
+        source = self.order_managers()
+        if few_orders is not None:
+            source = restrict_to_orders(source, fact_rows, few_orders)
+        return update_from(fact_rows, source, ["order_id"], {"manager_id": "manager_id"})
+
     @cached_property
     def sales_fact_with_managers(self) -> DataFrame:
-        """The fact with ``return_id`` and ``manager_id`` (lowest manager key
-        among the order's lines; NULL for regions without a manager)."""
-        return update_from(self.sales_fact_with_returns, self.order_managers(), ["order_id"],
-                           {"manager_id": "manager_id"})
+        """The fact with ``return_id`` and ``manager_id``."""
+        return self.add_managers(self.sales_fact_with_returns)

@@ -83,8 +83,7 @@ def test_manager_audit_matches_brute_force(spark):
     w = _warehouse(spark, rows)
     brute = _brute_force_audit(w)
     expect = [tuple(r) for r in brute.orderBy("sales_id", F.col("order_region").asc_nulls_first()).limit(20).collect()]
-    got = [tuple(r) for r in audits.manager_assignment_audit(w.sales_fact_with_managers, w.managers_dim,
-                                                             w.staging).collect()]
+    got = [tuple(r) for r in audits.manager_assignment_audit(w).collect()]
     assert sorted(got, key=repr) == sorted(expect, key=repr)
-    n = audits.manager_audit_fanout(w.sales_fact_with_managers, w.staging).first().n
+    n = audits.manager_audit_fanout(w.sales_fact, w.staging).first().n
     assert n == brute.count() == 12 * 12 + 3 * 3 + 2 * 2
