@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from oracle_compare import compare, duckdb_connection
 
 import __spark_entry__ as entry_module
@@ -25,20 +26,39 @@ def test_query_matches_oracle(spark, duck, name):
     assert result["ok"], result
 
 
-# Golden counts at sf0.001 (FIXTURES.md section 4).
-def test_golden_counts(spark):
+# Golden counts (FIXTURES.md section 4): staging, distinct orders, dimension sizes, NULL postal
+# codes, Burlington lines, returns rows / orders, lines with a return, lines without a manager,
+# audit join rows before the LIMIT, sales over numeric(9,4), dates before the calendar.
+GOLDEN = {
+    "/root/testdata/sf0.001": (6000, 1473, (5, 150, 128, 997), 41, 373, (1968, 1096), 4890, 1319, 30016, 282, 1740),
+    "/root/testdata/sf0.1": (600000, 147236, (5, 14999, 500, 99765), 1150, 29883, (200025, 110598), 495079,
+                             117717, 2999846, 28806, 1826),
+}
+
+
+@pytest.mark.parametrize("sf_dir", sorted(GOLDEN))
+def test_golden_counts(spark, sf_dir):
+    from starloom.plans import audits
     from starloom.plans.warehouse import Warehouse
-    w = Warehouse.from_fixture(spark, SF_SMALL)
-    assert w.staging_base.count() == 6000
-    assert w.staging.select("order_id").distinct().count() == 1473
-    assert (w.shipping.rows, w.customer.rows, w.geo.rows, w.product.rows) == (5, 150, 128, 997)
-    assert w.staging_base.filter("postal_code is null").count() == 41
-    assert w.staging.filter("city = 'Burlington'").count() == 373
-    assert w.returns.rows == 1968
-    assert w.returns_dim.select("order_id").distinct().count() == 1096
-    assert w.sales_fact_with_returns.filter("return_id is not null").count() == 4890
-    assert w.sales_fact_with_managers.filter("manager_id is null").count() == 1319
-    assert w.fact.rows == 6000
+    (stg, orders, dims, null_codes, burlington, returns, with_return, no_manager, fanout, overflow,
+     early_dates) = GOLDEN[sf_dir]
+    w = Warehouse.from_fixture(spark, sf_dir)
+    assert w.staging_base.count() == stg
+    assert w.staging.select("order_id").distinct().count() == orders
+    assert (w.shipping.rows, w.customer.rows, w.geo.rows, w.product.rows) == dims
+    assert w.staging_base.filter("postal_code is null").count() == null_codes
+    assert w.staging.filter("city = 'Burlington'").count() == burlington
+    assert (w.returns.rows, w.returns_dim.select("order_id").distinct().count()) == returns
+    enriched = w.sales_fact_with_managers
+    assert enriched.filter("return_id is not null").count() == with_return
+    assert enriched.filter("manager_id is null").count() == no_manager
+    assert w.fact.rows == stg
+    assert audits.manager_audit_fanout(w.sales_fact, w.staging).first().n == fanout
+    assert w.sales_fact.filter("sales > 99999.9999").count() == overflow
+    early = (w.sales_fact.select(F.col("order_date_id").alias("d"))
+             .union(w.sales_fact.select(F.col("ship_date_id").alias("d")))
+             .filter("d < 20000101").distinct().count())
+    assert early == early_dates
 
 
 def test_entry_runs(spark):
