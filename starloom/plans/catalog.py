@@ -174,3 +174,27 @@ QUERIES: dict[str, Query] = {
     "numeric_violations": _numeric_violations,
     "calendar_fk_gaps": _calendar_fk_gaps,
 }
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m starloom.plans.catalog --query NAME --tables DIR [--out PATH] [--show N]``"""
+    import argparse
+
+    from starloom.session import build_session
+    parser = argparse.ArgumentParser(description="run one registered query")
+    parser.add_argument("--query", required=True, choices=sorted(QUERIES))
+    parser.add_argument("--tables", required=True, help="folder with the fixture tables (<name>.parquet)")
+    parser.add_argument("--out", default=None, help="write the result here as Parquet (overwrite)")
+    parser.add_argument("--show", type=int, default=20, help="rows to print when not writing")
+    parser.add_argument("--master", default=None)
+    args = parser.parse_args(argv)
+    spark = build_session(args.master)
+    df = QUERIES[args.query](spark, args.tables)
+    if args.out:
+        df.write.mode("overwrite").parquet(args.out)
+    else:
+        df.show(args.show, truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -92,6 +92,15 @@ def read_warehouse(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(os.path.join(out_root, name)) for name in TABLES}
 
 
+def register_views(tables: dict[str, DataFrame]) -> list[str]:
+    """Expose tables as temporary views under their names, so SQL written
+    against the warehouse (``SELECT ... FROM sales_fact sf JOIN geo_dim g ...``)
+    runs unchanged through ``spark.sql``."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return sorted(tables)
+
+
 def main(argv: list[str] | None = None) -> None:
     from starloom.session import build_session
     parser = argparse.ArgumentParser(description=__doc__.split("\n")[0])

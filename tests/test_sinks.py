@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from starloom.operators.serial_append import append_with_serial
-from starloom.plans.pipeline import TABLES, read_warehouse, run
+from starloom.plans.pipeline import TABLES, read_warehouse, register_views, run
 from starloom.plans.warehouse import Warehouse
 from starloom.sources.seeds import RETURNS_SCHEMA, read_returns
 from starloom.streaming.serial_append import start_serial_append, write_epoch
@@ -27,6 +27,19 @@ def test_pipeline_writes_every_table(spark):
     assert failing[("numeric", "sales_fact", "sales")] == 282
     assert not [k for k in failing if k[0] in ("primary_key", "foreign_key", "not_null")]
 
+    # the warehouse's own inspection SQL runs unchanged against the written tables
+    register_views(tables)
+    joined = spark.sql("""
+        SELECT count(*) AS n
+        FROM sales_fact sf
+            INNER JOIN shipping_dim s ON sf.ship_id = s.ship_id
+            INNER JOIN geo_dim g ON sf.geo_id = g.geo_id
+            INNER JOIN product_dim p ON sf.prod_id = p.prod_id
+            INNER JOIN customer_dim cd ON sf.cust_id = cd.cust_id""").first().n
+    assert joined == 6000
+    burlington = spark.sql("SELECT * FROM geo_dim WHERE city = 'Burlington'").collect()
+    assert burlington and all(r.postal_code is not None for r in burlington)
+
 
 def test_append_with_serial_continues_keys(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="starloom-append-"), "returns_dim")
