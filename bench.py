@@ -1,7 +1,9 @@
 """Benchmark: time the headline queries on one scale factor.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_QUERIES`` (comma list, default the headline set).
+(default 8), ``BENCH_SHUFFLE_PARTITIONS`` (default one per core; on a cluster
+size it to the data, roughly 128-256 MB of shuffle per partition),
+``BENCH_QUERIES`` (comma list, default the headline set).
 Each query is planned and run to completion into Spark's ``noop`` sink (the
 whole result is computed, nothing is collected).  Prints one JSON line.
 """
@@ -41,7 +43,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions,
                           extra={"spark.driver.memory": "8g",
                                  # let the cleaner drop checkpoints of finished queries promptly
                                  "spark.cleaner.periodicGC.interval": "1min"})
@@ -62,6 +65,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "shuffle_partitions": partitions,
         "spark": spark.version,
     }))
     spark.stop()
