@@ -31,6 +31,11 @@ def _w(spark: SparkSession, root: str, share_staging: bool = True) -> Warehouse:
     return Warehouse.from_fixture(spark, root, share_staging=share_staging)
 
 
+def _w_with_returns(spark: SparkSession, root: str) -> Warehouse:
+    """A warehouse whose fact and returns table are built concurrently."""
+    return _w(spark, root).build("fact", "returns")
+
+
 def _stg_orders(spark, root):
     return fixture_staging(spark, root)
 
@@ -94,11 +99,11 @@ def _returns_dim(spark, root):
 
 
 def _sales_fact_with_returns(spark, root):
-    return _w(spark, root).sales_fact_with_returns
+    return _w_with_returns(spark, root).sales_fact_with_returns
 
 
 def _returns_preview(spark, root):
-    return audits.returns_preview(_w(spark, root))
+    return audits.returns_preview(_w_with_returns(spark, root))
 
 
 def _managers_dim(spark, root):
@@ -106,7 +111,7 @@ def _managers_dim(spark, root):
 
 
 def _sales_fact_with_managers(spark, root):
-    return _w(spark, root).sales_fact_with_managers
+    return _w_with_returns(spark, root).sales_fact_with_managers
 
 
 def _manager_assignment_audit(spark, root):
@@ -121,19 +126,19 @@ def _manager_audit_fanout(spark, root):
 
 
 def _pk_violations(spark, root):
-    return warehouse_pk_violations(_w(spark, root))
+    return warehouse_pk_violations(_w_with_returns(spark, root))
 
 
 def _not_null_violations(spark, root):
-    return warehouse_not_null_violations(_w(spark, root))
+    return warehouse_not_null_violations(_w_with_returns(spark, root))
 
 
 def _fk_violations(spark, root):
-    return warehouse_fk_violations(_w(spark, root))
+    return warehouse_fk_violations(_w_with_returns(spark, root))
 
 
 def _length_violations(spark, root):
-    return warehouse_length_violations(_w(spark, root))
+    return warehouse_length_violations(_w_with_returns(spark, root))
 
 
 def _numeric_violations(spark, root):

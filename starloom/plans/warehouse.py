@@ -10,6 +10,7 @@ re-running the staging plan for each.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,6 +124,19 @@ class Warehouse:
         return cls(spark, fixture_staging(spark, root, keep_line=True), fixture_returns(spark, root),
                    fixture_managers(spark, root), share_staging=share_staging)
 
+    def build(self, *names: str) -> "Warehouse":
+        """Build independent tables at the same time.
+
+        Each name is a cached table of this object (``"fact"``, ``"returns"``,
+        ...).  They are built from separate driver threads, so their Spark
+        jobs run side by side instead of one after another; the names must
+        not share an unbuilt input (the fact and the returns do not).
+        """
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            for future in [pool.submit(getattr, self, n) for n in names]:
+                future.result()
+        return self
+
     # -- staging -------------------------------------------------------------
     @cached_property
     def staging_base(self) -> DataFrame:
