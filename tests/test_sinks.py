@@ -89,3 +89,20 @@ def test_read_returns_file(spark):
     df = read_returns(spark, path)
     assert df.columns == ["returned", "order_id", "_line"]
     assert df.select("_line").distinct().count() == 3
+
+
+def test_user_staging_table_end_to_end(spark):
+    # a user's own staging export (Parquet, wider types) goes through the same warehouse
+    from starloom.sources.seeds import managers_seed
+    from starloom.sources.staging import fixture_staging, read_staging
+    path = os.path.join(tempfile.mkdtemp(prefix="starloom-stg-"), "stg_orders")
+    (fixture_staging(spark, SF_SMALL).withColumn("sales", F.col("sales").cast("decimal(18,4)"))
+     .write.parquet(path))
+    staging = read_staging(spark, path, keep_line=True)
+    assert staging.schema["sales"].dataType.simpleString() == "decimal(11,4)"
+    assert staging.select("_line").distinct().count() == 6000
+    returns = spark.createDataFrame([("Yes", "CA-1995-000004")], RETURNS_SCHEMA)
+    w = Warehouse(spark, staging, returns, managers_seed(spark))
+    assert w.fact.rows == 6000
+    assert w.sales_fact_with_returns.filter("return_id = 1").count() == \
+        staging.filter("order_id = 'CA-1995-000004'").count()
