@@ -3,7 +3,8 @@
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_SHUFFLE_PARTITIONS`` (default one per core; on a cluster
 size it to the data, roughly 128-256 MB of shuffle per partition),
-``BENCH_QUERIES`` (comma list, default the headline set).
+``BENCH_QUERIES`` (comma list, default the headline set), ``BENCH_CONF``
+(extra Spark settings, ``key=value`` pairs separated by commas).
 Each query is planned and run to completion into Spark's ``noop`` sink (the
 whole result is computed, nothing is collected).  Prints one JSON line.
 """
@@ -44,10 +45,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions,
-                          extra={"spark.driver.memory": "8g",
-                                 # let the cleaner drop checkpoints of finished queries promptly
-                                 "spark.cleaner.periodicGC.interval": "1min"})
+    extra = {"spark.driver.memory": "8g",
+             # let the cleaner drop checkpoints of finished queries promptly
+             "spark.cleaner.periodicGC.interval": "1min"}
+    extra.update(dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
     # Warm the JVM (class loading, codegen caches) on a query outside the timed set.
     QUERIES["managers_dim"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     QUERIES["stg_orders"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -27,8 +27,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Checkpoint files of frames that are no longer referenced are removed.
+    # Checkpoint files of frames that are no longer referenced are removed;
+    # checkpoints (serialized rows) are compressed on their way to shared storage.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
