@@ -87,3 +87,18 @@ def test_manager_audit_matches_brute_force(spark):
     assert sorted(got, key=repr) == sorted(expect, key=repr)
     n = audits.manager_audit_fanout(w.sales_fact, w.staging).first().n
     assert n == brute.count() == 12 * 12 + 3 * 3 + 2 * 2
+
+
+def test_rebuild_is_deterministic_across_partition_counts(spark):
+    from conftest import SF_SMALL
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for parts in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            w = Warehouse.from_fixture(spark, SF_SMALL)
+            results.append(sorted(tuple(r) for r in w.sales_fact_with_managers.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(results[0]) == 6000
+    assert results[0] == results[1]
