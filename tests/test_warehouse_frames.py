@@ -64,16 +64,16 @@ def test_returns_and_managers_enrichment(spark):
     assert w.sales_fact_with_managers.count() == len(rows)
 
 
-def _brute_force_audit(w, k=20):
-    sf = w.sales_fact_with_managers.alias("sf")
-    m = w.managers_dim.alias("m")
-    o = w.staging.alias("o")
-    joined = (sf.join(m, F.col("sf.manager_id") == F.col("m.manager_id"), "left")
-              .join(o, F.col("sf.order_id") == F.col("o.order_id"), "left")
-              .select(F.col("sf.sales_id"), F.col("sf.order_id"), F.col("m.manager_id"),
-                      F.col("m.manager").alias("manager_name"), F.col("m.region").alias("manager_region"),
-                      F.col("o.region").alias("order_region")))
-    return joined
+def _brute_force_audit(w):
+    """The audit's fan-out join, materialising every pair (test sizes only)."""
+    fact = w.sales_fact_with_managers.alias("fact")
+    mgr = w.managers_dim.alias("mgr")
+    line = w.staging.select("order_id", F.col("region").alias("order_region")).alias("line")
+    return (fact.join(mgr, F.col("fact.manager_id") == F.col("mgr.manager_id"), "left")
+            .join(line, F.col("fact.order_id") == F.col("line.order_id"), "left")
+            .select(F.col("fact.sales_id"), F.col("fact.order_id"), F.col("mgr.manager_id"),
+                    F.col("mgr.manager").alias("manager_name"), F.col("mgr.region").alias("manager_region"),
+                    F.col("line.order_region")))
 
 
 def test_manager_audit_matches_brute_force(spark):
