@@ -44,7 +44,7 @@ STAGING_SCHEMA = T.StructType([
 STAGING_COLUMNS = [f.name for f in STAGING_SCHEMA.fields]
 
 # Fixed values of the fixture adapter: the country every line is sold in, the
-# city that stands for the reference's Burlington case (customers with
+# city whose lines may lack a postal code (customers with
 # c_custkey % 20 = 7), the nation whose Burlington customers have no postal
 # code, and the profit margin before discount.
 FIXTURE_COUNTRY = "United States"
