@@ -12,10 +12,14 @@ DEFAULT_MAX_ROWS = 100_000
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1)`` stops each task early, so the check costs at most
-    ``max_rows + 1`` rows of work even when the frame turns out to be large.
+    ``take`` runs as an incremental limit: it reads one partition, then four
+    times as many, and so on, and stops as soon as ``max_rows + 1`` rows
+    exist, so a large frame costs a few partitions, not a scan.  Only a
+    constant column is fetched (at most ``max_rows + 1`` one-value rows).
+    ``limit(n).count()`` would instead funnel up to ``n`` rows from *every*
+    partition into a single task.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:

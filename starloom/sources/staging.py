@@ -116,14 +116,16 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
 
     Plan shape: customers are enriched with nation/region (tiny, broadcast
     after a size check) and joined to orders first, so the line-sized side is
-    shuffled once on the order key and once on the part key; adaptive
-    execution turns either join into a broadcast when the other side is small.
+    shuffled once on the order key and once on the part key.  Customers and
+    parts are broadcast when a bounded count proves them small (no shuffle
+    stage just to measure them); otherwise these are shuffle joins, which
+    adaptive execution may still turn into broadcasts from measured sizes.
     """
     lines = read_lines(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
                                                   "l_extendedprice", "l_discount", "l_shipdate"])
-    part = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    part = bounded_broadcast(read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"]))
     orders = fixture_orders(spark, root)
-    places = _customer_places(spark, root)
+    places = bounded_broadcast(_customer_places(spark, root))
     order_rows = orders.join(places, orders.o_custkey == places.c_custkey, "inner")
     joined = (lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner")
               .join(part, lines.l_partkey == part.p_partkey, "inner"))
