@@ -15,7 +15,7 @@ truncating a table collapse into one atomic replace of its folder.
 
 Command line::
 
-    python -m starloom.plans.pipeline --tables /path/to/fixture --out /path/to/dw [--strict]
+    python -m starloom.plans.pipeline --tables /path/to/fixture --out /path/to/dw [--strict] [--database dw]
 """
 
 from __future__ import annotations
@@ -67,15 +67,23 @@ def quality_report(w: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def run(w: Warehouse, out_root: str, strict: bool = False) -> dict:
+def run(w: Warehouse, out_root: str, strict: bool = False, database: str | None = None) -> dict:
     """Write every table, the quality report and the reconciliation.
 
-    Returns the reconciliation counts and the failing checks.  With
-    ``strict`` any violation, or a fact that lost staging lines, raises
-    after the report is written.
+    With ``database`` the tables are also registered in that Spark
+    database (created at ``out_root`` if missing), so they read back as
+    ``spark.table("<database>.sales_fact")``.  Returns the reconciliation
+    counts and the failing checks.  With ``strict`` any violation, or a fact
+    that lost staging lines, raises after the report is written.
     """
+    if database:
+        w.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out_root}'")
     for name, df in warehouse_frames(w).items():
-        df.write.mode("overwrite").parquet(os.path.join(out_root, name))
+        path = os.path.join(out_root, name)
+        if database:
+            df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(f"{database}.{name}")
+        else:
+            df.write.mode("overwrite").parquet(path)
     report = quality_report(w)
     report.write.mode("overwrite").parquet(os.path.join(out_root, "_quality_report"))
     joined = audits.fact_dimension_join(w.sales_fact, w.shipping, w.geo, w.product, w.customer)
@@ -108,9 +116,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="output root for the warehouse tables")
     parser.add_argument("--master", default=None)
     parser.add_argument("--strict", action="store_true")
+    parser.add_argument("--database", default=None, help="also register the tables in this Spark database")
     args = parser.parse_args(argv)
     spark = build_session(args.master)
-    result = run(Warehouse.from_fixture(spark, args.tables), args.out, strict=args.strict)
+    result = run(Warehouse.from_fixture(spark, args.tables), args.out, strict=args.strict, database=args.database)
     print(result)
 
 

@@ -104,3 +104,14 @@ def test_user_staging_table_end_to_end(spark):
     assert w.fact.rows == 6000
     assert w.sales_fact_with_returns.filter("return_id = 1").count() == \
         staging.filter("order_id = 'CA-1995-000004'").count()
+
+
+def test_pipeline_publishes_into_a_database(spark):
+    out = tempfile.mkdtemp(prefix="starloom-dwdb-")
+    run(Warehouse.from_fixture(spark, SF_SMALL), out, database="dw_test")
+    assert {t.name for t in spark.catalog.listTables("dw_test")} >= set(TABLES)
+    assert spark.table("dw_test.sales_fact").count() == 6000
+    assert spark.table("dw_test.shipping_dim").count() == 5
+    # a rerun replaces the tables instead of failing on existing ones
+    run(Warehouse.from_fixture(spark, SF_SMALL), out, database="dw_test")
+    assert spark.table("dw_test.geo_dim").count() == 128
