@@ -15,7 +15,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from starloom.session import build_session
-    extra = {}
+    extra = {"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="starloom-test-warehouse-")}
     from pyspark import SparkConf
     if not SparkConf().get("spark.checkpoint.dir", None):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="starloom-test-ckpt-")
