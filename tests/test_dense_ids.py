@@ -74,3 +74,27 @@ def test_hot_run_spreads_over_partitions(spark):
     rows = numbered.df.orderBy("key").collect()
     assert [r.k for r in rows[:hot]] == [-1] * hot
     assert [r.key for r in rows] == list(range(1, n + 1))
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from(["a", "b", "c", None])),
+                     min_size=0, max_size=60),
+       parts=st.integers(1, 5), small=st.booleans())
+def test_numbering_matches_python_sort(spark, rows, parts, small):
+    schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType())])
+    df = spark.createDataFrame(rows, schema).repartition(parts)
+    numbered = with_dense_ids(df, ["x", "y"], "key", start=101, expect_small=small,
+                              small_rows=1_000 if small else 0, num_partitions=parts)
+
+    def order(r):  # ascending, NULLs first, column by column
+        x, y = r
+        return (x is not None, x or 0), (y is not None, y or "")
+
+    expect = [(101 + i, x, y) for i, (x, y) in enumerate(sorted(rows, key=order))]
+    got = sorted(((r.key, r.x, r.y) for r in numbered.df.collect()), key=lambda t: t[0])
+    assert numbered.rows == len(rows)
+    assert got == expect
