@@ -102,3 +102,30 @@ def test_rebuild_is_deterministic_across_partition_counts(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(results[0]) == 6000
     assert results[0] == results[1]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(orders=st.lists(st.tuples(st.integers(1, 9), st.sampled_from(REGIONS), st.integers(0, 3)),
+                       min_size=1, max_size=8))
+def test_audits_match_brute_force_on_random_orders(spark, orders):
+    # each order: (lines, region, returned lines); order ids sort in list order
+    rows, returned = [], []
+    for i, (lines, region, n_ret) in enumerate(orders):
+        oid = f"CA-2016-{i:06d}"
+        rows += [{"order_id": oid, "region": region, "quantity": q} for q in range(lines)]
+        returned += [oid] * n_ret
+    w = _warehouse(spark, rows, returned=returned)
+    brute = _brute_force_audit(w)
+    expect = [tuple(r) for r in brute.orderBy("sales_id", F.col("order_region").asc_nulls_first())
+              .limit(20).collect()]
+    got = [tuple(r) for r in audits.manager_assignment_audit(w).collect()]
+    assert sorted(got, key=repr) == sorted(expect, key=repr)
+    assert audits.manager_audit_fanout(w.sales_fact, w.staging).first().n == brute.count()
+    preview = [tuple(r) for r in audits.returns_preview(w).collect()]
+    assert preview == [tuple(r) for r in w.sales_fact_with_returns.orderBy("sales_id").limit(10).collect()]
