@@ -87,11 +87,11 @@ def _order_region_copies(staging: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("copies")))
 
 
-def _manager_rows(fact_with_managers: DataFrame, managers: DataFrame) -> DataFrame:
-    m = managers.select("manager_id", F.col("manager").alias("manager_name"),
-                        F.col("region").alias("manager_region"))
+def _manager_rows(fact_with_managers: DataFrame, w: Warehouse) -> DataFrame:
+    m = w.managers_side().select("manager_id", F.col("manager").alias("manager_name"),
+                                 F.col("region").alias("manager_region"))
     return (fact_with_managers.select("sales_id", "order_id", "manager_id")
-            .join(bounded_broadcast(m), ["manager_id"], "left")
+            .join(m, ["manager_id"], "left")
             .select("sales_id", "order_id", "manager_id", "manager_name", "manager_region"))
 
 
@@ -116,7 +116,7 @@ def manager_assignment_audit(w: Warehouse, k: int = 20) -> DataFrame:
     """
     top = w.add_managers(first_fact_lines(w, k).select("sales_id", "order_id"), few_orders=k)
     lines = restrict_to_orders(w.staging.select("order_id", "region"), top, k)
-    groups = (_manager_rows(top, w.managers_dim)
+    groups = (_manager_rows(top, w)
               .join(_order_region_copies(lines), ["order_id"], "left")
               .select(*AUDIT_COLUMNS, F.coalesce(F.col("copies"), F.lit(1)).alias("copies")))
     order = [F.col("sales_id").asc(), F.col("order_region").asc_nulls_first()]

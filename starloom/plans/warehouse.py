@@ -23,7 +23,7 @@ from starloom.operators.dimension import KEY_BASE, build_dimension, build_dimens
 from starloom.operators.materialize import materialize
 from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
-from starloom.sources.seeds import fixture_managers, fixture_returns
+from starloom.sources.seeds import MANAGERS, fixture_managers, fixture_returns
 from starloom.sources.staging import STAGING_COLUMNS, fixture_staging
 from starloom.sources.tables import LINE_COL
 
@@ -108,10 +108,15 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, staging_raw: DataFrame, returns_seed: DataFrame,
                  managers: DataFrame, calendar_start: dt.date = CALENDAR_START,
-                 calendar_end: dt.date = CALENDAR_END, share_staging: bool = True):
+                 calendar_end: dt.date = CALENDAR_END, share_staging: bool = True,
+                 managers_bound: int | None = None):
         """``share_staging`` writes staging once for its several consumers;
-        a caller that needs a single table from staging can skip the write."""
+        a caller that needs a single table from staging can skip the write.
+        ``managers_bound`` is a known upper bound on the managers' row count
+        (e.g. the length of a literal list); without it the count is checked
+        before the managers are broadcast."""
         self.spark = spark
+        self.managers_bound = managers_bound
         self.share_staging = share_staging
         self.staging_raw = staging_raw
         self.returns_seed = returns_seed
@@ -122,7 +127,7 @@ class Warehouse:
     @classmethod
     def from_fixture(cls, spark: SparkSession, root: str, share_staging: bool = True) -> "Warehouse":
         return cls(spark, fixture_staging(spark, root, keep_line=True), fixture_returns(spark, root),
-                   fixture_managers(spark, root), share_staging=share_staging)
+                   fixture_managers(spark, root), share_staging=share_staging, managers_bound=len(MANAGERS))
 
     def build(self, *names: str) -> "Warehouse":
         """Build independent tables at the same time.
@@ -243,10 +248,18 @@ class Warehouse:
         return self.add_returns(self.sales_fact)
 
     # -- managers ------------------------------------------------------------
+    def managers_side(self, *columns: str) -> DataFrame:
+        """The managers as a broadcast join side: its size bound is known
+        (a literal list) or checked."""
+        df = self.managers_dim.select(*columns) if columns else self.managers_dim
+        if self.managers_bound is not None and self.managers_bound <= DEFAULT_MAX_ROWS:
+            return F.broadcast(df)
+        return bounded_broadcast(df)
+
     def order_managers(self) -> DataFrame:
         """``(order_id, manager_id)`` for every staging line whose region has a manager."""
         lines = self.staging.select("order_id", "region")
-        managers = bounded_broadcast(self.managers_dim.select("manager_id", "region"))
+        managers = self.managers_side("manager_id", "region")
         return (lines.join(managers, ["region"], "inner")
                 .select("order_id", "manager_id"))
 

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.broadcast import bounded_broadcast
 from starloom.sources.tables import LINE_COL, line_salt, read_lines, read_table, zero_pad
 
 STAGING_SCHEMA = T.StructType([
@@ -75,10 +74,10 @@ def _customer_places(spark: SparkSession, root: str) -> DataFrame:
     customer = read_table(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, root, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, root, "region", ["r_regionkey", "r_name"])
-    nations = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey, "inner")
+    nations = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
     bucket = F.col("c_custkey") % 20
     gap = (bucket == FIXTURE_GAP_CITY_BUCKET) & (F.col("c_nationkey") == FIXTURE_GAP_NATION)
-    return (customer.join(bounded_broadcast(nations), customer.c_nationkey == nations.n_nationkey, "inner")
+    return (customer.join(nations, customer.c_nationkey == nations.n_nationkey, "inner")
             .select(
                 F.col("c_custkey"),
                 F.concat(F.lit("C"), zero_pad(F.col("c_custkey"), 7)).alias("customer_id"),
@@ -114,18 +113,19 @@ def order_id_expr(order_ts, order_key):
 def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) -> DataFrame:
     """Derive ``stg_orders`` from the fixture tables; one row per lineitem.
 
-    Plan shape: customers are enriched with nation/region (tiny, broadcast
-    after a size check) and joined to orders first, so the line-sized side is
-    shuffled once on the order key and once on the part key.  Customers and
-    parts are broadcast when a bounded count proves them small (no shuffle
-    stage just to measure them); otherwise these are shuffle joins, which
-    adaptive execution may still turn into broadcasts from measured sizes.
+    Plan shape: customers are enriched with nation/region and joined to
+    orders first, so the line-sized side is shuffled once on the order key
+    and once on the part key.  No join side is hinted: adaptive execution
+    measures each side and broadcasts it only when it proves small (region,
+    nation, and at small scale customers and parts); everything larger stays
+    a shuffle join.  Measuring needs no extra job, which an up-front row
+    count per side would.
     """
     lines = read_lines(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
                                                   "l_extendedprice", "l_discount", "l_shipdate"])
-    part = bounded_broadcast(read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"]))
+    part = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
     orders = fixture_orders(spark, root)
-    places = bounded_broadcast(_customer_places(spark, root))
+    places = _customer_places(spark, root)
     order_rows = orders.join(places, orders.o_custkey == places.c_custkey, "inner")
     joined = (lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner")
               .join(part, lines.l_partkey == part.p_partkey, "inner"))
