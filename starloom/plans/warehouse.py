@@ -94,13 +94,12 @@ def star_join(staging: DataFrame, shipping: Numbered, geo: Numbered, product: Nu
               .join(_dim_side(product, {"sub_category": "subcategory"}),
                     ["product_id", "product_name", "category", "subcategory", "segment"], "inner")
               .join(_dim_side(customer), ["customer_id", "customer_name"], "inner"))
-    extra = [LINE_COL] if LINE_COL in staging.columns else []
     return joined.select(
         "cust_id",
         date_key(F.col("order_date")).alias("order_date_id"),
         date_key(F.col("ship_date")).alias("ship_date_id"),
         "prod_id", "ship_id", "geo_id", "order_id", "sales", "profit", "quantity", "discount",
-        *extra)
+        *_lineage(staging))
 
 
 class Warehouse:
