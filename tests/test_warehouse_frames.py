@@ -129,3 +129,38 @@ def test_audits_match_brute_force_on_random_orders(spark, orders):
     assert audits.manager_audit_fanout(w.sales_fact, w.staging).first().n == brute.count()
     preview = [tuple(r) for r in audits.returns_preview(w).collect()]
     assert preview == [tuple(r) for r in w.sales_fact_with_returns.orderBy("sales_id").limit(10).collect()]
+
+
+def test_hot_order_with_a_third_of_all_lines(spark):
+    # one order id takes a third of the fixture's lines (chosen by their lineage value)
+    from conftest import SF_SMALL
+    # keep the range partitions as cut (on 6,000 rows adaptive execution would
+    # otherwise merge them all into one)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _check_hot_order(spark, SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _check_hot_order(spark, sf_dir):
+    from pyspark.sql.functions import spark_partition_id
+
+    from starloom.sources.seeds import MANAGERS, fixture_managers, fixture_returns
+    from starloom.sources.staging import fixture_staging
+    staging = fixture_staging(spark, sf_dir, keep_line=True)
+    hot = F.pmod(F.col("_line"), F.lit(3)) == 0
+    skewed = staging.withColumn("order_id", F.when(hot, F.lit("CA-2000-HOTHOT")).otherwise(F.col("order_id")))
+    w = Warehouse(spark, skewed, fixture_returns(spark, sf_dir), fixture_managers(spark, sf_dir),
+                  managers_bound=len(MANAGERS))
+    hot_lines = w.staging.filter(F.col("order_id") == "CA-2000-HOTHOT").count()
+    assert 1500 < hot_lines < 2500
+    assert w.fact.rows == 6000
+    # the audit's fan-out count, computed from per-order counts, equals the sum of squared order sizes
+    sizes = [r["count"] for r in w.staging.groupBy("order_id").count().collect()]
+    assert audits.manager_audit_fanout(w.sales_fact, w.staging).first().n == sum(n * n for n in sizes)
+    # the range sort behind sales_id spreads the hot order over several partitions
+    parts = [r["count"] for r in w.sales_fact.groupBy(spark_partition_id()).count().collect()]
+    assert max(parts) < hot_lines
+    # the enriched fact keeps one row per line
+    assert w.sales_fact_with_managers.count() == 6000
