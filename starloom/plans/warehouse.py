@@ -24,7 +24,7 @@ from starloom.operators.materialize import materialize
 from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
 from starloom.sources.seeds import MANAGERS, fixture_managers, fixture_returns
-from starloom.sources.staging import STAGING_COLUMNS, fixture_staging
+from starloom.sources.staging import STAGING_COLUMNS, fixture_staging, read_staging
 from starloom.sources.tables import LINE_COL
 
 # The data-quality repair.  Lines in this city that have no
@@ -108,15 +108,19 @@ class Warehouse:
     def __init__(self, spark: SparkSession, staging_raw: DataFrame, returns_seed: DataFrame,
                  managers: DataFrame, calendar_start: dt.date = CALENDAR_START,
                  calendar_end: dt.date = CALENDAR_END, share_staging: bool = True,
-                 managers_bound: int | None = None):
-        """``share_staging`` writes staging once for its several consumers;
-        a caller that needs a single table from staging can skip the write.
-        ``managers_bound`` is a known upper bound on the managers' row count
-        (e.g. the length of a literal list); without it the count is checked
-        before the managers are broadcast."""
+                 managers_bound: int | None = None, one_pass_dimensions: bool | None = None):
+        """``share_staging`` writes a *derived* staging plan (joins) once for
+        its several consumers; a caller that needs a single table from it, or
+        whose staging is already a stored table, skips the write.
+        ``one_pass_dimensions`` builds the four dimensions from one scan of
+        staging (default: when staging is shared).  ``managers_bound`` is a
+        known upper bound on the managers' row count (e.g. the length of a
+        literal list); without it the count is checked before the managers
+        are broadcast."""
         self.spark = spark
         self.managers_bound = managers_bound
         self.share_staging = share_staging
+        self.one_pass_dimensions = share_staging if one_pass_dimensions is None else one_pass_dimensions
         self.staging_raw = staging_raw
         self.returns_seed = returns_seed
         self.managers_dim = managers
@@ -128,6 +132,16 @@ class Warehouse:
         return cls(spark, fixture_staging(spark, root, keep_line=True), fixture_returns(spark, root),
                    fixture_managers(spark, root), share_staging=share_staging, managers_bound=len(MANAGERS))
 
+    @classmethod
+    def from_staging_table(cls, spark: SparkSession, staging_path: str, returns: DataFrame,
+                           managers: DataFrame, managers_bound: int | None = None) -> "Warehouse":
+        """A warehouse over a stored staging table (Parquet with the staging
+        columns).  The table is already materialized, so it is scanned by its
+        consumers directly instead of being copied to the checkpoint folder;
+        the dimensions still come from one scan of it."""
+        return cls(spark, read_staging(spark, staging_path, keep_line=True), returns, managers,
+                   share_staging=False, one_pass_dimensions=True, managers_bound=managers_bound)
+
     def build(self, *names: str) -> "Warehouse":
         """Build independent tables at the same time.
 
@@ -163,7 +177,7 @@ class Warehouse:
         return build_dimensions(self.staging, DIMENSIONS)
 
     def _dimension(self, name: str) -> Numbered:
-        if self.share_staging:
+        if self.one_pass_dimensions:
             return self.dimensions[name]
         attrs, id_col = DIMENSIONS[name]
         return build_dimension(self.staging, attrs, id_col)

@@ -100,7 +100,8 @@ def test_user_staging_table_end_to_end(spark):
     assert staging.schema["sales"].dataType.simpleString() == "decimal(11,4)"
     assert staging.select("_line").distinct().count() == 6000
     returns = spark.createDataFrame([("Yes", "CA-1995-000004")], RETURNS_SCHEMA)
-    w = Warehouse(spark, staging, returns, managers_seed(spark))
+    w = Warehouse.from_staging_table(spark, path, returns, managers_seed(spark), managers_bound=4)
+    assert w.staging_base is w.staging_raw   # a stored table is not copied again
     assert w.fact.rows == 6000
     assert w.sales_fact_with_returns.filter("return_id = 1").count() == \
         staging.filter("order_id = 'CA-1995-000004'").count()
