@@ -16,6 +16,7 @@ truncating a table collapse into one atomic replace of its folder.
 Command line::
 
     python -m starloom.plans.pipeline --tables /path/to/fixture --out /path/to/dw [--strict] [--database dw]
+    python -m starloom.plans.pipeline --staging /path/stg_orders --returns /path/returns.csv --out /path/to/dw
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from starloom.plans.contracts import (
     warehouse_pk_violations,
 )
 from starloom.plans.warehouse import Warehouse
+from starloom.sources.seeds import MANAGERS, managers_seed, read_returns
 
 TABLES = ["stg_orders", "shipping_dim", "customer_dim", "geo_dim", "product_dim", "calendar_dim",
           "returns_dim", "managers_dim", "sales_fact"]
@@ -112,14 +114,24 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
 def main(argv: list[str] | None = None) -> None:
     from starloom.session import build_session
     parser = argparse.ArgumentParser(description=__doc__.split("\n")[0])
-    parser.add_argument("--tables", required=True, help="folder with the fixture tables (<name>.parquet)")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--tables", help="folder with the fixture tables (<name>.parquet)")
+    source.add_argument("--staging", help="a stored staging table (Parquet with the staging columns)")
+    parser.add_argument("--returns", help="returns list (CSV with header returned,order_id); with --staging")
     parser.add_argument("--out", required=True, help="output root for the warehouse tables")
     parser.add_argument("--master", default=None)
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--database", default=None, help="also register the tables in this Spark database")
     args = parser.parse_args(argv)
     spark = build_session(args.master)
-    result = run(Warehouse.from_fixture(spark, args.tables), args.out, strict=args.strict, database=args.database)
+    if args.tables:
+        w = Warehouse.from_fixture(spark, args.tables)
+    else:
+        if not args.returns:
+            parser.error("--staging needs --returns")
+        w = Warehouse.from_staging_table(spark, args.staging, read_returns(spark, args.returns),
+                                         managers_seed(spark), managers_bound=len(MANAGERS))
+    result = run(w, args.out, strict=args.strict, database=args.database)
     print(result)
 
 
