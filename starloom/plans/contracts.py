@@ -83,3 +83,21 @@ def warehouse_fk_violations(w: Warehouse) -> DataFrame:
     fact = w.sales_fact_with_managers
     return (fk_violations(fact, "sales_fact", "return_id", w.returns_dim, "return_id")
             .unionByName(fk_violations(fact, "sales_fact", "manager_id", w.managers_dim, "manager_id")))
+
+
+def table_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All constraint checks over stored warehouse tables, by check name.
+
+    ``tables`` maps table name -> frame (e.g. the tables a pipeline run has
+    just written, read back), so the checks see exactly what was stored.
+    """
+    pairs = [(tables[name], CONTRACTS[name]) for name in TABLE_ORDER if name in tables]
+    fact = tables["sales_fact"]
+    return {
+        "primary_key": pk_violations(pairs),
+        "not_null": not_null_violations(pairs),
+        "length": length_violations(pairs),
+        "numeric": numeric_violations([(fact, CONTRACTS["sales_fact"])]),
+        "foreign_key": fk_violations(fact, "sales_fact", "return_id", tables["returns_dim"], "return_id")
+        .unionByName(fk_violations(fact, "sales_fact", "manager_id", tables["managers_dim"], "manager_id")),
+    }
