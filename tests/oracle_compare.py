@@ -1,8 +1,8 @@
 """Run a registered query in Spark and its SQL twin in DuckDB and compare.
 
 Comparison is order-insensitive: columns are matched by name, rows are
-sorted, values are compared after a light normalisation (decimals by value,
-dates and strings as they are).
+sorted, values are compared by type and text (decimals with their scale, dates
+and strings as they are).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def duckdb_connection(sf_dir: str):
 
 def _norm(v):
     if isinstance(v, decimal.Decimal):
-        return ("d", str(v.normalize()) if v == v.to_integral_value() or True else str(v))
+        return ("d", str(v))  # scale included: 1.50 and 1.5 differ
     if isinstance(v, float):
         return ("f", round(v, 9))
     if isinstance(v, dt.datetime):
@@ -40,7 +40,17 @@ def _norm(v):
     return ("s", str(v))
 
 
+_TYPE_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "double": "DOUBLE",
+               "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _duck_type(spark_type: str) -> str:
+    return _TYPE_NAMES.get(spark_type, spark_type.upper())
+
+
 def compare(spark_df, con, sql: str) -> dict:
+    spark_types = {f.name: _duck_type(f.dataType.simpleString()) for f in spark_df.schema.fields}
+    duck_types = {row[0]: row[1] for row in con.execute("DESCRIBE " + sql).fetchall()}
     spark_cols = spark_df.columns
     spark_rows = [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
@@ -52,6 +62,10 @@ def compare(spark_df, con, sql: str) -> dict:
         out["ok"] = False
         out["why"] = "columns differ"
         return out
+    if spark_types != duck_types:
+        out["ok"] = False
+        out["why"] = f"types differ: {spark_types} vs {duck_types}"
+        return out
     order = sorted(spark_cols)
     si = [spark_cols.index(c) for c in order]
     di = [duck_cols.index(c) for c in order]
