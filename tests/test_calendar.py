@@ -41,3 +41,19 @@ def test_leap_rule_against_python(spark):
         return "true" if shifted.day == 29 else "false"
     for r in calendar_dim(spark, dt.date(2003, 12, 1), dt.date(2004, 12, 31)).collect():
         assert r.leap == rule(r.date), r.date
+
+
+def test_inverted_bounds_rejected(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        calendar_dim(spark, dt.date(2001, 1, 2), dt.date(2001, 1, 1))
+
+
+def test_covering_bounds(spark):
+    from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, covering_bounds
+    empty = spark.createDataFrame([], "a date, b date")
+    assert covering_bounds(empty) == (CALENDAR_START, CALENDAR_END)
+    some = spark.createDataFrame([(dt.date(1995, 3, 1), dt.date(2031, 1, 1))], "a date, b date")
+    assert covering_bounds(some) == (dt.date(1995, 3, 1), dt.date(2031, 1, 1))
+    single_day = calendar_dim(spark, dt.date(2004, 2, 29), dt.date(2004, 2, 29)).collect()
+    assert [(r.dateid, r.week_day) for r in single_day] == [(20040229, "sun")]

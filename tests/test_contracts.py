@@ -59,3 +59,8 @@ def test_fk_and_assert_clean(spark):
     assert _as_dict(report) == {("sales_fact", "manager_id"): 2}
     with pytest.raises(ValueError, match="sales_fact.manager_id=2"):
         assert_clean(report, "foreign key")
+
+
+def test_assert_clean_passes_clean_report(spark):
+    clean = spark.createDataFrame([("t", "c", 0)], "table_name string, column_name string, n bigint")
+    assert_clean(clean, "any")

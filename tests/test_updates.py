@@ -41,3 +41,10 @@ def test_update_from_keeps_old_value_when_unmatched(spark):
     out = update_from(fact, src, ["order_id"], {"m": "m"})
     assert out.columns == ["sales_id", "order_id", "m"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, "O1", 3), (2, "O2", 20)]
+
+
+def test_update_from_max_rule(spark):
+    fact = spark.createDataFrame([(1, "O1")], "sales_id bigint, order_id string")
+    src = spark.createDataFrame([(7, "O1"), (9, "O1")], "return_id bigint, order_id string")
+    out = update_from(fact, src, ["order_id"], {"return_id": "return_id"}, tie="max")
+    assert [tuple(r) for r in out.collect()] == [(1, "O1", 9)]
