@@ -99,6 +99,26 @@ def fk_violations(child: DataFrame, child_table: str, column: str, parent: DataF
         .select(F.lit(child_table).alias("table_name"), F.lit(column).alias("column_name"), "n")
 
 
+def violating_rows(df: DataFrame, contract: TableContract, check: str, column: str,
+                   parent: DataFrame | None = None, parent_key: str | None = None) -> DataFrame:
+    """The rows of ``df`` that break one check on one column (for samples)."""
+    c = F.col(column)
+    if check == "not_null":
+        return df.filter(c.isNull())
+    if check == "length":
+        return df.filter(F.length(c) > contract.column(column).max_length)
+    if check == "numeric":
+        p, s = contract.column(column).decimal
+        return df.filter(c.isNotNull() & c.try_cast(T.DecimalType(p, s)).isNull())
+    if check == "primary_key":
+        shared = df.groupBy(column).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
+        return df.filter(c.isNull()).unionByName(df.join(shared.select(column), [column], "left_semi"))
+    if check == "foreign_key":
+        keys = parent.select(F.col(parent_key).alias(column))
+        return df.filter(c.isNotNull()).join(keys, [column], "left_anti")
+    raise ValueError(f"unknown check {check!r}")
+
+
 def assert_clean(report: DataFrame, check: str) -> None:
     """Raise when a check report has violations; shows a bounded sample."""
     bad = report.filter(F.col("n") > 0).limit(20).collect()

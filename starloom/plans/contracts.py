@@ -12,6 +12,7 @@ from starloom.operators.contracts import (
     not_null_violations,
     numeric_violations,
     pk_violations,
+    violating_rows,
 )
 from starloom.plans.warehouse import Warehouse
 
@@ -101,3 +102,17 @@ def table_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "foreign_key": fk_violations(fact, "sales_fact", "return_id", tables["returns_dim"], "return_id")
         .unionByName(fk_violations(fact, "sales_fact", "manager_id", tables["managers_dim"], "manager_id")),
     }
+
+
+FK_PARENTS = {"return_id": ("returns_dim", "return_id"), "manager_id": ("managers_dim", "manager_id")}
+
+
+def sample_violations(tables: dict[str, DataFrame], check: str, table: str, column: str,
+                      n: int = 3) -> list[dict]:
+    """Up to ``n`` rows of a stored table that break one check (an incremental take)."""
+    parent = parent_key = None
+    if check == "foreign_key":
+        parent_name, parent_key = FK_PARENTS[column]
+        parent = tables[parent_name]
+    rows = violating_rows(tables[table], CONTRACTS[table], check, column, parent, parent_key).take(n)
+    return [r.asDict() for r in rows]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.plans import audits
-from starloom.plans.contracts import table_checks
+from starloom.plans.contracts import sample_violations, table_checks
 from starloom.plans.warehouse import Warehouse
 from starloom.sources.seeds import MANAGERS, managers_seed, read_returns
 
@@ -88,7 +88,9 @@ def run(w: Warehouse, out_root: str, strict: bool = False, database: str | None
     failing = [r.asDict() for r in w.spark.read.parquet(os.path.join(out_root, "_quality_report"))
                .filter(F.col("n") > 0).collect()]
     if strict and (failing or len(set(counts.values())) != 1):
-        raise ValueError(f"warehouse checks failed: counts={counts}, violations={failing}")
+        samples = {f"{v['check']} {v['table_name']}.{v['column_name']} ({v['n']} rows)":
+                   sample_violations(stored, v["check"], v["table_name"], v["column_name"]) for v in failing}
+        raise ValueError(f"warehouse checks failed: counts={counts}, violations={samples}")
     return {"reconciliation": counts, "violations": failing}
 
 

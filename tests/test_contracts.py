@@ -6,6 +6,7 @@ from starloom.operators.contracts import (
     ColumnContract as C,
     TableContract,
     assert_clean,
+    violating_rows,
     fk_violations,
     length_violations,
     not_null_violations,
@@ -64,3 +65,16 @@ def test_fk_and_assert_clean(spark):
 def test_assert_clean_passes_clean_report(spark):
     clean = spark.createDataFrame([("t", "c", 0)], "table_name string, column_name string, n bigint")
     assert_clean(clean, "any")
+
+
+def test_violating_rows(spark):
+    df = _frame(spark)
+    ids = lambda check, col: sorted((r.id for r in violating_rows(df, CONTRACT, check, col).collect()),
+                                    key=lambda v: (v is not None, v))
+    assert ids("not_null", "cust") == [2]
+    assert ids("length", "mode") == [2]
+    assert ids("numeric", "sales") == [2]
+    assert ids("primary_key", "id") == [None, 2, 2]
+    parent = spark.createDataFrame([(1,)], "pid bigint")
+    orphans = violating_rows(df, CONTRACT, "foreign_key", "id", parent, "pid").collect()
+    assert sorted(r.id for r in orphans) == [2, 2]

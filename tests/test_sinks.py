@@ -116,3 +116,12 @@ def test_pipeline_publishes_into_a_database(spark):
     # a rerun replaces the tables instead of failing on existing ones
     run(Warehouse.from_fixture(spark, SF_SMALL), out, database="dw_test")
     assert spark.table("dw_test.geo_dim").count() == 128
+
+
+def test_strict_run_raises_with_samples(spark):
+    import pytest
+    out = tempfile.mkdtemp(prefix="starloom-strict-")
+    with pytest.raises(ValueError, match=r"numeric sales_fact.sales \(282 rows\)") as err:
+        run(Warehouse.from_fixture(spark, SF_SMALL), out, strict=True)
+    # the message carries sample rows of the overflowing sales values
+    assert "'sales': Decimal('1" in str(err.value)
