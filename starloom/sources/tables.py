@@ -46,9 +46,12 @@ def read_lines(spark: SparkSession, root: str, name: str, columns: list[str]) ->
 
 
 def zero_pad(value: Column, width: int) -> Column:
-    """Decimal digits of ``value`` left-padded with zeros to ``width``.
+    """An integer as text, zero-padded to ``width`` characters like ``printf('%0<width>d')``.
 
-    Never truncates: a value with more digits keeps all of them.
+    Never truncates: a value with more digits keeps all of them.  A negative
+    value keeps its sign in front of the zeros (-5 at width 6 is ``-00005``).
     """
-    text = value.cast("string")
-    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+    digits = F.abs(value).cast("string")
+    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
+    pad_to = F.greatest(F.length(digits), F.lit(width) - F.length(sign))
+    return F.concat(sign, F.lpad(digits, pad_to, F.lit("0")))

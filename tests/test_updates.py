@@ -48,3 +48,11 @@ def test_update_from_max_rule(spark):
     src = spark.createDataFrame([(7, "O1"), (9, "O1")], "return_id bigint, order_id string")
     out = update_from(fact, src, ["order_id"], {"return_id": "return_id"}, tie="max")
     assert [tuple(r) for r in out.collect()] == [(1, "O1", 9)]
+
+
+def test_zero_pad_matches_printf(spark):
+    from starloom.sources.tables import zero_pad
+    values = [0, 5, 42, 123456, 1234567, -5, -123456]
+    got = [r.p for r in spark.createDataFrame([(v,) for v in values], "v bigint")
+           .select(zero_pad(F.col("v"), 6).alias("p")).collect()]
+    assert got == ["%06d" % v for v in values]
