@@ -89,7 +89,7 @@ def warehouse_fk_violations(w: Warehouse) -> DataFrame:
 def table_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All constraint checks over stored warehouse tables, by check name.
 
-    ``tables`` maps table name -> frame (e.g. the tables a pipeline run has
+    ``tables`` maps table name -> frame (e.g. the tables a full refresh has
     just written, read back), so the checks see exactly what was stored.
     """
     pairs = [(tables[name], CONTRACTS[name]) for name in TABLE_ORDER if name in tables]

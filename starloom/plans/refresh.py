@@ -16,8 +16,8 @@ truncating a table collapse into one atomic replace of its folder.
 
 Command line::
 
-    python -m starloom.plans.pipeline --tables /path/to/fixture --out /path/to/dw [--strict] [--database dw]
-    python -m starloom.plans.pipeline --staging /path/stg_orders --returns /path/returns.csv --out /path/to/dw
+    python -m starloom.plans.refresh --tables /path/to/fixture --out /path/to/dw [--strict] [--database dw]
+    python -m starloom.plans.refresh --staging /path/stg_orders --returns /path/returns.csv --out /path/to/dw
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Sinks: the full-refresh pipeline, serial-keyed appends, and their streaming form."""
+"""Sinks: the full refresh, serial-keyed appends, and their streaming form."""
 
 import os
 import tempfile
@@ -7,13 +7,13 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from starloom.operators.serial_append import append_with_serial
-from starloom.plans.pipeline import TABLES, read_warehouse, register_views, run
+from starloom.plans.refresh import TABLES, read_warehouse, register_views, run
 from starloom.plans.warehouse import Warehouse
 from starloom.sources.seeds import RETURNS_SCHEMA, read_returns
 from starloom.streaming.serial_append import start_serial_append, write_epoch
 
 
-def test_pipeline_writes_every_table(spark):
+def test_full_refresh_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="starloom-dw-")
     result = run(Warehouse.from_fixture(spark, SF_SMALL), out)
     assert result["reconciliation"] == {"staging_rows": 6000, "fact_rows": 6000, "joined_rows": 6000}
@@ -107,7 +107,7 @@ def test_user_staging_table_end_to_end(spark):
         staging.filter("order_id = 'CA-1995-000004'").count()
 
 
-def test_pipeline_publishes_into_a_database(spark):
+def test_full_refresh_publishes_into_a_database(spark):
     out = tempfile.mkdtemp(prefix="starloom-dwdb-")
     run(Warehouse.from_fixture(spark, SF_SMALL), out, database="dw_test")
     assert {t.name for t in spark.catalog.listTables("dw_test")} >= set(TABLES)
