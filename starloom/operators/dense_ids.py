@@ -4,9 +4,9 @@
 ``monotonically_increasing_id()`` leaves gaps of 2^33 between partitions.  This
 operator numbers rows in parallel:
 
-1. ``orderBy`` the keys: a range exchange (bounds sampled from the data) and a
-   sort inside every partition, so partition ``i`` holds only keys below those
-   of partition ``i + 1``;
+1. ``repartitionByRange`` on the keys (a range exchange whose bounds are
+   sampled from the data) and ``sortWithinPartitions``, so partition ``i``
+   holds only keys below those of partition ``i + 1``, in order;
 2. tag each row with its partition id and its position inside the partition
    (``monotonically_increasing_id`` is ``pid << 33 | position``), and checkpoint
    the tagged rows, so positions are fixed once and for all;
@@ -68,8 +68,9 @@ def with_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int =
     ``tiebreak`` columns take part in the order but are dropped from the
     output.  Columns of ``df`` are kept in their order after the key.
     ``expect_small`` tries the short path described in the module notes;
-    ``known_rows`` is an exact row count of an already written ``df``, which
-    takes the short path without another write when it is small enough.
+    ``known_rows`` is the exact row count of ``df`` when ``df`` reads an
+    already written table; it takes the short path without another write
+    when it is small enough.
     """
     tiebreak = list(tiebreak or [])
     keep = [c for c in df.columns if c not in tiebreak and c != id_col]
