@@ -78,3 +78,17 @@ def test_violating_rows(spark):
     parent = spark.createDataFrame([(1,)], "pid bigint")
     orphans = violating_rows(df, CONTRACT, "foreign_key", "id", parent, "pid").collect()
     assert sorted(r.id for r in orphans) == [2, 2]
+
+
+def test_size_check_and_bounded_broadcast(spark):
+    from starloom.operators.broadcast import bounded_broadcast, row_count_at_most
+    big = spark.range(0, 50_000, numPartitions=10)
+    assert row_count_at_most(big, 50_000)
+    assert not row_count_at_most(big, 49_999)
+    assert row_count_at_most(big.limit(0), 0)
+    small_side = bounded_broadcast(spark.range(0, 10), max_rows=10)
+    large_side = bounded_broadcast(big, max_rows=100)
+    plan_small = small_side._jdf.queryExecution().analyzed().toString()
+    plan_large = large_side._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in plan_small and "broadcast" in plan_small
+    assert "ResolvedHint" not in plan_large

@@ -125,3 +125,12 @@ def test_strict_run_raises_with_samples(spark):
         run(Warehouse.from_fixture(spark, SF_SMALL), out, strict=True)
     # the message carries sample rows of the overflowing sales values
     assert "'sales': Decimal('1" in str(err.value)
+
+
+def test_read_returns_parquet(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="starloom-retpq-"), "returns")
+    spark.createDataFrame([("Yes", "CA-2016-100762"), ("Yes", "CA-2016-100762")], RETURNS_SCHEMA) \
+        .write.parquet(path)
+    df = read_returns(spark, path, fmt="parquet")
+    assert df.columns == ["returned", "order_id", "_line"]
+    assert df.count() == 2 and df.select("_line").distinct().count() == 2
