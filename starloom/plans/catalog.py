@@ -182,7 +182,7 @@ QUERIES: dict[str, Query] = {
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m starloom.plans.catalog --query NAME --tables DIR [--out PATH] [--show N]``"""
+    """``python -m starloom.plans.catalog --query NAME --tables DIR [--out PATH | --show N | --explain]``"""
     import argparse
 
     from starloom.session import build_session
@@ -191,11 +191,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--tables", required=True, help="folder with the fixture tables (<name>.parquet)")
     parser.add_argument("--out", default=None, help="write the result here as Parquet (overwrite)")
     parser.add_argument("--show", type=int, default=20, help="rows to print when not writing")
+    parser.add_argument("--explain", action="store_true", help="print the formatted physical plan instead")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
     spark = build_session(args.master)
     df = QUERIES[args.query](spark, args.tables)
-    if args.out:
+    if args.explain:
+        df.explain("formatted")
+    elif args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:
         df.show(args.show, truncate=False)
