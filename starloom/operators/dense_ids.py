@@ -61,7 +61,7 @@ def _sort_key(c: str | Column) -> Column:
 
 def with_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int = 1,
                    tiebreak: list[str] | None = None, num_partitions: int | None = None,
-                   expect_small: bool = False, small_rows: int = SMALL_ROWS,
+                   expect_small: bool = False, small_rows: int | None = None,
                    known_rows: int | None = None) -> Numbered:
     """Prepend ``id_col`` (bigint) numbering ``df`` by ``order_by`` ascending, NULLs first.
 
@@ -72,6 +72,7 @@ def with_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int =
     already written table; it takes the short path without another write
     when it is small enough.
     """
+    small_rows = SMALL_ROWS if small_rows is None else small_rows
     tiebreak = list(tiebreak or [])
     keep = [c for c in df.columns if c not in tiebreak and c != id_col]
     keys = [_sort_key(c) for c in list(order_by) + tiebreak]
