@@ -12,7 +12,7 @@ operator numbers rows in parallel:
    the tagged rows, so positions are fixed once and for all;
 3. count rows per partition (one row per partition reaches the driver, a
    list bounded by the partition count, never the data) and turn the counts
-   into running offsets;
+   into running offsets, as Spark's own ``RDD.zipWithIndex`` does;
 4. key = start + offset[pid] + position, through a broadcast join with the
    offsets table, whose size is the partition count.
 
