@@ -115,6 +115,7 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--tables", help="folder with the fixture tables (<name>.parquet)")
     source.add_argument("--staging", help="a stored staging table (Parquet with the staging columns)")
     parser.add_argument("--returns", help="returns list (CSV with header returned,order_id); with --staging")
+    parser.add_argument("--staging-format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--out", required=True, help="output root for the warehouse tables")
     parser.add_argument("--master", default=None)
     parser.add_argument("--strict", action="store_true")
@@ -127,7 +128,8 @@ def main(argv: list[str] | None = None) -> None:
         if not args.returns:
             parser.error("--staging needs --returns")
         w = Warehouse.from_staging_table(spark, args.staging, read_returns(spark, args.returns),
-                                         managers_seed(spark), managers_bound=len(MANAGERS))
+                                         managers_seed(spark), managers_bound=len(MANAGERS),
+                                         fmt=args.staging_format)
     result = run(w, args.out, strict=args.strict, database=args.database)
     print(result)
 

@@ -134,12 +134,14 @@ class Warehouse:
 
     @classmethod
     def from_staging_table(cls, spark: SparkSession, staging_path: str, returns: DataFrame,
-                           managers: DataFrame, managers_bound: int | None = None) -> "Warehouse":
-        """A warehouse over a stored staging table (Parquet with the staging
-        columns).  The table is already materialized, so it is scanned by its
-        consumers directly instead of being copied to the checkpoint folder;
-        the dimensions still come from one scan of it."""
-        return cls(spark, read_staging(spark, staging_path, keep_line=True), returns, managers,
+                           managers: DataFrame, managers_bound: int | None = None,
+                           fmt: str = "parquet") -> "Warehouse":
+        """A warehouse over a stored staging table (Parquet, or CSV with a
+        header, holding the staging columns).  The table is already
+        materialized, so it is scanned by its consumers directly instead of
+        being copied to the checkpoint folder; the dimensions still come from
+        one scan of it."""
+        return cls(spark, read_staging(spark, staging_path, keep_line=True, fmt=fmt), returns, managers,
                    share_staging=False, one_pass_dimensions=True, managers_bound=managers_bound)
 
     def build(self, *names: str) -> "Warehouse":

@@ -61,11 +61,19 @@ def conform_staging(df: DataFrame, keep_line: bool = False) -> DataFrame:
     return df.select(*cols)
 
 
-def read_staging(spark: SparkSession, path: str, keep_line: bool = False) -> DataFrame:
-    """Read an existing staging table (Parquet) under the column contract."""
-    raw = spark.read.parquet(path)
+def read_staging(spark: SparkSession, path: str, keep_line: bool = False, fmt: str = "parquet") -> DataFrame:
+    """Read an existing staging table under the column contract.
+
+    ``fmt`` is ``parquet`` (columns bound by name, then cast) or ``csv`` (a
+    header row; parsed with the contract schema, never inferred; dates as
+    ``yyyy-MM-dd``).
+    """
+    if fmt == "csv":
+        raw = spark.read.schema(STAGING_SCHEMA).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    else:
+        raw = spark.read.format(fmt).load(path)
     if keep_line:
-        raw = raw.withColumn(LINE_COL, line_salt())
+        raw = raw.withColumn(LINE_COL, line_salt(parquet=fmt == "parquet"))
     return conform_staging(raw, keep_line)
 
 

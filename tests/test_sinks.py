@@ -134,3 +134,19 @@ def test_read_returns_parquet(spark):
     df = read_returns(spark, path, fmt="parquet")
     assert df.columns == ["returned", "order_id", "_line"]
     assert df.count() == 2 and df.select("_line").distinct().count() == 2
+
+
+def test_csv_staging_gives_the_same_fact(spark):
+    from starloom.sources.seeds import managers_seed
+    from starloom.sources.staging import fixture_staging
+    root = tempfile.mkdtemp(prefix="starloom-csv-")
+    fixture_staging(spark, SF_SMALL).write.option("header", True).csv(os.path.join(root, "stg_csv"))
+    fixture_staging(spark, SF_SMALL).write.parquet(os.path.join(root, "stg_pq"))
+    returns = spark.createDataFrame([("Yes", "CA-1995-000004")], RETURNS_SCHEMA)
+    facts = []
+    for fmt, folder in (("csv", "stg_csv"), ("parquet", "stg_pq")):
+        w = Warehouse.from_staging_table(spark, os.path.join(root, folder), returns, managers_seed(spark),
+                                         managers_bound=4, fmt=fmt)
+        facts.append(sorted(tuple(r) for r in w.sales_fact_with_managers.collect()))
+    assert len(facts[0]) == 6000
+    assert facts[0] == facts[1]
