@@ -113,7 +113,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--tables", help="folder with the fixture tables (<name>.parquet)")
-    source.add_argument("--staging", help="a stored staging table (Parquet with the staging columns)")
+    source.add_argument("--staging", help="a stored staging table with the staging columns (see --staging-format)")
     parser.add_argument("--returns", help="returns list (CSV with header returned,order_id); with --staging")
     parser.add_argument("--staging-format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--out", required=True, help="output root for the warehouse tables")
