@@ -80,7 +80,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, database=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from(["a", "b", "c", None])),
                      min_size=0, max_size=60),
        parts=st.integers(1, 5), small=st.booleans())
