@@ -5,8 +5,13 @@ with the serial values that follow the rows already written.
 Exactly once: micro-batch ``e`` is written to its own folder ``epoch=e`` with
 ``mode("overwrite")``.  A replayed batch (after a failure, Structured Streaming
 re-runs the last epoch with the same input) rewrites only its folder, and its
-keys start after the largest key of the *earlier* epochs, read with
-partition pruning, so the replay produces the same keys again.
+keys start after the largest key of the *earlier* epochs, so the replay
+produces the same keys again.
+
+The largest key of each epoch is also written as a one-row summary under
+``_epoch_keys/epoch=e`` (a hidden folder, not part of the table), so finding
+the next key reads one row per earlier epoch instead of scanning the table's
+key column, whatever its size.
 """
 
 from __future__ import annotations
@@ -17,19 +22,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from starloom.operators.serial_append import number_after, read_if_exists
+from starloom.operators.dense_ids import with_dense_ids
+from starloom.operators.serial_append import next_key, read_if_exists
 
 EPOCH_COL = "epoch"
+KEYS_DIR = "_epoch_keys"
 
 
 def write_epoch(spark: SparkSession, table_path: str, batch: DataFrame, epoch_id: int, key_col: str,
                 order_by: list[str], first: int = 1) -> int:
     """Key and write one micro-batch; returns its row count."""
-    existing = read_if_exists(spark, table_path)
-    if existing is not None:
-        existing = existing.filter(F.col(EPOCH_COL) < epoch_id)
-    numbered = number_after(existing, batch, key_col, order_by, first=first)
+    keys_path = os.path.join(table_path, KEYS_DIR)
+    earlier = read_if_exists(spark, keys_path)
+    if earlier is not None:
+        earlier = earlier.filter(F.col(EPOCH_COL) < epoch_id).select(F.col("last_key").alias(key_col))
+    start = next_key(earlier, key_col, first)
+    numbered = with_dense_ids(batch, order_by, key_col, start=start)
     numbered.df.write.mode("overwrite").parquet(os.path.join(table_path, f"{EPOCH_COL}={epoch_id}"))
+    summary = spark.createDataFrame([(start + numbered.rows - 1, numbered.rows)], "last_key bigint, n_rows bigint")
+    summary.write.mode("overwrite").parquet(os.path.join(keys_path, f"{EPOCH_COL}={epoch_id}"))
     return numbered.rows
 
 
