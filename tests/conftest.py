@@ -15,7 +15,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from starloom.session import build_session
-    extra = {"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="starloom-test-warehouse-")}
+    extra = {"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="starloom-test-warehouse-"),
+             # checkpoints of frames the tests no longer hold are removed promptly
+             "spark.cleaner.periodicGC.interval": "1min"}
     from pyspark import SparkConf
     if not SparkConf().get("spark.checkpoint.dir", None):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="starloom-test-ckpt-")
