@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.broadcast import bounded_broadcast
+from starloom.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from starloom.operators.dense_ids import Numbered
 from starloom.plans.warehouse import GAP_CITY, Warehouse, _dim_side, restrict_to_orders
 
@@ -138,12 +138,17 @@ def manager_audit_fanout(fact: DataFrame, staging: DataFrame) -> DataFrame:
     return joined.agg(F.coalesce(total, F.lit(0)).cast("long").alias("n"))
 
 
-def calendar_fk_gaps(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+def calendar_fk_gaps(fact: DataFrame, calendar: DataFrame, calendar_days: int | None = None) -> DataFrame:
     """Date keys of the fact (order and ship dates) absent from ``calendar``,
     with their number of uses.  Keys are counted first (combined map-side),
-    then anti-joined to the calendar (broadcast when its day count is small)."""
+    then anti-joined to the calendar, broadcast when its day count (known from
+    its bounds, or else checked) is small."""
     keys = (fact.select(F.col("order_date_id").alias("date_id"))
             .unionByName(fact.select(F.col("ship_date_id").alias("date_id"))))
     counted = keys.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
-    days = bounded_broadcast(calendar.select(F.col("dateid").alias("date_id")))
+    days = calendar.select(F.col("dateid").alias("date_id"))
+    if calendar_days is not None and calendar_days <= DEFAULT_MAX_ROWS:
+        days = F.broadcast(days)
+    else:
+        days = bounded_broadcast(days)
     return counted.join(days, ["date_id"], "left_anti")
