@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from oracle_compare import compare, duckdb_connection
 
 import __spark_entry__ as entry_module
+from starloom.plans.catalog import QUERIES as WAREHOUSE_QUERIES
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_module.queries().items() if name in WAREHOUSE_QUERIES}
+ORACLE = {name: sql for name, sql in entry_module.oracle_sql().items() if name in WAREHOUSE_QUERIES}
 
 
 @pytest.fixture(scope="module")
