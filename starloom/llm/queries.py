@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from starloom.llm.bpe import op10_bpe
 from starloom.llm.mixing import OP2_SQL, op2_mix_sources
 from starloom.llm.url_filter import OP6_SQL, op6_url_filter
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op6_url_filter": op6_url_filter,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL = {
