@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from starloom.llm.bpe import op10_bpe
 from starloom.llm.mixing import OP2_SQL, op2_mix_sources
+from starloom.llm.pii import op4_pii
 from starloom.llm.quality import op9_quality
 from starloom.llm.toxicity import op8_toxicity
 from starloom.llm.url_filter import OP6_SQL, op6_url_filter
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_pii": op4_pii,
     "op6_url_filter": op6_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
