@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starloom.llm.bpe import op10_bpe
 from starloom.llm.mixing import OP2_SQL, op2_mix_sources
+from starloom.llm.ngram_join import OP3_SQL, op3_ngram_join
 from starloom.llm.pii import op4_pii
 from starloom.llm.quality import op9_quality
 from starloom.llm.toxicity import op8_toxicity
@@ -11,6 +12,7 @@ from starloom.llm.url_filter import OP6_SQL, op6_url_filter
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_ngram_join": op3_ngram_join,
     "op4_pii": op4_pii,
     "op6_url_filter": op6_url_filter,
     "op8_toxicity": op8_toxicity,
@@ -20,5 +22,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_mix_sources": OP2_SQL,
+    "op3_ngram_join": OP3_SQL,
     "op6_url_filter": OP6_SQL,
 }
