@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starloom.llm.bpe import op10_bpe
+from starloom.llm.embedding_join import OP7_SQL, op7_embedding_join
 from starloom.llm.mixing import OP2_SQL, op2_mix_sources
 from starloom.llm.ngram_join import OP3_SQL, op3_ngram_join
 from starloom.llm.pii import op4_pii
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_pii": op4_pii,
     "op6_url_filter": op6_url_filter,
+    "op7_embedding_join": op7_embedding_join,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
@@ -24,4 +26,5 @@ ORACLE_SQL = {
     "op2_mix_sources": OP2_SQL,
     "op3_ngram_join": OP3_SQL,
     "op6_url_filter": OP6_SQL,
+    "op7_embedding_join": OP7_SQL,
 }
