@@ -8,6 +8,7 @@ from starloom.llm.mixing import OP2_SQL, op2_mix_sources
 from starloom.llm.ngram_join import OP3_SQL, op3_ngram_join
 from starloom.llm.pii import op4_pii
 from starloom.llm.quality import op9_quality
+from starloom.llm.simhash import op5_simhash
 from starloom.llm.toxicity import op8_toxicity
 from starloom.llm.url_filter import OP6_SQL, op6_url_filter
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_ngram_join": op3_ngram_join,
     "op4_pii": op4_pii,
+    "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_embedding_join": op7_embedding_join,
     "op8_toxicity": op8_toxicity,
