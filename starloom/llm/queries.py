@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starloom.llm.bpe import op10_bpe
 from starloom.llm.embedding_join import OP7_SQL, op7_embedding_join
+from starloom.llm.html_text import op1_html_text
 from starloom.llm.mixing import OP2_SQL, op2_mix_sources
 from starloom.llm.ngram_join import OP3_SQL, op3_ngram_join
 from starloom.llm.pii import op4_pii
@@ -13,6 +14,7 @@ from starloom.llm.toxicity import op8_toxicity
 from starloom.llm.url_filter import OP6_SQL, op6_url_filter
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_mix_sources": op2_mix_sources,
     "op3_ngram_join": op3_ngram_join,
     "op4_pii": op4_pii,
