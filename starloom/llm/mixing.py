@@ -112,9 +112,8 @@ def mixed_rows(mixed: DataFrame, size: str = "size", text: str = "text", n_chars
     copies = F.expr(f"sequence(0, cast((taken - 1) div {size} as int))")
     rows = mixed.filter(F.col("taken") > 0).withColumn("_copy", F.explode(copies))
     left = F.col("taken") - F.col("_copy") * F.col(size)
-    head = F.regexp_extract(F.col(text), F.concat(
-        F.lit(r"^[\x20\x09-\x0D]*"), F.lit("(?:"), F.lit(r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"), F.lit("){"),
-        left.cast("string"), F.lit("}")), 0)
+    words = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    head = F.array_join(F.slice(words, F.lit(1), left.cast("int")), "")
     cut = left < F.col(size)
     rows = rows.withColumn(text, F.when(cut, head).otherwise(F.col(text)))
     return rows.withColumn(n_chars, F.when(cut, F.length(text).cast("long")).otherwise(F.col(n_chars)))
