@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import table
+from starloom.llm.common import stored, table
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7)
@@ -91,38 +91,23 @@ class FactorizationMachine:
         return out
 
 
-def fit_machine(labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray,
+def fit_machine(labels: np.ndarray, row: np.ndarray, at: np.ndarray, count: np.ndarray, terms: np.ndarray,
                 steps: int = 150, rate: float = 0.05, decay: float = 3e-5) -> FactorizationMachine:
-    """Logistic loss, full-batch Adam from a fixed seed."""
-    n, positive = len(labels), float(labels.sum())
-    share = positive / n if n else 0.0
-    none = FactorizationMachine(-30.0 if share == 0 else 30.0 if share == 1 else float(np.log(share / (1 - share))),
-                                np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
-    if share in (0.0, 1.0):
-        return none
-    seen, inverse = np.unique(term, return_inverse=True)
-    df = np.bincount(inverse, minlength=len(seen)).astype(float)
-    df1 = np.bincount(inverse, labels[row], len(seen))
-    expected = df * share
-    chi = (df1 - expected) ** 2 / np.maximum(expected * (1 - df / (n + 1)), 1e-9) / (1 - share)
-    chi[df < MIN_ROWS] = 0
-    chosen = np.sort(np.argsort(-chi, kind="stable")[:TERMS])
-    chosen = chosen[chi[chosen] > 3.84]  # the 5 % point of one degree of freedom
-    if not len(chosen):
-        return none
-    new = np.full(len(seen), -1)
-    new[chosen] = np.arange(len(chosen))
-    keep = new[inverse] >= 0
-    row, at, x = row[keep], new[inverse][keep], np.sqrt(count[keep])
+    """Logistic loss, full-batch Adam from a fixed seed; ``at`` are positions in ``terms``."""
+    n, m = len(labels), len(terms)
+    share = float(labels.mean()) if n else 0.0
+    base = -30.0 if share == 0 else 30.0 if share == 1 else float(np.log(share / (1 - share)))
+    if share in (0.0, 1.0) or not m:
+        return FactorizationMachine(base, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
+    x = np.sqrt(count)
     random = np.random.default_rng(17)
-    m = len(chosen)
-    params = [np.array([none.base]), np.zeros(m), random.normal(0, 0.05, (m, FACTORS))]
+    params = [np.array([base]), np.zeros(m), random.normal(0, 0.05, (m, FACTORS))]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
-        base, w, v = params
+        bias, w, v = params
         sums = np.stack([np.bincount(row, v[at, f] * x, n) for f in range(FACTORS)], 1)
         squares = np.stack([np.bincount(row, (v[at, f] * x) ** 2, n) for f in range(FACTORS)], 1)
-        margin = base[0] + np.bincount(row, w[at] * x, n) + 0.5 * (sums ** 2 - squares).sum(1)
+        margin = bias[0] + np.bincount(row, w[at] * x, n) + 0.5 * (sums ** 2 - squares).sum(1)
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) / n
         gw = np.bincount(at, error[row] * x, m) + decay * w
         gv = np.stack([np.bincount(at, error[row] * x * (sums[row, f] - v[at, f] * x), m) for f in range(FACTORS)], 1)
@@ -130,7 +115,7 @@ def fit_machine(labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.999 * second[i] + 0.001 * g ** 2
             params[i] = params[i] - rate * (first[i] / (1 - 0.9 ** step)) / (np.sqrt(second[i] / (1 - 0.999 ** step)) + 1e-8)
-    return FactorizationMachine(float(params[0][0]), seen[chosen], params[1], params[2])
+    return FactorizationMachine(float(params[0][0]), terms, params[1], params[2])
 
 
 def fold(doc_id: Column, parts: int) -> Column:
@@ -155,18 +140,42 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         for batch in batches:
             row, term, n = _counts([t or "" for t in batch["_text"]], terms.__getitem__)
             cut = np.searchsorted(row, np.arange(len(batch) + 1))
-            yield pd.DataFrame({
-                "id": batch["_key"].astype(str), "label": batch["_label"],
-                "term": [term[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])],
-                "n": [np.minimum(n[a:b], 255).astype(np.uint8).tobytes() for a, b in zip(cut, cut[1:])]})
-
-    got = rows.mapInPandas(counted, "id string, label int, term binary, n binary").collect()
-    got.sort(key=lambda r: (r["id"], r["label"], r["term"]))
-    term = [np.frombuffer(r["term"], np.int32) for r in got]
-    row = np.repeat(np.arange(len(got)), [len(t) for t in term])
+            yield pd.DataFrame({"id": batch["_key"].astype(str), "label": batch["_label"],
+                                "term": [term[a:b] for a, b in zip(cut, cut[1:])], "n": [n[a:b] for a, b in zip(cut, cut[1:])]})
+
+    sample = stored(rows.mapInPandas(counted, "id string, label int, term array<int>, n array<int>"))
+    chosen = np.sort(np.array([r["term"] for r in telling_terms(sample)], np.int64))
+    sent = docs.sparkSession.sparkContext.broadcast(chosen)  # at most TERMS numbers
+
+    def narrowed(batches):
+        for batch in batches:
+            at, n = [], []
+            for t, c in zip(batch["term"], batch["n"]):
+                place = np.searchsorted(sent.value, t)
+                keep = sent.value[np.minimum(place, len(sent.value) - 1)] == t if len(sent.value) else np.zeros(len(t), bool)
+                at.append(place[keep].astype(np.int32).tobytes())
+                n.append(np.asarray(c, np.int32)[keep].tobytes())
+            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "at": at, "n": n})
+
+    got = sample.mapInPandas(narrowed, "id string, label int, at binary, n binary").collect()
+    got.sort(key=lambda r: (r["id"], r["label"], r["at"], r["n"]))
+    at, n = [np.frombuffer(r["at"], np.int32) for r in got], [np.frombuffer(r["n"], np.int32) for r in got]
     empty = np.zeros(0, np.int64)
-    return fit_machine(np.array([r["label"] for r in got], float), row, np.concatenate([empty, *term]).astype(np.int64),
-                       np.concatenate([empty, *[np.frombuffer(r["n"], np.uint8) for r in got]]).astype(float))
+    return fit_machine(np.array([r["label"] for r in got], float), np.repeat(np.arange(len(got)), list(map(len, at))),
+                       np.concatenate([empty, *at]).astype(np.int64), np.concatenate([empty, *n]).astype(float), chosen)
+
+
+def telling_terms(sample: DataFrame) -> list:
+    """The at most ``TERMS`` terms of highest chi-square with the label, above its 5 % point."""
+    size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")).first()
+    n, share = size["n"], (size["positive"] or 0) / max(1, size["n"])
+    if share in (0.0, 1.0):
+        return []
+    expected = F.col("df") * share
+    chi = (F.col("df1") - expected) ** 2 / (expected * (1 - F.col("df") / (n + 1)) * (1 - share))
+    return (sample.select("label", F.explode("term").alias("term")).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("df"), F.sum("label").alias("df1")).filter(F.col("df") >= MIN_ROWS)
+            .select("term", chi.alias("chi")).filter("chi > 3.84").orderBy(F.desc("chi"), "term").limit(TERMS).collect())
 
 
 @lru_cache(maxsize=4)
