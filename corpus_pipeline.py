@@ -39,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with ``[KIND]`` in place of personal data."""
-    proposer = pii.train(stored(pii.scan(docs).select("candidates")))
+    proposer = pii.train(stored(pii.scan(docs).select("doc_id", "candidates")))
     found = pii.with_spans(pii.scan(docs), proposer)
     text = F.when(F.col("text").isNull(), F.col("text")).otherwise(pii.redacted(F.col("text"), F.col("spans")))
     clean = found.withColumn("text", text)

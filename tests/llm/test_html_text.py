@@ -1,0 +1,68 @@
+"""Main text of pages: the fixture's articles, landmarks, odd markup."""
+
+import html
+import re
+
+from conftest import SF_SMALL
+
+from starloom.llm import html_text
+from starloom.llm.queries import QUERIES
+
+
+def article(source):
+    """The fixture's article by its own tags."""
+    found = re.search(r"<article>(.*?)(</article>|$)", source, re.S)
+    if not found:
+        return ""
+    blocks = re.split(r"</?(?:h1|p|article)>", found.group(1))
+    texts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"</?b>", "", b.replace("<br>", " ")))).strip() for b in blocks]
+    return "\n".join(t for t in texts if t)
+
+
+def test_query_returns_the_articles(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
+    rows = QUERIES["op1_html_text"](spark, SF_SMALL).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert r.text == article(pages[r.page_id].html) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+LONG = "<p>" + "This is a long paragraph of the article, with several words, and it goes on and on. " * 3 + "</p>"
+TEXT = ("This is a long paragraph of the article, with several words, and it goes on and on. " * 3).strip()
+CASES = [
+    (None, ""), ("", ""), ("plain text &amp; more", "plain text & more"),
+    ("<body><header><h1>Site</h1></header><div class='sidebar'><p>side matter</p></div><main><h1>Title</h1>" + LONG + "<div class='ad'>Buy</div><aside>x</aside>"
+     + LONG + "<form><label>Mail</label></form></main><div id=comments><p>Nice post!</p></div><div class='cookie-notice'>We use cookies</div></body>",
+     "Title\n" + TEXT + "\n" + TEXT),
+    ("<div><article>" + LONG + "<section class='comments'><article><p>a reader</p></article></section></article></div>", TEXT),
+    ("<article><p>é&nbsp;&#233;&hellip;&bogus; a<br>b<b>c</b>d</p><pre>x\n  y</pre><script>var a='<p>no</p>'</script><style>p{}</style><!-- c --></article>",
+     "é é…&bogus; a bcd\nx y"),
+    ("<article><p>cut off &am", "cut off &am"),
+]
+
+
+def test_landmarks_and_odd_markup(spark):
+    trees = html_text.train(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    frame = spark.createDataFrame([(i, source) for i, (source, _) in enumerate(CASES)], "page_id long, html string")
+    got = {r.page_id: r.text for r in html_text.extract(frame, trees).collect()}
+    assert [got[i] for i in range(len(CASES))] == [text for _, text in CASES]
+
+
+def test_deep_and_broken_markup_ends(spark):
+    none = html_text.fit_trees(html_text.np.zeros((0, len(html_text.FEATURES))), html_text.np.zeros(0))
+    sources = ["<div>" * 20000 + "deep" + "</div>" * 20000, "<a <b> <<< &lt;p&gt; x</p", "<" * 5000, "<!-- never closed", "<p" + " a='" * 2000]
+    frame = spark.createDataFrame([(i, s, "old") for i, s in enumerate(sources)], "page_id long, html string, text string")
+    got = {r.page_id: r.text for r in html_text.extract(frame, none).collect()}
+    assert got[0] == "deep" and got[3] == ""
+    assert html_text.extract(frame.limit(0), none).count() == 0
+    assert html_text.train(frame.limit(0)).leaves.shape[0] == 0
+
+
+def test_decoding_is_consistent():
+    """No element under clutter is kept, and the total log-odds is the greatest."""
+    page = html_text.Page("<div>a<p>b<i>c</i></p></div><div>d</div>")
+    chars = html_text.np.array([0, 1, 1, 1, 1.0])
+    keep = html_text.decode(page, html_text.np.array([0, -5, 1, 1, 2.0]), chars)
+    assert keep.tolist() == [False, False, False, False, True]
+    keep = html_text.decode(page, html_text.np.array([0, 5, 1, -1, -2.0]), chars)
+    assert keep.tolist() == [False, True, True, False, False]
