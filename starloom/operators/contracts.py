@@ -117,11 +117,3 @@ def violating_rows(df: DataFrame, contract: TableContract, check: str, column: s
         keys = parent.select(F.col(parent_key).alias(column))
         return df.filter(c.isNotNull()).join(keys, [column], "left_anti")
     raise ValueError(f"unknown check {check!r}")
-
-
-def assert_clean(report: DataFrame, check: str) -> None:
-    """Raise when a check report has violations; shows a bounded sample."""
-    bad = report.filter(F.col("n") > 0).limit(20).collect()
-    if bad:
-        detail = ", ".join(f"{r.table_name}.{r.column_name}={r.n}" for r in bad)
-        raise ValueError(f"{check} violated: {detail}")

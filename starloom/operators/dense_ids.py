@@ -2,48 +2,39 @@
 
 ``row_number() over (order by ...)`` without a partition runs in one task, and
 ``monotonically_increasing_id()`` leaves gaps of 2^33 between partitions.  This
-operator numbers rows in parallel:
+operator numbers rows in parallel, the same way at every size:
 
-1. ``repartitionByRange`` on the keys (a range exchange whose bounds are
+1. the input is written once, so that sampling the range bounds does not run its
+   joins or distincts a second time;
+2. ``repartitionByRange`` on the keys (a range exchange whose bounds are
    sampled from the data) and ``sortWithinPartitions``, so partition ``i``
    holds only keys below those of partition ``i + 1``, in order;
-2. tag each row with its partition id and its position inside the partition
-   (``monotonically_increasing_id`` is ``pid << 33 | position``), and checkpoint
+3. tag each row with its partition id and its position inside the partition
+   (``monotonically_increasing_id`` is ``pid << 33 | position``), and write
    the tagged rows, so positions are fixed once and for all;
-3. count rows per partition (one row per partition reaches the driver, a
+4. count rows per partition (one row per partition reaches the driver, a
    list bounded by the partition count, never the data) and turn the counts
    into running offsets, as Spark's own ``RDD.zipWithIndex`` does;
-4. key = start + offset[pid] + position, through a broadcast join with the
-   offsets table, whose size is the partition count.
+5. key = start + offset[pid] + position, a projection over the written rows: the
+   offsets are an array literal, so no join follows.
 
 The order keys should determine a row up to identical rows; ties between
 identical rows do not change the numbered result.  An optional ``tiebreak``
 column (a deterministic per-row value) spreads a run of identical keys over
 several range partitions instead of one.
-
-Inputs expected to be small (a dimension after its distinct) can take a short
-path: the input is written once, counted exactly, and, only when the count is
-at most ``small_rows``, numbered by a single ordered window, one task over a
-table of proven size.  Above the bound the range path runs on the written
-input.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from starloom.operators.materialize import materialize
+from starloom.operators.materialize import stored
 
 _PID = "_dense_pid"
 _POS = "_dense_pos"
-_OFF = "_dense_off"
-
-# Largest input (rows) numbered in one task; it must fit one task easily.
-SMALL_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -61,52 +52,27 @@ def _sort_key(c: str | Column) -> Column:
 
 def with_dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int = 1,
                    tiebreak: list[str] | None = None, num_partitions: int | None = None,
-                   expect_small: bool = False, small_rows: int | None = None,
-                   known_rows: int | None = None) -> Numbered:
+                   written: bool = False) -> Numbered:
     """Prepend ``id_col`` (bigint) numbering ``df`` by ``order_by`` ascending, NULLs first.
 
     ``tiebreak`` columns take part in the order but are dropped from the
     output.  Columns of ``df`` are kept in their order after the key.
-    ``expect_small`` tries the short path described in the module notes;
-    ``known_rows`` is the exact row count of ``df`` when ``df`` reads an
-    already written table; it takes the short path without another write
-    when it is small enough.
+    ``written`` says that ``df`` is a plain read of a table, which is then not written again.
     """
-    small_rows = SMALL_ROWS if small_rows is None else small_rows
     tiebreak = list(tiebreak or [])
     keep = [c for c in df.columns if c not in tiebreak and c != id_col]
     keys = [_sort_key(c) for c in list(order_by) + tiebreak]
-    if expect_small or known_rows is not None:
-        if known_rows is None:
-            df = materialize(df)
-        rows = df.count() if known_rows is None else known_rows
-        if rows <= small_rows:
-            key = (F.lit(start - 1).cast("long") + F.row_number().over(Window.orderBy(*keys))).alias(id_col)
-            return Numbered(df.select(key, *keep), rows)
-    return _range_numbering(df, keys, keep, id_col, start, num_partitions)
-
-
-def _range_numbering(df: DataFrame, keys: list[Column], keep: list[str], id_col: str, start: int,
-                     num_partitions: int | None) -> Numbered:
-    spark = df.sparkSession
-    source = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    tagged = (source.sortWithinPartitions(*keys)
-              .select(*keep,
-                      F.spark_partition_id().alias(_PID),
-                      F.monotonically_increasing_id().alias(_POS)))
-    tagged = materialize(tagged)
-
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, running = [], 0
-    for row in sorted(counts, key=lambda r: r[_PID]):
-        offsets.append((row[_PID], running))
-        running += row["n"]
-    offset_schema = T.StructType([T.StructField(_PID, T.IntegerType(), False),
-                                  T.StructField(_OFF, T.LongType(), False)])
-    offset_df = spark.createDataFrame(offsets, offset_schema)
+    source = df if written else stored(df.select(*keep, *tiebreak))
+    ranged = source.repartitionByRange(num_partitions, *keys) if num_partitions else source.repartitionByRange(*keys)
+    tagged = stored(ranged.sortWithinPartitions(*keys)
+                    .select(*keep, F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_POS)))
 
+    counts = {r[_PID]: r["n"] for r in tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, running = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        offsets.append(str(running))
+        running += counts.get(pid, 0)
+    offset = F.get(F.split(F.lit(",".join(offsets) or "0"), ",").cast("array<bigint>"), F.col(_PID))
     position = F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    key = (F.lit(start).cast("long") + F.col(_OFF) + position).alias(id_col)
-    numbered = (tagged.join(F.broadcast(offset_df), _PID, "inner")
-                .select(key, *keep))
-    return Numbered(numbered, running)
+    key = (F.lit(start).cast("long") + offset + position).alias(id_col)
+    return Numbered(tagged.select(key, *keep), running)

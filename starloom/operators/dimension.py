@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.dense_ids import Numbered, with_dense_ids
-from starloom.operators.materialize import materialize
 
 # Dimension and fact keys start after this base (key = base + row number).
 KEY_BASE = 100
@@ -21,53 +20,9 @@ def build_dimension(source: DataFrame, attributes: Mapping[str, str], id_col: st
     ``attributes`` maps source column -> dimension column (renames bind by
     name).  NULLs are one value for the distinct, as in SQL ``DISTINCT``.
     The distinct is a two-phase hash aggregate (map-side combine, so the
-    shuffle carries at most one row per tuple per task); numbering then
-    sorts only the reduced rows, in the order of the dimension columns (in
-    one task when the distinct rows are proven few, else by ranges).
+    shuffle carries at most one row per tuple per task) over a scan of just these
+    columns; numbering then sorts only the reduced rows, in the order of the
+    dimension columns.
     """
     projected = source.select(*[F.col(src).alias(dst) for src, dst in attributes.items()]).distinct()
-    return with_dense_ids(projected, order_by=list(attributes.values()), id_col=id_col, start=start,
-                          expect_small=True)
-
-
-_TAG = "_dim_tag"
-
-
-def build_dimensions(source: DataFrame, specs: Mapping[str, tuple[Mapping[str, str], str]],
-                     start: int = KEY_BASE + 1) -> dict[str, Numbered]:
-    """Several dimensions of one source from a single pass over it.
-
-    ``specs`` maps a name to ``(attributes, id_col)`` as in
-    :func:`build_dimension`.  Each source row is exploded into one tagged row
-    per dimension (the dimension's attributes set, all others NULL), one
-    distinct reduces all of them together (map-side combine first, one
-    shuffle), and the reduced rows are written once.  Every dimension is then
-    numbered from its slice of that table.  The source is read once instead
-    of once per dimension.
-    """
-    names = list(specs)
-    columns: list[str] = []
-    for attrs, _ in specs.values():
-        columns += [dst for dst in attrs.values() if dst not in columns]
-    types = {}
-    for attrs, _ in specs.values():
-        for src, dst in attrs.items():
-            types[dst] = source.schema[src].dataType
-    variants = []
-    for i, name in enumerate(names):
-        attrs = specs[name][0]
-        by_dst = {dst: src for src, dst in attrs.items()}
-        variants.append(F.struct(
-            F.lit(i).alias(_TAG),
-            *[(F.col(by_dst[c]) if c in by_dst else F.lit(None)).cast(types[c]).alias(c) for c in columns]))
-    tagged = source.select(F.explode(F.array(*variants)).alias("_v")).select("_v.*").distinct()
-    reduced = materialize(tagged)
-    sizes = {r[_TAG]: r["n"] for r in reduced.groupBy(_TAG).agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = {}
-    for i, name in enumerate(names):
-        attrs, id_col = specs[name]
-        dim_cols = list(attrs.values())
-        part = reduced.filter(F.col(_TAG) == i).select(*dim_cols)
-        out[name] = with_dense_ids(part, order_by=dim_cols, id_col=id_col, start=start,
-                                   known_rows=sizes.get(i, 0))
-    return out
+    return with_dense_ids(projected, order_by=list(attributes.values()), id_col=id_col, start=start)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from starloom.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint of ``df``.
+    """Reliable, eager checkpoint of ``df`` (serialized rows), for small or short-lived frames.
 
     The data is written once to ``spark.checkpoint.dir``; later reads do not
     recompute the plan, so a lost executor costs a re-read, not a re-run of
@@ -17,3 +19,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts lineage like :func:`materialize`, but readers decode only the columns they
+    name and filters reach the scan.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,9 +24,12 @@ def next_key(existing: DataFrame | None, key_col: str, first: int = 1) -> int:
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is none; any other failure is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.materialize import stored
+
 _MATCHED = "_update_matched"
 
 
@@ -31,7 +33,15 @@ def conditional_update(df: DataFrame, assignments: Mapping[str, Column | object]
     return df.select(*cols)
 
 
-_REDUCERS = {"min": F.min, "max": F.max}
+def _chosen(columns: list[str], tie: str) -> Column:
+    """One whole row of a group: the least (or greatest) by ``columns`` in order, NULLs last."""
+    if len(columns) == 1:
+        return F.struct((F.min if tie == "min" else F.max)(columns[0]).alias(columns[0]))
+    if tie == "min":
+        order = F.struct(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+        return F.min_by(F.struct(*columns), order)
+    order = F.struct(*[x for c in columns for x in (F.col(c).isNotNull(), F.col(c))])
+    return F.max_by(F.struct(*columns), order)
 
 
 def update_from(target: DataFrame, source: DataFrame, on: list[str],
@@ -39,21 +49,22 @@ def update_from(target: DataFrame, source: DataFrame, on: list[str],
     """``UPDATE target SET t = s.col FROM source s WHERE target.on = s.on``.
 
     The database picks an arbitrary matching source row when several match;
-    here the choice is fixed by ``tie`` (``min`` or ``max`` of each assigned
-    column).  ``source`` is reduced to one row per key *before* the join
+    here the choice is fixed by ``tie``: the row that is least (``min``) or greatest
+    (``max``) by the assigned columns in their order, NULLs last; all values come from
+    that one row.  ``source`` is reduced to one row per key *before* the join
     (a grouped aggregate, combined map-side, so a key with many source rows
-    costs one row per task in the shuffle), and the left join then keeps
-    every target row exactly once.  Unmatched rows keep their old value, or
+    costs one row per task in the shuffle) and written, and the left join then
+    keeps every target row exactly once.  Unmatched rows keep their old value, or
     get NULL when ``target`` does not have the column yet.
 
-    Skew on the target side (one key holding a large share of target rows)
-    is split by adaptive execution's skew-join handling; the reduced source
-    is broadcast at run time when it turns out small.
+    The written reduction is what lets adaptive execution split a key that holds a large
+    share of the target rows: an aggregate between its exchange and the join would
+    forbid it.  A reduction that turns out small is broadcast at run time.
     """
-    reduce = _REDUCERS[tie]
-    reduced = (source.groupBy(*on)
-               .agg(*[reduce(F.col(src)).alias(f"_new_{dst}") for dst, src in assign.items()])
-               .withColumn(_MATCHED, F.lit(True)))
+    sources = list(dict.fromkeys(assign.values()))
+    reduced = stored(source.groupBy(*on).agg(_chosen(sources, tie).alias("_row"))
+                     .select(*on, *[F.col(f"_row.{src}").alias(f"_new_{dst}") for dst, src in assign.items()])
+                     .withColumn(_MATCHED, F.lit(True)))
     joined = target.join(reduced, on=on, how="left")
     out = []
     for name in target.columns:

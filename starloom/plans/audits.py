@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from starloom.operators.dense_ids import Numbered
-from starloom.plans.warehouse import GAP_CITY, Warehouse, _dim_side, restrict_to_orders
+from starloom.operators.materialize import stored
+from starloom.operators.updates import update_from
+from starloom.plans.warehouse import GAP_CITY, Warehouse, _dim_side
 
 
 def geo_completeness_audit(staging: DataFrame) -> DataFrame:
@@ -75,24 +76,12 @@ def returns_preview(w: Warehouse, k: int = 10) -> DataFrame:
     """The first ``k`` lines of the fact with returns, by ``sales_id``.
 
     ``return_id`` depends only on a line's order, so the top ``k`` lines are
-    taken first and only they are enriched; the result equals the top ``k``
-    of the enriched fact.
+    taken first and only they are enriched, from the returns of their orders; the result
+    equals the top ``k`` of the enriched fact.
     """
-    return w.add_returns(first_fact_lines(w, k), few_orders=k).orderBy("sales_id")
-
-
-def _order_region_copies(staging: DataFrame) -> DataFrame:
-    """Staging reduced to ``(order_id, order_region, copies)``."""
-    return (staging.groupBy("order_id", F.col("region").alias("order_region"))
-            .agg(F.count(F.lit(1)).alias("copies")))
-
-
-def _manager_rows(fact_with_managers: DataFrame, w: Warehouse) -> DataFrame:
-    m = w.managers_side().select("manager_id", F.col("manager").alias("manager_name"),
-                                 F.col("region").alias("manager_region"))
-    return (fact_with_managers.select("sales_id", "order_id", "manager_id")
-            .join(m, ["manager_id"], "left")
-            .select("sales_id", "order_id", "manager_id", "manager_name", "manager_region"))
+    top = stored(first_fact_lines(w, k))
+    returns = w.returns_dim.join(top.select("order_id").distinct(), ["order_id"], "left_semi")
+    return update_from(top, returns, ["order_id"], {"return_id": "return_id"}).orderBy("sales_id")
 
 
 AUDIT_COLUMNS = ["sales_id", "order_id", "manager_id", "manager_name", "manager_region", "order_region"]
@@ -110,14 +99,19 @@ def manager_assignment_audit(w: Warehouse, k: int = 20) -> DataFrame:
     every group has at least one row; each of those is expanded to at most
     ``k`` copies, which is exact because no more than ``k`` rows are kept.
 
-    Those groups belong to the ``k`` lines with the smallest ``sales_id``, so
-    only these lines are looked up: their manager, and the staging lines of
-    their (at most ``k``) orders, cut out by a broadcast semi-join.
+    Those groups belong to the ``k`` lines with the smallest ``sales_id``.  They are taken once
+    and written; one scan of two staging columns then gives the copies per region of their orders,
+    and from these regions follow the orders' managers.
     """
-    top = w.add_managers(first_fact_lines(w, k).select("sales_id", "order_id"), few_orders=k)
-    lines = restrict_to_orders(w.staging.select("order_id", "region"), top, k)
-    groups = (_manager_rows(top, w)
-              .join(_order_region_copies(lines), ["order_id"], "left")
+    top = stored(first_fact_lines(w, k).select("sales_id", "order_id"))
+    regions = stored(w.staging.select("order_id", F.col("region").alias("order_region"))
+                     .join(top.select("order_id").distinct(), ["order_id"], "left_semi")
+                     .groupBy("order_id", "order_region").agg(F.count(F.lit(1)).alias("copies")))
+    managers = w.managers_dim.select("manager_id", F.col("manager").alias("manager_name"), F.col("region").alias("manager_region"))
+    assigned = (regions.join(managers, regions.order_region == managers.manager_region, "inner")
+                .groupBy("order_id").agg(F.min("manager_id").alias("manager_id")))
+    groups = (top.join(assigned, ["order_id"], "left").join(managers, ["manager_id"], "left")
+              .join(regions, ["order_id"], "left")
               .select(*AUDIT_COLUMNS, F.coalesce(F.col("copies"), F.lit(1)).alias("copies")))
     order = [F.col("sales_id").asc(), F.col("order_region").asc_nulls_first()]
     first_groups = groups.orderBy(*order).limit(k)
@@ -138,17 +132,11 @@ def manager_audit_fanout(fact: DataFrame, staging: DataFrame) -> DataFrame:
     return joined.agg(F.coalesce(total, F.lit(0)).cast("long").alias("n"))
 
 
-def calendar_fk_gaps(fact: DataFrame, calendar: DataFrame, calendar_days: int | None = None) -> DataFrame:
+def calendar_fk_gaps(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Date keys of the fact (order and ship dates) absent from ``calendar``,
     with their number of uses.  Keys are counted first (combined map-side),
-    then anti-joined to the calendar, broadcast when its day count (known from
-    its bounds, or else checked) is small."""
+    then anti-joined to the calendar."""
     keys = (fact.select(F.col("order_date_id").alias("date_id"))
             .unionByName(fact.select(F.col("ship_date_id").alias("date_id"))))
     counted = keys.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
-    days = calendar.select(F.col("dateid").alias("date_id"))
-    if calendar_days is not None and calendar_days <= DEFAULT_MAX_ROWS:
-        days = F.broadcast(days)
-    else:
-        days = bounded_broadcast(days)
-    return counted.join(days, ["date_id"], "left_anti")
+    return counted.join(calendar.select(F.col("dateid").alias("date_id")), ["date_id"], "left_anti")

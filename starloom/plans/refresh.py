@@ -1,18 +1,21 @@
-"""The full refresh: build every warehouse table and write it under an output root.
+"""The full refresh: build every warehouse table, check the result, publish it.
 
 Order of the run:
 
 1. staging is read and written once (the repaired lines are a projection
-   over it) and overwritten as ``stg_orders`` so later readers see the repair;
-2. the four dimensions, the calendar (widened to cover every staging date),
-   the returns and managers tables;
+   over it) and written as ``stg_orders`` so later readers see the repair;
+2. the four dimensions, the calendar (widened to cover every date of the
+   input), the returns and managers tables;
 3. the sales fact with ``return_id`` and ``manager_id``;
 4. the quality report (key, NOT NULL, length, numeric and foreign-key
    checks) and the staging/fact reconciliation, both over the tables as
-   stored (read back, so nothing is recomputed).
+   written (read back, so nothing is recomputed);
+5. publication: one row appended to ``<out>/published`` names the new version.
 
-Every table is written with ``mode("overwrite")``: dropping, recreating and
-truncating a table collapse into one atomic replace of its folder.
+A load writes to a folder of its own, ``<out>/<version>``, and readers follow the last
+published version.  A load that fails, or whose counts differ, publishes nothing: the
+tables of the load before it stay readable.  Older versions are kept; removing them is
+the operator's choice.
 
 Command line::
 
@@ -23,16 +26,18 @@ Command line::
 from __future__ import annotations
 
 import argparse
-import os
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.serial_append import next_key, read_if_exists
 from starloom.plans import audits
 from starloom.plans.contracts import sample_violations, table_checks
 from starloom.plans.warehouse import Warehouse
-from starloom.sources.seeds import MANAGERS, managers_seed, read_returns
+from starloom.sources.seeds import managers_seed, read_returns
+from starloom.sources.tables import literal_rows
 
 TABLES = ["stg_orders", "shipping_dim", "customer_dim", "geo_dim", "product_dim", "calendar_dim",
           "returns_dim", "managers_dim", "sales_fact"]
@@ -61,45 +66,63 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def run(w: Warehouse, out_root: str, strict: bool = False, database: str | None = None) -> dict:
-    """Write every table, the quality report and the reconciliation.
+def run(w: Warehouse, out_root: str, strict: bool = False, database: str | None = None,
+        allow_difference: bool = False) -> dict:
+    """Write every table, the quality report and the reconciliation; publish them if they hold.
 
-    With ``database`` the tables are also registered in that Spark
-    database (created at ``out_root`` if missing), so they read back as
-    ``spark.table("<database>.sales_fact")``.  Returns the reconciliation
-    counts and the failing checks.  With ``strict`` any violation, or a fact
-    that lost staging lines, raises after the report is written.
+    A fact that lost or gained staging lines, or lines that do not resolve all
+    dimensions, raises ``ValueError`` unless ``allow_difference``; with
+    ``strict`` so does any violation.  Nothing is published then.  With ``database`` the
+    published tables are also registered in that Spark database (created if missing),
+    so they read back as ``spark.table("<database>.sales_fact")``.  Returns the version, the
+    reconciliation counts and the failing checks.
     """
-    if database:
-        w.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out_root}'")
+    version = f"load-{uuid.uuid4().hex}"
+    folder = f"{out_root}/{version}"
     for name, df in warehouse_frames(w).items():
-        path = os.path.join(out_root, name)
-        if database:
-            df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(f"{database}.{name}")
-        else:
-            df.write.mode("overwrite").parquet(path)
-    # checks and reconciliation read the stored tables: they see what was
-    # written, and nothing (the fact's enrichment in particular) is recomputed
-    stored = read_warehouse(w.spark, out_root)
-    quality_report(stored).write.mode("overwrite").parquet(os.path.join(out_root, "_quality_report"))
-    fact = stored["sales_fact"]
-    joined = (fact.join(stored["shipping_dim"].select("ship_id"), ["ship_id"])
-              .join(stored["geo_dim"].select("geo_id"), ["geo_id"])
-              .join(stored["product_dim"].select("prod_id"), ["prod_id"])
-              .join(stored["customer_dim"].select("cust_id"), ["cust_id"]))
-    counts = audits.row_count_reconciliation(stored["stg_orders"], fact, joined).first().asDict()
-    failing = [r.asDict() for r in w.spark.read.parquet(os.path.join(out_root, "_quality_report"))
-               .filter(F.col("n") > 0).collect()]
-    if strict and (failing or len(set(counts.values())) != 1):
+        df.write.parquet(f"{folder}/{name}")
+    # checks and reconciliation read the written tables: they see what will be
+    # published, and nothing (the fact's enrichment in particular) is recomputed
+    written = _tables(w.spark, folder)
+    quality_report(written).write.parquet(f"{folder}/quality_report")
+    fact = written["sales_fact"]
+    joined = (fact.join(written["shipping_dim"].select("ship_id"), ["ship_id"])
+              .join(written["geo_dim"].select("geo_id"), ["geo_id"])
+              .join(written["product_dim"].select("prod_id"), ["prod_id"])
+              .join(written["customer_dim"].select("cust_id"), ["cust_id"]))
+    counts = audits.row_count_reconciliation(written["stg_orders"], fact, joined).first().asDict()
+    failing = [r.asDict() for r in w.spark.read.parquet(f"{folder}/quality_report").filter(F.col("n") > 0).collect()]
+    if (strict and failing) or (len(set(counts.values())) != 1 and not allow_difference):
         samples = {f"{v['check']} {v['table_name']}.{v['column_name']} ({v['n']} rows)":
-                   sample_violations(stored, v["check"], v["table_name"], v["column_name"]) for v in failing}
-        raise ValueError(f"warehouse checks failed: counts={counts}, violations={samples}")
-    return {"reconciliation": counts, "violations": failing}
+                   sample_violations(written, v["check"], v["table_name"], v["column_name"]) for v in failing}
+        raise ValueError(f"warehouse checks failed, nothing published: counts={counts}, violations={samples}")
+    _publish(w.spark, out_root, version)
+    if database:
+        w.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name in TABLES:
+            w.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            w.spark.catalog.createTable(f"{database}.{name}", path=f"{folder}/{name}", source="parquet")
+    return {"version": version, "reconciliation": counts, "violations": failing}
+
+
+def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
+
+
+def _publish(spark: SparkSession, out_root: str, version: str) -> None:
+    """Append the version to the list of published ones: a single-file write, so it is there or not."""
+    number = next_key(read_if_exists(spark, f"{out_root}/published"), "number")
+    literal_rows(spark, ["number", "version"], [(number, version)]).coalesce(1).write.mode("append").parquet(f"{out_root}/published")
+
+
+def current_version(spark: SparkSession, out_root: str) -> str:
+    """The last published version."""
+    return spark.read.parquet(f"{out_root}/published").orderBy(F.desc("number")).first()["version"]
 
 
 def read_warehouse(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
-    """The written tables, by name."""
-    return {name: spark.read.parquet(os.path.join(out_root, name)) for name in TABLES}
+    """The published tables, by name."""
+    return _tables(spark, f"{out_root}/{current_version(spark, out_root)}")
 
 
 def register_views(tables: dict[str, DataFrame]) -> list[str]:
@@ -122,6 +145,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="output root for the warehouse tables")
     parser.add_argument("--master", default=None)
     parser.add_argument("--strict", action="store_true")
+    parser.add_argument("--allow-difference", action="store_true", help="publish a fact whose counts differ from staging")
     parser.add_argument("--database", default=None, help="also register the tables in this Spark database")
     args = parser.parse_args(argv)
     spark = build_session(args.master)
@@ -131,9 +155,8 @@ def main(argv: list[str] | None = None) -> None:
         if not args.returns:
             parser.error("--staging needs --returns")
         w = Warehouse.from_staging_table(spark, args.staging, read_returns(spark, args.returns),
-                                         managers_seed(spark), managers_bound=len(MANAGERS),
-                                         fmt=args.staging_format)
-    result = run(w, args.out, strict=args.strict, database=args.database)
+                                         managers_seed(spark), fmt=args.staging_format)
+    result = run(w, args.out, strict=args.strict, database=args.database, allow_difference=args.allow_difference)
     print(result)
 
 

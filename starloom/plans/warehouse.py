@@ -2,9 +2,8 @@
 
 A :class:`Warehouse` holds the inputs (staging lines, returns list, managers)
 and builds each table lazily, once.  Staging is written to the checkpoint
-folder a single time; the repaired lines are a projection over it, read by the
-one-pass dimension build, the fact and the manager lookup instead of
-re-running the staging plan for each.
+folder a single time, as columns; the repaired lines are a projection over it, and the
+dimensions, the fact and the manager lookup each scan only the columns they need.
 """
 
 from __future__ import annotations
@@ -17,14 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
-from starloom.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from starloom.operators.dense_ids import Numbered, with_dense_ids
-from starloom.operators.dimension import KEY_BASE, build_dimension, build_dimensions
-from starloom.operators.materialize import materialize
+from starloom.operators.dimension import KEY_BASE, build_dimension
+from starloom.operators.materialize import stored
 from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
-from starloom.sources.seeds import MANAGERS, fixture_managers, fixture_returns
-from starloom.sources.staging import STAGING_COLUMNS, fixture_staging, read_staging
+from starloom.sources.seeds import fixture_returns, managers_seed
+from starloom.sources.staging import STAGING_COLUMNS, fixture_dates, fixture_staging, read_staging
 from starloom.sources.tables import LINE_COL
 
 # The data-quality repair.  Lines in this city that have no
@@ -59,32 +57,16 @@ def repair_postal_codes(df: DataFrame) -> DataFrame:
     return conditional_update(df, {"postal_code": GAP_POSTAL_CODE}, where)
 
 
-def restrict_to_orders(source: DataFrame, fact_rows: DataFrame, max_rows: int) -> DataFrame:
-    """Rows of ``source`` whose ``order_id`` occurs in ``fact_rows``, a frame
-    of at most ``max_rows`` rows (a top-k).
-
-    The at most ``max_rows`` ids are fetched (an incremental take, which also
-    proves the bound) and applied as an ``IN`` filter: a Parquet scan of
-    ``source`` can then skip row groups by their ``order_id`` statistics.  A
-    larger frame falls back to a semi-join.
-    """
-    ids = fact_rows.select("order_id").distinct()
-    found = [r.order_id for r in ids.take(max_rows + 1)]
-    if len(found) <= max_rows:
-        return source.filter(F.col("order_id").isin(found))
-    return source.join(ids, ["order_id"], "left_semi")
-
-
 def _lineage(df: DataFrame) -> list[str]:
     return [LINE_COL] if LINE_COL in df.columns else []
 
 
 def _dim_side(dim: Numbered, renames: dict[str, str] | None = None) -> DataFrame:
-    """A dimension as a join side: broadcast when its exact row count is small."""
+    """A dimension as a join side.  No hint: adaptive execution broadcasts it when its measured bytes are few."""
     df = dim.df
     for old, new in (renames or {}).items():
         df = df.withColumnRenamed(old, new)
-    return F.broadcast(df) if dim.rows <= DEFAULT_MAX_ROWS else df
+    return df
 
 
 def star_join(staging: DataFrame, shipping: Numbered, geo: Numbered, product: Numbered,
@@ -117,41 +99,33 @@ class Warehouse:
     def __init__(self, spark: SparkSession, staging_raw: DataFrame, returns_seed: DataFrame,
                  managers: DataFrame, calendar_start: dt.date = CALENDAR_START,
                  calendar_end: dt.date = CALENDAR_END, share_staging: bool = True,
-                 managers_bound: int | None = None, one_pass_dimensions: bool | None = None):
-        """``share_staging`` writes a *derived* staging plan (joins) once for
+                 dates: DataFrame | None = None):
+        """``share_staging`` writes a *derived* staging plan (joins) once, as columns, for
         its several consumers; a caller that needs a single table from it, or
-        whose staging is already a stored table, skips the write.
-        ``one_pass_dimensions`` builds the four dimensions from one scan of
-        staging (default: when staging is shared).  ``managers_bound`` is a
-        known upper bound on the managers' row count (e.g. the length of a
-        literal list); without it the count is checked before the managers
-        are broadcast."""
+        whose staging is already a stored table, skips the write.  ``dates`` holds the
+        dates the calendar must cover (default: those of staging)."""
         self.spark = spark
-        self.managers_bound = managers_bound
         self.share_staging = share_staging
-        self.one_pass_dimensions = share_staging if one_pass_dimensions is None else one_pass_dimensions
         self.staging_raw = staging_raw
         self.returns_seed = returns_seed
         self.managers_dim = managers
         self.calendar_start = calendar_start
         self.calendar_end = calendar_end
+        self.dates = dates
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, root: str, share_staging: bool = True) -> "Warehouse":
         return cls(spark, fixture_staging(spark, root, keep_line=True), fixture_returns(spark, root),
-                   fixture_managers(spark, root), share_staging=share_staging, managers_bound=len(MANAGERS))
+                   managers_seed(spark), share_staging=share_staging, dates=fixture_dates(spark, root))
 
     @classmethod
     def from_staging_table(cls, spark: SparkSession, staging_path: str, returns: DataFrame,
-                           managers: DataFrame, managers_bound: int | None = None,
-                           fmt: str = "parquet") -> "Warehouse":
+                           managers: DataFrame, fmt: str = "parquet") -> "Warehouse":
         """A warehouse over a stored staging table (Parquet, or CSV with a
-        header, holding the staging columns).  The table is already
-        materialized, so it is scanned by its consumers directly instead of
-        being copied to the checkpoint folder; the dimensions still come from
-        one scan of it."""
+        header, holding the staging columns).  A Parquet table is scanned by its
+        consumers directly; CSV is parsed and checked once, into a columnar copy."""
         return cls(spark, read_staging(spark, staging_path, keep_line=True, fmt=fmt), returns, managers,
-                   share_staging=False, one_pass_dimensions=True, managers_bound=managers_bound)
+                   share_staging=fmt != "parquet")
 
     def build(self, *names: str) -> "Warehouse":
         """Build independent tables at the same time.
@@ -170,7 +144,7 @@ class Warehouse:
     @cached_property
     def staging_base(self) -> DataFrame:
         """Staging as read (with lineage column), written once to the checkpoint folder."""
-        return materialize(self.staging_raw) if self.share_staging else self.staging_raw
+        return stored(self.staging_raw) if self.share_staging else self.staging_raw
 
     @property
     def staging(self) -> DataFrame:
@@ -182,14 +156,7 @@ class Warehouse:
         return self.staging.select(*STAGING_COLUMNS)
 
     # -- dimensions ----------------------------------------------------------
-    @cached_property
-    def dimensions(self) -> dict[str, Numbered]:
-        """All four dimensions from one pass over the written staging."""
-        return build_dimensions(self.staging, DIMENSIONS)
-
     def _dimension(self, name: str) -> Numbered:
-        if self.one_pass_dimensions:
-            return self.dimensions[name]
         attrs, id_col = DIMENSIONS[name]
         return build_dimension(self.staging, attrs, id_col)
 
@@ -225,12 +192,15 @@ class Warehouse:
         ship date of staging when ``cover_data``."""
         start, end = self.calendar_start, self.calendar_end
         if cover_data:
-            start, end = covering_bounds(self.staging.select("order_date", "ship_date"), start, end)
+            dates = self.staging.select("order_date", "ship_date") if self.dates is None else self.dates
+            start, end = covering_bounds(dates, start, end)
         return calendar_dim(self.spark, start, end)
 
     # -- fact ----------------------------------------------------------------
     @cached_property
     def fact(self) -> Numbered:
+        self.staging_base
+        self.build(*DIMENSIONS)
         lines = star_join(self.staging, self.shipping, self.geo, self.product, self.customer)
         numbered = with_dense_ids(lines, FACT_ORDER, "sales_id", start=KEY_BASE + 1, tiebreak=_lineage(lines))
         return Numbered(numbered.df.select(*FACT_COLUMNS), numbered.rows)
@@ -255,48 +225,32 @@ class Warehouse:
     def returns_dim(self) -> DataFrame:
         return self.returns.df
 
-    def add_returns(self, fact_rows: DataFrame, few_orders: int | None = None) -> DataFrame:
-        """``fact_rows`` with ``return_id``: the lowest return key of the order, or NULL.
-
-        ``few_orders`` declares that ``fact_rows`` holds at most that many
-        rows (e.g. a top-k); the returns are then cut to those orders by a
-        broadcast semi-join before the update, instead of shuffling them all.
-        """
-        source = self.returns_dim
-        if few_orders is not None:
-            source = restrict_to_orders(source, fact_rows, few_orders)
-        return update_from(fact_rows, source, ["order_id"], {"return_id": "return_id"})
+    def add_returns(self, fact_rows: DataFrame) -> DataFrame:
+        """``fact_rows`` with ``return_id``: the lowest return key of the order, or NULL."""
+        return update_from(fact_rows, self.returns_dim, ["order_id"], {"return_id": "return_id"})
 
     @cached_property
     def sales_fact_with_returns(self) -> DataFrame:
         return self.add_returns(self.sales_fact)
 
     # -- managers ------------------------------------------------------------
-    def managers_side(self, *columns: str) -> DataFrame:
-        """The managers as a broadcast join side: its size bound is known
-        (a literal list) or checked."""
-        df = self.managers_dim.select(*columns) if columns else self.managers_dim
-        if self.managers_bound is not None and self.managers_bound <= DEFAULT_MAX_ROWS:
-            return F.broadcast(df)
-        return bounded_broadcast(df)
-
     def order_managers(self) -> DataFrame:
         """``(order_id, manager_id)`` for every staging line whose region has a manager."""
-        lines = self.staging.select("order_id", "region")
-        managers = self.managers_side("manager_id", "region")
-        return (lines.join(managers, ["region"], "inner")
-                .select("order_id", "manager_id"))
-
-    def add_managers(self, fact_rows: DataFrame, few_orders: int | None = None) -> DataFrame:
-        """``fact_rows`` with ``manager_id``: the lowest manager key among the
-        regions of the order's staging lines; NULL for regions without one.
-        ``few_orders`` as in :meth:`add_returns`."""
-        source = self.order_managers()
-        if few_orders is not None:
-            source = restrict_to_orders(source, fact_rows, few_orders)
-        return update_from(fact_rows, source, ["order_id"], {"manager_id": "manager_id"})
+        managers = self.managers_dim.select("manager_id", "region")
+        return self.staging.select("order_id", "region").join(managers, ["region"], "inner").select("order_id", "manager_id")
+
+    @cached_property
+    def order_updates(self) -> DataFrame:
+        """``(order_id, return_id, manager_id)``, each the lowest of its order: both updates' sources,
+        reduced by one aggregate and written."""
+        returned = self.returns_dim.select("order_id", "return_id", F.lit(None).cast("long").alias("manager_id"))
+        managed = self.order_managers().select("order_id", F.lit(None).cast("long").alias("return_id"), "manager_id")
+        return stored(returned.unionByName(managed).groupBy("order_id")
+                      .agg(F.min("return_id").alias("return_id"), F.min("manager_id").alias("manager_id")))
 
     @cached_property
     def sales_fact_with_managers(self) -> DataFrame:
-        """The fact with ``return_id`` and ``manager_id``."""
-        return self.add_managers(self.sales_fact_with_returns)
+        """The fact with ``return_id`` and ``manager_id`` (the lowest manager key among the regions of the
+        order's staging lines; NULL for regions without one): one left join to the written reduction."""
+        return (self.sales_fact.join(self.order_updates, ["order_id"], "left")
+                .select(*FACT_COLUMNS, "return_id", "manager_id"))

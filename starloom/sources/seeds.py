@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.sources.staging import fixture_orders
-from starloom.sources.tables import LINE_COL, line_salt, read_lines, read_table
+from starloom.sources.tables import LINE_COL, line_salt, literal_rows, read_csv, read_lines, read_table
 
 RETURNS_SCHEMA = T.StructType([
     T.StructField("returned", T.StringType()),
@@ -35,20 +35,9 @@ MANAGERS = [
     ("Cassandra Brandow", "EUROPE"),
 ]
 
-MANAGERS_SCHEMA = T.StructType([
-    T.StructField("manager_id", T.LongType(), False),
-    T.StructField("manager", T.StringType(), False),
-    T.StructField("region", T.StringType(), False),
-])
-
-
-def read_returns(spark: SparkSession, path: str, fmt: str = "csv", header: bool = True) -> DataFrame:
-    """Read a returns list ``(returned, order_id)`` with an explicit schema."""
-    reader = spark.read.schema(RETURNS_SCHEMA)
-    if fmt == "csv":
-        raw = reader.option("header", header).csv(path)
-    else:
-        raw = reader.format(fmt).load(path)
+def read_returns(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """Read a returns list; ``returned`` and ``order_id`` are bound by name (CSV: by its header)."""
+    raw = read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
     return raw.select("returned", "order_id", line_salt(parquet=fmt == "parquet").alias(LINE_COL))
 
 
@@ -64,11 +53,12 @@ def fixture_returns(spark: SparkSession, root: str) -> DataFrame:
 def managers_seed(spark: SparkSession, rows: list[tuple[str, str]] | None = None) -> DataFrame:
     """The managers literal with serial keys 1..n in insertion order."""
     rows = MANAGERS if rows is None else rows
-    return spark.createDataFrame([(i + 1, m, r) for i, (m, r) in enumerate(rows)], MANAGERS_SCHEMA)
+    return literal_rows(spark, ["manager_id", "manager", "region"], [(i + 1, m, r) for i, (m, r) in enumerate(rows)])
 
 
-def fixture_managers(spark: SparkSession, root: str, rows: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Managers whose region exists in the fixture's region table."""
-    regions = read_table(spark, root, "region", ["r_name"])
+def managers_by_region(spark: SparkSession, root: str, rows: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Every manager, with ``region_known``: whether the region table has the manager's region."""
+    regions = read_table(spark, root, "region", ["r_name"]).distinct()
     seed = managers_seed(spark, rows)
-    return seed.join(regions, seed.region == regions.r_name, "left_semi")
+    return (seed.join(regions, seed.region == regions.r_name, "left")
+            .select("manager_id", "manager", "region", F.col("r_name").isNotNull().alias("region_known")))

@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.sources.tables import LINE_COL, line_salt, read_lines, read_table, zero_pad
+from starloom.sources.tables import LINE_COL, line_salt, read_csv, read_lines, read_table, zero_pad
 
+# Measures are staged wider than the fact declares them, so that a value that does not fit
+# arrives and is reported by the numeric check.
 STAGING_SCHEMA = T.StructType([
     T.StructField("order_id", T.StringType()),
     T.StructField("order_date", T.DateType()),
@@ -35,9 +37,9 @@ STAGING_SCHEMA = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("subcategory", T.StringType()),
     T.StructField("sales", T.DecimalType(11, 4)),
-    T.StructField("profit", T.DecimalType(21, 16)),
+    T.StructField("profit", T.DecimalType(25, 16)),
     T.StructField("quantity", T.IntegerType()),
-    T.StructField("discount", T.DecimalType(4, 2)),
+    T.StructField("discount", T.DecimalType(8, 2)),
 ])
 
 STAGING_COLUMNS = [f.name for f in STAGING_SCHEMA.fields]
@@ -54,8 +56,19 @@ FIXTURE_MARGIN = "0.20"
 
 
 def conform_staging(df: DataFrame, keep_line: bool = False) -> DataFrame:
-    """Project and cast to the staging contract, binding columns by name."""
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STAGING_SCHEMA.fields]
+    """Project and cast to the staging contract, binding columns by name.
+
+    A text that is not a value of its column's type fails, whatever the session's ANSI setting.
+    """
+    def bound(f: T.StructField):
+        value = F.col(f.name).cast(f.dataType)
+        if isinstance(df.schema[f.name].dataType, T.StringType) and not isinstance(f.dataType, T.StringType):
+            value = F.col(f.name).try_cast(f.dataType)
+            bad = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), F.col(f.name))
+            value = F.when(F.col(f.name).isNotNull() & value.isNull(), F.raise_error(bad).cast(f.dataType)).otherwise(value)
+        return value.alias(f.name)
+
+    cols = [bound(f) for f in STAGING_SCHEMA.fields]
     if keep_line:
         cols.append(F.col(LINE_COL))
     return df.select(*cols)
@@ -64,12 +77,12 @@ def conform_staging(df: DataFrame, keep_line: bool = False) -> DataFrame:
 def read_staging(spark: SparkSession, path: str, keep_line: bool = False, fmt: str = "parquet") -> DataFrame:
     """Read an existing staging table under the column contract.
 
-    ``fmt`` is ``parquet`` (columns bound by name, then cast) or ``csv`` (a
-    header row; parsed with the contract schema, never inferred; dates as
-    ``yyyy-MM-dd``).
+    Columns are bound by name, from the Parquet schema or the CSV header, and
+    cast; types are never inferred.  CSV dates are ``yyyy-MM-dd``.  A missing column, a
+    record of another width or a malformed value fails.
     """
     if fmt == "csv":
-        raw = spark.read.schema(STAGING_SCHEMA).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+        raw = read_csv(spark, path)
     else:
         raw = spark.read.format(fmt).load(path)
     if keep_line:
@@ -118,6 +131,13 @@ def order_id_expr(order_ts, order_key):
                     zero_pad(order_key, 6))
 
 
+def fixture_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Every order and ship date of the fixture, as ``date``: two narrow scans, no join."""
+    ordered = read_table(spark, root, "orders", ["o_orderdate"]).select(F.col("o_orderdate").cast("date").alias("date"))
+    shipped = read_table(spark, root, "lineitem", ["l_shipdate"]).select(F.col("l_shipdate").cast("date").alias("date"))
+    return ordered.unionByName(shipped)
+
+
 def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) -> DataFrame:
     """Derive ``stg_orders`` from the fixture tables; one row per lineitem.
 
@@ -130,7 +150,7 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
     count per side would.
     """
     lines = read_lines(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
-                                                  "l_extendedprice", "l_discount", "l_shipdate"])
+                                                  "l_extendedprice", "l_discount", "l_shipdate"], keep_line)
     part = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
     orders = fixture_orders(spark, root)
     places = _customer_places(spark, root)
@@ -138,7 +158,7 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
     joined = (lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner")
               .join(part, lines.l_partkey == part.p_partkey, "inner"))
     sales = F.col("l_extendedprice").cast(T.DecimalType(11, 4))
-    discount = F.col("l_discount").cast(T.DecimalType(4, 2))
+    discount = F.col("l_discount").cast(T.DecimalType(8, 2))
     margin = F.lit(FIXTURE_MARGIN).cast(T.DecimalType(4, 2))
     staged = joined.select(
         "order_id", "order_date",
@@ -150,9 +170,9 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
         sales.alias("sales"),
-        (sales * (margin - discount)).cast(T.DecimalType(21, 16)).alias("profit"),
+        (sales * (margin - discount)).cast(T.DecimalType(25, 16)).alias("profit"),
         F.col("l_quantity").cast("int").alias("quantity"),
         discount.alias("discount"),
-        F.col(LINE_COL),
+        *([LINE_COL] if keep_line else []),
     )
     return conform_staging(staged, keep_line)

@@ -39,10 +39,27 @@ def line_salt(parquet: bool = True) -> Column:
     return F.monotonically_increasing_id()
 
 
-def read_lines(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
-    """Scan a line-grained table and attach the lineage value as ``_line``."""
-    return (spark.read.parquet(table_path(root, name))
-            .select(*columns, line_salt().alias(LINE_COL)))
+def read_lines(spark: SparkSession, root: str, name: str, columns: list[str], keep_line: bool = True) -> DataFrame:
+    """Scan a line-grained table; with ``keep_line`` also the lineage value as ``_line``."""
+    lineage = [line_salt().alias(LINE_COL)] if keep_line else []
+    return spark.read.parquet(table_path(root, name)).select(*columns, *lineage)
+
+
+def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A few literal rows (numbers are longs), generated in the JVM."""
+    structs = [F.struct(*[(F.lit(v).cast("long") if isinstance(v, int) else F.lit(v)).alias(n) for n, v in zip(names, row)])
+               for row in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("_row")).select("_row.*")
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file with a header row; every column a string named by the header.
+
+    Quotes follow RFC 4180 (a quote inside a quoted field is doubled).  A record with
+    more or fewer fields than the header fails the read.
+    """
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line).option("mode", "FAILFAST").csv(path))
 
 
 def zero_pad(value: Column, width: int) -> Column:

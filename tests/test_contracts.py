@@ -5,7 +5,6 @@ from decimal import Decimal
 from starloom.operators.contracts import (
     ColumnContract as C,
     TableContract,
-    assert_clean,
     violating_rows,
     fk_violations,
     length_violations,
@@ -14,8 +13,6 @@ from starloom.operators.contracts import (
     pk_violations,
 )
 
-import pytest
-
 CONTRACT = TableContract("t", "id", (
     C("id"), C("mode", max_length=14), C("cust", max_length=8),
     C("sales", decimal=(9, 4)), C("discount", decimal=(4, 2)), C("note", nullable=True)))
@@ -53,18 +50,11 @@ def test_numeric(spark):
     assert _as_dict(numeric_violations([(_frame(spark), CONTRACT)])) == {("t", "sales"): 1, ("t", "discount"): 1}
 
 
-def test_fk_and_assert_clean(spark):
+def test_fk(spark):
     child = spark.createDataFrame([(1, 1), (2, 5), (3, None), (4, 5)], "sales_id bigint, manager_id bigint")
     parent = spark.createDataFrame([(1, "Anna Andreadi"), (2, "Chuck Magee")], "manager_id bigint, manager string")
     report = fk_violations(child, "sales_fact", "manager_id", parent, "manager_id")
     assert _as_dict(report) == {("sales_fact", "manager_id"): 2}
-    with pytest.raises(ValueError, match="sales_fact.manager_id=2"):
-        assert_clean(report, "foreign key")
-
-
-def test_assert_clean_passes_clean_report(spark):
-    clean = spark.createDataFrame([("t", "c", 0)], "table_name string, column_name string, n bigint")
-    assert_clean(clean, "any")
 
 
 def test_violating_rows(spark):
@@ -80,15 +70,10 @@ def test_violating_rows(spark):
     assert sorted(r.id for r in orphans) == [2, 2]
 
 
-def test_size_check_and_bounded_broadcast(spark):
-    from starloom.operators.broadcast import bounded_broadcast, row_count_at_most
-    big = spark.range(0, 50_000, numPartitions=10)
-    assert row_count_at_most(big, 50_000)
-    assert not row_count_at_most(big, 49_999)
-    assert row_count_at_most(big.limit(0), 0)
-    small_side = bounded_broadcast(spark.range(0, 10), max_rows=10)
-    large_side = bounded_broadcast(big, max_rows=100)
-    plan_small = small_side._jdf.queryExecution().analyzed().toString()
-    plan_large = large_side._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in plan_small and "broadcast" in plan_small
-    assert "ResolvedHint" not in plan_large
+def test_numeric_check_fires_for_every_measure_of_the_fact(spark):
+    import frames
+    from starloom.plans.contracts import warehouse_numeric_violations
+    from starloom.plans.warehouse import Warehouse
+    rows = [{"sales": Decimal("123456.0000")}, {"profit": Decimal("123456.5")}, {"discount": Decimal("100.00"), "order_id": "O2"}, {}]
+    w = Warehouse(spark, frames.staging(spark, rows), frames.returns(spark, []), frames.managers(spark))
+    assert _as_dict(warehouse_numeric_violations(w)) == {("sales_fact", c): 1 for c in ("sales", "profit", "discount")}

@@ -30,20 +30,22 @@ def test_same_ids_for_1_3_8_partitions(spark):
     assert results[0] == results[1] == results[2]
 
 
-def test_short_path_equals_range_path(spark):
+def test_written_input_is_numbered_alike(spark):
+    from starloom.operators.materialize import stored
     df = _frame(spark, 2000, 4)
-    small = with_dense_ids(df, ["k"], "key", start=1, expect_small=True)
-    large = with_dense_ids(df, ["k"], "key", start=1, expect_small=True, small_rows=10)
-    assert small.rows == large.rows == 2000
-    assert _ids(small) == _ids(large)
+    assert _ids(with_dense_ids(stored(df), ["k"], "key", written=True)) == _ids(with_dense_ids(df, ["k"], "key"))
+
+
+def test_keys_come_from_the_jvm(spark):
+    plan = with_dense_ids(_frame(spark, 100, 2), ["k"], "key").df._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" not in plan and "Join" not in plan
 
 
 def test_nulls_number_first(spark):
     schema = T.StructType([T.StructField("k", T.StringType())])
     df = spark.createDataFrame([("b",), (None,), ("a",)], schema)
-    for small in (True, False):
-        rows = with_dense_ids(df, ["k"], "key", start=1, expect_small=small).df.orderBy("key").collect()
-        assert [r.k for r in rows] == [None, "a", "b"]
+    rows = with_dense_ids(df, ["k"], "key", start=1).df.orderBy("key").collect()
+    assert [r.k for r in rows] == [None, "a", "b"]
 
 
 def test_identical_rows_with_tiebreak(spark):
@@ -84,12 +86,11 @@ from hypothesis import strategies as st
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from(["a", "b", "c", None])),
                      min_size=0, max_size=60),
-       parts=st.integers(1, 5), small=st.booleans())
-def test_numbering_matches_python_sort(spark, rows, parts, small):
+       parts=st.integers(1, 5))
+def test_numbering_matches_python_sort(spark, rows, parts):
     schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType())])
     df = spark.createDataFrame(rows, schema).repartition(parts)
-    numbered = with_dense_ids(df, ["x", "y"], "key", start=101, expect_small=small,
-                              small_rows=1_000 if small else 0, num_partitions=parts)
+    numbered = with_dense_ids(df, ["x", "y"], "key", start=101, num_partitions=parts)
 
     def order(r):  # ascending, NULLs first, column by column
         x, y = r

@@ -1,4 +1,4 @@
-"""Sinks: the full refresh, serial-keyed appends, and their streaming form."""
+"""Sinks and files: the full refresh, serial-keyed appends, CSV input."""
 
 import os
 import tempfile
@@ -10,7 +10,6 @@ from starloom.operators.serial_append import append_with_serial
 from starloom.plans.refresh import TABLES, read_warehouse, register_views, run
 from starloom.plans.warehouse import Warehouse
 from starloom.sources.seeds import RETURNS_SCHEMA, read_returns
-from starloom.streaming.serial_append import start_serial_append, write_epoch
 
 
 def test_full_refresh_writes_every_table(spark):
@@ -49,35 +48,15 @@ def test_append_with_serial_continues_keys(spark):
     assert rows == [(1, "A"), (2, "B"), (3, "A"), (4, "A"), (5, "C")]
 
 
-def test_streaming_serial_append_exactly_once(spark):
-    root = tempfile.mkdtemp(prefix="starloom-stream-")
-    inbox, table, ckpt = (os.path.join(root, d) for d in ("inbox", "returns_dim", "_checkpoint"))
-    os.makedirs(inbox)
-
-    def drop_file(name, ids):
-        with open(os.path.join(inbox, name), "w") as f:
-            f.write("returned,order_id\n" + "".join(f"Yes,{i}\n" for i in ids))
-
-    def run_available():
-        stream = (spark.readStream.schema(RETURNS_SCHEMA).option("header", True)
-                  .option("maxFilesPerTrigger", 1).csv(inbox))
-        q = start_serial_append(stream, table, "return_id", ["order_id", "returned"], ckpt)
-        q.awaitTermination(120)
-
-    drop_file("a.csv", ["CA-2016-000002", "CA-2016-000001"])
-    drop_file("b.csv", ["CA-2016-000009"])
-    run_available()
-    drop_file("c.csv", ["CA-2016-000001", "CA-2016-000003"])
-    run_available()
-    got = spark.read.parquet(table)
-    before = sorted(tuple(r) for r in got.collect())
-    assert sorted(r[0] for r in before) == [1, 2, 3, 4, 5]
-    # replaying the last epoch rewrites its own folder with the same keys
-    last = got.agg(F.max("epoch")).first()[0]
-    batch = spark.read.option("header", True).schema(RETURNS_SCHEMA).csv(os.path.join(inbox, "c.csv"))
-    write_epoch(spark, table, batch, last, "return_id", ["order_id", "returned"])
-    again = spark.read.parquet(table)
-    assert sorted(tuple(r) for r in again.collect()) == before
+def test_append_restarts_only_where_there_is_no_table(spark):
+    """An unreadable table is an error, not an empty one."""
+    import pytest
+    folder = tempfile.mkdtemp(prefix="starloom-broken-")
+    with open(os.path.join(folder, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    rows = spark.createDataFrame([("Yes", "A")], RETURNS_SCHEMA)
+    with pytest.raises(Exception):
+        append_with_serial(spark, folder, rows, "return_id", ["order_id"])
 
 
 def test_read_returns_file(spark):
@@ -100,7 +79,7 @@ def test_user_staging_table_end_to_end(spark):
     assert staging.schema["sales"].dataType.simpleString() == "decimal(11,4)"
     assert staging.select("_line").distinct().count() == 6000
     returns = spark.createDataFrame([("Yes", "CA-1995-000004")], RETURNS_SCHEMA)
-    w = Warehouse.from_staging_table(spark, path, returns, managers_seed(spark), managers_bound=4)
+    w = Warehouse.from_staging_table(spark, path, returns, managers_seed(spark))
     assert w.staging_base is w.staging_raw   # a stored table is not copied again
     assert w.fact.rows == 6000
     assert w.sales_fact_with_returns.filter("return_id = 1").count() == \
@@ -127,6 +106,59 @@ def test_strict_run_raises_with_samples(spark):
     assert "'sales': Decimal('1" in str(err.value)
 
 
+def test_failed_load_leaves_the_published_tables(spark):
+    """A load whose fact loses lines raises and publishes nothing."""
+    import frames
+    import pytest
+    out = tempfile.mkdtemp(prefix="starloom-safe-")
+    good = Warehouse(spark, frames.staging(spark, [{}, {"order_id": "O2"}]), frames.returns(spark, ["O2"]), frames.managers(spark))
+    run(good, out)
+    before = sorted(map(tuple, read_warehouse(spark, out)["sales_fact"].collect()))
+    lossy = Warehouse(spark, frames.staging(spark, [{}, {"customer_name": None}]), frames.returns(spark, []), frames.managers(spark))
+    with pytest.raises(ValueError, match="nothing published"):
+        run(lossy, out)
+    assert sorted(map(tuple, read_warehouse(spark, out)["sales_fact"].collect())) == before
+    run(lossy, out, allow_difference=True)
+    assert read_warehouse(spark, out)["sales_fact"].count() == 1
+
+
+def _csv(text):
+    path = os.path.join(tempfile.mkdtemp(prefix="starloom-csvin-"), "in.csv")
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_returns_are_bound_by_header(spark):
+    import pytest
+    rows = read_returns(spark, _csv("order_id,returned\nCA-2016-100762,Yes\n")).collect()
+    assert [(r.returned, r.order_id) for r in rows] == [("Yes", "CA-2016-100762")]
+    with pytest.raises(Exception):
+        read_returns(spark, _csv("id,flag\nCA-2016-100762,Yes\n"))
+    with pytest.raises(Exception):
+        read_returns(spark, _csv("order_id,returned\nCA-2016-100762\n")).collect()
+
+
+def test_staging_csv_binds_by_header_and_fails_loudly(spark):
+    import frames
+    import pytest
+    from starloom.sources.staging import STAGING_COLUMNS, read_staging
+    values = {c: str(frames.DEFAULTS[c]) for c in STAGING_COLUMNS}
+    values["product_name"] = '"a 1.5"" binder, big"'
+    order = ["state", "city"] + [c for c in STAGING_COLUMNS if c not in ("state", "city")]
+
+    def read(**changes):
+        row = {**values, **changes}
+        return read_staging(spark, _csv(",".join(order) + "\n" + ",".join(row[c] for c in order) + "\n"), fmt="csv").collect()
+
+    row = read()[0]
+    assert (row.city, row.state, row.product_name) == ("Henderson", "Kentucky", 'a 1.5" binder, big')
+    assert (row.sales, row.discount, row.order_date) == (frames.DEFAULTS["sales"], frames.DEFAULTS["discount"], frames.DEFAULTS["order_date"])
+    for bad in ({"order_date": "11/08/2016"}, {"sales": "12,5"}, {"quantity": "two"}, {"discount": "x"}):
+        with pytest.raises(Exception):
+            read(**bad)
+
+
 def test_read_returns_parquet(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="starloom-retpq-"), "returns")
     spark.createDataFrame([("Yes", "CA-2016-100762"), ("Yes", "CA-2016-100762")], RETURNS_SCHEMA) \
@@ -145,8 +177,7 @@ def test_csv_staging_gives_the_same_fact(spark):
     returns = spark.createDataFrame([("Yes", "CA-1995-000004")], RETURNS_SCHEMA)
     facts = []
     for fmt, folder in (("csv", "stg_csv"), ("parquet", "stg_pq")):
-        w = Warehouse.from_staging_table(spark, os.path.join(root, folder), returns, managers_seed(spark),
-                                         managers_bound=4, fmt=fmt)
+        w = Warehouse.from_staging_table(spark, os.path.join(root, folder), returns, managers_seed(spark), fmt=fmt)
         facts.append(sorted(tuple(r) for r in w.sales_fact_with_managers.collect()))
     assert len(facts[0]) == 6000
     assert facts[0] == facts[1]

@@ -50,6 +50,37 @@ def test_update_from_max_rule(spark):
     assert [tuple(r) for r in out.collect()] == [(1, "O1", 9)]
 
 
+def test_update_from_takes_all_values_from_one_row(spark):
+    fact = spark.createDataFrame([(1, "O1")], "sales_id bigint, order_id string")
+    src = spark.createDataFrame([("O1", 1, "z"), ("O1", 2, "a"), ("O1", None, "b")], "order_id string, x bigint, y string")
+    for tie, expect in (("min", (1, "z")), ("max", (2, "a"))):
+        row = update_from(fact, src, ["order_id"], {"a": "x", "b": "y"}, tie=tie).first()
+        assert (row.a, row.b) == expect
+
+
+def test_hot_key_of_an_update_is_split(spark):
+    """No output partition of the update holds the whole of a key with most rows."""
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = 60_000
+        fact = spark.range(0, 90_000, numPartitions=8).select(
+            F.col("id").alias("sales_id"), F.when(F.col("id") < hot, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("order_id"))
+        src = spark.range(0, 1000).select(F.col("id").alias("return_id"), F.when(F.col("id") < 3, F.lit("HOT"))
+                                          .otherwise((F.col("id") + hot).cast("string")).alias("order_id"))
+        out = update_from(fact, src, ["order_id"], {"return_id": "return_id"})
+        parts = [r["count"] for r in out.filter("order_id = 'HOT'").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(parts) == hot and max(parts) < hot
+        assert out.filter("return_id = 0").count() == hot
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_zero_pad_matches_printf(spark):
     from starloom.sources.tables import zero_pad
     values = [0, 5, 42, 123456, 1234567, -5, -123456]
