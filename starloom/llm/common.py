@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.operators.materialize import stored
+
+__all__ = ["LOWER", "SPACE", "UPPER", "WORD", "ascii_lower", "least_hash_sample", "stored", "table", "word_count", "words_of"]
 
 # Words are runs of anything but ASCII white space (space, tab, LF, VT, FF, CR).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,12 +35,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
+def least_hash_sample(rows: DataFrame, draw: Column, most: int) -> DataFrame:
+    """The at most ``most`` rows of least ``draw`` (a 64-bit hash of the row): a bounded, repeatable sample.
 
-    Cuts lineage like ``checkpoint()`` but keeps columns prunable.  The folder
-    is the one named by ``spark.checkpoint.dir``, which every executor sees.
+    Rows are first thinned by the hash to about twice as many, so that the last, ordered step sees
+    a bounded number of rows however large the input.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    drawn = rows.withColumn("_draw", draw)
+    n = rows.count()
+    if n > 2 * most:
+        drawn = drawn.filter(F.col("_draw") < F.lit(-(1 << 63) + int((1 << 64) * (2 * most / n))).cast("long"))
+    return drawn.orderBy("_draw", *[c for c in rows.columns]).limit(most)

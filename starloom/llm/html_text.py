@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import table
+from starloom.llm.common import least_hash_sample, stored, table
 
 SAMPLE_PAGES = 2_000
 SAMPLE_NODES = 40_000
@@ -353,8 +353,8 @@ def block_text(page: Page, keep: np.ndarray) -> str:
 
 
 def _sampled(pages: DataFrame, key: str, source: str) -> DataFrame:
-    return (pages.filter(F.col(source).isNotNull()).select(F.xxhash64(F.col(key).cast("string"), F.length(source)).alias("_draw"), F.col(source).alias("html"))
-            .orderBy("_draw").limit(SAMPLE_PAGES))
+    whole = pages.filter(F.col(source).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(source).alias("html"))
+    return least_hash_sample(whole, F.xxhash64("key", F.length("html")), SAMPLE_PAGES).select("html").repartition(16)
 
 
 def train(pages: DataFrame, key: str = "page_id", source: str = "html") -> Trees:
@@ -371,7 +371,7 @@ def train(pages: DataFrame, key: str = "page_id", source: str = "html") -> Trees
             yield pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), pa.array(y, pa.int32())], names=["x", "y"])
 
     drawn = _sampled(pages, key, source).mapInArrow(rows, "x array<double>, y int")
-    got = drawn.orderBy(F.xxhash64("x", "y"), "y").limit(SAMPLE_NODES).toArrow()
+    got = least_hash_sample(stored(drawn), F.xxhash64("x", "y"), SAMPLE_NODES).select("x", "y").toArrow()
     if not got.num_rows:
         return fit_trees(np.zeros((0, len(FEATURES))), np.zeros(0))
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stored, table
+from starloom.llm.common import least_hash_sample, stored, table
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7)
@@ -124,9 +124,9 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 def sample_labels(labels: DataFrame, label: str, key: str = "doc_id", most: int = SAMPLE) -> DataFrame:
     """At most ``most`` labelled ids, those of least hash: a bounded, repeatable sample."""
-    return (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label)).cast("int").alias("_label"))
-            .orderBy(F.xxhash64("_key"), "_key").limit(most))
+    known = (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
+             .groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label)).cast("int").alias("_label")))
+    return least_hash_sample(known, F.xxhash64("_key"), most).select("_key", "_label")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
