@@ -6,17 +6,21 @@ t(n, m) = ceil(percent * (n + m) / (100 + percent)) of them.
 
 Light sets (few shingles): every subset of t(n, m) shingles is a key, for each partner size m that can
 link; sets that meet under a key share t(n, m) shingles and link without another look.
-Heavy sets: inverted lists of each set's rarest shingles, n - ceil(percent * n / 100) + 1 of them,
-are scanned; sets that link meet there, and a meeting at positions from which t(n, m) can no longer be
-reached is dropped.  The rest are verified on whole sets.  Lists hold light sets too where their
-sizes can link with heavy ones.  The boundary between light and heavy minimises the number of
-keys plus ``SCAN_COST`` times the list entries, from the histogram of set sizes.
+Heavy sets: inverted lists of each set's rarest shingles, n - ceil(percent * n / 100) + L(n) of them, are
+scanned, L(n) = ``MEETINGS`` + n / ``SPARE``.  Sets that link meet in at least min(L(n), L(m)) lists.  Each set then leaves the
+longest of its lists, L(ceil(percent * n / 100)) - ``MEETINGS`` of them by (length, key): linked sets still meet
+``MEETINGS`` times, while shingles that unrelated documents share by chance are mostly left.
+Lists hold light sets too where their sizes can link with heavy ones.  The boundary between light and
+heavy minimises the number of keys plus ``SCAN_COST`` times the list entries, from the histogram of set sizes.
 
 Rarity comes from counts of all shingles of all documents in 2**18 hashed bins; it only orders the
-shingles, so any error in it costs time, never a link.  Equal sets are one node from the start.  A
-list with many members is not expanded into pairs: in each of ``STAR_ROUNDS`` rounds every member is
-verified against one chosen member, members that are connected already are set aside, and only
-pairs of members that are still in different components are verified one by one at the end.
+shingles, so any error in it costs time, never a link.  Equal sets are one node from the start.
+
+Lists are not expanded into pairs.  In ``STAR_ROUNDS`` rounds every member of a list is verified against the
+member with the fewest shingles of its own, and lists whose members are all connected are set aside.  Of the lists
+that are left, those of at most ``CROWD`` members give pairs (at most ``CROWD`` / 2 a member), which are verified where they
+meet ``MEETINGS`` times.  Longer lists are gathered by that same member into groups, and a group is compared in blocks
+of ``BLOCK`` whole sets a side, which give only the links that connect something new.
 
 Words and sets are compared by 64-bit hashes.
 
@@ -31,6 +35,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,11 +43,17 @@ from pyspark.sql import functions as F
 from starloom.llm.common import stored, table
 from starloom.llm.components import components
 from starloom.llm.shingles import mix, shingle_sets
+from starloom.llm.url_filter import build_level
 
 BIN_BITS = 18
 MOST_LIGHT = 40  # the largest set size that is considered as light
 SCAN_COST = 4.0  # cost of a list entry, its share of a verification included, in subset keys
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+MEETINGS = 3  # lists in which two sets must meet after each has left its longest lists
+SPARE = 20  # a set is entered into one more list, to leave the longest, for so many shingles
+CROWD = 32  # longest list whose members are paired
+BLOCK = 512  # sets of a group that are compared with so many others in one task
+FILTER_BITS = 1 << 23  # most bits of the filter that finds the documents of sets to verify
 PLAIN, LESSER, GREATER, LISTED = 0, 1, 2, 3  # what a key's row is: equal sizes, smaller set, larger set, list entry
 
 
@@ -52,7 +63,8 @@ def least_overlap(n, m, percent: int):
 
 
 def prefix_length(n, percent: int):
-    return n - (-((-percent * n) // 100)) + 1
+    """Rarest shingles that are entered: sets that link meet min(L(n), L(m), t(n, m)) times."""
+    return min(n, n + (-percent * n) // 100 + MEETINGS + n // SPARE)
 
 
 def partner_sizes(n: int, percent: int) -> range:
@@ -107,7 +119,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> DataFrame:
-    """(kind, key, set_id, n, pos): subset keys of light sets, list entries of heavy ones; equal sets once a task."""
+    """(kind, key, set_id, n, listed): subset keys of light sets, list entries of heavy ones; equal sets once a task."""
     def subset_keys(shingles: np.ndarray):
         n, marks = len(shingles), mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
         for m in partner_sizes(n, percent):
@@ -123,12 +135,12 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
         for batch in batches:
             kinds, keys, ids, sizes, places = [], [], [], [], []
 
-            def add(kind, key, own, n, pos):
+            def add(kind, key, own, n, listed):
                 kinds.append(np.full(len(key), kind, np.int32))
                 keys.append(_signed(key))
                 ids.append(np.full(len(key), own, np.int64))
                 sizes.append(np.full(len(key), n, np.int32))
-                places.append(pos)
+                places.append(np.full(len(key), listed, np.int32))
 
             for shingles in shingle_sets(batch.column("text"), k):
                 n = len(shingles)
@@ -138,7 +150,7 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
                 done.add(own)
                 if n <= boundary:
                     for kind, key in subset_keys(shingles):
-                        add(kind, key, own, n, np.zeros(len(key), np.int32))
+                        add(kind, key, own, n, 0)
                 if n > boundary or max(partner_sizes(n, percent)) > boundary:
                     p = prefix_length(n, percent)
                     seen = counts[(shingles >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
@@ -146,28 +158,34 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
                     # all shingles at most as frequent as the p-th, in (count, hash) order
                     within = np.flatnonzero(seen <= seen[rare].max())
                     first = within[np.lexsort((shingles[within], seen[within]))[:p]]
-                    add(LISTED, shingles[first], own, n, np.arange(p, dtype=np.int32))
+                    add(LISTED, shingles[first], own, n, p)
             if keys:
                 whole = [np.concatenate(x) for x in (kinds, keys, ids, sizes, places)]
                 for a in range(0, len(whole[0]), 100_000):
-                    yield pa.record_batch([pa.array(x[a:a + 100_000]) for x in whole], names=["kind", "key", "set_id", "n", "pos"])
+                    yield pa.record_batch([pa.array(x[a:a + 100_000]) for x in whole], names=["kind", "key", "set_id", "n", "listed"])
+
+    return docs.select("text").mapInArrow(run, "kind int, key long, set_id long, n int, listed int")
 
-    return docs.select("text").mapInArrow(run, "kind int, key long, set_id long, n int, pos int")
 
+def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(set_id, shingles binary) of the sets in ``ids`` (set_id), each from a document of it.
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(set_id, shingles binary) for ``wanted`` (doc_id, set_id): a document of each set."""
+    A Bloom filter of bounded size picks the documents before their shingles are made, so no text is shuffled.
+    """
     def run(batches):
         for batch in batches:
             ids, sets = [], []
             for shingles in shingle_sets(batch.column("text"), k):
                 ids.append(set_id(shingles) if len(shingles) else None)
                 sets.append(shingles.tobytes())
-            yield pa.record_batch([batch.column("wanted"), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=out)
-
-    out = pa.schema([("wanted", pa.int64()), ("set_id", pa.int64()), ("shingles", pa.binary())])
-    texts = docs.select("doc_id", "text").join(wanted.select("doc_id", F.col("set_id").alias("wanted")), "doc_id").select("wanted", "text")
-    return (texts.mapInArrow(run, "wanted long, set_id long, shingles binary").filter("wanted = set_id")
+            yield pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=out)
+
+    out = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("shingles", pa.binary())])
+    wanted = stored(ids.distinct().join(rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set_id"))
+    passes = build_level(wanted.select(F.col("doc_id").alias("key")), wanted.count(), 0.05, 9, FILTER_BITS)
+    made = docs.filter(passes.passes(F.col("doc_id"))).mapInArrow(run, "doc_id long, set_id long, shingles binary")
+    # rows that repeat an id are filtered by the set they have, and equal ones counted once
+    return (made.join(wanted.withColumnRenamed("doc_id", "of"), "set_id").filter("doc_id = of")
             .select("set_id", "shingles").dropDuplicates(["set_id"]))
 
 
@@ -197,34 +215,98 @@ def light_links(live: DataFrame) -> DataFrame:
     return (keyed.select(F.col("set_id").alias("a"), other.alias("b")).filter("b is not null and a <> b").distinct())
 
 
-def can_link(n, i, m, j, percent: int):
-    """Whether sets of ``n`` and ``m`` that first meet at list positions ``i`` and ``j`` can share t(n, m)."""
-    t = F.ceil(percent * (n + m) / F.lit(100 + percent) - 1e-9)
-    return (F.least(n - i, m - j) >= t) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+def overlap_column(n, m, percent: int):
+    return F.ceil(percent * (n + m) / F.lit(100 + percent) - 1e-9)
+
+
+def _block_links(percent: int):
+    """Links between the two sides of a block pair that connect different components."""
+    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+        left, right = (group[group["side"] == side].sort_values("set_id") for side in (0, 1))
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        ours = [np.frombuffer(x, np.uint64) for x in left["shingles"]]
+        theirs = sorted(((np.frombuffer(x, np.uint64), i, c) for x, i, c in zip(right["shingles"], right["set_id"], right["component"])),
+                        key=lambda x: len(x[0]))
+        sizes = np.array([len(x[0]) for x in theirs])
+        ids, parts = np.array([x[1] for x in theirs]), np.array([x[2] for x in theirs])
+        tokens, place = np.unique(np.concatenate([x[0] for x in theirs]), return_inverse=True)
+        starts, marked = np.concatenate([[0], np.cumsum(sizes)]), np.zeros(len(tokens) + 1, np.int32)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for shingles, own, component in zip(ours, left["set_id"], left["component"]):
+            n = len(shingles)
+            low, high = np.searchsorted(sizes, -(-percent * n // 100)), np.searchsorted(sizes, 100 * n // percent, "right")
+            if low >= high or (parts[low:high] == component).all():
+                continue
+            at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
+            at = at[tokens[at] == shingles]
+            marked[at] = 1
+            common = np.add.reduceat(marked[place[starts[low]:starts[high]]], starts[low:high] - starts[low])
+            marked[at] = 0
+            linked = (100 * common >= percent * (n + sizes[low:high] - common)) & (parts[low:high] != component)
+            for b, other in zip(ids[low:high][linked].tolist(), parts[low:high][linked].tolist()):
+                x, y = find(component), find(other)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((own, b))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return run
+
+
+def crowd_links(crowded: DataFrame, docs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links among the members of long lists (star, set_id, component): each star's group in blocks."""
+    met = crowded.select("star", "set_id", "component").distinct()
+    blocks = met.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = met.join(blocks, "star").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    sides = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "star", "set_id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        F.explode(F.when(F.col("block") == F.col("other"), F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array((F.col("block") > F.col("other")).cast("int")))).alias("side"))
+    sides = stored(sides)
+    sets = stored(whole_sets(docs, rows, sides.select("set_id"), k))
+    return sides.join(sets, "set_id").groupBy("star", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
+
+
+def heavy_links(live: DataFrame, docs: DataFrame, rows: DataFrame, links: DataFrame, k: int, percent: int, boundary: int) -> DataFrame:
+    """All links of ``links`` and those that connect further members of the inverted lists."""
+    listed = live.filter(F.col("kind") == LISTED).select("key", "set_id", "n", "own")
+    over = Window.partitionBy("key")
+    n, m = F.col("n"), F.col("m")
+    fit = ((n > boundary) | (m > boundary)) & (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.col("component") != F.col("other"))
+
+    def pair_sets(pairs: DataFrame) -> DataFrame:
+        both = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
+        return stored(whole_sets(docs, rows, both, k))
 
+    def met_often(met: DataFrame) -> DataFrame:
+        least = F.least(F.lit(MEETINGS), overlap_column(n, m, percent))
+        return (met.filter(fit).groupBy(F.col("set_id").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"), F.max(least).alias("least"))
+                .filter("times >= least"))
 
-def heavy_links(live: DataFrame, sets: DataFrame, links: DataFrame, percent: int, boundary: int) -> DataFrame:
-    """All links of ``links`` and those that connect further members of the inverted lists."""
-    listed = live.filter(F.col("kind") == LISTED).select("key", "set_id", "n", "pos")
     for turn in range(STAR_ROUNDS + 1):
-        labels = stored(components(links)).withColumnRenamed("node", "set_id")
-        entries = (listed.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
-        over = Window.partitionBy("key")
-        entries = (entries.withColumn("_low", F.min("component").over(over)).withColumn("_high", F.max("component").over(over))
-                   .filter("_low <> _high").drop("_low", "_high"))
-        heavy = (F.col("n") > boundary) | (F.col("m") > boundary)
-        possible = heavy & can_link(F.col("n"), F.col("pos"), F.col("m"), F.col("at"), percent) & (F.col("component") != F.col("other"))
+        labels = components(links).withColumnRenamed("node", "set_id")
+        draw = F.struct("own", F.xxhash64("set_id", F.lit(turn)).alias("draw"), F.col("set_id").alias("b"), F.col("n").alias("m"),
+                        F.col("component").alias("other"))
+        entries = stored(listed.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+                         .withColumn("_low", F.min("component").over(over)).withColumn("_high", F.max("component").over(over))
+                         .withColumn("_members", F.count(F.lit(1)).over(over)).withColumn("_star", F.min(draw).over(over))
+                         .filter("_low <> _high").drop("_low", "_high"))
         if turn < STAR_ROUNDS:
-            draw = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("draw"), F.col("set_id").alias("b"), F.col("n").alias("m"),
-                            F.col("pos").alias("at"), F.col("component").alias("other"))
-            stars = entries.withColumn("star", F.min(draw).over(over)).select("set_id", "n", "pos", "component", "star.*")
-            met = stars.filter(possible).groupBy(F.col("set_id").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"))
-            pairs = met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
-        else:
-            other = entries.select("key", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("component").alias("other"))
-            pairs = entries.join(other, "key").filter(possible & (F.col("set_id") < F.col("b"))).select(F.col("set_id").alias("a"), "b").distinct()
-        links = stored(links.unionByName(verified(pairs, sets, percent)))
-    return links
+            met = met_often(entries.select("set_id", "n", "component", "_star.b", "_star.m", "_star.other"))
+            pairs = stored(met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b")))
+            links = stored(links.unionByName(verified(pairs, pair_sets(pairs), percent)))
+    few = entries.filter(F.col("_members") <= CROWD).select("key", "set_id", "n", "component")
+    partner = few.select("key", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    pairs = stored(met_often(few.join(partner, "key").filter(F.col("set_id") < F.col("b"))).select("a", "b"))
+    crowded = entries.filter(F.col("_members") > CROWD).select(F.col("_star.b").alias("star"), "set_id", "component")
+    return stored(links.unionByName(verified(pairs, pair_sets(pairs), percent)).unionByName(crowd_links(crowded, docs, rows, k, percent)))
 
 
 def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -241,12 +323,14 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
 
     keys = keys_of(docs, k, percent, boundary, spark.sparkContext.broadcast(counts))
     over = Window.partitionBy("key")
-    live = stored(keys.repartition("key").dropDuplicates(["key", "kind", "set_id"])
-                  .withColumn("_n", F.count(F.lit(1)).over(over)).filter("_n > 1").drop("_n"))
-    wanted = (live.filter(F.col("kind") == LISTED).select("set_id").distinct()
-              .join(rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set_id"))
-    sets = stored(whole_sets(docs, wanted, k))
-    links = heavy_links(live, sets, stored(light_links(live)), percent, boundary)
+    shared = (keys.repartition("key").dropDuplicates(["key", "kind", "set_id"])
+              .withColumn("_n", F.count(F.lit(1)).over(over)).filter("_n > 1"))
+    of_set = Window.partitionBy("set_id", F.col("kind") == LISTED)
+    left = F.expr(f"cast(ceil({percent} * n / 100.0 - 1e-9) as int) div {SPARE}")  # lists that a set of n leaves
+    live = stored(shared.withColumn("_rank", F.row_number().over(of_set.orderBy(F.desc("_n"), "key")))
+                  .withColumn("own", F.col("listed") - F.count(F.lit(1)).over(of_set))  # shingles that no other set lists
+                  .filter((F.col("kind") != LISTED) | (F.col("_rank") > left)).drop("_n", "_rank", "listed"))
+    links = heavy_links(live, docs, rows, stored(light_links(live)), k, percent, boundary)
 
     labels = components(links).withColumnRenamed("node", "set_id")
     nodes = (rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))

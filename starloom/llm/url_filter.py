@@ -62,10 +62,15 @@ def positions(key: Column, size: int, hashes: int, seed: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(seed * 64 + j)), F.lit(size)).cast("int") for j in range(hashes)]
 
 
-def build_level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
-    """A Bloom filter over the ``n`` rows of ``keys(key)`` with about ``rate`` false positives."""
+def build_level(keys: DataFrame, n: int, rate: float, seed: int, most_bits: int | None = None) -> Level:
+    """A Bloom filter over the ``n`` rows of ``keys(key)`` with about ``rate`` false positives.
+
+    ``most_bits`` bounds its size; beyond that the rate rises.
+    """
     hashes = max(1, round(-math.log2(rate)))
     size = max(64, math.ceil(n * hashes / math.log(2)))
+    if most_bits and size > most_bits:
+        size, hashes = most_bits, 1
     at = F.explode(F.array(*positions(F.col("key"), size, hashes, seed))).alias("at")
     mask = F.call_function("shiftleft", F.lit(1), F.col("at").bitwiseAND(7))
     rows = (keys.select(at).groupBy(F.shiftright("at", 3).alias("byte")).agg(F.bit_or(mask).alias("bits"))).collect()

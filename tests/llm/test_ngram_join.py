@@ -114,3 +114,12 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame([tuple(map(int, x)) for x in links], "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[200 + i] == 100 for i in range(80))
     assert got[500] == 500 and got[901] == 900 and len(got) == 61 + 81 + 1 + 2
+
+
+def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
+    """Every list counts as long and every block is small: the result is the same."""
+    rows = corpus(11, 130, range(20, 50), 6, 3, 8) + ODD
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "CROWD", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 9)
+    assert result(spark, rows, 4, 85) == plain_components(rows, 4, 85)
