@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.materialize import stored
 
-__all__ = ["LOWER", "SPACE", "UPPER", "WORD", "ascii_lower", "least_hash_sample", "stored", "table", "word_count", "words_of"]
+__all__ = ["SPACE", "WORD", "ascii_lower", "least_hash_sample", "stored", "table", "word_count"]
 
 # Words are runs of anything but ASCII white space (space, tab, LF, VT, FF, CR).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,11 +25,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def words_of(text: Column) -> Column:
-    """Array of the words of ``text`` (null: empty array)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
-
-
 def word_count(text: Column) -> Column:
     """Number of words of ``text`` as long (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
