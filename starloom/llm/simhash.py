@@ -128,12 +128,14 @@ def neighbours(ids: DataFrame) -> DataFrame:
 
 
 def edited_texts(docs: DataFrame, ring: DataFrame) -> DataFrame:
-    """(doc_id, h, n_chars, text, edited): the last floor(n / 2) code points replaced by the next document's first."""
+    """(doc_id, doc_id_key, h, n, text, edited): the last floor(n / 2) code points replaced by the next document's first.
+
+    Both joins are on (doc_id_key, h): the texts are shuffled once, and the donated heads a second time.
+    """
     keyed = docs.join(ring, ["doc_id_key", "h"])
-    donors = keyed.select(F.coalesce("before.doc_id", F.lit(0)).alias("doc_id_key"), F.col("before.h").alias("h"), F.col("before.doc_id").isNull().alias("_null"),
+    donors = keyed.select(F.coalesce("before.doc_id", F.lit(0)).alias("doc_id_key"), F.col("before.h").alias("h"),
                           F.expr("substring(text, 1, cast(before.n div 2 as int))").alias("donated"))
-    own = keyed.withColumn("_null", F.col("doc_id").isNull())
-    joined = own.join(donors, ["doc_id_key", "h", "_null"])
+    joined = keyed.join(donors, ["doc_id_key", "h"])
     kept = F.expr("substring(text, 1, cast(n - n div 2 as int))")
     return joined.select("doc_id", "doc_id_key", "h", "n", "text", F.concat(kept, "donated").alias("edited"))
 
@@ -145,7 +147,7 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("doc_id_key"),
-                       F.xxhash64(whole).alias("h"), whole.alias("text"))
+                       F.xxhash64(whole, F.col(key).isNull()).alias("h"), whole.alias("text"))
     ids = stored(rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).cast("long").alias("n")))
     ring = stored(neighbours(ids.select("doc_id", "h", "n")))
     once = rows
@@ -157,19 +159,18 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
     prints = stored(fingerprints(versions.select("doc_id", "doc_id_key", "h", "sha", "v.which", "v.text"), ["doc_id", "doc_id_key", "h", "sha", "which"]))
     own = prints.filter("which = 0").drop("which", "sha")
-    changed = prints.filter("which = 1").select("doc_id_key", "h", F.col("doc_id").isNull().alias("_null"), "sha", F.col("fa").alias("ea"), F.col("fb").alias("eb"))
-    after = ring.select("doc_id", "h", "n", F.coalesce("next.doc_id", F.lit(0)).alias("nk"), F.col("next.h").alias("nh"), F.col("next.doc_id").isNull().alias("nn"))
-    of_next = own.select(F.col("doc_id_key").alias("nk"), F.col("h").alias("nh"), F.col("doc_id").isNull().alias("nn"), F.col("fa").alias("na"), F.col("fb").alias("nb"))
+    changed = prints.filter("which = 1").select("doc_id_key", "h", "sha", F.col("fa").alias("ea"), F.col("fb").alias("eb"))
+    after = linked.select("doc_id_key", "h", "n", F.coalesce("next.doc_id", F.lit(0)).alias("nk"), F.col("next.h").alias("nh"))
+    of_next = own.select(F.col("doc_id_key").alias("nk"), F.col("h").alias("nh"), F.col("fa").alias("na"), F.col("fb").alias("nb"))
 
     nodes = stored(own.groupBy("fa", "fb").agg(F.min("doc_id").alias("least")).withColumn("node", F.xxhash64("fa", "fb")))
     labels = radius_components(nodes.select("node", "fa", "fb"), radius)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = named.join(named.groupBy("component").agg(F.min("least").alias("class_id")), "component").select("fa", "fb", "class_id")
 
-    joined = (own.withColumn("_null", F.col("doc_id").isNull()).join(changed, ["doc_id_key", "h", "_null"])
-              .join(after.withColumn("doc_id_key", F.coalesce("doc_id", F.lit(0))).withColumn("_null", F.col("doc_id").isNull()).drop("doc_id"), ["doc_id_key", "h", "_null"])
-              .join(of_next, ["nk", "nh", "nn"]).join(classes, ["fa", "fb"])
-              .join(ids.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id_key"), "h", F.col("doc_id").isNull().alias("_null"), "copies"), ["doc_id_key", "h", "_null"]))
+    counted = ids.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id_key"), "h", "copies")
+    joined = (own.join(changed, ["doc_id_key", "h"]).join(after, ["doc_id_key", "h"]).join(counted, ["doc_id_key", "h"])
+              .join(of_next, ["nk", "nh"]).join(classes, ["fa", "fb"]))
     a, b = F.col("fa"), F.col("fb")
     return joined.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(
         "doc_id", F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"), shown(a, b).alias("fingerprint"),
