@@ -196,7 +196,7 @@ def node_features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         chars[node] += size
         words[node] += text.count(" ") + 1
         stops[node] += text.count(".") + text.count(",")
-        digits[node] += sum(map(text.count, "0123456789")) if size < 200 else 0
+        digits[node] += sum(map(text.count, "0123456789"))
         if link_depth[node]:
             linked[node] += size
     subtree, subtree_links, tags = chars.copy(), linked.copy(), np.ones(n)

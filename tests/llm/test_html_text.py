@@ -58,6 +58,13 @@ def test_deep_and_broken_markup_ends(spark):
     assert html_text.train(frame.limit(0)).leaves.shape[0] == 0
 
 
+def test_digits_count_in_long_pieces():
+    """The share of digits does not depend on the size of a piece."""
+    for times in (1, 1000):
+        x, _, _ = html_text.node_features(html_text.Page("<pre>" + "12 ab " * times + "</pre>"))
+        assert abs(x[1, html_text.FEATURES.index("digits")] - 1 / 3) < 1e-9
+
+
 def test_decoding_is_consistent():
     """No element under clutter is kept, and the total log-odds is the greatest."""
     page = html_text.Page("<div>a<p>b<i>c</i></p></div><div>d</div>")
