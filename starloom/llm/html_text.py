@@ -5,6 +5,7 @@ gets features of its subtree (text density, links, attribute tokens), its depth
 ancestors.  Gradient-boosted trees give the log-odds that an element's own text is main content.  They are
 fitted on the driver from at most ``SAMPLE_NODES`` nodes of at most ``SAMPLE_PAGES`` pages, those of least hash,
 whose landmarks tell their side: inside an article or main element, or inside navigation, footers, adverts, forms and the like.
+A clutter word on an element that wraps the main text (``has-sidebar`` on the body) speaks of the layout and is no landmark.
 They start from a prior on landmark words, so that a corpus without landmarks still gets sensible scores.
 
 Decoding chooses for every element *content*, *clutter* or *mixed* (its children choose).  Below
@@ -164,6 +165,45 @@ class Page:
                 return
 
 
+def wrappers(page: Page, chars: np.ndarray, clutter: np.ndarray, content: np.ndarray) -> list[int]:
+    """Elements named like clutter that wrap the main text.
+
+    The main block is the content landmark that is nearest to the most text.  Clutter landmarks not around it are real.
+    Those on or around it wrap the main text if they hold at least half of the text that is in no real one.  On a page
+    without content landmarks, so do elements named by attributes that hold other landmarks and that half.
+    """
+    n, parent, tag = len(page.tag), page.parent, page.tag
+    named = [i for i in range(n) if clutter[i]]
+    if not named:
+        return []
+    held, nearest = np.zeros(n), [-1] * n
+    for i in range(n):
+        nearest[i] = i if clutter[i] or content[i] else nearest[parent[i]] if i else -1
+        if nearest[i] >= 0:
+            held[nearest[i]] += chars[i]
+    blocks = [i for i in range(n) if content[i] and held[i] and tag[i] not in CLUTTER_TAGS]
+    around = set()
+    if blocks:
+        at = max(blocks, key=held.__getitem__)
+        while at >= 0:
+            around.add(at)
+            at = parent[at]
+    else:
+        for i in named:
+            at = parent[i]
+            while at >= 0 and at not in around:
+                if tag[at] not in CLUTTER_TAGS:
+                    around.add(at)
+                at = parent[at]
+    real, text = [False] * n, np.zeros(n)
+    for i in range(n):
+        real[i] = i > 0 and real[parent[i]] or bool(clutter[i]) and i not in around
+        text[i] = 0 if real[i] else chars[i]
+    for i in range(n - 1, 0, -1):
+        text[parent[i]] += text[i]
+    return [i for i in named if i in around and text[i] and text[i] >= text[0] / 2]
+
+
 def node_features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, side, characters) of every element; side is 1 content, 0 clutter, -1 unknown by landmarks."""
     n = len(page.tag)
@@ -176,15 +216,10 @@ def node_features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for i in range(n):
         p = page.parent[i]
         name, attributes = page.tag[i], page.words[i]
-        clutter_here[i] = (name in CLUTTER_TAGS) + len(attributes & CLUTTER_WORDS)
+        # words on the whole page speak of its layout
+        clutter_here[i] = (name in CLUTTER_TAGS) + (len(attributes & CLUTTER_WORDS) if name not in ("html", "body") else 0)
         content_here[i] = (name in CONTENT_TAGS) + len(attributes & CONTENT_WORDS)
         link_depth[i] = name == "a" or (p >= 0 and link_depth[p])
-        if p >= 0:
-            clutter_above[i] = clutter_above[p] + clutter_here[p]
-            content_above[i] = content_above[p] + content_here[p]
-            near[i] = min(9.0, near[p] + 1)
-        if clutter_here[i]:
-            near[i] = 0.0
     total = 0.0
     for node, text in page.pieces:
         if text is None or not text.strip():
@@ -199,6 +234,15 @@ def node_features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         digits[node] += sum(map(text.count, "0123456789"))
         if link_depth[node]:
             linked[node] += size
+    clutter_here[wrappers(page, chars, clutter_here, content_here)] = 0
+    for i in range(n):
+        p = page.parent[i]
+        if p >= 0:
+            clutter_above[i] = clutter_above[p] + clutter_here[p]
+            content_above[i] = content_above[p] + content_here[p]
+            near[i] = min(9.0, near[p] + 1)
+        if clutter_here[i]:
+            near[i] = 0.0
     subtree, subtree_links, tags = chars.copy(), linked.copy(), np.ones(n)
     children, child_chars = np.zeros(n), np.zeros(n)
     order = np.zeros(n)

@@ -58,6 +58,26 @@ def test_deep_and_broken_markup_ends(spark):
     assert html_text.train(frame.limit(0)).leaves.shape[0] == 0
 
 
+SIDE = "<div class='sidebar'><p>side matter</p></div>"
+WRAPPED = [
+    ("<html class='search-enabled'><body class='single has-sidebar'><main><article>" + LONG + "</article></main>" + SIDE + "</body></html>", TEXT),
+    ("<body class='no-comments with-ads'><p>" + TEXT + "</p>" + SIDE + "</body>", TEXT),
+    ("<body><div id='content-with-sidebar'><div class='post'>" + LONG + "</div>" + SIDE + "</div></body>", TEXT),
+    ("<body><div class='layout with-ads'><article class='post category-share'>" + LONG + "</article>" + SIDE + "</div></body>", TEXT),
+    ("<body><form id=all><article>" + LONG + "</article>" + SIDE + "</form></body>", TEXT),
+    ("<body class='has-sidebar'><article class='post no-comments'>" + LONG + "</article><section class='comments'>"
+     + "<article>a reader says this and that, again and again and again.</article>" * 20 + "</section></body>", TEXT),
+    ("<body class='blog has-sidebar'>" + ("<article>" + LONG + "</article>") * 6 + SIDE + "</body>", "\n".join([TEXT] * 6)),
+]
+
+
+def test_clutter_words_on_wrappers_of_content(spark):
+    trees = html_text.train(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    frame = spark.createDataFrame([(i, source) for i, (source, _) in enumerate(WRAPPED)], "page_id long, html string")
+    got = {r.page_id: r.text for r in html_text.extract(frame, trees).collect()}
+    assert [got[i] for i in range(len(WRAPPED))] == [text for _, text in WRAPPED]
+
+
 def test_digits_count_in_long_pieces():
     """The share of digits does not depend on the size of a piece."""
     for times in (1, 1000):
