@@ -26,7 +26,7 @@ Words and sets are compared by 64-bit hashes.
 
 Defined cases: a null or empty text, or one without words, has the empty set and links with nothing, its
 component is its own id; fewer words than a shingle give one shingle of them all; repeated rows
-are equal sets; an empty table gives an empty result; other columns are not returned.
+are equal sets; rows without an id link like others, but give a component no id; an empty table gives an empty result; other columns are not returned.
 """
 
 from __future__ import annotations
@@ -170,7 +170,8 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
 def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(set_id, shingles binary) of the sets in ``ids`` (set_id), each from a document of it.
 
-    A Bloom filter of bounded size picks the documents before their shingles are made, so no text is shuffled.
+    A Bloom filter of bounded size picks the documents before their shingles are made, so no text is shuffled.  Rows
+    without an id are picked where a set occurs in no other.
     """
     def run(batches):
         for batch in batches:
@@ -182,10 +183,14 @@ def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> Data
 
     out = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("shingles", pa.binary())])
     wanted = stored(ids.distinct().join(rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set_id"))
-    passes = build_level(wanted.select(F.col("doc_id").alias("key")), wanted.count(), 0.05, 9, FILTER_BITS)
-    made = docs.filter(passes.passes(F.col("doc_id"))).mapInArrow(run, "doc_id long, set_id long, shingles binary")
+    known = wanted.filter("doc_id is not null")
+    passes = build_level(known.select(F.col("doc_id").alias("key")), known.count(), 0.05, 9, FILTER_BITS)
+    picked = F.col("doc_id").isNotNull() & passes.passes(F.col("doc_id"))
+    if not wanted.filter("doc_id is null").isEmpty():
+        picked = picked | F.col("doc_id").isNull()
+    made = docs.filter(picked).mapInArrow(run, "doc_id long, set_id long, shingles binary")
     # rows that repeat an id are filtered by the set they have, and equal ones counted once
-    return (made.join(wanted.withColumnRenamed("doc_id", "of"), "set_id").filter("doc_id = of")
+    return (made.join(wanted.withColumnRenamed("doc_id", "of"), "set_id").filter("doc_id <=> of")
             .select("set_id", "shingles").dropDuplicates(["set_id"]))
 
 

@@ -90,6 +90,20 @@ def test_empty_table_and_repeated_rows(spark):
     assert result(spark, rows, 4, 85) == [(2, 3, 2), (4, 3, 2), (4, 3, 2)]
 
 
+def test_rows_without_an_id_link_at_every_size(spark):
+    """A set that only rows without an id have is the bridge between two documents."""
+    for size in (14, 120):
+        words, edits = [f"w{i}" for i in range(size)], size // 20 + 1
+        ends = [words + [f"{side}{i}" for i in range(edits)] for side in ("a", "b")]
+        rows = [(5, " ".join(ends[0])), (None, " ".join(words)), (8, " ".join(ends[1])), (9, "something else that is quite different")]
+        sets = [plain_sets(t, 2) for _, t in rows]
+        linked = lambda i, j: 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])
+        assert linked(0, 1) and linked(1, 2) and not linked(0, 2)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs, 2, 90).collect()}
+        assert got == {5: 5, None: 5, 8: 5, 9: 9}, size
+
+
 def test_shingle_hashes_tell_sets_apart():
     texts = [t for _, t in corpus(7, 300, range(1, 60), 4, 20)] + ["a b c", "A b C", "a\x0bb c", "ab c", "", None]
     plain = [frozenset(plain_sets(t, 4)) for t in texts]
