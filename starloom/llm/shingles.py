@@ -50,14 +50,15 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of words before each offset); ``data`` starts at ``offsets[0]`` = 0.
 
-    A word's hash is a polynomial over its bytes' random codes: differences of one running sum.
+    A word is a run of bytes that ``letters`` marks (all but white space by default).  Its hash is a
+    polynomial over its bytes' random codes: differences of one running sum.
     """
     n = len(data)
     forward, back = _power_tables(n + 1)
-    word = ~_SPACE[data]
+    word = (~_SPACE if letters is None else letters)[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     starts = np.flatnonzero(word & (edge[:-1] | ~np.concatenate([[False], word[:-1]])))
