@@ -1,9 +1,11 @@
 """Dense surrogate keys: gap-free, ordered, independent of the partitioning."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.dense_ids import with_dense_ids
+from starloom.operators.dense_ids import with_dense_ids, with_dense_ids_by_group
+from starloom.operators.dimension import build_dimensions
 
 
 def _frame(spark, n, parts):
@@ -33,7 +35,34 @@ def test_same_ids_for_1_3_8_partitions(spark):
 def test_written_input_is_numbered_alike(spark):
     from starloom.operators.materialize import stored
     df = _frame(spark, 2000, 4)
-    assert _ids(with_dense_ids(stored(df), ["k"], "key", written=True)) == _ids(with_dense_ids(df, ["k"], "key"))
+    assert _ids(with_dense_ids(stored(df), ["k"], "key")) == _ids(with_dense_ids(df, ["k"], "key"))
+
+
+def test_groups_are_numbered_by_one_sort(spark):
+    """Each group's keys are those it has when numbered alone, whatever the number of partitions; a group may be empty."""
+    df = _frame(spark, 3000, 4).withColumn("g", (F.hash("k") % 3).cast("int")).filter("g in (0, 2)")
+    groups = with_dense_ids_by_group(df, "g", 4, ["k", "tag"], "key", start=11)
+    for g, numbered in enumerate(groups):
+        alone = with_dense_ids(df.filter(F.col("g") == g).drop("g"), ["k", "tag"], "key", start=11)
+        assert _ids(numbered) == _ids(alone) and numbered.rows == alone.rows
+    assert groups[1].rows == groups[3].rows == 0
+
+
+def test_dimensions_of_one_scan_equal_single_ones(spark):
+    """Grouping sets keep a NULL of the data apart from a column that a set leaves out."""
+    rows = [(None, "x", 1), ("a", None, 1), ("a", "x", None), (None, None, None), ("a", "x", 1), ("b", "y", 2), (None, "x", 2)]
+    df = spark.createDataFrame(rows, "p string, q string, r int")
+    specs = {"one": ({"p": "name"}, "id1"), "two": ({"p": "p", "q": "label"}, "id2"), "three": ({"q": "q", "r": "r"}, "id3")}
+    built = build_dimensions(df, specs)
+    for name, (attributes, key) in specs.items():
+        values = sorted({tuple(row["pqr".index(c)] for c in attributes) for row in rows}, key=lambda t: [(v is not None, v) for v in t])
+        got = built[name].df.orderBy(key).collect()
+        assert built[name].df.columns == [key, *attributes.values()]
+        assert [tuple(r) for r in got] == [(101 + i, *v) for i, v in enumerate(values)] and built[name].rows == len(values)
+    plan = built["one"].df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(ValueError):
+        build_dimensions(df, {"a": ({"p": "p", "q": "q"}, "i"), "b": ({"q": "q", "p": "p"}, "j")})
 
 
 def test_keys_come_from_the_jvm(spark):
