@@ -4,7 +4,8 @@ Parquet tables do not enforce keys, NOT NULL, lengths or decimal ranges, so
 each constraint becomes a query that counts violating rows.  Every check
 returns ``(table_name, column_name, n)`` with one row per checked column
 (``n = 0`` when clean).  The per-column checks of a table run as one
-aggregate pass; the key check shuffles only the key column.
+aggregate pass, or as observed metrics of the job that writes it; the key check shuffles bitmaps of
+dense keys, or the key column.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.materialize import stored
+from starloom.sources.tables import literal_rows
+
 CHECK_COLUMNS = ["table_name", "column_name", "n"]
 
 
@@ -41,6 +45,20 @@ def _count_when(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+def column_counts(contract: TableContract) -> dict[str, dict[str, Column]]:
+    """Check -> column -> aggregate that counts its violations, for every per-column check of a table."""
+    def misfit(col: ColumnContract) -> Column:
+        p, s = col.decimal
+        return F.col(col.name).isNotNull() & F.col(col.name).try_cast(T.DecimalType(p, s)).isNull()
+
+    return {
+        "not_null": {c.name: _count_when(F.col(c.name).isNull()) for c in contract.columns if not c.nullable},
+        "length": {c.name: _count_when(F.length(c.name) > c.max_length) for c in contract.columns if c.max_length is not None},
+        # values that do not fit the declared numeric(p, s): try_cast gives NULL
+        "numeric": {c.name: _count_when(misfit(c)) for c in contract.columns if c.decimal},
+    }
+
+
 def _per_column(df: DataFrame, table: str, counts: dict[str, Column]) -> DataFrame | None:
     """One aggregate pass, unpivoted to one row per column."""
     if not counts:
@@ -55,25 +73,56 @@ def _union(parts: list[DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _column_violations(check: str, tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:
+    return _union([_per_column(df, c.name, column_counts(c)[check]) for df, c in tables])
+
+
 def not_null_violations(tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:
-    return _union([_per_column(df, c.name, {col.name: _count_when(F.col(col.name).isNull())
-                                            for col in c.columns if not col.nullable})
-                   for df, c in tables])
+    return _column_violations("not_null", tables)
 
 
 def length_violations(tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:
-    return _union([_per_column(df, c.name, {col.name: _count_when(F.length(col.name) > col.max_length)
-                                            for col in c.columns if col.max_length is not None})
-                   for df, c in tables])
+    return _column_violations("length", tables)
 
 
 def numeric_violations(tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:
-    """Values that do not fit the declared ``numeric(p, s)`` (``try_cast`` is NULL)."""
-    def misfit(col: ColumnContract) -> Column:
-        p, s = col.decimal
-        return _count_when(F.col(col.name).isNotNull() & F.col(col.name).try_cast(T.DecimalType(p, s)).isNull())
-    return _union([_per_column(df, c.name, {col.name: misfit(col) for col in c.columns if col.decimal})
-                   for df, c in tables])
+    return _column_violations("numeric", tables)
+
+
+def write_observed(df: DataFrame, path: str, contract: TableContract | None = None) -> tuple[int, list[tuple[str, str, int]]]:
+    """Write ``df`` as Parquet and count, in the same job, its rows and each violation of its per-column checks.
+
+    Returns the row count and (check, column, n) rows; the counts are metrics that the writing tasks report, so
+    the table is not scanned again.
+    """
+    counts = [(check, column, metric) for check, columns in (column_counts(contract) if contract else {}).items() for column, metric in columns.items()]
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[metric.alias(f"m{i}") for i, (_, _, metric) in enumerate(counts)])
+    observed.write.parquet(path)
+    got = seen.get
+    return got["rows"], [(check, column, got[f"m{i}"]) for i, (check, column, _) in enumerate(counts)]
+
+
+def dense_pk_violations(tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:
+    """As :func:`pk_violations`, for whole-number keys without large gaps.
+
+    Each key is one bit of its bucket's bitmap (32,768 keys a bucket); a task sends one bitmap and one row count a
+    bucket of a table, not one row a key, and all tables share one shuffle.  A bucket whose bits are fewer than its
+    rows holds shared or NULL keys, and only the rows of such buckets are counted by key.  Rows that lie
+    together by key (as numbering leaves them) keep a task's buckets few.
+    """
+    tables = [(df, c) for df, c in tables if c.key]
+    keys = reduce(DataFrame.unionByName, [df.select(F.lit(i).alias("t"), F.col(c.key).cast("long").alias("k")) for i, (df, c) in enumerate(tables)])
+    keys = keys.withColumn("bucket", F.bitmap_bucket_number("k"))
+    marked = keys.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("k"))).alias("bits"))
+    suspect = stored(marked.filter(F.col("rows") != F.col("bits")).select(F.col("t").alias("_t"), F.col("bucket").alias("_bucket")))
+    names = literal_rows(keys.sparkSession, ["t", "table_name", "column_name"], [(i, c.name, c.key) for i, (_, c) in enumerate(tables)])
+    if suspect.isEmpty():
+        return names.select("table_name", "column_name", F.lit(0).cast("long").alias("n"))
+    bad = (keys.join(suspect, (F.col("t") == F.col("_t")) & F.col("bucket").eqNullSafe(F.col("_bucket")), "left_semi")
+           .groupBy("t", "k").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("k").isNull() | (F.col("copies") > 1))
+           .groupBy("t").agg(F.sum("copies").alias("n")))
+    return names.join(bad, "t", "left").select("table_name", "column_name", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def pk_violations(tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:

@@ -3,11 +3,32 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from starloom.operators.commit_log import remove_folder
 from starloom.session import ensure_checkpoint_dir
 
+_folder: ContextVar[str | None] = ContextVar("scratch folder", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What :func:`stored` writes inside the block goes below one folder, which is removed at its end.
+
+    For jobs that have written their results by then.
+    """
+    path = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(token)
+        remove_folder(spark, path)
+
 
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable, eager checkpoint of ``df`` (serialized rows), for small or short-lived frames.
@@ -27,6 +48,6 @@ def stored(df: DataFrame) -> DataFrame:
     Cuts lineage like :func:`materialize`, but readers decode only the columns they
     name and filters reach the scan.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = f"{_folder.get() or ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom.operators.dense_ids import Numbered
 from starloom.operators.materialize import stored
 from starloom.operators.updates import update_from
-from starloom.plans.warehouse import GAP_CITY, Warehouse, _dim_side
+from starloom.plans.warehouse import GAP_CITY, Warehouse
 
 
 def geo_completeness_audit(staging: DataFrame) -> DataFrame:
@@ -36,15 +36,17 @@ def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def fact_dimension_keys(fact: DataFrame, shipping: DataFrame, geo: DataFrame, product: DataFrame, customer: DataFrame) -> DataFrame:
+    """The fact's lines that find their row in all four dimensions, by surrogate key."""
+    for dim, key in ((shipping, "ship_id"), (geo, "geo_id"), (product, "prod_id"), (customer, "cust_id")):
+        fact = fact.join(dim.select(key), [key], "inner")
+    return fact
+
+
 def fact_dimension_join(fact: DataFrame, shipping: Numbered, geo: Numbered, product: Numbered,
                         customer: Numbered) -> DataFrame:
     """The fact joined back to the four dimensions by surrogate key."""
-    def keys(dim: Numbered, key: str) -> DataFrame:
-        return _dim_side(Numbered(dim.df.select(key), dim.rows))
-    return (fact.join(keys(shipping, "ship_id"), ["ship_id"], "inner")
-            .join(keys(geo, "geo_id"), ["geo_id"], "inner")
-            .join(keys(product, "prod_id"), ["prod_id"], "inner")
-            .join(keys(customer, "cust_id"), ["cust_id"], "inner"))
+    return fact_dimension_keys(fact, shipping.df, geo.df, product.df, customer.df)
 
 
 def row_count_reconciliation(staging: DataFrame, fact: DataFrame, joined: DataFrame) -> DataFrame:

@@ -22,11 +22,13 @@ from starloom.plans.contracts import (
     warehouse_pk_violations,
 )
 from starloom.operators.serial_append import append_with_serial
+from starloom.plans import bucketed, yearly
 from starloom.plans.calendar import calendar_dim
 from starloom.plans.warehouse import Warehouse, repair_postal_codes
-from starloom.sources.seeds import fixture_returns, managers_by_region
+from starloom.sources.quarantine import read_staging_quarantined
+from starloom.sources.seeds import fixture_returns, managers_by_region, managers_seed, read_returns
 from starloom.session import ensure_checkpoint_dir
-from starloom.sources.staging import fixture_staging
+from starloom.sources.staging import STAGING_COLUMNS, fixture_staging, read_staging
 from starloom.sources.tables import LINE_COL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,19 +109,93 @@ def _returns_dim(spark, root):
 SECOND_DELIVERY_YEAR = "1995"
 
 
-def _returns_append(spark, root):
-    """The returns as two deliveries, by order year: the second continues the first one's serial keys."""
-    path = f"{ensure_checkpoint_dir(spark)}/returns-{uuid.uuid4().hex}"
+def _own_folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _deliveries(spark, root):
+    """The returns as two deliveries, by order year."""
     returns = fixture_returns(spark, root)
     year = F.substring("order_id", 4, 4)
-    for delivery in (returns.filter(year < SECOND_DELIVERY_YEAR), returns.filter(year >= SECOND_DELIVERY_YEAR)):
-        append_with_serial(spark, path, delivery, "return_id", ["order_id", "returned"], tiebreak=[LINE_COL])
+    return returns.filter(year < SECOND_DELIVERY_YEAR), returns.filter(year >= SECOND_DELIVERY_YEAR)
+
+
+def _append_returns(spark, path, delivery):
+    return append_with_serial(spark, path, delivery, "return_id", ["order_id", "returned"], tiebreak=[LINE_COL]).df
+
+
+def _returns_append(spark, root):
+    """Two deliveries of returns: the second continues the first one's serial keys."""
+    path = _own_folder(spark, "returns")
+    for delivery in _deliveries(spark, root):
+        _append_returns(spark, path, delivery)
     return spark.read.parquet(path).select("return_id", "returned", "order_id")
 
 
+def _fact_by_year_with_returns(spark, root):
+    """The fact by order year, each delivery of returns written into the years it touches."""
+    returns, path = _own_folder(spark, "returns"), _own_folder(spark, "fact-by-year")
+    yearly.write_by_year(_w(spark, root).sales_fact.withColumn("return_id", F.lit(None).cast("long")), path)
+    for delivery in _deliveries(spark, root):
+        yearly.apply_returns(spark, path, _append_returns(spark, returns, delivery))
+    return spark.read.parquet(path).drop(yearly.YEAR)
+
+
+def _fact_in_buckets_with_managers(spark, root):
+    """The enriched fact from stored buckets."""
+    name = f"b{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed.enriched(spark, bucketed.store_fact(_w_with_returns(spark, root), _own_folder(spark, "buckets"), name, buckets))
+
+
+def _returns_from_file(spark, root):
+    """The returns list written as the CSV file a user delivers, read and numbered."""
+    path = _own_folder(spark, "returns-csv")
+    fixture_returns(spark, root).select("order_id", "returned").write.option("header", True).csv(path)
+    return Warehouse(spark, fixture_staging(spark, root), read_returns(spark, path), managers_seed(spark)).returns_dim
+
+
+def _staging_from_file(spark, root):
+    """The staging lines written as a CSV export and read back under the contract."""
+    path = _own_folder(spark, "staging-csv")
+    fixture_staging(spark, root).write.option("header", True).csv(path)
+    return read_staging(spark, path, fmt="csv")
+
+
+# The ship modes whose lines the damaged export gives a sales text, a short date, one field too many.
+DAMAGED_SALES, DAMAGED_DATE, DAMAGED_WIDTH = "URGENT", "HIGH", "LOW"
+
+
+def damaged_export(spark: SparkSession, root: str, path: str) -> None:
+    """The staging lines as CSV text without a header, those of three ship modes damaged."""
+    lines = fixture_staging(spark, root)
+    mode, columns = F.col("ship_mode"), lines.columns
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = {c: F.coalesce(quoted(c), F.lit("")) for c in columns}
+    fields["sales"] = F.when(mode == DAMAGED_SALES, F.lit("n/a")).otherwise(fields["sales"])
+    fields["order_date"] = F.when(mode.isin(DAMAGED_SALES, DAMAGED_DATE), F.lit("1/2")).otherwise(fields["order_date"])
+    text = F.concat_ws(",", *[fields[c] for c in columns], F.when(mode == DAMAGED_WIDTH, F.lit("more")))
+    lines.select(text.alias("value")).write.text(path)
+
+
+def _staging_quarantine(spark, root):
+    """A damaged CSV export: how many lines load, and how many are set aside for which reason."""
+    path = _own_folder(spark, "damaged-csv")
+    damaged_export(spark, root, path)
+    read = read_staging_quarantined(spark, path, header=STAGING_COLUMNS)
+    return read.good.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("n")).unionByName(read.reasons())
+
+
+def _load_quality_report(spark, root):
+    """The quality report of a full refresh, counted while its tables were written."""
+    out = _own_folder(spark, "warehouse")
+    refresh.run(_w_with_returns(spark, root), out)
+    return refresh.read_quality_report(spark, out)
+
+
 def _stored_fact(spark, root):
     """The enriched fact after a full refresh: written, checked, published and read back by name."""
-    out = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    out = _own_folder(spark, "warehouse")
     refresh.run(_w_with_returns(spark, root), out)
     return refresh.read_warehouse(spark, out)["sales_fact"]
 
@@ -194,6 +270,12 @@ QUERIES: dict[str, Query] = {
     "returns_dim": _returns_dim,  # S5, S9, W2
     "returns_append": _returns_append,  # S9
     "stored_fact": _stored_fact,  # S2, S7, S8, S11, S12
+    "load_quality_report": _load_quality_report,  # Q1-Q5 as observed metrics and key checks of a load
+    "fact_in_buckets_with_managers": _fact_in_buckets_with_managers,  # J10, D4 over bucketed S7/S8
+    "fact_by_year_with_returns": _fact_by_year_with_returns,  # J9, D3 over partitions, S9
+    "returns_from_file": _returns_from_file,  # S5
+    "staging_from_file": _staging_from_file,  # S1, P5
+    "staging_quarantine": _staging_quarantine,  # S1 with bad records
     "sales_fact_with_returns": _sales_fact_with_returns,  # J9, D3, D5
     "returns_preview": _returns_preview,  # U3: L1
     "managers_dim": _managers_dim,  # S3, S4, S9

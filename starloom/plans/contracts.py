@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from starloom.operators.contracts import (
     ColumnContract as C,
     TableContract,
+    dense_pk_violations,
     fk_violations,
     length_violations,
     not_null_violations,
@@ -64,7 +65,8 @@ def warehouse_tables(w: Warehouse) -> list[tuple[DataFrame, TableContract]]:
 
 
 def warehouse_pk_violations(w: Warehouse) -> DataFrame:
-    return pk_violations(warehouse_tables(w))
+    """By bitmaps: the tables come as they were numbered, so a task's keys lie together."""
+    return dense_pk_violations(warehouse_tables(w))
 
 
 def warehouse_not_null_violations(w: Warehouse) -> DataFrame:
@@ -86,8 +88,8 @@ def warehouse_fk_violations(w: Warehouse) -> DataFrame:
             .unionByName(fk_violations(fact, "sales_fact", "manager_id", w.managers_dim, "manager_id")))
 
 
-def table_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All constraint checks over stored warehouse tables, by check name.
+def key_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The checks over stored warehouse tables that one row alone cannot tell, by check name.
 
     ``tables`` maps table name -> frame (e.g. the tables a full refresh has
     just written, read back), so the checks see exactly what was stored.
@@ -96,14 +98,22 @@ def table_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     fact = tables["sales_fact"]
     return {
         "primary_key": pk_violations(pairs),
-        "not_null": not_null_violations(pairs),
-        "length": length_violations(pairs),
-        "numeric": numeric_violations([(fact, CONTRACTS["sales_fact"])]),
         "foreign_key": fk_violations(fact, "sales_fact", "return_id", tables["returns_dim"], "return_id")
         .unionByName(fk_violations(fact, "sales_fact", "manager_id", tables["managers_dim"], "manager_id")),
     }
 
 
+def table_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All constraint checks over stored warehouse tables, by check name."""
+    pairs = [(tables[name], CONTRACTS[name]) for name in TABLE_ORDER if name in tables]
+    return {
+        **key_checks(tables),
+        "not_null": not_null_violations(pairs),
+        "length": length_violations(pairs),
+        "numeric": numeric_violations([(tables["sales_fact"], CONTRACTS["sales_fact"])]),
+    }
+
+
 FK_PARENTS = {"return_id": ("returns_dim", "return_id"), "manager_id": ("managers_dim", "manager_id")}
 
 

@@ -7,15 +7,16 @@ Order of the run:
 2. the four dimensions, the calendar (widened to cover every date of the
    input), the returns and managers tables;
 3. the sales fact with ``return_id`` and ``manager_id``;
-4. the quality report (key, NOT NULL, length, numeric and foreign-key
-   checks) and the staging/fact reconciliation, both over the tables as
-   written (read back, so nothing is recomputed);
-5. publication: one row appended to ``<out>/published`` names the new version.
+4. the quality report and the staging/fact reconciliation.  Row counts and the NOT NULL, length and numeric
+   checks are metrics of the jobs that write the tables; the key and foreign-key checks
+   and the joined count read the tables as written (nothing is recomputed);
+5. publication: the load claims the next version in ``<out>/_log`` (see ``operators.commit_log``).
 
-A load writes to a folder of its own, ``<out>/<version>``, and readers follow the last
-published version.  A load that fails, or whose counts differ, publishes nothing: the
-tables of the load before it stay readable.  Older versions are kept; removing them is
-the operator's choice.
+A load writes to a folder of its own, ``<out>/<name>``, and readers follow the last
+published version, or any older one by its number.  Of two loads at once both are published, under numbers of
+their own.  A load that fails, or whose counts differ, publishes nothing: the
+tables of the load before it stay readable.  ``vacuum`` removes old versions and loads that were never published;
+what a run writes for itself it removes at its end.
 
 Command line::
 
@@ -26,15 +27,18 @@ Command line::
 from __future__ import annotations
 
 import argparse
+import time
 import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.serial_append import next_key, read_if_exists
-from starloom.plans import audits
-from starloom.plans.contracts import sample_violations, table_checks
+from starloom.operators.commit_log import CommitLog, file_system, remove_folder
+from starloom.operators.contracts import write_observed
+from starloom.operators.materialize import scratch
+from starloom.plans.audits import fact_dimension_keys
+from starloom.plans.contracts import CONTRACTS, key_checks, sample_violations, table_checks
 from starloom.plans.warehouse import Warehouse
 from starloom.sources.seeds import managers_seed, read_returns
 from starloom.sources.tables import literal_rows
@@ -77,52 +81,94 @@ def run(w: Warehouse, out_root: str, strict: bool = False, database: str | None
     so they read back as ``spark.table("<database>.sales_fact")``.  Returns the version, the
     reconciliation counts and the failing checks.
     """
-    version = f"load-{uuid.uuid4().hex}"
-    folder = f"{out_root}/{version}"
-    for name, df in warehouse_frames(w).items():
-        df.write.parquet(f"{folder}/{name}")
-    # checks and reconciliation read the written tables: they see what will be
-    # published, and nothing (the fact's enrichment in particular) is recomputed
+    with scratch(w.spark):
+        return _run(w, out_root, strict, database, allow_difference)
+
+
+def _run(w: Warehouse, out_root: str, strict: bool, database: str | None, allow_difference: bool) -> dict:
+    name = f"load-{uuid.uuid4().hex}"
+    folder = f"{out_root}/{name}"
+    rows, observed = {}, []
+    for table, df in warehouse_frames(w).items():
+        rows[table], counts = write_observed(df, f"{folder}/{table}", CONTRACTS.get(table))
+        observed += [(check, table, column, n) for check, column, n in counts]
     written = _tables(w.spark, folder)
-    quality_report(written).write.parquet(f"{folder}/quality_report")
-    fact = written["sales_fact"]
-    joined = (fact.join(written["shipping_dim"].select("ship_id"), ["ship_id"])
-              .join(written["geo_dim"].select("geo_id"), ["geo_id"])
-              .join(written["product_dim"].select("prod_id"), ["prod_id"])
-              .join(written["customer_dim"].select("cust_id"), ["cust_id"]))
-    counts = audits.row_count_reconciliation(written["stg_orders"], fact, joined).first().asDict()
+    keyed = [report.select(F.lit(check).alias("check"), "*") for check, report in key_checks(written).items()]
+    report = reduce(DataFrame.unionByName, [*keyed, literal_rows(w.spark, ["check", "table_name", "column_name", "n"], observed)])
+    report.write.parquet(f"{folder}/quality_report")
+    joined = fact_dimension_keys(written["sales_fact"], written["shipping_dim"], written["geo_dim"], written["product_dim"], written["customer_dim"]).count()
+    counts = {"staging_rows": rows["stg_orders"], "fact_rows": rows["sales_fact"], "joined_rows": joined}
     failing = [r.asDict() for r in w.spark.read.parquet(f"{folder}/quality_report").filter(F.col("n") > 0).collect()]
     if (strict and failing) or (len(set(counts.values())) != 1 and not allow_difference):
         samples = {f"{v['check']} {v['table_name']}.{v['column_name']} ({v['n']} rows)":
                    sample_violations(written, v["check"], v["table_name"], v["column_name"]) for v in failing}
         raise ValueError(f"warehouse checks failed, nothing published: counts={counts}, violations={samples}")
-    _publish(w.spark, out_root, version)
+    number, _ = publication_log(w.spark, out_root).commit(
+        lambda _number, _before: {"folder": name, "published": int(time.time()), "rows": rows})
     if database:
         w.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name in TABLES:
-            w.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-            w.spark.catalog.createTable(f"{database}.{name}", path=f"{folder}/{name}", source="parquet")
-    return {"version": version, "reconciliation": counts, "violations": failing}
+        for table in TABLES:
+            w.spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+            w.spark.catalog.createTable(f"{database}.{table}", path=f"{folder}/{table}", source="parquet")
+    return {"version": number, "folder": name, "reconciliation": counts, "violations": failing}
 
 
 def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
 
 
-def _publish(spark: SparkSession, out_root: str, version: str) -> None:
-    """Append the version to the list of published ones: a single-file write, so it is there or not."""
-    number = next_key(read_if_exists(spark, f"{out_root}/published"), "number")
-    literal_rows(spark, ["number", "version"], [(number, version)]).coalesce(1).write.mode("append").parquet(f"{out_root}/published")
+def publication_log(spark: SparkSession, out_root: str) -> CommitLog:
+    return CommitLog(spark, f"{out_root}/_log")
+
+
+def history(spark: SparkSession, out_root: str) -> dict[int, dict]:
+    """Published versions: number -> folder, time of publication, rows by table."""
+    log = publication_log(spark, out_root)
+    return {number: log.entry(number) for number in log.numbers()}
+
 
+def version_folder(spark: SparkSession, out_root: str, version: int | None = None) -> str:
+    """The folder of a published version, by default of the last."""
+    log = publication_log(spark, out_root)
+    numbers = log.numbers()
+    if not numbers or (version is not None and version not in numbers):
+        raise ValueError(f"no version {'' if version is None else version} in {out_root}; published: {numbers}")
+    return f"{out_root}/{log.entry(numbers[-1] if version is None else version)['folder']}"
 
-def current_version(spark: SparkSession, out_root: str) -> str:
-    """The last published version."""
-    return spark.read.parquet(f"{out_root}/published").orderBy(F.desc("number")).first()["version"]
 
+def read_warehouse(spark: SparkSession, out_root: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables of a published version, by name; by default the last one's."""
+    return _tables(spark, version_folder(spark, out_root, version))
 
-def read_warehouse(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
-    """The published tables, by name."""
-    return _tables(spark, f"{out_root}/{current_version(spark, out_root)}")
+
+def read_quality_report(spark: SparkSession, out_root: str, version: int | None = None) -> DataFrame:
+    """The quality report ``(check, table_name, column_name, n)`` of a published version."""
+    return spark.read.parquet(f"{version_folder(spark, out_root, version)}/quality_report")
+
+
+def vacuum(spark: SparkSession, out_root: str, keep: int, unpublished_after: float = 24 * 3600) -> list[str]:
+    """Remove all but the last ``keep`` (at least 1) published versions, and load folders that
+    no version names and that are older than ``unpublished_after`` seconds (younger ones may be loads that still run).
+
+    Returns the removed folders.  A version's entry goes before its files, so a listed version is always whole.
+    """
+    if keep < 1:
+        raise ValueError("at least the last version is kept")
+    log = publication_log(spark, out_root)
+    published = history(spark, out_root)
+    numbers = sorted(published)
+    gone = [published[n]["folder"] for n in numbers[:-keep]]
+    for n in numbers[:-keep]:
+        log.forget(n)
+    named = {entry["folder"] for entry in published.values()}
+    fs, root = file_system(spark, out_root)
+    for status in fs.listStatus(root):
+        name, age = status.getPath().getName(), time.time() - status.getModificationTime() / 1000
+        if status.isDirectory() and name.startswith("load-") and name not in named and age > unpublished_after:
+            gone.append(name)
+    for name in gone:
+        remove_folder(spark, f"{out_root}/{name}")
+    return gone
 
 
 def register_views(tables: dict[str, DataFrame]) -> list[str]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
 from starloom.operators.dense_ids import Numbered, with_dense_ids
-from starloom.operators.dimension import KEY_BASE, build_dimension
+from starloom.operators.dimension import KEY_BASE, build_dimension, build_dimensions
 from starloom.operators.materialize import stored
 from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
@@ -136,7 +137,7 @@ class Warehouse:
         not share an unbuilt input (the fact and the returns do not).
         """
         with ThreadPoolExecutor(max_workers=len(names)) as pool:
-            for future in [pool.submit(getattr, self, n) for n in names]:
+            for future in [pool.submit(copy_context().run, getattr, self, n) for n in names]:
                 future.result()
         return self
 
@@ -156,9 +157,16 @@ class Warehouse:
         return self.staging.select(*STAGING_COLUMNS)
 
     # -- dimensions ----------------------------------------------------------
+    @cached_property
+    def dimensions(self) -> dict[str, Numbered]:
+        """All four dimensions from one scan of staging, numbered by one sort."""
+        return build_dimensions(self.staging, DIMENSIONS)
+
     def _dimension(self, name: str) -> Numbered:
-        attrs, id_col = DIMENSIONS[name]
-        return build_dimension(self.staging, attrs, id_col)
+        """One dimension: of all four where they are built, else alone, from its own columns."""
+        if "dimensions" in self.__dict__:
+            return self.dimensions[name]
+        return build_dimension(self.staging, *DIMENSIONS[name])
 
     @cached_property
     def shipping(self) -> Numbered:
@@ -199,8 +207,7 @@ class Warehouse:
     # -- fact ----------------------------------------------------------------
     @cached_property
     def fact(self) -> Numbered:
-        self.staging_base
-        self.build(*DIMENSIONS)
+        self.dimensions
         lines = star_join(self.staging, self.shipping, self.geo, self.product, self.customer)
         numbered = with_dense_ids(lines, FACT_ORDER, "sales_id", start=KEY_BASE + 1, tiebreak=_lineage(lines))
         return Numbered(numbered.df.select(*FACT_COLUMNS), numbered.rows)

@@ -1,0 +1,38 @@
+"""The fact in buckets: updates by order without an exchange of the fact, hot orders apart."""
+
+import re
+import tempfile
+
+import frames
+import pytest
+
+from starloom.plans import bucketed
+from starloom.plans.warehouse import Warehouse
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_updates_do_not_move_the_fact(spark, threshold):
+    rows = [{"order_id": f"O{i % 90}", "region": "ASIA" if i % 3 else "MIDDLE EAST"} for i in range(400)]
+    rows += [{"order_id": "HOT", "region": "EUROPE", "quantity": i} for i in range(300)]
+    w = Warehouse(spark, frames.staging(spark, rows), frames.returns(spark, ["O5", "O5", "O7", "HOT"]), frames.managers(spark))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        names = bucketed.store_fact(w, tempfile.mkdtemp(prefix="starloom-buckets-"), f"t{'b' if threshold == '-1' else 'c'}", 6)
+        assert {r.order_id for r in spark.table(names.hot).collect()} == {"HOT"}
+        assert spark.table(names.fact).filter("order_id = 'HOT'").count() == 0
+        got = bucketed.enriched(spark, names)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # the only exchanges are broadcasts and the distinct of the hot orders
+        usual = plan[:plan.index("_hot")] if "_hot" in plan else plan
+        assert not re.search(r"(?<!Broadcast)Exchange hashpartitioning\(order_id", usual), plan
+        columns = sorted(got.columns)
+        assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, w.sales_fact_with_managers.select(columns).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_orders_are_fewer_than_buckets(spark):
+    fact = spark.createDataFrame([(f"O{i % 5}",) for i in range(100)], "order_id string")
+    assert bucketed.hot_orders(fact, 100, 4).count() == 0
+    assert bucketed.hot_orders(fact, 100, 8).count() == 5

@@ -5,12 +5,14 @@ from decimal import Decimal
 from starloom.operators.contracts import (
     ColumnContract as C,
     TableContract,
+    dense_pk_violations,
     violating_rows,
     fk_violations,
     length_violations,
     not_null_violations,
     numeric_violations,
     pk_violations,
+    write_observed,
 )
 
 CONTRACT = TableContract("t", "id", (
@@ -77,3 +79,27 @@ def test_numeric_check_fires_for_every_measure_of_the_fact(spark):
     rows = [{"sales": Decimal("123456.0000")}, {"profit": Decimal("123456.5")}, {"discount": Decimal("100.00"), "order_id": "O2"}, {}]
     w = Warehouse(spark, frames.staging(spark, rows), frames.returns(spark, []), frames.managers(spark))
     assert _as_dict(warehouse_numeric_violations(w)) == {("sales_fact", c): 1 for c in ("sales", "profit", "discount")}
+
+
+def test_bitmaps_find_planted_keys(spark):
+    """Shared and NULL keys of several tables and buckets, counted as by key."""
+    from pyspark.sql import functions as F
+    clean = spark.range(100, 70_100).select(F.col("id"))
+    planted = clean.unionByName(spark.createDataFrame([(100,), (100,), (65_000,), (None,), (None,), (-5,)], "id bigint"))
+    contract = lambda name: TableContract(name, "id", (C("id"),))
+    tables = [(clean, contract("clean")), (planted, contract("planted")), (clean.limit(0), contract("none")), (clean.select(F.col("id").cast("int")), contract("ints"))]
+    assert _as_dict(dense_pk_violations(tables)) == _as_dict(pk_violations(tables)) == {
+        ("clean", "id"): 0, ("planted", "id"): 7, ("none", "id"): 0, ("ints", "id"): 0}
+    assert _as_dict(dense_pk_violations(tables[:1])) == {("clean", "id"): 0}
+
+
+def test_counts_of_a_write_equal_those_of_a_scan(spark):
+    import os
+    import tempfile
+    path = os.path.join(tempfile.mkdtemp(prefix="starloom-observed-"), "t")
+    rows, counts = write_observed(_frame(spark), path, CONTRACT)
+    again = spark.read.parquet(path)
+    assert rows == again.count() == 4
+    for check, violations in (("not_null", not_null_violations), ("length", length_violations), ("numeric", numeric_violations)):
+        assert {("t", column): n for c, column, n in counts if c == check} == _as_dict(violations([(again, CONTRACT)]))
+    assert write_observed(_frame(spark).limit(0), path + "0", CONTRACT)[0] == 0
