@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.materialize import stored
 
-__all__ = ["SPACE", "WORD", "ascii_lower", "least_hash_sample", "stored", "table", "word_count"]
+__all__ = ["SPACE", "WORD", "ascii_lower", "bounded_batches", "least_hash_sample", "stored", "table", "word_count"]
 
 # Words are runs of anything but ASCII white space (space, tab, LF, VT, FF, CR).
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+ARROW_ROWS, ARROW_ROWS_SETTING = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,6 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded_batches(run: Callable) -> Callable:
+    """``run(spark, ...)`` in a session that hands Python at most ``ARROW_ROWS`` rows at a time.
+
+    Rows here are whole texts or sets, for which Spark's 10,000 take much of an executor's memory, on both sides.  The
+    setting stays, since the result is lazy; a session that has a value of its own keeps it.
+    """
+    @wraps(run)
+    def bounded(spark: SparkSession, *rest):
+        if spark.conf.get(ARROW_ROWS_SETTING) == "10000":
+            spark.conf.set(ARROW_ROWS_SETTING, ARROW_ROWS)
+        return run(spark, *rest)
+
+    return bounded
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, UPPER, LOWER)

@@ -53,6 +53,7 @@ MEETINGS = 3  # lists in which two sets must meet after each has left its longes
 SPARE = 20  # a set is entered into one more list, to leave the longest, for so many shingles
 CROWD = 32  # longest list whose members are paired
 BLOCK = 512  # sets of a group that are compared with so many others in one task
+SETS_AT_ONCE = 512  # entries (a set's keys of one kind, or whole sets) that are sent on together
 FILTER_BITS = 1 << 23  # most bits of the filter that finds the documents of sets to verify
 PLAIN, LESSER, GREATER, LISTED = 0, 1, 2, 3  # what a key's row is: equal sizes, smaller set, larger set, list entry
 
@@ -96,7 +97,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, set_id) a row, and (bin, seen) rows: shingles of the documents by hashed bin."""
+    """(doc_id, text_id, n, set_id) a row, and (bin, seen) rows: shingles of the documents by hashed bin."""
     def run(batches):
         bins = np.zeros(1 << BIN_BITS, np.int64)
         for batch in batches:
@@ -106,16 +107,16 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 ids.append(set_id(shingles) if len(shingles) else None)
                 np.add.at(bins, (shingles >> np.uint64(64 - BIN_BITS)).astype(np.int64), 1)
             rows = len(n)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(ids, pa.int64()),
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_id"), pa.array(n, pa.int32()), pa.array(ids, pa.int64()),
                                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], schema=out)
         at = np.flatnonzero(bins)
         for part in np.array_split(at, 1 + len(at) // 50_000):
             rows = len(part)
-            yield pa.record_batch([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()),
+            yield pa.record_batch([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()),
                                    pa.array(part, pa.int32()), pa.array(bins[part])], schema=out)
 
-    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.int64()), ("bin", pa.int32()), ("seen", pa.int64())])
-    return docs.mapInArrow(run, "doc_id long, n int, set_id long, bin int, seen long")
+    out = pa.schema([("doc_id", pa.int64()), ("text_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.int64()), ("bin", pa.int32()), ("seen", pa.int64())])
+    return docs.withColumn("text_id", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_id long, n int, set_id long, bin int, seen long")
 
 
 def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> DataFrame:
@@ -131,17 +132,20 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
             yield kind, mix(marks[at].sum(1) + tag)
 
     def run(batches):
-        counts, done = rarity.value, set()
-        for batch in batches:
-            kinds, keys, ids, sizes, places = [], [], [], [], []
+        counts, done = rarity.value, set()  # ids of the task's own sets
+        held: list[tuple] = []
+
+        def add(kind, key, own, n, listed):
+            held.append((kind, _signed(key), own, n, listed))
 
-            def add(kind, key, own, n, listed):
-                kinds.append(np.full(len(key), kind, np.int32))
-                keys.append(_signed(key))
-                ids.append(np.full(len(key), own, np.int64))
-                sizes.append(np.full(len(key), n, np.int32))
-                places.append(np.full(len(key), listed, np.int32))
+        def flushed():
+            sizes = [len(x[1]) for x in held]
+            whole = [np.repeat(np.array([x[c] for x in held], kind), sizes) if c != 1 else np.concatenate([x[1] for x in held])
+                     for c, kind in enumerate((np.int32, np.int64, np.int64, np.int32, np.int32))]
+            held.clear()
+            return pa.record_batch([pa.array(x) for x in whole], names=["kind", "key", "set_id", "n", "listed"])
 
+        for batch in batches:
             for shingles in shingle_sets(batch.column("text"), k):
                 n = len(shingles)
                 own = set_id(shingles) if n else None
@@ -159,10 +163,10 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
                     within = np.flatnonzero(seen <= seen[rare].max())
                     first = within[np.lexsort((shingles[within], seen[within]))[:p]]
                     add(LISTED, shingles[first], own, n, p)
-            if keys:
-                whole = [np.concatenate(x) for x in (kinds, keys, ids, sizes, places)]
-                for a in range(0, len(whole[0]), 100_000):
-                    yield pa.record_batch([pa.array(x[a:a + 100_000]) for x in whole], names=["kind", "key", "set_id", "n", "listed"])
+                if len(held) >= SETS_AT_ONCE:
+                    yield flushed()
+        if held:
+            yield flushed()
 
     return docs.select("text").mapInArrow(run, "kind int, key long, set_id long, n int, listed int")
 
@@ -174,12 +178,12 @@ def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> Data
     without an id are picked where a set occurs in no other.
     """
     def run(batches):
-        for batch in batches:
+        for some in (batch.slice(i, SETS_AT_ONCE) for batch in batches for i in range(0, batch.num_rows, SETS_AT_ONCE)):
             ids, sets = [], []
-            for shingles in shingle_sets(batch.column("text"), k):
+            for shingles in shingle_sets(some.column("text"), k):
                 ids.append(set_id(shingles) if len(shingles) else None)
                 sets.append(shingles.tobytes())
-            yield pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=out)
+            yield pa.record_batch([some.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=out)
 
     out = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("shingles", pa.binary())])
     wanted = stored(ids.distinct().join(rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set_id"))
@@ -314,12 +318,15 @@ def heavy_links(live: DataFrame, docs: DataFrame, rows: DataFrame, links: DataFr
     return stored(links.unionByName(verified(pairs, pair_sets(pairs), percent)).unionByName(crowd_links(crowded, docs, rows, k, percent)))
 
 
-def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+def jaccard_rows(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_id, n_shingles, component, component_id) for every row of ``docs``.
+
+    ``text_id`` is xxhash64 of the text; ``component`` names the linked sets, null for the empty set.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     first = stored(signatures(docs, k))
-    rows = first.filter("bin is null").select("doc_id", "n", "set_id")
+    rows = first.filter("bin is null").select("doc_id", "text_id", "n", "set_id")
     sizes = rows.filter(f"n between 1 and {MOST_LIGHT * 2}").groupBy("n").agg(F.countDistinct("set_id").alias("c")).collect()
     boundary = light_boundary({r["n"]: r["c"] for r in sizes}, percent)
     counted = first.filter("bin is not null").groupBy("bin").agg(F.sum("seen").alias("seen")).toArrow()
@@ -341,9 +348,14 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id
     nodes = (rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
              .join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
     named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = nodes.join(named, "component").select("set_id", "component_id")
-    return (rows.join(by_set, "set_id", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    by_set = nodes.join(named, "component").select("set_id", "component", "component_id")
+    return (rows.join(by_set, "set_id", "left").select("doc_id", "text_id", F.col("n").cast("long").alias("n_shingles"), "component",
+                                                       F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def jaccard_components(docs: DataFrame, k: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    return jaccard_rows(docs, k, percent, key, text).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starloom.llm.bpe import op10_bpe
+from starloom.llm.common import bounded_batches
 from starloom.llm.embedding_join import OP7_SQL, op7_embedding_join
 from starloom.llm.html_text import op1_html_text
 from starloom.llm.mixing import OP2_SQL, op2_mix_sources
@@ -16,7 +17,7 @@ from starloom.llm.toxicity import op8_toxicity
 from starloom.llm.url_filter import OP6_SQL, op6_url_filter
 from starloom.llm.vector_codes import OP13_SQL, op13_vector_codes
 
-QUERIES = {
+QUERIES = {name: bounded_batches(query) for name, query in {
     "op1_html_text": op1_html_text,
     "op2_mix_sources": op2_mix_sources,
     "op3_ngram_join": op3_ngram_join,
@@ -30,7 +31,7 @@ QUERIES = {
     "op11_token_alignment": op11_token_alignment,
     "op12_phrase_index": op12_phrase_index,
     "op13_vector_codes": op13_vector_codes,
-}
+}.items()}
 
 ORACLE_SQL = {
     "op2_mix_sources": OP2_SQL,

@@ -87,6 +87,14 @@ def test_odd_documents_pass_every_stage(spark):
     assert {r.doc_id for r in left} >= {None, 5} and 4 not in {r.doc_id for r in left}
 
 
+def test_texts_that_share_an_id_stay_apart(spark):
+    schema = table(spark, SF_SMALL, "documents").select(*COLUMNS).schema
+    one, two = "a b c d e f g h i j", "k l m n o p q r s t u"
+    rows = [(3, one, "en", "s", 1), (3, two, "en", "s", 2), (3, two, "en", "s", 2), (4, two, "en", "s", 2), (5, "", "en", "s", 0), (5, None, "en", "s", 0), (6, "", "en", "s", 0)]
+    left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), SF_SMALL).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == [(3, one), (3, two), (5, ""), (5, None), (6, "")]
+
+
 def test_run_chains_the_stages(spark, monkeypatch):
     stages = [("a", lambda s, docs, d: docs.filter("doc_id < 9")), ("b", lambda s, docs, d: docs.withColumn("n", F.lit(1)))]
     monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
