@@ -4,12 +4,14 @@ A term is a lower-cased run of letters, or the first 4 to 7 letters of a longer
 hashed to one of 2**20 buckets.  score = sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j) with
 x = sqrt(occurrences): the factors learn pairs of terms that matter together, which single weights
 miss.  The machine is fitted on the driver on at most ``SAMPLE`` labelled rows, those with the least hash
-of their id; only hashed counts leave the executors.  Terms enter by their chi-square over that sample.
-Every whole text is scored.
+of their id; only hashed counts leave the executors.  A term enters by its chi-square with the label over that sample, or, since
+a term may matter only together with another, by a pair: of the ``FREQUENT`` most frequent terms all pairs are tested for
+an interaction (label 1 is more, or less, frequent with both than either term alone explains).  All frequent terms at once would
+only add noise.  Every whole text is scored.
 
 Defined cases: a null or empty text has no terms and gets the base rate; without labels of both kinds
 the score is the share of label 1 (0 without any); repeated rows are scored each; a label table that repeats an
-id counts its largest label; rows with a null label or id teach nothing; other columns stay, those
+id counts its largest label, and a document table that repeats an id teaches by its least row; rows with a null label or id teach nothing; other columns stay, those
 named like results are replaced.
 """
 
@@ -17,8 +19,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,9 +34,11 @@ BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7)
 SAMPLE = 12_000  # most labelled rows that the fit looks at
 TERMS = 8_192  # most terms of a model
+FREQUENT = 512  # terms whose pairs are tested
+PAIR_Z = 6.0  # standard deviations from which on a pair's interaction counts: chance does not reach it among all pairs
 MIN_ROWS = 3  # rows of the sample that a term must occur in
 FACTORS = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000  # words that a task remembers; then it starts anew
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -144,10 +148,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
                                 "term": [term[a:b] for a, b in zip(cut, cut[1:])], "n": [n[a:b] for a, b in zip(cut, cut[1:])]})
 
     sample = stored(rows.mapInPandas(counted, "id string, label int, term array<int>, n array<int>"))
-    chosen = np.sort(np.array([r["term"] for r in telling_terms(sample)], np.int64))
-    sent = docs.sparkSession.sparkContext.broadcast(chosen)  # at most TERMS numbers
+    size = sample.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids")).first()
+    if size["rows"] > size["ids"]:
+        sample = stored(sample.groupBy("id").agg(F.min(F.struct("label", "term", "n")).alias("least")).select("id", "least.*"))
+    chosen = np.sort(np.array(telling_terms(sample), np.int64))
+    got = narrowed(sample, chosen)
+    at, n = [np.frombuffer(r["at"], np.int32) for r in got], [np.frombuffer(r["n"], np.int32) for r in got]
+    empty = np.zeros(0, np.int64)
+    return fit_machine(np.array([r["label"] for r in got], float), np.repeat(np.arange(len(got)), list(map(len, at))),
+                       np.concatenate([empty, *at]).astype(np.int64), np.concatenate([empty, *n]).astype(float), chosen)
 
-    def narrowed(batches):
+
+def narrowed(sample: DataFrame, terms: np.ndarray) -> list:
+    """(id, label, at, n) of all rows of the sample, with those terms only (``at``: their places), in a fixed order."""
+    sent = sample.sparkSession.sparkContext.broadcast(terms)  # at most TERMS numbers
+
+    def run(batches):
         for batch in batches:
             at, n = [], []
             for t, c in zip(batch["term"], batch["n"]):
@@ -157,31 +173,44 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
                 n.append(np.asarray(c, np.int32)[keep].tobytes())
             yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "at": at, "n": n})
 
-    got = sample.mapInPandas(narrowed, "id string, label int, at binary, n binary").collect()
-    got.sort(key=lambda r: (r["id"], r["label"], r["at"], r["n"]))
-    at, n = [np.frombuffer(r["at"], np.int32) for r in got], [np.frombuffer(r["n"], np.int32) for r in got]
-    empty = np.zeros(0, np.int64)
-    return fit_machine(np.array([r["label"] for r in got], float), np.repeat(np.arange(len(got)), list(map(len, at))),
-                       np.concatenate([empty, *at]).astype(np.int64), np.concatenate([empty, *n]).astype(float), chosen)
+    got = sample.mapInPandas(run, "id string, label int, at binary, n binary").collect()
+    return sorted(got, key=lambda r: (r["id"], r["label"], r["at"], r["n"]))
+
 
+def interacting(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Which columns of ``x`` (0 or 1) have a pair whose interaction on the labels is beyond ``PAIR_Z``."""
+    n, one, y = len(x), x.sum(0), x.T @ labels
+    both, y_both = x.T @ x, x.T @ (x * labels[:, None])
+    cells = [(both, y_both, 1), (one[:, None] - both, y[:, None] - y_both, -1), (one[None, :] - both, y[None, :] - y_both, -1),
+             (n - one[:, None] - one[None, :] + both, labels.sum() - y[:, None] - y[None, :] + y_both, 1)]
+    effect, variance = 0.0, 0.0
+    for count, positive, sign in cells:
+        share = (positive + 0.5) / (count + 1)
+        effect, variance = effect + sign * share, variance + share * (1 - share) / (count + 1)
+    z = np.abs(effect) / np.sqrt(variance)
+    np.fill_diagonal(z, 0)
+    return (z > PAIR_Z).any(axis=1)
 
-def telling_terms(sample: DataFrame) -> list:
-    """The at most ``TERMS`` terms of highest chi-square with the label, above its 5 % point."""
+
+def telling_terms(sample: DataFrame) -> list[int]:
+    """The at most ``TERMS`` terms that enter: those of pairs that interact, and those of highest chi-square above its 5 % point."""
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")).first()
     n, share = size["n"], (size["positive"] or 0) / max(1, size["n"])
     if share in (0.0, 1.0):
         return []
     expected = F.col("df") * share
     chi = (F.col("df1") - expected) ** 2 / (expected * (1 - F.col("df") / (n + 1)) * (1 - share))
-    return (sample.select("label", F.explode("term").alias("term")).groupBy("term")
-            .agg(F.count(F.lit(1)).alias("df"), F.sum("label").alias("df1")).filter(F.col("df") >= MIN_ROWS)
-            .select("term", chi.alias("chi")).filter("chi > 3.84").orderBy(F.desc("chi"), "term").limit(TERMS).collect())
-
-
-@lru_cache(maxsize=4)
-def _scorer(key: bytes) -> _Terms:
-    terms = np.frombuffer(key, np.int64)
-    return _Terms({int(t): i for i, t in enumerate(terms)})
+    counted = stored(sample.select("label", F.explode("term").alias("term")).groupBy("term")
+                     .agg(F.count(F.lit(1)).alias("df"), F.sum("label").alias("df1")).filter(F.col("df") >= MIN_ROWS)
+                     .select("term", "df", chi.alias("chi")))
+    frequent = np.sort(np.array([r["term"] for r in counted.orderBy(F.desc("df"), "term").limit(FREQUENT).collect()], np.int64))
+    telling = [r["term"] for r in counted.filter("chi > 3.84").orderBy(F.desc("chi"), "term").limit(TERMS).collect()]
+    rows = narrowed(sample, frequent)
+    x = np.zeros((len(rows), len(frequent)), np.float32)
+    for i, r in enumerate(rows):
+        x[i, np.frombuffer(r["at"], np.int32)] = 1
+    paired = frequent[interacting(x, np.array([r["label"] for r in rows], np.float32))].tolist()
+    return paired + [t for t in telling if t not in set(paired)][:TERMS - len(paired)]
 
 
 def score(docs: DataFrame, machine: FactorizationMachine, text: str = "text", out: str = "score") -> DataFrame:
@@ -189,15 +218,17 @@ def score(docs: DataFrame, machine: FactorizationMachine, text: str = "text", ou
     sent = docs.sparkSession.sparkContext.broadcast(machine)  # at most TERMS x (2 + FACTORS) numbers
 
     @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        model, out = sent.value, []
-        lookup = _scorer(model.terms.tobytes())
-        for start in range(0, len(texts), 512):
-            some = [t or "" for t in texts.slice(start, 512).to_pylist()]
-            row, at, n = _counts(some, lookup.__getitem__)
-            margin = model.margins(row, at, np.sqrt(n), len(some))
-            out.append(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
-        return pa.array(np.concatenate([np.zeros(0), *out]))
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = sent.value
+        lookup = _Terms({int(t): i for i, t in enumerate(model.terms)})  # the task's own: nothing stays in the worker
+        for texts in batches:
+            out = [np.zeros(0)]
+            for start in range(0, len(texts), 512):
+                some = [t or "" for t in texts.slice(start, 512).to_pylist()]
+                row, at, n = _counts(some, lookup.__getitem__)
+                margin = model.margins(row, at, np.sqrt(n), len(some))
+                out.append(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+            yield pa.array(np.concatenate(out))
 
     return docs.select(*[c for c in docs.columns if c != out], scored(F.col(text)).alias(out))
 

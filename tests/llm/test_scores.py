@@ -29,6 +29,48 @@ def test_pairs_matter_beyond_single_terms():
     assert ((margin > 0) == (labels == 1)).all() and model.factors[0] @ model.factors[1] > 1
 
 
+def test_a_signal_of_pairs_alone_is_learned_from_texts(spark):
+    """Either word alone marks a document, both or none do not: no single word tells anything."""
+    words = [w for i in range(40) for w in [f"filler{i}"]]
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(1_200):
+        a, b = i % 2, i // 2 % 2
+        rows.append((i, " ".join([*rng.choice(words, 6), *["wolf"] * a, *["moon"] * b]), int(a != b)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    machine = toxicity.train(frame.select("doc_id", "text"), frame.filter("doc_id < 900").select("doc_id", "toxic"))
+    got = toxicity.score(frame, machine).filter("doc_id >= 900").collect()
+    assert np.mean([(r.score >= 0.5) == (r.toxic == 1) for r in got]) > 0.9
+
+
+def plain_score(machine, text):
+    """The machine's formula, pair by pair."""
+    counts = {}
+    for word in toxicity._LETTERS.findall((text or "").lower()):
+        for term in toxicity.terms_of(word):
+            counts[term] = counts.get(term, 0) + 1
+    place = {int(t): i for i, t in enumerate(machine.terms)}
+    x = [(place[t], n ** 0.5) for t, n in counts.items() if t in place]
+    margin = machine.base + sum(machine.weights[i] * v for i, v in x)
+    margin += sum(machine.factors[i] @ machine.factors[j] * v * w for k, (i, v) in enumerate(x) for j, w in x[:k])
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
+def test_scores_equal_the_formula(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    machine = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), labels)
+    for r in toxicity.score(docs, machine).collect():
+        assert r.score == pytest.approx(plain_score(machine, r.text), abs=1e-9)
+
+
+def test_rows_that_repeat_an_id_teach_once(spark):
+    docs = spark.createDataFrame([(i, "good words" if i % 2 else "bad words") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
+    once, many = toxicity.train(docs, labels), toxicity.train(docs.unionByName(docs).unionByName(docs.filter("doc_id = 1")), labels)
+    assert (once.terms == many.terms).all() and np.allclose(once.weights, many.weights)
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 9.0), (2, "", 9.0), (2, "", 9.0), (None, "word " * 9000, 9.0)], "doc_id long, text string, score double")
     none = toxicity.train(docs, spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int"))
