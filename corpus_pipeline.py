@@ -5,8 +5,8 @@ stays; personal data is replaced by the name of its kind; sources are mixed to t
 repeat as often as the mix takes them); texts become token ids.  Each stage reads what its predecessor
 wrote.  All but the last return the columns of ``documents``.
 
-Defined cases are those of the operators; a row without an id cannot name a group and stays, rows that repeat an
-id are one document in the near-duplicate stage.
+Defined cases are those of the operators; a row without an id cannot name a group and stays.  Rows that repeat an id and
+its text are one document in the near-duplicate stage; other texts under that id are documents of their own.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import bpe, mixing, ngram_join, pii, toxicity
-from starloom.llm.common import stored, table, word_count
+from starloom.llm.common import bounded_batches, stored, table, word_count
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS, PERCENT = 5, 80
@@ -29,18 +29,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked shingle sets."""
-    joined = ngram_join.jaccard_components(docs, SHINGLE_WORDS, PERCENT)
-    heads = joined.filter("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*[c for c in COLUMNS if c != "doc_id"])
-    kept = docs.join(heads, "doc_id").groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")
+    """One document of each group of linked shingle sets: of least id, then of least hash of its text."""
+    joined = ngram_join.jaccard_rows(docs, SHINGLE_WORDS, PERCENT).filter("doc_id is not null")
+    first = joined.filter("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_id")).alias("head")).select("head.*")
+    heads = first.unionByName(joined.filter("component is null").select("doc_id", "text_id")).distinct()
+    named = docs.select(*COLUMNS, F.xxhash64("text").alias("text_id"))
+    kept = named.join(heads, ["doc_id", "text_id"], "left_semi").dropDuplicates(["doc_id", "text_id"])
     return kept.select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with ``[KIND]`` in place of personal data."""
-    proposer = pii.train(stored(pii.scan(docs).select("doc_id", "candidates")))
-    found = pii.with_spans(pii.scan(docs), proposer)
+    scanned = stored(pii.scan(docs))
+    found = pii.with_spans(scanned, pii.train(scanned))
     text = F.when(F.col("text").isNull(), F.col("text")).otherwise(pii.redacted(F.col("text"), F.col("spans")))
     clean = found.withColumn("text", text)
     changed = F.size("spans") > 0
@@ -60,13 +61,13 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [
+STAGES = [(name, bounded_batches(stage)) for name, stage in [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("personal_data", redact_personal_data),
     ("mixing", mix_sources),
     ("tokens", encode_tokens),
-]
+]]
 
 # Scores of a trained model, code-point spans and token ids are outside SQL; tests hold the stages
 # against brute-force versions.
