@@ -39,8 +39,11 @@ FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RANGE_BYTES = 32_768
 BLOCK_BYTES = 2_000_000
 FAN = 8
-CACHE_BYTES = 16_000_000  # text of the chunks whose tokens a worker keeps; then it starts anew
-_SAFE = re.compile(r"(?<=\S)(?= )")
+CACHE_CHUNKS, CACHE_BYTES = 300_000, 8_000_000  # chunks whose tokens a worker keeps, and their text; then it starts anew
+ROWS_AT_ONCE = 16  # ranges that are taken out of a batch together
+TOGETHER = 64  # chunks that are encoded as one text
+# A chunk: a space, and all up to the next space that follows something else than white space.
+_CHUNK = re.compile(r" \s*(?:\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?)?")
 
 FRAGMENT = "struct<cut:boolean,head_a:string,head_b:string,body:string,tail_a:string,tail_b:string>"
 
@@ -76,48 +79,92 @@ class TokenizerPair:
         if not plain or any(p.lstrip("▁").count("▁") for p in pieces):
             raise ValueError("these tokenizers can join a character to a space after it")
 
-    def _clear(self):
+    def _clear(self, most: int = 0):
+        most = max(most, CACHE_CHUNKS)
         self.known, self.kept_bytes = {}, 0
-        self.ids_a, self.ids_b, self.same = [], [], []
+        self.same = np.zeros(most, bool)
+        # of A and of B: the tokens of all chunks, and where each chunk's begin
+        self.flat, self.starts = [np.zeros(1 << 16, np.int32) for _ in "ab"], [np.zeros(most + 1, np.int64) for _ in "ab"]
+
+    def _ids(self, texts: list[str]) -> list[list[np.ndarray]]:
+        """The tokens of A and of B of texts that begin with a space; the second tokenizer adds that itself."""
+        return [[np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)],
+                # the library takes the added space alone for an empty text
+                [np.array(ids or [self.space], np.int64) for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]]
 
     def learn(self, chunks: list[str]) -> None:
-        """Encode chunks, which begin with a space; the second tokenizer adds that itself."""
-        for i in range(0, len(chunks), 4_096):
-            some = chunks[i:i + 4_096]
-            got_a = [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-            got_b = self.b.encode([c[1:] for c in some], num_threads=1)
-            for chunk, a, b in zip(some, got_a, got_b):
-                if chunk == " ":
-                    b = [self.space]  # the library takes it for an empty text
-                whole = chunk.encode("utf-8")
-                self.known[chunk] = len(self.ids_a)
-                self.ids_a.append(np.array(a, np.int32))
-                self.ids_b.append(np.array(b, np.int32))
-                self.same.append(b"".join([self.bytes_a[t] for t in a]) == whole and b"".join([self.bytes_b[t] for t in b]) == whole)
-                self.kept_bytes += len(whole)
+        """Encode chunks and keep their tokens.
+
+        Chunks that end in no white space are encoded many together, since each begins with a safe cut, and told apart by
+        their bytes; those of a text whose tokens have other bytes, or do not end with the chunks, again one by one.
+        """
+        alone = [c for c in chunks if c[-1].isspace()]
+        rest = [c for c in chunks if not c[-1].isspace()]
+        for i in range(0, len(rest), 4_096):
+            groups = [rest[k:min(k + TOGETHER, i + 4_096)] for k in range(i, min(i + 4_096, len(rest)), TOGETHER)]
+            for group, a, b in zip(groups, *self._ids(["".join(g) for g in groups])):
+                whole = [c.encode("utf-8") for c in group]
+                joined, ends = b"".join(whole), np.cumsum([len(w) for w in whole])
+                parts = [self._parted(ids, names, sizes, joined, ends) for ids, names, sizes in ((a, self.bytes_a, self.size_a), (b, self.bytes_b, self.size_b))]
+                if parts[0] is None or parts[1] is None:
+                    alone += group
+                else:
+                    self._keep(group, [a, b], parts, np.ones(len(group), bool))
+        for i in range(0, len(alone), 1_024):
+            some = alone[i:i + 1_024]
+            got = self._ids(some)
+            same = [all(b"".join([names[t] for t in ids.tolist()]) == c.encode("utf-8") for ids, names in ((a, self.bytes_a), (b, self.bytes_b)))
+                    for c, a, b in zip(some, *got)]
+            self._keep(some, [np.concatenate(rows) for rows in got], [np.array([len(r) for r in rows]) for rows in got], np.array(same, bool))
+
+    @staticmethod
+    def _parted(ids: np.ndarray, names: list[bytes], sizes: np.ndarray, whole: bytes, ends: np.ndarray) -> np.ndarray | None:
+        """Tokens up to each of the ends, as counts; None where the bytes differ or an end is inside a token."""
+        if b"".join([names[t] for t in ids.tolist()]) != whole:
+            return None
+        stops = np.cumsum(sizes[ids])
+        at = np.searchsorted(stops, ends)
+        return np.diff(at, prepend=-1) if (stops[at] == ends).all() else None
+
+    def _keep(self, chunks: list[str], ids: list[np.ndarray], counts: list[np.ndarray], same: np.ndarray) -> None:
+        first = len(self.known)
+        self.known.update(zip(chunks, range(first, first + len(chunks))))
+        self.same[first:first + len(chunks)] = same
+        self.kept_bytes += sum(map(len, chunks))
+        for side in (0, 1):
+            used = self.starts[side][first]
+            while used + len(ids[side]) > len(self.flat[side]):
+                self.flat[side] = np.concatenate([self.flat[side], np.zeros_like(self.flat[side])])
+            self.flat[side][used:used + len(ids[side])] = ids[side]
+            self.starts[side][first + 1:first + 1 + len(chunks)] = used + np.cumsum(counts[side])
 
     def encode(self, texts: list[list[str]]) -> tuple:
         """(ids of A, ids of B, tokens of A a text, tokens of B a text) of texts in chunks, and which have their own bytes.
 
         Texts without tokens have none of either.
         """
-        fresh = {c for chunks in texts for c in chunks if c not in self.known}
-        if self.kept_bytes + sum(map(len, fresh)) > CACHE_BYTES:
-            self._clear()
-            fresh = {c for chunks in texts for c in chunks}
+        chunks = [c for some in texts for c in some]
+        fresh = {c for c, at in zip(chunks, map(self.known.get, chunks)) if at is None}
+        if len(self.known) + len(fresh) > CACHE_CHUNKS or self.kept_bytes > CACHE_BYTES:
+            fresh = set(chunks)
+            self._clear(len(fresh))
         self.learn(list(fresh))
-        at = [[self.known[c] for c in chunks] for chunks in texts]
-        good = np.array([bool(x) and all(self.same[i] for i in x) for x in at], bool)
-        rows_a = [[self.ids_a[i] for i in x] if g else [] for x, g in zip(at, good)]
-        rows_b = [[self.ids_b[i] for i in x] if g else [] for x, g in zip(at, good)]
-        count = lambda rows: np.array([sum(map(len, r)) for r in rows], np.int64)
-        flat = lambda rows: np.concatenate([np.zeros(0, np.int32), *[x for r in rows for x in r]])
-        return flat(rows_a), flat(rows_b), count(rows_a), count(rows_b), good
+        many = np.array([len(some) for some in texts], np.int64)
+        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        owner = np.repeat(np.arange(len(texts)), many)
+        good = (many > 0) & (np.bincount(owner[~self.same[at]], minlength=len(texts)) == 0)
+        at, owner = at[good[owner]], owner[good[owner]]
+        out = []
+        for flat, starts in zip(self.flat, self.starts):
+            size = starts[at + 1] - starts[at]
+            place = np.arange(size.sum()) + np.repeat(starts[at] - (np.cumsum(size) - size), size)
+            out.append((flat[place], np.bincount(owner, size, len(texts)).astype(np.int64)))
+        return out[0][0], out[1][0], out[0][1], out[1][1], good
 
 
 def chunks_of(text: str | None) -> list[str]:
     """The text, after a space, cut before every space that follows something else."""
-    return _SAFE.split(" " + text) if text else []
+    return _CHUNK.findall(" " + text) if text else []
 
 
 def byte_ranges(chunks: list[str], width: int) -> list[tuple[list[str], int, int, int]]:
@@ -292,15 +339,15 @@ def aligned_ranges(ranges: DataFrame, files) -> DataFrame:
     """Byte ranges with their fragments, and their linked pairs as (pairs, times)."""
     def run(batches):
         pair = _pair(*files.value)
-        for batch in batches:
-            for x in batch.to_pylist():
-                a, b, _, _, good = pair.encode([x["chunks"]])
+        for some in (batch.slice(i, ROWS_AT_ONCE).to_pylist() for batch in batches for i in range(0, batch.num_rows, ROWS_AT_ONCE)):
+            all_a, all_b, n_a, n_b, good = pair.encode([x["chunks"] for x in some])
+            for x, a, b, own in zip(some, np.split(all_a, np.cumsum(n_a)[:-1]), np.split(all_b, np.cumsum(n_b)[:-1]), good):
                 ends_a, ends_b = x["start"] + np.cumsum(pair.size_a[a]), x["start"] + np.cumsum(pair.size_b[b])
                 in_a, in_b = (ends_a > x["low"]) & (ends_a <= x["high"]), (ends_b > x["low"]) & (ends_b <= x["high"])
                 made = Alignment(pair, a[in_a], b[in_b], ends_a[in_a], ends_b[in_b])
                 pairs, times = np.unique(made.links(), return_counts=True)
                 yield pa.RecordBatch.from_pylist([{**{c: x[c] for c in ("row", "doc_id", "no")}, "n_a": int(in_a.sum()), "n_b": int(in_b.sum()), "n_links": int(made.cut_a.sum()),
-                                                   "good": bool(good[0]), "pairs": pairs, "times": times, "fragment": made.fragment()}], ROW)
+                                                   "good": bool(own), "pairs": pairs, "times": times, "fragment": made.fragment()}], ROW)
 
     return ranges.select("row", "doc_id", "no", "chunks", "start", "low", "high").mapInArrow(run, ROW_TYPE)
 

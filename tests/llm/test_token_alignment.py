@@ -123,3 +123,24 @@ def test_very_long_texts_are_composed_from_many_tasks(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert aligned(spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+def test_chunks_are_cut_before_spaces_after_something_else():
+    import re
+    rnd = random.Random(2)
+    for _ in range(300):
+        text = "".join(rnd.choice(["a", "bc", " ", "  ", "\n", "\t", "\u2003", "\x1c", "é"]) for _ in range(rnd.randrange(1, 30)))
+        chunks = token_alignment.chunks_of(text)
+        assert chunks == re.split(r"(?<=\S)(?= )", " " + text) and "".join(chunks) == " " + text
+
+
+def test_chunks_in_one_text_or_alone_have_the_same_tokens(monkeypatch):
+    with open(PATHS[0], encoding="utf-8") as a, open(PATHS[1], "rb") as b:
+        pair = token_alignment.TokenizerPair(a.read(), b.read())
+    rnd = random.Random(4)
+    texts = [token_alignment.chunks_of("".join(rnd.choice(["tion", "the", " ", " ", "\n", "▁", "'s", "9", "日", "é"]) for _ in range(40))) for _ in range(200)]
+    got = pair.encode(texts)
+    monkeypatch.setattr(token_alignment, "TOGETHER", 1)
+    pair._clear()
+    again = pair.encode(texts)
+    assert all((x == y).all() for x, y in zip(got, again)) and not got[4].all()
