@@ -29,6 +29,7 @@ from __future__ import annotations
 import argparse
 import time
 import uuid
+from copy import copy
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,7 +83,8 @@ def run(w: Warehouse, out_root: str, strict: bool = False, database: str | None
     reconciliation counts and the failing checks.
     """
     with scratch(w.spark):
-        return _run(w, out_root, strict, database, allow_difference)
+        # a copy: what the run builds goes with its scratch folder, what ``w`` has built before is used
+        return _run(copy(w), out_root, strict, database, allow_difference)
 
 
 def _run(w: Warehouse, out_root: str, strict: bool, database: str | None, allow_difference: bool) -> dict:
