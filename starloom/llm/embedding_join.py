@@ -5,12 +5,15 @@ Equal vectors are one node from the start.  Pivots partition the nodes into cell
 nearest pivot.  By the triangle inequality a node v can link into the cell of pivot p only if
 d(v, p) <= radius(p) + eps, and only if it lies within eps of the plane between p and its own pivot; it is
 copied to the cells of lower number for which both hold, so every pair of cells is joined once.  A cell is
-joined on its own, in blocks of ``BLOCK`` rows a side, so that neither a large cell nor a hot one
-meets in one task.  A block gives each node's number of links and, instead of all pairs, one edge from each
-linked node to the least node of its component within the block.
+joined on its own, in blocks of ``BLOCK`` rows (at most ``BLOCK_BYTES``) a side, so that neither a large cell nor a hot one
+meets in one task.  A block multiplies ``TILE`` rows at a time in single precision; pairs within ``LOOSE`` of the threshold, far more
+than that can err, are decided in double precision.  It gives each node's number of links and, instead of all pairs, edges
+that connect what the links connect: a node's least known label to a lesser one, when it changes.
 
 Pivots are the nodes of least hash: one for ``CELL`` nodes, at most ``MOST_PIVOTS``, which bounds
-the broadcast.  Their choice changes the work, never the links.
+the broadcast.  Their choice changes the work, never the links.  Where vectors lie evenly in many dimensions, bounds by distance
+prune little, whatever the pivots, and most cells meet: the join then costs a product of all vectors in blocks.  Cells
+are therefore as large as a block, so that a node is copied seldom.
 
 Defined cases: a vector that is null, zero or has null or non-finite components links with
 nothing; vectors of different length do not link; repeated rows are vectors of their own; an empty table
@@ -23,16 +26,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import stored, table
 from starloom.llm.components import components
 
-CELL = 1_024
+CELL = 8_192
 MOST_PIVOTS = 4_096
-BLOCK = 1_024
+BLOCK = 8_192
+BLOCK_BYTES = 8_000_000  # in double precision; longer vectors come in fewer rows
+TILE = 256
+LOOSE = 1e-4
 SLACK = 1e-6  # widens eps against rounding; links are decided by the cosine itself
 
 
@@ -102,38 +107,62 @@ def in_cells(nodes: DataFrame, pivots, eps: float, radii=None) -> DataFrame:
             .mapInArrow(run, f"node long, copies long, vector {kind}, cell int, visits boolean, distance double"))
 
 
+def _linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float, tile: slice, x4: np.ndarray, y4: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the rows of ``x`` in the tile and of ``y`` that reach ``cosine``."""
+    near = x4[tile] @ y4.T >= cosine - LOOSE
+    if near.sum() * 16 > near.size:
+        i, j = np.nonzero(near & (x[tile] @ y.T >= cosine))
+        return i + tile.start, j
+    i, j = np.nonzero(near)
+    i += tile.start
+    keep = [np.einsum("rc,rc->r", x[i[k:k + 20_000]], y[j[k:k + 20_000]]) >= cosine for k in range(0, len(i), 20_000)]
+    keep = np.concatenate([np.zeros(0, bool), *keep])
+    return i[keep], j[keep]
+
+
 def _block_links(cosine: float):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        """Links between the two sides of a block pair."""
-        left, right = group[group["side"] == 0], group[group["side"] == 1]
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        if not len(a) or not len(b):
-            return pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64")
-        x, y = _unit(np.stack(left["vector"].to_numpy()).astype(float)), _unit(np.stack(right["vector"].to_numpy()).astype(float))
-        linked = (x @ y.T >= cosine) & (a[:, None] != b[None, :])
-        # a pair at home is met from both sides, a pair with a visitor from this one only
-        visits = right["visits"].to_numpy()
-        n_left = linked @ right["copies"].to_numpy()
-        n_right = np.where(visits, left["copies"].to_numpy() @ linked, 0)
-        low, high = a.copy(), b.copy()
-        while linked.any():
-            new_low = np.minimum(low, np.where(linked, high[None, :], np.iinfo(np.int64).max).min(axis=1))
-            new_high = np.minimum(high, np.where(linked, new_low[:, None], np.iinfo(np.int64).max).min(axis=0))
-            if (new_low == low).all() and (new_high == high).all():
-                break
-            low, high = new_low, new_high
-        in_left, in_right = linked.any(axis=1), linked.any(axis=0)
-        return pd.DataFrame({"node": np.concatenate([a[in_left], b[in_right]]),
-                             "links": np.concatenate([n_left[in_left], n_right[in_right]]).astype(np.int64),
-                             "root": np.concatenate([low[in_left], high[in_right]])})
+    def run(group: pa.Table) -> pa.Table:
+        """Links between the two sides of a block pair: (node, links, node) rows, and (label, 0, lesser label) rows."""
+        right_side = group.column("side").to_numpy() == 1
+        left, right = group.filter(pa.array(~right_side)), group.filter(pa.array(right_side))
+        a, b = left.column("node").to_numpy(), right.column("node").to_numpy()
+        x, y = _matrix(left.column("vector")), _matrix(right.column("vector"))
+        x4, y4 = x.astype(np.float32), y.astype(np.float32)
+        copies_left, copies_right = left.column("copies").to_numpy(), right.column("copies").to_numpy()
+        visits = right.column("visits").to_numpy(zero_copy_only=False)
+        n_left, n_right = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        low, high, edges = a.copy(), b.copy(), [np.zeros((2, 0), np.int64)]
+        for start in range(0, len(a) if len(b) else 0, TILE):
+            i, j = _linked_pairs(x, y, cosine, slice(start, start + TILE), x4, y4)
+            other = a[i] != b[j]
+            i, j = i[other], j[other]
+            if not len(i):
+                continue
+            n_left += np.bincount(i, copies_right[j], len(a)).astype(np.int64)
+            # a pair at home is met from both sides, a pair with a visitor from this one only
+            n_right += np.bincount(j, copies_left[i] * visits[j], len(b)).astype(np.int64)
+            old_low, old_high = low.copy(), high.copy()
+            while True:
+                least = np.minimum(low[i], high[j])
+                if (low[i] == least).all() and (high[j] == least).all():
+                    break
+                np.minimum.at(low, i, least)
+                np.minimum.at(high, j, least)
+            for old, new in ((old_low, low), (old_high, high)):
+                edges.append(np.unique(np.stack([old, new])[:, old != new], axis=1))
+        label, lesser = np.concatenate(edges, axis=1)
+        some_left, some_right = n_left > 0, n_right > 0
+        node = np.concatenate([a[some_left], b[some_right], label])
+        return pa.table({"node": node, "links": np.concatenate([n_left[some_left], n_right[some_right], np.zeros(len(label), np.int64)]),
+                         "root": np.concatenate([a[some_left], b[some_right], lesser])})
     return run
 
 
-def join_cells(cells: DataFrame, cosine: float) -> DataFrame:
-    """(node, links, root) from each block pair of each cell."""
+def join_cells(cells: DataFrame, cosine: float, block: int) -> DataFrame:
+    """(node, links, root) from each block pair of each cell, in blocks of ``block`` rows."""
     sizes = cells.groupBy("cell").agg(
-        F.ceil(F.sum((~F.col("visits")).cast("long")) / BLOCK).cast("int").alias("lefts"),
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("rights"))
+        F.ceil(F.sum((~F.col("visits")).cast("long")) / block).cast("int").alias("lefts"),
+        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("rights"))
     rows = (cells.drop("distance").join(F.broadcast(sizes), "cell")  # a row a cell: at most MOST_PIVOTS
             .withColumn("l", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int"))
             .withColumn("r", F.pmod(F.xxhash64("node", F.lit(1)), F.col("rights")).cast("int")))
@@ -141,7 +170,7 @@ def join_cells(cells: DataFrame, cosine: float) -> DataFrame:
     rights = rows.withColumn("other", F.explode(F.expr("sequence(0, lefts - 1)")))
     met = (lefts.select("cell", "l", F.col("other").alias("r"), F.lit(0).alias("side"), "node", "copies", "visits", "vector")
            .unionByName(rights.select("cell", F.col("other").alias("l"), "r", F.lit(1).alias("side"), "node", "copies", "visits", "vector")))
-    return met.groupBy("cell", "l", "r").applyInPandas(_block_links(cosine), "node long, links long, root long")
+    return met.groupBy("cell", "l", "r").applyInArrow(_block_links(cosine), "node long, links long, root long")
 
 
 def range_join(vectors: DataFrame, cosine: float, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -159,7 +188,7 @@ def range_join(vectors: DataFrame, cosine: float, key: str = "vec_id", vector: s
         radii = np.full(len(centres), -1.0)  # an empty cell is reached by none
         radii[[s["cell"] for s in spread]] = [s["r"] for s in spread]
         cells = stored(in_cells(some, pivots, eps, spark.sparkContext.broadcast(radii)))
-        parts.append(stored(join_cells(cells, cosine)))
+        parts.append(stored(join_cells(cells, cosine, max(1, min(BLOCK, BLOCK_BYTES // (8 * r["dim"]))))))
     found = spark.createDataFrame([], "node long, links long, root long") if not parts else parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)

@@ -35,10 +35,11 @@ def plain(rows, cosine):
     return sorted((rows[i][0], links[i], least[find(i)], rows[i][0] == least[find(i)]) for i in range(n))
 
 
-@pytest.mark.parametrize("cell, block", [(1024, 1024), (12, 7)])
-def test_links_equal_all_pairs(spark, monkeypatch, cell, block):
+@pytest.mark.parametrize("cell, block, tile", [(1024, 1024, 256), (12, 7, 3), (40, 1000, 5)])
+def test_links_equal_all_pairs(spark, monkeypatch, cell, block, tile):
     monkeypatch.setattr(embedding_join, "CELL", cell)
     monkeypatch.setattr(embedding_join, "BLOCK", block)
+    monkeypatch.setattr(embedding_join, "TILE", tile)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 6))
     rows = [(i, [float(np.float32(x)) for x in centres[i % 12] + rng.normal(scale=0.25, size=6)]) for i in range(150)]
@@ -54,3 +55,24 @@ def test_empty_and_unusable_tables(spark):
     frame = spark.createDataFrame([(5, None), (6, [0.0, 0.0])], "vec_id long, embedding array<float>")
     assert sorted(tuple(r) for r in embedding_join.range_join(frame, 0.95).collect()) == [(5, 0, 5, True), (6, 0, 6, True)]
     assert embedding_join.range_join(frame.limit(0), 0.95).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.06, 0.12])
+def test_no_link_is_lost_near_the_threshold(spread):
+    """Chains and dense groups, most pairs near the threshold: the pairs of a tile equal those of double precision."""
+    rng = np.random.default_rng(int(spread * 100))
+    rows = np.repeat(rng.normal(size=(20, 24)), 15, axis=0)
+    rows += rng.normal(scale=spread * np.sqrt(24) / 2, size=rows.shape)
+    x = embedding_join._unit(rows)
+    want = (x @ x.T >= 0.95)
+    got = np.zeros_like(want)
+    for start in range(0, len(x), 64):
+        i, j = embedding_join._linked_pairs(x, x, 0.95, slice(start, start + 64), x.astype(np.float32), x.astype(np.float32))
+        got[i, j] = True
+    assert (got == want).all() and want.sum() > len(x)
+
+
+def test_other_columns_do_not_clash(spark):
+    rows = [(1, [1.0, 0.0], 5), (2, [1.0, 0.01], 5), (3, [0.0, 1.0], 5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, node int").selectExpr("*", "1 as id", "2 as vector", "3 as copies", "4 as component")
+    assert sorted(tuple(r) for r in embedding_join.range_join(frame, 0.95).collect()) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
