@@ -5,7 +5,8 @@ gets features of its subtree (text density, links, attribute tokens), its depth
 ancestors.  Gradient-boosted trees give the log-odds that an element's own text is main content.  They are
 fitted on the driver from at most ``SAMPLE_NODES`` nodes of at most ``SAMPLE_PAGES`` pages, those of least hash,
 whose landmarks tell their side: inside an article or main element, or inside navigation, footers, adverts, forms and the like.
-A clutter word on an element that wraps the main text (``has-sidebar`` on the body) speaks of the layout and is no landmark.
+A name is a landmark as a whole: ``share``, or ``share-bar`` whose other words only tell the place, but not ``share-prices``.
+A clutter word on an element that wraps the main text (``sidebar-left`` on the body) speaks of the layout and is no landmark.
 They start from a prior on landmark words, so that a corpus without landmarks still gets sensible scores.
 
 Decoding chooses for every element *content*, *clutter* or *mixed* (its children choose).  Below
@@ -41,7 +42,8 @@ MOST = 2.5  # the trees' sum is squeezed into +-MOST: structure decides where la
 
 # Classes of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object canvas select option button".split())
+RAW = frozenset("script style noscript template textarea title svg iframe canvas select option button".split())
+NESTED = frozenset("svg template canvas select button".split())  # of these, elements of the same name may lie inside
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead
 title tr ul""".split())
@@ -51,6 +53,10 @@ CLUTTER_WORDS = frozenset("""ad ads advert adverts advertisement advertising ban
 cookies copyright disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination
 popup promo promoted promotion recommended related replies respond reply search share sharing sidebar signup social
 sponsor sponsored subscribe subscription tags toolbar widget complementary contentinfo alert alertdialog""".split())
+# Words that beside others in a name only tell the place or the kind of box.
+PLACE_WORDS = frozenset("""area bar block bottom box col column container div element foot form group head holder icon icons inner item items js large
+left line link links list middle mobile module outer page pane panel post posts primary region right row secondary section site small sub tab
+this title top unit us wrap wrapper zone""".split())
 CONTENT_TAGS = frozenset("article main".split())
 CONTENT_WORDS = frozenset("article articlebody body content entry main post story text".split())
 IMPLIED = {"li": ("li", frozenset("ul ol menu".split())), "dt": ("dt dd", frozenset(["dl"])), "dd": ("dt dd", frozenset(["dl"])),
@@ -61,10 +67,30 @@ FEATURES = ["own_chars", "words", "stops", "digits", "link_share", "subtree_char
             "sibling", "siblings", "sibling_chars", "paragraph", "heading", "item", "clutter_here", "content_here", "clutter_above",
             "content_above", "place", "clutter_near"]
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_LANDMARK = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>\x00]*)"
+                    # a quote opens a value only right after "="; a value without quotes ends at white space
+                    r"((?:=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)|[^>])*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+_LANDMARKS = frozenset("class id role itemprop aria-label".split())
+_RAW_TAG = {name: re.compile(rf"<(/?){name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I | re.A) for name in RAW}
 _ATTRIBUTE_WORD = re.compile(r"[a-z]+")
 _SPACES = re.compile(r"\s+")
+_NAMING = CLUTTER_WORDS | CONTENT_WORDS | PLACE_WORDS
+
+
+def landmark_words(attributes: str) -> frozenset[str]:
+    """The clutter and content words that name an element: those of names that hold nothing else but words for a place."""
+    out: set[str] = set()
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name not in _LANDMARKS:
+            continue
+        value = value.strip("\"'").lower()
+        for token in value.split() if name == "class" else [value]:  # other names are one, spaces or not
+            words = set(_ATTRIBUTE_WORD.findall(token))
+            if words <= _NAMING:
+                out |= words & CLUTTER_WORDS or words & CONTENT_WORDS
+    return frozenset(out)
 
 
 class Page:
@@ -80,7 +106,6 @@ class Page:
     def _parse(self, source: str) -> None:
         stack, at, size = [0], 0, len(source)
         tag, pieces = self.tag, self.pieces
-        lower = None
         while at < size:
             open_at = source.find("<", at)
             if open_at < 0:
@@ -107,7 +132,7 @@ class Page:
                 self._close_implied(stack, name)
             words = frozenset()
             if found.group(3) and "=" in found.group(3):
-                words = frozenset(w for value in _LANDMARK.findall(found.group(3)) for w in _ATTRIBUTE_WORD.findall(value.lower()))
+                words = landmark_words(found.group(3))
             node = len(tag)
             tag.append(name)
             self.parent.append(stack[-1])
@@ -120,17 +145,25 @@ class Page:
             if name in VOID or found.group(0).endswith("/>") and name in RAW:
                 continue
             if name in RAW:
-                # nothing inside is text of the page: go on behind the end tag
-                if lower is None:
-                    lower = source.lower()
-                end = lower.find("</" + name, at)
-                stop = lower.find(">", end) if end >= 0 else -1
-                at = size if end < 0 else (size if stop < 0 else stop + 1)
+                at = self._behind(source, name, at)  # nothing inside is text of the page
                 if name in BLOCK:
                     pieces.append((node, None))
                 continue
             stack.append(node)
 
+    @staticmethod
+    def _behind(source: str, name: str, at: int) -> int:
+        """Where the element ``name``, open at ``at``, has ended."""
+        open_now = 1
+        for found in _RAW_TAG[name].finditer(source, at):
+            if found.group(1):
+                open_now -= 1
+            elif name in NESTED and not found.group().endswith("/>"):
+                open_now += 1
+            if not open_now:
+                return found.end()
+        return len(source)
+
     def _close(self, stack: list[int], name: str) -> None:
         for i in range(len(stack) - 1, 0, -1):
             if self.tag[stack[i]] == name:

@@ -93,3 +93,31 @@ def test_decoding_is_consistent():
     assert keep.tolist() == [False, False, False, False, True]
     keep = html_text.decode(page, html_text.np.array([0, 5, 1, -1, -2.0]), chars)
     assert keep.tolist() == [False, True, True, False, False]
+
+
+PARSED = [
+    ("<article><p title=it's>First, it is.</p><p>Second, don't lose it.</p><p>third</p></article>", "First, it is.\nSecond, don't lose it.\nthird"),
+    ("<article><p data-x=a?b='c title=\"x>y\">one</p><p>two's</p></article>", "one\ntwo's"),
+    ("<article><p>" + "\u0130" * 6 + "</p><script>var a = 1;</script><p>First after script.</p></article>", "\u0130" * 6 + "\nFirst after script."),
+    ("<article><p>a</p><select><option>x</option></selection><option>y</option></select><p>b</p></article>", "a\nb"),
+    ("<article><p>a</p><svg><svg><text>x</text></svg><text>y</text></svg><p>b</p><SCRIPT>x</sCrIpT ><p>c</p></article>", "a\nb\nc"),
+    ("<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><object><p>shown instead</p></object></article>", "where x=2 holds\nshown instead"),
+]
+
+
+def test_markup_that_browsers_take(spark):
+    trees = html_text.train(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    frame = spark.createDataFrame([(i, source) for i, (source, _) in enumerate(PARSED)], "page_id long, html string")
+    got = {r.page_id: r.text for r in html_text.extract(frame, trees).collect()}
+    assert [got[i] for i in range(len(PARSED))] == [text for _, text in PARSED]
+
+
+def test_names_are_taken_whole(spark):
+    """Sections of an article whose names hold a clutter word beside a word of their subject stay; boxes so named go."""
+    trees = html_text.train(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    subjects = ["class='social-history'", "class='modal-logic'", "id='copyright-law'", "id=share-prices", "aria-label='Search for meaning'", "class='x y-banner-carriers'"]
+    boxes = ["class='social-bar'", "class='modal'", "id='copyright'", "id=share-links-2", "class='cookie-notice'", "aria-label='Related posts'", "class='row comments-area'"]
+    page = "<main><article><h1>Title</h1>" + LONG + "".join(f"<section {x}>{LONG}</section>" for x in subjects)
+    page += "".join(f"<div {x}><p>Some words of a box here.</p></div>" for x in boxes) + "</article></main>"
+    frame = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert html_text.extract(frame, trees).first().text == "\n".join(["Title"] + [TEXT] * (1 + len(subjects)))
