@@ -5,10 +5,13 @@ words): 128 hashed bits vote for or against each bit of the fingerprint, and a b
 votes for it exceed half.  Two bits share one 64-bit sum, in lanes of 32 bits; with weights of at most 64 a
 lane holds the votes of 67 million words.  Partial sums are made where the text is read.
 
-Fingerprints within a Hamming radius r are found by permuted block tables: the bits are cut into r + 2 blocks,
+Fingerprints within a Hamming radius r are found by permuted block tables: the bits are dealt into r + 2 blocks,
 two fingerprints within r agree on at least two of them, and each pair of blocks keys one table.  Equal
-fingerprints are one node.  A key's members are first linked to one of them where they lie within r; only
-members that are then still in different components are compared pair by pair.
+fingerprints are one node.  In ``STAR_ROUNDS`` rounds a key's members are linked to one of them, drawn anew, where they lie
+within r, and keys whose members are all connected are set aside.  Keys left with at most ``CROWD`` members give pairs (at most
+``CROWD`` / 2 a member).  Larger ones are keyed further: a fresh permutation deals the bits that their members need not
+share into blocks, and so on.  Bits run out where a key's members lie within r of each other, so no group is paired whole.
+Counts and stars of keys come from map-side combined aggregates, joined back by key.
 
 Defined cases: a null or empty text has the fingerprint of no votes (all bits clear); repeated rows are
 fingerprinted each; a table of one document is its own next document; an empty table gives an empty result; null ids come
@@ -17,7 +20,8 @@ first in the order; other columns are not returned.
 
 from __future__ import annotations
 
-from itertools import combinations
+import random
+from itertools import combinations, count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +31,8 @@ from starloom.llm.components import components
 
 BITS = 128
 RADIUS = 3
-CUTS = 1_000  # ranges of ids in which neighbours are found; bounds the collected cut points
+STAR_ROUNDS = 2
+CROWD = 16  # largest key whose members are paired
 _LANES = (1 << 32) + 1
 
 
@@ -72,52 +77,75 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def block_keys(a: Column, b: Column, radius: int) -> Column:
-    """Array of the table keys of a fingerprint: one for each pair of its ``radius`` + 2 blocks."""
-    blocks = radius + 2
-    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    masks = [((1 << edges[i + 1]) - (1 << edges[i])) for i in range(blocks)]
+def dealt_blocks(radius: int, level: int) -> list[tuple[int, int]]:
+    """(low, high) bit masks of the ``radius`` + 2 blocks into which a level's permutation deals the bits."""
+    order = random.Random(level).sample(range(BITS), BITS)
+    blocks = [sum(1 << bit for bit in order[i::radius + 2]) for i in range(radius + 2)]
+    return [(_signed(block & ((1 << 64) - 1)), _signed(block >> 64)) for block in blocks]
+
+
+def keyed(members: DataFrame, radius: int, level: int) -> DataFrame:
+    """``members`` (node, fa, fb, component, key, ra, rb) under the keys of ``level``, one for each pair of blocks.
+
+    ``ra`` and ``rb`` mask the bits that the members of a key need not share.
+    """
     keys = []
-    for t, (i, j) in enumerate(combinations(range(blocks), 2)):
-        mask = masks[i] | masks[j]
-        low, high = _signed(mask & ((1 << 64) - 1)), _signed(mask >> 64)
-        keys.append(F.xxhash64(F.lit(t), a.bitwiseAND(F.lit(low).cast("long")), b.bitwiseAND(F.lit(high).cast("long"))))
-    return F.array(*keys)
+    for t, ((la, ha), (lb, hb)) in enumerate(combinations(dealt_blocks(radius, level), 2)):
+        low, high = F.lit(la | lb).cast("long"), F.lit(ha | hb).cast("long")
+        keys.append(F.struct(F.xxhash64("key", F.lit(t), F.col("fa").bitwiseAND(F.col("ra")).bitwiseAND(low),
+                                        F.col("fb").bitwiseAND(F.col("rb")).bitwiseAND(high)).alias("key"),
+                             F.col("ra").bitwiseAND(F.bitwise_not(low)).alias("ra"), F.col("rb").bitwiseAND(F.bitwise_not(high)).alias("rb")))
+    return members.select("node", "fa", "fb", "component", F.explode(F.array(*keys)).alias("k")).select("node", "fa", "fb", "component", "k.*")
+
+
+def unsettled(entries: DataFrame, turn: int) -> DataFrame:
+    """``entries`` of the keys whose members are in different components, with the key's size and a star drawn by ``turn``."""
+    draw = F.col("node").bitwiseXOR(F.xxhash64(F.lit(turn)))  # one to one
+    keys = (entries.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("size"),
+                                       *[F.min_by(c, draw).alias(f"star_{c}") for c in ("node", "fa", "fb", "component")])
+            .filter("_low <> _high").drop("_low", "_high"))
+    return stored(entries.join(keys, "key"))
 
 
-def radius_components(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+def radius_components(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """(node, component) of ``nodes`` (node, fa, fb; different fingerprints) that have another within ``radius``."""
-    over = Window.partitionBy("key")
-    tables = (nodes.select("node", "fa", "fb", F.explode(block_keys(F.col("fa"), F.col("fb"), radius)).alias("key"))
-              .withColumn("_n", F.count(F.lit(1)).over(over))
-              .withColumn("star", F.min(F.struct("node", "fa", "fb")).over(over)).filter("_n > 1"))
-    tables = stored(tables.select("key", "node", "fa", "fb", F.col("star.node").alias("other"), F.col("star.fa").alias("oa"), F.col("star.fb").alias("ob")))
-    near = distance(F.col("fa"), F.col("fb"), F.col("oa"), F.col("ob")) <= radius
-    links = stored(tables.filter(near & (F.col("node") != F.col("other"))).select("node", "other").distinct())
-    labels = components(links, "node", "other")
-    members = tables.select("key", "node", "fa", "fb").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = (members.withColumn("_low", F.min("component").over(over)).withColumn("_high", F.max("component").over(over))
-             .filter("_low <> _high").drop("_low", "_high"))
-    right = apart.select("key", F.col("node").alias("other"), F.col("fa").alias("oa"), F.col("fb").alias("ob"), F.col("component").alias("with"))
-    more = (apart.join(right, "key").filter(near & (F.col("node") < F.col("other")) & (F.col("component") != F.col("with")))
-            .select("node", "other").distinct())
-    return components(stored(links.unionByName(more)), "node", "other")
+    every = F.lit(-1).cast("long")
+    members = nodes.select("node", "fa", "fb", F.col("node").alias("component"), F.lit(0).cast("long").alias("key"), every.alias("ra"), every.alias("rb"))
+    columns, links = members.columns, nodes.select("node", F.col("node").alias("other")).limit(0)
+    for level in count():
+        entries = keyed(members, radius, level)
+        for turn in range(STAR_ROUNDS + 1):
+            entries = unsettled(entries, level * (STAR_ROUNDS + 1) + turn)
+            if turn == STAR_ROUNDS or entries.isEmpty():
+                break
+            near = distance(F.col("fa"), F.col("fb"), F.col("star_fa"), F.col("star_fb")) <= radius
+            met = entries.filter(near & (F.col("component") != F.col("star_component"))).select("node", F.col("star_node").alias("other"))
+            links = stored(links.unionByName(met.distinct()))
+            labels = components(links, "node", "other").withColumnRenamed("component", "found")
+            entries = entries.join(labels, "node", "left").withColumn("component", F.coalesce("found", "component")).select(*columns)
+        few = entries.filter(F.col("size") <= crowd)
+        right = few.select("key", F.col("node").alias("other"), F.col("fa").alias("oa"), F.col("fb").alias("ob"), F.col("component").alias("with"))
+        near = distance(F.col("fa"), F.col("fb"), F.col("oa"), F.col("ob")) <= radius
+        pairs = few.join(right, "key").filter((F.col("node") < F.col("other")) & (F.col("component") != F.col("with")) & near)
+        links = stored(links.unionByName(pairs.select("node", "other").distinct()))
+        members = entries.filter(F.col("size") > crowd).select(*columns)
+        if members.isEmpty():
+            return components(links, "node", "other")
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
     """``ids`` (doc_id, h, n; each (doc_id, h) once) with ``next`` and ``before``: structs of the same in cyclic order.
 
-    Ids are put into ranges between at most ``CUTS`` cut points; a window orders each range, and the
-    ranges' first and last rows join them up.
+    A range sort by id and hash, so that rows without an id or with the same one spread too, puts them into ranges; a window
+    orders each, and the ranges' first and last rows join them up.
     """
-    found = ids.agg(F.percentile_approx("doc_id", [i / CUTS for i in range(1, CUTS)], 10 * CUTS)).first()[0]
-    cuts = F.array(*[F.lit(c).cast("long") for c in sorted(set(found or []))] or [F.lit(None).cast("long")])
-    ranged = ids.withColumn("range", F.size(F.filter(cuts, lambda c: c <= F.col("doc_id"))))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
+    ranged = stored(ids.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
     row = F.struct("doc_id", "h", "n")
-    over = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "h")
-    order = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")), F.col("doc_id").isNotNull(), F.col("h"))
-    ends = ranged.groupBy("range").agg(F.min_by(row, order).alias("first"), F.max_by(row, order).alias("last"))
-    ring = Window.orderBy("range")  # one row a range: at most CUTS
+    over = Window.partitionBy("range").orderBy(*order)
+    place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")), F.col("doc_id").isNotNull(), F.col("h"))
+    ends = ranged.groupBy("range").agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last"))
+    ring = Window.orderBy("range")  # one row a range
     everything = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select("range",
                        F.coalesce(F.lead("first").over(ring), F.first("first").over(everything)).alias("_after"),

@@ -81,3 +81,38 @@ def test_block_tables_find_all_within_the_radius(spark):
     got = {r.node: r.component for r in simhash.radius_components(nodes, 3).collect()}
     classes = plain_classes(prints, 3)
     assert [got.get(i, i) for i in range(len(prints))] == classes
+
+
+def classes_of(spark, prints, radius, **options):
+    low = [simhash._signed(p & ((1 << 64) - 1)) for p in prints]
+    high = [simhash._signed(p >> 64) for p in prints]
+    nodes = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(low, high))], "node long, fa long, fb long")
+    got = {r.node: r.component for r in simhash.radius_components(nodes, radius, **options).collect()}
+    return [got.get(i, i) for i in range(len(prints))]
+
+
+def test_crowded_keys_are_keyed_further(spark):
+    """A template's fingerprints share most bits, few of them are near each other, and chains run through them."""
+    rng = random.Random(4)
+    template, free = rng.getrandbits(128), rng.sample(range(128), 40)
+    prints = set()
+    for _ in range(60):
+        near = template
+        for bit in rng.sample(free, 12):
+            near ^= 1 << bit
+        prints.add(near)
+        for _ in range(rng.choice([0, 0, 2])):  # a chain of steps of at most 3 bits
+            for bit in rng.sample(range(128), 3):
+                near ^= 1 << bit
+            prints.add(near)
+    prints = sorted(prints)
+    assert classes_of(spark, prints, 3, crowd=2) == plain_classes(prints, 3)
+
+
+def test_repeated_and_missing_ids_spread_over_ranges(spark):
+    ids = [(None, h, 1) for h in range(40)] + [(7, h, 1) for h in range(40)] + [(i, 0, 1) for i in range(10, 30)]
+    rows = simhash.neighbours(spark.createDataFrame(ids, "doc_id long, h long, n long").repartition(4)).collect()
+    after = {(r.doc_id, r.h): (r.next.doc_id, r.next.h) for r in rows}
+    before = {(r.doc_id, r.h): (r.before.doc_id, r.before.h) for r in rows}
+    for i, (doc_id, h, _) in enumerate(ids):
+        assert after[doc_id, h] == ids[(i + 1) % len(ids)][:2] and before[doc_id, h] == ids[i - 1][:2]
