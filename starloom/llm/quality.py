@@ -2,24 +2,25 @@
 
 Each whole text gives ``STATISTICS``.  Standardised over the corpus, they are mapped to cosines of random
 projections, whose inner products approximate a Gaussian kernel.  Every labelled row that may be
-learned from adds to the normal equations: tasks sum them over their rows, a shuffle by matrix row adds the
-tasks' sums, and the driver solves one system of fixed size.  Labelled rows then give a
-histogram of fitted scores by label (at most ``BINS`` rows), from which pool-adjacent-violators makes a
-monotone map to probabilities.
+learned from adds to the normal equations of its fold: tasks sum them over their rows, a shuffle by fold and matrix row adds the
+tasks' sums, and the driver solves systems of fixed size, of all folds and of all but each.  Labelled rows then give a
+histogram by label (at most 3 * ``BINS`` rows) of scores from the weights that their fold had no part in, from which
+pool-adjacent-violators makes a monotone map to probabilities.  A fold holds rows of equal statistics, so copies of a text share one.
 
 Defined cases: a null or empty text has statistics of 0 and is scored like any; without labels every score is 0.5,
-with labels of one kind that label; repeated rows are scored each; an id labelled more than once
+with labels of one kind that label; a row without an id is scored and not held out; repeated rows are scored each; an id labelled more than once
 counts its largest label; other columns stay, those named like results are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import stored, table
@@ -31,6 +32,7 @@ FEATURES = 256
 WIDTH = 5.0  # of the Gaussian kernel, in standard deviations of the statistics
 RIDGE = 1e-3  # times the number of rows
 BINS = 1_000
+FOLDS = 3
 TRACE = 0.01
 # Classes of ASCII bytes.
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digits": b"0123456789", "stops": b".,;:?", "symbols": b"#$%&*+=@^_~<>{}[]\\/",
@@ -106,27 +108,38 @@ def _matrix(frame: DataFrame) -> np.ndarray:
     return np.array([list(r) for r in frame.collect()], float)
 
 
+def fold_of(stats) -> Column:
+    """The fold of a labelled row."""
+    return F.pmod(F.xxhash64(stats), F.lit(FOLDS)).cast("int")
+
+
 def normal_equations(rows: DataFrame, model: QualityModel) -> tuple[np.ndarray, np.ndarray]:
-    """(Z'Z, Z'y) over ``rows`` (stats, label): summed in tasks, then by matrix row."""
+    """(Z'Z, Z'y) by fold over ``rows`` (stats, label, fold): summed in tasks, then by fold and matrix row."""
     size = len(model.weights)
 
-    def summed(batches):
-        total = np.zeros((size, size + 1))
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = {}
         for batch in batches:
-            if len(batch):
-                z = model.features(np.stack(batch["stats"].to_numpy()))
-                total += z.T @ np.hstack([z, batch["label"].to_numpy(float)[:, None]])
-        yield pd.DataFrame({"i": np.arange(size), "part": list(total)})
+            for fold, part in batch.groupby("fold"):
+                z = model.features(np.stack(part["stats"].to_numpy()))
+                total[fold] = total.get(fold, 0) + z.T @ np.hstack([z, part["label"].to_numpy(float)[:, None]])
+        for fold, matrix in total.items():
+            yield pd.DataFrame({"fold": fold, "i": np.arange(size), "part": list(matrix)})
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"fold": group["fold"][:1], "i": group["i"][:1], "part": [np.stack(group["part"].to_numpy()).sum(0)]})
 
-    def added(key, group):
-        return pd.DataFrame({"i": [key[0]], "part": [np.stack(group["part"].to_numpy()).sum(0)]})
+    schema = "fold int, i long, part array<double>"
+    total = np.zeros((FOLDS, size, size + 1))
+    for r in rows.mapInPandas(summed, schema).groupBy("fold", "i").applyInPandas(added, schema).collect():
+        total[r["fold"], r["i"]] = r["part"]
+    return total[:, :, :-1], total[:, :, -1]
 
-    parts = rows.mapInPandas(summed, "i long, part array<double>")
-    got = parts.groupBy("i").applyInPandas(added, "i long, part array<double>").collect()
-    total = np.zeros((size, size + 1))
-    for r in got:
-        total[r["i"]] = r["part"]
-    return total[:, :-1], total[:, -1]
+
+def ridge(zz: np.ndarray, zy: np.ndarray) -> np.ndarray:
+    penalty = RIDGE * zz[-1, -1] * np.eye(len(zz))
+    penalty[-1, -1] = 0
+    return np.linalg.solve(zz + penalty, zy)
 
 
 def train(stats: DataFrame, labelled: DataFrame) -> QualityModel:
@@ -138,21 +151,21 @@ def train(stats: DataFrame, labelled: DataFrame) -> QualityModel:
     random = np.random.default_rng(29)
     model = QualityModel(mean, scale, random.normal(0, 1 / WIDTH, (n, FEATURES)), random.uniform(0, 2 * np.pi, FEATURES),
                          np.zeros(FEATURES + 1), np.array([0.0]), np.array([0.5]))
-    zz, zy = normal_equations(labelled, model)
-    count = zz[-1, -1]
-    if not count:
+    folded = labelled.select("stats", "label", fold_of("stats").alias("fold"))
+    zz, zy = normal_equations(folded, model)
+    if not zz[:, -1, -1].sum():
         return model
-    penalty = RIDGE * count * np.eye(len(zz))
-    penalty[-1, -1] = 0
-    weights = np.linalg.solve(zz + penalty, zy)
-    fitted = QualityModel(model.mean, model.scale, model.projection, model.phase, weights, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    weights = ridge(zz.sum(0), zy.sum(0))
+    others = [ridge(zz.sum(0) - zz[f], zy.sum(0) - zy[f]) if (zz.sum(0) - zz[f])[-1, -1] > 0.5 else weights for f in range(FOLDS)]
+    unseen = np.stack(others, axis=1)  # a column a fold: weights without it
 
-    def binned(batches):
+    def binned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            raw = fitted.raw(np.stack(batch["stats"].to_numpy())) if len(batch) else np.zeros(0)
-            yield pd.DataFrame({"bin": np.clip(np.round(raw * BINS), -BINS, 2 * BINS).astype(np.int64), "label": batch["label"].astype(float)})
+            if len(batch):
+                raw = (model.features(np.stack(batch["stats"].to_numpy())) @ unseen)[np.arange(len(batch)), batch["fold"]]
+                yield pd.DataFrame({"bin": np.clip(np.round(raw * BINS), -BINS, 2 * BINS).astype(np.int64), "label": batch["label"].astype(float)})
 
-    bins = _matrix(labelled.mapInPandas(binned, "bin long, label double").groupBy("bin")
+    bins = _matrix(folded.mapInPandas(binned, "bin long, label double").groupBy("bin")
                    .agg(F.count(F.lit(1)), F.avg("label")).orderBy("bin"))
     levels = pool_adjacent_violators(bins[:, 1], bins[:, 2])
     return QualityModel(model.mean, model.scale, model.projection, model.phase, weights, bins[:, 0] / BINS, levels)
@@ -176,5 +189,5 @@ def op9_quality(spark, sf_dir: str) -> DataFrame:
                  .groupBy("doc_id").agg(F.max("quality").alias("label")))
     model = train(stats, stats.join(learnable, "doc_id").select("stats", "label"))
     return score(stats, model).select(
-        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -76,3 +76,9 @@ def test_other_columns_do_not_clash(spark):
     rows = [(1, [1.0, 0.0], 5), (2, [1.0, 0.01], 5), (3, [0.0, 1.0], 5)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, node int").selectExpr("*", "1 as id", "2 as vector", "3 as copies", "4 as component")
     assert sorted(tuple(r) for r in embedding_join.range_join(frame, 0.95).collect()) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_clashing_columns_and_missing_ids(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0])]
+    frame = spark.createDataFrame([(*r, 5, 6, 7, 8) for r in rows], "vec_id long, embedding array<float>, n_links int, component_id int, cell int, node int")
+    assert sorted(tuple(r) for r in embedding_join.range_join(frame, 0.95).collect()) == plain(rows, 0.95)

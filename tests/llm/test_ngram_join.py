@@ -137,3 +137,10 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "CROWD", 1)
     monkeypatch.setattr(ngram_join, "BLOCK", 9)
     assert result(spark, rows, 4, 85) == plain_components(rows, 4, 85)
+
+
+def test_clashing_columns(spark):
+    rows = corpus(3, 40, range(8, 30), 1, 4) + ODD
+    docs = spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows],
+                                 "doc_id long, text string, n int, set_id int, text_id int, component int, key int").repartition(3)
+    assert sorted(tuple(r) for r in ngram_join.jaccard_components(docs, 4, 85).collect()) == plain_components(rows, 4, 85)

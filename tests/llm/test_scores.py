@@ -95,3 +95,44 @@ def test_quality_of_odd_rows(spark):
 def test_pooling_gives_the_least_squares_order():
     got = quality.pool_adjacent_violators(np.array([1, 1, 2, 1.0]), np.array([0.2, 0.8, 0.5, 0.9]))
     assert got == pytest.approx([0.2, 0.6, 0.6, 0.9])
+
+
+def test_quality_equals_plain_ridge_and_pooling(spark):
+    """The model from Spark's sums against one built from the whole matrix, calibrated out of fold."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(240):
+        good = i % 2
+        words = rng.choice(["alpha", "beta", "gamma", "delta", "click", "HERE", "$$$", "!!"], 30, p=[0.2 - 0.1 * (not good)] * 4 + [0.05 + 0.1 * (not good)] * 4)
+        rows.append((i, " ".join(words) + ("." if good else "!!!") * int(rng.integers(0, 3)), good))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(4)
+    stats = quality.with_statistics(docs).join(docs.select("doc_id", "label"), "doc_id")
+    found = stats.select("stats", "label", quality.fold_of("stats").alias("fold")).collect()
+    model = quality.train(stats.select("stats"), stats.select("stats", "label"))
+    x, y, fold = np.array([r.stats for r in found]), np.array([r.label for r in found], float), np.array([r.fold for r in found])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.where(x.std(0) > 1e-9, x.std(0), 1))
+
+    def solved(rows):
+        z = np.hstack([np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((x[rows] - model.mean) / model.scale, -8, 8) @ model.projection + model.phase), np.ones((rows.sum(), 1))])
+        return z, np.linalg.solve(z.T @ z + quality.RIDGE * rows.sum() * np.diag([1.0] * quality.FEATURES + [0.0]), z.T @ y[rows])
+
+    everything = np.ones(len(y), bool)
+    z, weights = solved(everything)
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    raw = np.array([z[i] @ solved(fold != fold[i])[1] for i in range(len(y))])
+    at = np.round(raw * quality.BINS)
+    knots = np.unique(at)
+    plain = [max(min(np.mean(y[(at >= a) & (at <= b)]) for b in knots[knots >= k]) for a in knots[knots <= k]) for k in knots]
+    assert np.allclose(model.knots, knots / quality.BINS, atol=2e-3) and np.allclose(model.levels, plain, atol=0.02)
+
+
+def test_clashing_columns_and_missing_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(i if i else None, f"some text {i}", 7, 8, 9) for i in range(30)],
+                                 "doc_id long, text string, score int, stats int, label int")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(30)], "doc_id long, toxic int, quality int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for query in ("op8_toxicity", "op9_quality"):
+        rows = QUERIES[query](spark, str(tmp_path)).collect()
+        assert len(rows) == 30 and all(0 <= r.score <= 1 for r in rows)
+        assert [r.held_out for r in rows if r.doc_id is None] == [False]
