@@ -7,7 +7,7 @@ lane holds the votes of 67 million words.  Partial sums are made where the text
 
 Fingerprints within a Hamming radius r are found by permuted block tables: the bits are dealt into r + 2 blocks,
 two fingerprints within r agree on at least two of them, and each pair of blocks keys one table.  Equal
-fingerprints are one node.  In ``STAR_ROUNDS`` rounds a key's members are linked to one of them, drawn anew, where they lie
+fingerprints are one node.  In ``STAR_ROUNDS`` rounds of a level a key's members are linked to one of them, drawn anew, where they lie
 within r, and keys whose members are all connected are set aside.  Keys left with at most ``CROWD`` members give pairs (at most
 ``CROWD`` / 2 a member).  Larger ones are keyed further: a fresh permutation deals the bits that their members need not
 share into blocks, and so on.  Bits run out where a key's members lie within r of each other, so no group is paired whole.
@@ -31,8 +31,8 @@ from starloom.llm.components import components
 
 BITS = 128
 RADIUS = 3
-STAR_ROUNDS = 2
-CROWD = 16  # largest key whose members are paired
+STAR_ROUNDS = 1
+CROWD = 64  # largest key whose members are paired: 32 pairs a member cost about what the 10 keys of a further level do, shuffled thrice
 _LANES = (1 << 32) + 1
 
 
