@@ -3,13 +3,16 @@
 Base spans of four kinds come from fixed patterns and checks and are always kept.  High-recall generators
 propose further spans, which may overlap: number shapes, grouped numbers, and addresses whose ``@`` or
 dot is spelled out.  Gradient-boosted trees (Spark ML) score a proposal from its format and context; they learn
-on at most ``SAMPLE`` proposals from those that touch base spans against those that are surely no personal data
+on all proposals, from those that touch base spans against those that are surely no personal data
 (glued to letters or digits, assigned without a hint, failing their kind's check).  The others, which may be what is to be
 added, count against with the weight ``UNSURE`` only: enough to refuse shapes that base spans never have.  What base
 patterns demand (a leading plus, a written ``@`` and dot) is no feature, so that spans without it can be told.
-The trees become a column expression, so whole texts are scored where they are.  A second sample of at
-most ``SAMPLE`` proposals calibrates each kind's threshold: the least score, but no less than a half, whose sure proposals
-at or above it are right in ``PRECISION`` of all cases.  Proposals at or above it that touch no base span are added.
+The trees become a column expression, so whole texts are scored where they are.  All proposals calibrate each
+kind's threshold, each half of them scored by trees fitted on the other half: the least score, but no less than a half, whose sure
+proposals at or above it are right in ``PRECISION`` of all cases.  Proposals at or above it that touch no base span are added.
+
+A proposal counts by its shape (features, kind, half and what is known of it): one aggregate of all proposals gives the
+shapes with their numbers, which are the weights of the fits and of the calibration.
 
 Positions are code points, end exclusive.  Patterns start only where a run of their first
 class starts (or where the last match ended) and repeat possessively, so long runs cost linear time.  Positions, and what a
@@ -32,10 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.arrays import let, running, slices
-from starloom.llm.common import least_hash_sample, stored, table
+from starloom.llm.common import stored, table
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 20_000
+SHAPES_A_TASK = 100_000  # different shapes that a task of a fit holds
 TREES, DEPTH = 12, 3
 PRECISION = 0.98
 UNSURE = 1 - PRECISION  # weight, against being personal data, of a proposal of which that is not known
@@ -253,21 +256,40 @@ def _tree(node) -> tuple | float:
     return int(split.featureIndex()), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def train(scanned: DataFrame, key: str = "doc_id") -> Proposer:
-    """Fit and calibrate on two bounded samples of the proposals, those of least hash of ``key`` and place."""
+def shapes(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
+    """All proposals as (features, label, kind, sure, half) with their number ``n``; ``half`` is of a hash of ``key``, place and features."""
     rows = (scanned.select(F.col(key).alias("of"), F.explode("candidates").alias("c"))
-            .select("c.features", F.col("c.touches").cast("double").alias("label"), F.col("c.start").alias("at"), "of", "c.kind",
-                    (F.col("c.touches") | F.col("c.denied")).alias("sure")))
-    drawn = stored(least_hash_sample(rows, F.xxhash64("of", "at", "features"), 2 * SAMPLE))
-    fit, check = drawn.filter("pmod(_draw, 2) = 0"), drawn.filter("pmod(_draw, 2) = 1")
-    kinds = fit.agg(F.min("label"), F.max("label")).first()
-    if kinds[0] is None or kinds[0] == kinds[1]:
-        return Proposer((), 2.0)
+            .select("c.features", F.col("c.touches").cast("double").alias("label"), "c.kind", (F.col("c.touches") | F.col("c.denied")).alias("sure"),
+                    F.pmod(F.xxhash64("of", "c.start", "c.features"), F.lit(2)).alias("half")))
+    return rows.groupBy("features", "label", "kind", "sure", "half").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _fit(known: DataFrame) -> tuple:
+    """Trees over all of ``known`` (:func:`shapes`); none where it holds but one label."""
+    weight = F.sum(F.col("n") * F.when(F.col("sure"), 1.0).otherwise(UNSURE)).alias("weight")
+    rows = known.groupBy("features", "label").agg(weight)
+    seen = rows.agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    if seen.low is None or seen.low == seen.high:
+        return ()
+    # in a fixed order, so that sums of few shapes do not depend on the run
+    dealt = rows.repartition(1 + seen.n // SHAPES_A_TASK, "features").sortWithinPartitions("features", "label")
     model = GBTClassifier(labelCol="label", featuresCol="v", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11).fit(
-        fit.select(array_to_vector("features").alias("v"), "label", F.when(F.col("sure"), 1.0).otherwise(UNSURE).alias("weight")).coalesce(1))
-    trees = tuple((float(w), _tree(t._call_java("rootNode"))) for w, t in zip(model.treeWeights, model.trees))
-    steps = (check.filter("sure").select("kind", F.floor(Proposer(trees, 2.0).score(F.col("features")) * 100).alias("step"), "label")
-             .groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect())
+        dealt.select(array_to_vector("features").alias("v"), "label", "weight"))
+    return tuple((float(w), _tree(t._call_java("rootNode"))) for w, t in zip(model.treeWeights, model.trees))
+
+
+def train(scanned: DataFrame, key: str = "doc_id") -> Proposer:
+    """Fit on all proposals; calibrate on all, each half by trees of the other half."""
+    known = stored(shapes(scanned, key))
+    trees = _fit(known)
+    if not trees:
+        return Proposer((), 2.0)
+    steps = []
+    for half in (0, 1):
+        others = _fit(known.filter(F.col("half") != half))
+        if others:
+            scored = known.filter((F.col("half") == half) & F.col("sure")).withColumn("step", F.floor(Proposer(others, 2.0).score(F.col("features")) * 100))
+            steps += scored.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("right")).collect()
     by_kind = tuple((k, least_threshold([(s["step"], s["n"], s["right"]) for s in steps if s["kind"] == k]))
                     for k in KINDS if any(s["kind"] == k for s in steps))
     return Proposer(trees, least_threshold([(s["step"], s["n"], s["right"]) for s in steps]), by_kind)

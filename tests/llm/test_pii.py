@@ -150,3 +150,23 @@ def test_touching_equals_all_pairs(spark):
     frame = spark.createDataFrame(rows, f"base {pii.SPAN}, proposed {pii.SPAN}")
     for r, (base, proposed) in zip(frame.select(pii.touching(F.col("base"), F.col("proposed")).alias("t")).collect(), rows):
         assert r.t == [any(a < d and c < b for _, a, b in base) for _, c, d in proposed]
+
+
+def test_all_proposals_are_learned_from(spark):
+    """No proposal is left out of the fit or the calibration, whatever their number."""
+    rows = 21_000
+    text = F.concat(F.lit("call +1 555 123 "), F.lpad((F.col("id") % 9000).cast("string"), 4, "0"), F.lit(" id x"), F.col("id") + 10_000_000)
+    scanned = pii.scan(spark.range(rows).select(F.col("id").alias("doc_id"), text.alias("text"))).select("doc_id", "base", "candidates").cache()
+    proposed = scanned.select(F.explode("candidates")).count()
+    assert proposed > 2 * 20_000
+    found = pii.shapes(scanned)
+    totals = {r.half: r.n for r in found.groupBy("half").agg(F.sum("n").alias("n")).collect()}
+    assert sum(totals.values()) == proposed and sorted(totals) == [0, 1]
+    seen, fit = [], pii._fit
+    pii._fit = lambda known: seen.append(known.agg(F.sum("n")).first()[0]) or fit(known)
+    try:
+        assert pii.train(scanned).trees
+    finally:
+        pii._fit = fit
+    assert seen == [proposed, totals[1], totals[0]]
+    scanned.unpersist()
