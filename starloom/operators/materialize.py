@@ -42,12 +42,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
 
     Cuts lineage like :func:`materialize`, but readers decode only the columns they
-    name and filters reach the scan.
+    name and filters reach the scan.  ``compression`` is a Parquet codec in place of the session's.
     """
     path = f"{_folder.get() or ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

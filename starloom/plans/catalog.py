@@ -151,14 +151,14 @@ def _fact_in_buckets_with_managers(spark, root):
 def _returns_from_file(spark, root):
     """The returns list written as the CSV file a user delivers, read and numbered."""
     path = _own_folder(spark, "returns-csv")
-    fixture_returns(spark, root).select("order_id", "returned").write.option("header", True).csv(path)
+    fixture_returns(spark, root).select("order_id", "returned").write.option("header", True).csv(path, compression="gzip")
     return Warehouse(spark, fixture_staging(spark, root), read_returns(spark, path), managers_seed(spark)).returns_dim
 
 
 def _staging_from_file(spark, root):
     """The staging lines written as a CSV export and read back under the contract."""
     path = _own_folder(spark, "staging-csv")
-    fixture_staging(spark, root).write.option("header", True).csv(path)
+    fixture_staging(spark, root).write.option("header", True).csv(path, compression="gzip")
     return read_staging(spark, path, fmt="csv")
 
 
@@ -175,7 +175,7 @@ def damaged_export(spark: SparkSession, root: str, path: str) -> None:
     fields["sales"] = F.when(mode == DAMAGED_SALES, F.lit("n/a")).otherwise(fields["sales"])
     fields["order_date"] = F.when(mode.isin(DAMAGED_SALES, DAMAGED_DATE), F.lit("1/2")).otherwise(fields["order_date"])
     text = F.concat_ws(",", *[fields[c] for c in columns], F.when(mode == DAMAGED_WIDTH, F.lit("more")))
-    lines.select(text.alias("value")).write.text(path)
+    lines.select(text.alias("value")).write.text(path, compression="gzip")
 
 
 def _staging_quarantine(spark, root):

@@ -52,7 +52,7 @@ def read_staging_quarantined(spark: SparkSession, path: str, header: list[str] |
                for f in STAGING_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
     reasons = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(WIDTH))).otherwise(F.array_compact(F.array(*misfits)))
     record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*header)))
-    parsed = stored(raw.select(*bound, reasons.alias("reasons"), F.when(F.size(reasons) > 0, record).alias("record"), line_salt(parquet=False).alias(LINE_COL)))
+    parsed = stored(raw.select(*bound, reasons.alias("reasons"), F.when(F.size(reasons) > 0, record).alias("record"), line_salt(parquet=False).alias(LINE_COL)), "zstd")
     good = parsed.filter(F.size("reasons") == 0).select(
         *[F.col(f"to_{f.name}").alias(f.name) for f in STAGING_SCHEMA.fields], *([LINE_COL] if keep_line else []))
     return Quarantine(good, parsed.filter(F.size("reasons") > 0).select("record", "reasons"))

@@ -10,6 +10,21 @@ from starloom.sources.quarantine import WIDTH, read_staging_quarantined
 from starloom.sources.staging import STAGING_COLUMNS
 
 
+def test_exports_are_compressed(spark, monkeypatch):
+    """What a query writes as CSV for itself takes a part of its text's size."""
+    from conftest import SF_SMALL
+
+    from starloom.plans import catalog
+    folders = []
+    own = catalog._own_folder
+    monkeypatch.setattr(catalog, "_own_folder", lambda *a: folders.append(own(*a)) or folders[-1])
+    for name in ("staging_quarantine", "staging_from_file", "returns_from_file"):
+        assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    for folder in folders:
+        files = os.listdir(folder.removeprefix("file:"))
+        assert any(f.endswith(".gz") for f in files) and not any(f.endswith((".csv", ".txt")) for f in files)
+
+
 def _csv(text):
     path = os.path.join(tempfile.mkdtemp(prefix="starloom-bad-"), "in.csv")
     with open(path, "w") as f:
