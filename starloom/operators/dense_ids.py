@@ -58,7 +58,7 @@ def _tagged(source: DataFrame, keep: list[str], keys: list[Column], num_partitio
     """The rows in key order, written with the partition and position of each."""
     ranged = source.repartitionByRange(num_partitions, *keys) if num_partitions else source.repartitionByRange(*keys)
     return stored(ranged.sortWithinPartitions(*keys)
-                  .select(*keep, F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_POS)))
+                  .select(*keep, F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_POS)), "zstd")
 
 
 def _place(counts: dict[int, int]) -> Column:

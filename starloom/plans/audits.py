@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom.operators.dense_ids import Numbered
 from starloom.operators.materialize import stored
 from starloom.operators.updates import update_from
-from starloom.plans.warehouse import GAP_CITY, Warehouse
+from starloom.plans.warehouse import BROADCAST_ROWS, GAP_CITY, Warehouse
 
 
 def geo_completeness_audit(staging: DataFrame) -> DataFrame:
@@ -38,6 +38,7 @@ def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
 
 def fact_dimension_keys(fact: DataFrame, shipping: DataFrame, geo: DataFrame, product: DataFrame, customer: DataFrame) -> DataFrame:
     """The fact's lines that find their row in all four dimensions, by surrogate key."""
+    fact = fact.select("ship_id", "geo_id", "prod_id", "cust_id")
     for dim, key in ((shipping, "ship_id"), (geo, "geo_id"), (product, "prod_id"), (customer, "cust_id")):
         fact = fact.join(dim.select(key), [key], "inner")
     return fact
@@ -45,8 +46,9 @@ def fact_dimension_keys(fact: DataFrame, shipping: DataFrame, geo: DataFrame, pr
 
 def fact_dimension_join(fact: DataFrame, shipping: Numbered, geo: Numbered, product: Numbered,
                         customer: Numbered) -> DataFrame:
-    """The fact joined back to the four dimensions by surrogate key."""
-    return fact_dimension_keys(fact, shipping.df, geo.df, product.df, customer.df)
+    """The fact joined back to the four dimensions by surrogate key; the small ones are broadcast."""
+    sides = [F.broadcast(dim.df) if dim.rows <= BROADCAST_ROWS else dim.df for dim in (shipping, geo, product, customer)]
+    return fact_dimension_keys(fact, *sides)
 
 
 def row_count_reconciliation(staging: DataFrame, fact: DataFrame, joined: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
@@ -24,7 +24,7 @@ from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
 from starloom.sources.seeds import fixture_returns, managers_seed
 from starloom.sources.staging import STAGING_COLUMNS, fixture_dates, fixture_staging, read_staging
-from starloom.sources.tables import LINE_COL
+from starloom.sources.tables import LINE_COL, line_salt
 
 # The data-quality repair.  Lines in this city that have no
 # postal code get this code.
@@ -62,36 +62,64 @@ def _lineage(df: DataFrame) -> list[str]:
     return [LINE_COL] if LINE_COL in df.columns else []
 
 
-def _dim_side(dim: Numbered, renames: dict[str, str] | None = None) -> DataFrame:
-    """A dimension as a join side.  No hint: adaptive execution broadcasts it when its measured bytes are few."""
-    df = dim.df
-    for old, new in (renames or {}).items():
-        df = df.withColumnRenamed(old, new)
-    return df
+# A dimension of at most so many rows, by their exact count, is broadcast; as codes and keys (16 bytes a row) one of at most so many.
+BROADCAST_ROWS, BROADCAST_CODES = 50_000, 1_000_000
+# A line's tiebreak takes this many values: enough to spread identical lines over ranges, and few bytes in a shuffle.
+TIEBREAKS = 1 << 16
+
+
+def code_seed(df: DataFrame, columns: list[str]) -> int:
+    """A seed under which :func:`code` tells all rows of ``df`` (different, without NULLs) apart.  A clash of 64 bits
+    is rare; where one occurs the next seed is tried."""
+    seed = 0
+    while not df.groupBy(code(columns, seed)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        seed += 1
+    return seed
+
+
+def code(columns: list[str], seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), *columns).alias("_code")
+
+
+def _with_key(lines: DataFrame, dim: Numbered, attributes: dict[str, str], key: str) -> DataFrame:
+    """``lines`` with ``key`` in place of the attributes; lines with a NULL attribute match no row.
+
+    A small dimension is broadcast.  For another, what moves must be narrow: lines carry a 64-bit code of their attributes,
+    which tells the dimension's rows apart (checked), in place of the texts.  ``dim`` holds every tuple of ``lines``, so
+    equal codes mean equal attributes.
+    """
+    columns = list(attributes)
+    known = dim.df.select(key, *[F.col(dst).alias(src) for src, dst in attributes.items()])
+    for c in columns:
+        lines, known = lines.filter(F.col(c).isNotNull()), known.filter(F.col(c).isNotNull())
+    if dim.rows <= BROADCAST_ROWS:
+        return lines.join(F.broadcast(known), columns, "inner").drop(*columns)
+    seed = code_seed(known, columns)
+    coded = lines.select(*[c for c in lines.columns if c not in columns], code(columns, seed))
+    # the row count is known: no broadcast from a guess of the bytes; a sorted join's hot keys can be split
+    how = "broadcast" if dim.rows <= BROADCAST_CODES else "merge"
+    return coded.join(known.select(key, code(columns, seed)).hint(how), ["_code"], "inner").drop("_code")
 
 
 def star_join(staging: DataFrame, shipping: Numbered, geo: Numbered, product: Numbered,
               customer: Numbered) -> DataFrame:
-    """Staging lines joined to the four dimensions by their natural keys.
+    """Staging lines joined to the four dimensions (built from them) by their natural keys.
 
     Inner joins with plain equality: a line whose key has a NULL (e.g. a
     missing postal code) matches no dimension row and is dropped, which is
-    why the repair runs first.  Columns are renamed so each join binds by
-    name.  Result: dimension keys, date keys, order id, measures (and the
+    why the repair runs first.  Columns are bound by name.  Result:
+    dimension keys, date keys, order id, measures (and the
     lineage column when staging carries it).
     """
-    joined = (staging
-              .join(_dim_side(shipping, {"shipping_mode": "ship_mode"}), ["ship_mode"], "inner")
-              .join(_dim_side(geo), ["country", "city", "state", "postal_code"], "inner")
-              .join(_dim_side(product, {"sub_category": "subcategory"}),
-                    ["product_id", "product_name", "category", "subcategory", "segment"], "inner")
-              .join(_dim_side(customer), ["customer_id", "customer_name"], "inner"))
-    return joined.select(
-        "cust_id",
+    lines = staging.select(
+        *dict.fromkeys(c for attributes, _ in DIMENSIONS.values() for c in attributes),
         date_key(F.col("order_date")).alias("order_date_id"),
         date_key(F.col("ship_date")).alias("ship_date_id"),
-        "prod_id", "ship_id", "geo_id", "order_id", "sales", "profit", "quantity", "discount",
-        *_lineage(staging))
+        "order_id", "sales", "profit", "quantity", "discount",
+        *[F.pmod(LINE_COL, F.lit(TIEBREAKS)).alias(LINE_COL) for _ in _lineage(staging)])
+    for name, dim in (("shipping", shipping), ("geo", geo), ("product", product), ("customer", customer)):
+        lines = _with_key(lines, dim, *DIMENSIONS[name])
+    return lines.select(*[c for c in FACT_COLUMNS if c != "sales_id"], *_lineage(staging))
 
 
 class Warehouse:
@@ -116,7 +144,7 @@ class Warehouse:
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, root: str, share_staging: bool = True) -> "Warehouse":
-        return cls(spark, fixture_staging(spark, root, keep_line=True), fixture_returns(spark, root),
+        return cls(spark, fixture_staging(spark, root), fixture_returns(spark, root),
                    managers_seed(spark), share_staging=share_staging, dates=fixture_dates(spark, root))
 
     @classmethod
@@ -144,8 +172,12 @@ class Warehouse:
     # -- staging -------------------------------------------------------------
     @cached_property
     def staging_base(self) -> DataFrame:
-        """Staging as read (with lineage column), written once to the checkpoint folder."""
-        return stored(self.staging_raw) if self.share_staging else self.staging_raw
+        """Staging as read, written once to the checkpoint folder.  Lines that come without
+        a lineage value have that of their place in the written files, which no shuffle before carries."""
+        if not self.share_staging:
+            return self.staging_raw
+        base = stored(self.staging_raw, "zstd")
+        return base if LINE_COL in base.columns else base.withColumn(LINE_COL, line_salt())
 
     @property
     def staging(self) -> DataFrame:

@@ -11,7 +11,7 @@ Two ways in:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,38 +91,50 @@ def read_staging(spark: SparkSession, path: str, keep_line: bool = False, fmt: s
 
 
 def _customer_places(spark: SparkSession, root: str) -> DataFrame:
-    """One row per customer with its staging attributes (customer-sized)."""
+    """One row per customer with what its staging attributes follow from (customer-sized)."""
     customer = read_table(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, root, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, root, "region", ["r_regionkey", "r_name"])
     nations = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
+    return (customer.join(nations, customer.c_nationkey == nations.n_nationkey, "inner")
+            .select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "n_name", "r_name"))
+
+
+def _customer_columns() -> list[Column]:
+    """The staging attributes of a customer, from the columns of :func:`_customer_places`."""
     bucket = F.col("c_custkey") % 20
     gap = (bucket == FIXTURE_GAP_CITY_BUCKET) & (F.col("c_nationkey") == FIXTURE_GAP_NATION)
-    return (customer.join(nations, customer.c_nationkey == nations.n_nationkey, "inner")
-            .select(
-                F.col("c_custkey"),
-                F.concat(F.lit("C"), zero_pad(F.col("c_custkey"), 7)).alias("customer_id"),
-                F.col("c_name").alias("customer_name"),
-                F.col("c_mktsegment").alias("segment"),
-                F.lit(FIXTURE_COUNTRY).alias("country"),
-                F.when(bucket == FIXTURE_GAP_CITY_BUCKET, F.lit(FIXTURE_GAP_CITY))
-                 .otherwise(F.concat(F.lit("City_"), bucket.cast("string"))).alias("city"),
-                F.col("n_name").alias("state"),
-                F.when(gap, F.lit(None).cast("string"))
-                 .otherwise(zero_pad(F.col("c_nationkey") * 100 + bucket, 5)).alias("postal_code"),
-                F.col("r_name").alias("region"),
-            ))
+    return [
+        F.concat(F.lit("C"), zero_pad(F.col("c_custkey"), 7)).alias("customer_id"),
+        F.col("c_name").alias("customer_name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.lit(FIXTURE_COUNTRY).alias("country"),
+        F.when(bucket == FIXTURE_GAP_CITY_BUCKET, F.lit(FIXTURE_GAP_CITY))
+         .otherwise(F.concat(F.lit("City_"), bucket.cast("string"))).alias("city"),
+        F.col("n_name").alias("state"),
+        F.when(gap, F.lit(None).cast("string"))
+         .otherwise(zero_pad(F.col("c_nationkey") * 100 + bucket, 5)).alias("postal_code"),
+        F.col("r_name").alias("region"),
+    ]
 
 
 def fixture_orders(spark: SparkSession, root: str) -> DataFrame:
     """Order-level columns: the order id text, dates and ship mode."""
+    return _order_rows(spark, root).select("o_orderkey", "o_custkey", *_order_columns())
+
+
+def _order_rows(spark: SparkSession, root: str) -> DataFrame:
     orders = read_table(spark, root, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
-    return orders.select(
-        "o_orderkey", "o_custkey",
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+def _order_columns() -> list[Column]:
+    """The staging attributes of an order, from the columns of :func:`_order_rows`."""
+    return [
         order_id_expr(F.col("o_orderdate"), F.col("o_orderkey")).alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_orderdate").alias("order_date"),
         F.substr(F.col("o_orderpriority"), F.lit(3)).alias("ship_mode"),
-    )
+    ]
 
 
 def order_id_expr(order_ts, order_key):
@@ -143,7 +155,8 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
 
     Plan shape: customers are enriched with nation/region and joined to
     orders first, so the line-sized side is shuffled once on the order key
-    and once on the part key.  No join side is hinted: adaptive execution
+    and once on the part key.  Measures are cast before the shuffles, and
+    texts that follow from keys are made after them.  No join side is hinted: adaptive execution
     measures each side and broadcasts it only when it proves small (region,
     nation, and at small scale customers and parts); everything larger stays
     a shuffle join.  Measuring needs no extra job, which an up-front row
@@ -151,28 +164,26 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
     """
     lines = read_lines(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
                                                   "l_extendedprice", "l_discount", "l_shipdate"], keep_line)
+    sales, discount = T.DecimalType(11, 4), T.DecimalType(8, 2)
+    lines = lines.select("l_orderkey", "l_partkey", F.col("l_shipdate").cast("date").alias("ship_date"),
+                         F.col("l_extendedprice").cast(sales).alias("sales"), F.col("l_quantity").cast("int").alias("quantity"),
+                         F.col("l_discount").cast(discount).alias("discount"), *([LINE_COL] if keep_line else []))
     part = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
-    orders = fixture_orders(spark, root)
+    orders = _order_rows(spark, root)
     places = _customer_places(spark, root)
-    order_rows = orders.join(places, orders.o_custkey == places.c_custkey, "inner")
-    joined = (lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner")
+    order_rows = orders.join(places, orders.o_custkey == places.c_custkey, "inner").drop("o_custkey")
+    joined = (lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner").drop("l_orderkey")
               .join(part, lines.l_partkey == part.p_partkey, "inner"))
-    sales = F.col("l_extendedprice").cast(T.DecimalType(11, 4))
-    discount = F.col("l_discount").cast(T.DecimalType(8, 2))
     margin = F.lit(FIXTURE_MARGIN).cast(T.DecimalType(4, 2))
     staged = joined.select(
-        "order_id", "order_date",
-        F.col("l_shipdate").cast("date").alias("ship_date"),
-        "ship_mode", "customer_id", "customer_name", "segment",
-        "country", "city", "state", "postal_code", "region",
+        *_order_columns(), "ship_date", *_customer_columns(),
         F.concat(F.lit("P-"), zero_pad(F.col("p_partkey"), 8)).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
-        sales.alias("sales"),
-        (sales * (margin - discount)).cast(T.DecimalType(25, 16)).alias("profit"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        discount.alias("discount"),
+        "sales",
+        (F.col("sales") * (margin - F.col("discount"))).cast(T.DecimalType(25, 16)).alias("profit"),
+        "quantity", "discount",
         *([LINE_COL] if keep_line else []),
     )
     return conform_staging(staged, keep_line)

@@ -168,6 +168,41 @@ def _check_hot_order(spark, sf_dir):
     assert w.sales_fact_with_managers.count() == 6000
 
 
+def test_coded_joins_equal_broadcast_ones(spark, monkeypatch):
+    """Large dimensions meet the lines by codes; NULL attributes match nothing, whatever their place; clashes take another seed."""
+    from starloom.plans import warehouse
+    rows = [{"order_id": f"O{i % 7}", "customer_id": f"C{i % 5}", "customer_name": "Ann", "product_name": f"p{i % 3}", "quantity": i} for i in range(40)]
+    rows += [{"customer_id": None, "customer_name": "Ann"}, {"customer_id": "Ann", "customer_name": None}, {"order_id": None}, {"order_id": None},
+             {"customer_id": "Ann", "customer_name": "Bob"}, {"city": "Burlington", "postal_code": None}, {"segment": None}]
+    results = []
+    for most, codes in ((50_000, 0), (0, 1_000_000), (0, 0)):
+        monkeypatch.setattr(warehouse, "BROADCAST_ROWS", most)
+        monkeypatch.setattr(warehouse, "BROADCAST_CODES", codes)
+        w = _warehouse(spark, rows, returned=["O1", "O1", "O3"])
+        results.append((sorted(map(str, w.sales_fact_with_managers.collect())), w.unrepaired_fact_lines().count()))
+    assert len(results[0][0]) == 44 and results[0][1] == 43
+    assert results[0] == results[1] == results[2]
+    monkeypatch.setattr(warehouse, "code", lambda columns, seed: (F.lit(7) if seed < 2 else F.xxhash64(*columns)).alias("_code"))
+    assert warehouse.code_seed(spark.range(3), ["id"]) == 2
+
+
+def test_lines_travel_narrow(spark, monkeypatch):
+    """A line that is shuffled to a large dimension or to its range carries no text but its order."""
+    import re
+
+    from conftest import SF_SMALL
+
+    from starloom.plans import warehouse
+    monkeypatch.setattr(warehouse, "BROADCAST_ROWS", 140)
+    monkeypatch.setattr(warehouse, "BROADCAST_CODES", 0)
+    w = Warehouse.from_fixture(spark, SF_SMALL)
+    assert "_line" not in w.staging_raw.columns and w.staging_base.select("_line").distinct().count() == 6000
+    lines = warehouse.star_join(w.staging, w.shipping, w.geo, w.product, w.customer)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    sides = [part for part in re.findall(r"SortMergeJoin \[([^\]]*)\]", plan)]
+    assert len(sides) == 2 and all("_code" in s for s in sides), plan
+
+
 def test_manager_of_an_unknown_region_is_kept_and_reported(spark):
     from conftest import SF_SMALL
     from starloom.sources.seeds import managers_by_region
