@@ -98,7 +98,7 @@ def write_observed(df: DataFrame, path: str, contract: TableContract | None = No
     counts = [(check, column, metric) for check, columns in (column_counts(contract) if contract else {}).items() for column, metric in columns.items()]
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[metric.alias(f"m{i}") for i, (_, _, metric) in enumerate(counts)])
-    observed.write.parquet(path)
+    observed.write.parquet(path, compression="zstd")
     got = seen.get
     return got["rows"], [(check, column, got[f"m{i}"]) for i, (check, column, _) in enumerate(counts)]
 

@@ -64,7 +64,7 @@ def update_from(target: DataFrame, source: DataFrame, on: list[str],
     sources = list(dict.fromkeys(assign.values()))
     reduced = stored(source.groupBy(*on).agg(_chosen(sources, tie).alias("_row"))
                      .select(*on, *[F.col(f"_row.{src}").alias(f"_new_{dst}") for dst, src in assign.items()])
-                     .withColumn(_MATCHED, F.lit(True)))
+                     .withColumn(_MATCHED, F.lit(True)), "zstd")
     joined = target.join(reduced, on=on, how="left")
     out = []
     for name in target.columns:

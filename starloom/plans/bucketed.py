@@ -33,7 +33,7 @@ class BucketedFact:
 
 def _save(df: DataFrame, table: str, path: str, buckets: int) -> None:
     """One file a bucket, sorted by order."""
-    (df.repartition(buckets, ORDER).write.format("parquet").option("path", path)
+    (df.repartition(buckets, ORDER).write.format("parquet").option("compression", "zstd").option("path", path)
      .bucketBy(buckets, ORDER).sortBy(ORDER).mode("overwrite").saveAsTable(table))
 
 
@@ -48,7 +48,7 @@ def store_fact(w: Warehouse, folder: str, prefix: str, buckets: int) -> Bucketed
     hot = stored(hot_orders(w.sales_fact, w.fact.rows, buckets))
     # a row an order of the hot ones: fewer than buckets
     _save(w.sales_fact.join(F.broadcast(hot), [ORDER], "left_anti"), names.fact, f"{folder}/fact", buckets)
-    (w.sales_fact.join(F.broadcast(hot), [ORDER], "left_semi").write.format("parquet").option("path", f"{folder}/hot")
+    (w.sales_fact.join(F.broadcast(hot), [ORDER], "left_semi").write.format("parquet").option("compression", "zstd").option("path", f"{folder}/hot")
      .mode("overwrite").saveAsTable(names.hot))
     _save(w.order_updates, names.updates, f"{folder}/updates", buckets)
     return names

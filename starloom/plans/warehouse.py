@@ -117,7 +117,9 @@ def star_join(staging: DataFrame, shipping: Numbered, geo: Numbered, product: Nu
         date_key(F.col("ship_date")).alias("ship_date_id"),
         "order_id", "sales", "profit", "quantity", "discount",
         *[F.pmod(LINE_COL, F.lit(TIEBREAKS)).alias(LINE_COL) for _ in _lineage(staging)])
-    for name, dim in (("shipping", shipping), ("geo", geo), ("product", product), ("customer", customer)):
+    # small ones first: their attributes then do not travel to the large ones
+    dims = {"shipping": shipping, "geo": geo, "product": product, "customer": customer}
+    for name, dim in sorted(dims.items(), key=lambda named: named[1].rows):
         lines = _with_key(lines, dim, *DIMENSIONS[name])
     return lines.select(*[c for c in FACT_COLUMNS if c != "sales_id"], *_lineage(staging))
 
@@ -285,7 +287,7 @@ class Warehouse:
         returned = self.returns_dim.select("order_id", "return_id", F.lit(None).cast("long").alias("manager_id"))
         managed = self.order_managers().select("order_id", F.lit(None).cast("long").alias("return_id"), "manager_id")
         return stored(returned.unionByName(managed).groupBy("order_id")
-                      .agg(F.min("return_id").alias("return_id"), F.min("manager_id").alias("manager_id")))
+                      .agg(F.min("return_id").alias("return_id"), F.min("manager_id").alias("manager_id")), "zstd")
 
     @cached_property
     def sales_fact_with_managers(self) -> DataFrame:

@@ -24,7 +24,7 @@ def write_by_year(fact: DataFrame, path: str) -> None:
     parts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (fact.withColumn(YEAR, F.floor(F.col("order_date_id") / 10_000).cast("int"))
      .repartition(YEAR, F.pmod(F.xxhash64("sales_id"), F.lit(parts)))
-     .sortWithinPartitions(YEAR, "order_id", "sales_id").write.partitionBy(YEAR).parquet(path))
+     .sortWithinPartitions(YEAR, "order_id", "sales_id").write.partitionBy(YEAR).parquet(path, compression="zstd"))
 
 
 def touched_years(spark: SparkSession, path: str, returns: DataFrame) -> list[int]:
@@ -36,12 +36,12 @@ def touched_years(spark: SparkSession, path: str, returns: DataFrame) -> list[in
 
 def apply_returns(spark: SparkSession, path: str, returns: DataFrame) -> list[int]:
     """Set ``return_id`` of the lines of ``returns`` (return_id, order_id); returns the rewritten years."""
-    lowest = stored(returns.groupBy("order_id").agg(F.min("return_id").alias("_return_id")))
+    lowest = stored(returns.groupBy("order_id").agg(F.min("return_id").alias("_return_id")), "zstd")
     years = touched_years(spark, path, lowest)
     if years:
         fact = spark.read.parquet(path).filter(F.col(YEAR).isin(years))
         updated = (fact.join(lowest, ["order_id"], "left")
                    .withColumn("return_id", F.least("return_id", "_return_id")).select(*fact.columns))
         # written aside first: the partitions that are replaced are those that are read
-        (stored(updated).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path))
+        (stored(updated, "zstd").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path, compression="zstd"))
     return years
