@@ -42,12 +42,32 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _own_path(spark: SparkSession) -> str:
+    return f"{_folder.get() or ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
 
     Cuts lineage like :func:`materialize`, but readers decode only the columns they
     name and filters reach the scan.  ``compression`` is a Parquet codec in place of the session's.
     """
-    path = f"{_folder.get() or ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = _own_path(df.sparkSession)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_in_buckets(df: DataFrame, column: str, compression: str) -> DataFrame:
+    """As :func:`stored`, in as many buckets of ``column`` as the session shuffles to.
+
+    A join or aggregate by ``column`` finds the rows where they lie, without an exchange; where ``df`` is dealt by
+    ``column`` (it ends in a join by it), writing needs none either.  The catalog's entry goes once it is resolved; the
+    files stay, as those of :func:`stored` do.
+    """
+    spark, name, path = df.sparkSession, f"stored_{uuid.uuid4().hex}", _own_path(df.sparkSession)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, column).write.format("parquet").option("compression", compression).option("path", path)
+     .bucketBy(buckets, column).saveAsTable(name))
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows

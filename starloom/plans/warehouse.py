@@ -9,9 +9,11 @@ dimensions, the fact and the manager lookup each scan only the columns they need
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from contextvars import copy_context
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import date_key
 from starloom.operators.dense_ids import Numbered, with_dense_ids
 from starloom.operators.dimension import KEY_BASE, build_dimension, build_dimensions
-from starloom.operators.materialize import stored
+from starloom.operators.materialize import stored, stored_in_buckets
 from starloom.operators.updates import conditional_update, update_from
 from starloom.plans.calendar import CALENDAR_END, CALENDAR_START, calendar_dim, covering_bounds
 from starloom.sources.seeds import fixture_returns, managers_seed
@@ -66,43 +68,76 @@ def _lineage(df: DataFrame) -> list[str]:
 BROADCAST_ROWS, BROADCAST_CODES = 50_000, 1_000_000
 # A line's tiebreak takes this many values: enough to spread identical lines over ranges, and few bytes in a shuffle.
 TIEBREAKS = 1 << 16
+# Buckets of staging are joined where they lie if the largest has at most so many times the lines of an average one.
+EVEN_BUCKETS = 4
 
 
 def code_seed(df: DataFrame, columns: list[str]) -> int:
     """A seed under which :func:`code` tells all rows of ``df`` (different, without NULLs) apart.  A clash of 64 bits
     is rare; where one occurs the next seed is tried."""
     seed = 0
-    while not df.groupBy(code(columns, seed)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    while not df.groupBy(code(columns, seed).alias("_code")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         seed += 1
     return seed
 
 
 def code(columns: list[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *columns).alias("_code")
+    return F.xxhash64(F.lit(seed), *columns)
 
 
-def _with_key(lines: DataFrame, dim: Numbered, attributes: dict[str, str], key: str) -> DataFrame:
-    """``lines`` with ``key`` in place of the attributes; lines with a NULL attribute match no row.
+def _known(dim: Numbered, attributes: dict[str, str], key: str) -> DataFrame:
+    """``key`` and the attributes under their staging names; a row with a NULL attribute matches no line."""
+    known = dim.df.select(key, *[F.col(dst).alias(src) for src, dst in attributes.items()])
+    return known.filter(_all_known(list(attributes)))
+
+
+def _all_known(columns: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
+def _with_keys(lines: DataFrame, dims: dict[str, Numbered], bucket: str | None = None) -> DataFrame:
+    """``lines`` with each dimension's key in place of its attributes; lines with a NULL attribute match no row.
 
-    A small dimension is broadcast.  For another, what moves must be narrow: lines carry a 64-bit code of their attributes,
-    which tells the dimension's rows apart (checked), in place of the texts.  ``dim`` holds every tuple of ``lines``, so
-    equal codes mean equal attributes.
+    Small dimensions are broadcast.  For the others, what moves must be narrow: before the first of their joins, lines get a
+    64-bit code of the attributes of each in place of all the texts.  A code tells the rows of its dimension apart (checked), and
+    the dimension holds every tuple of ``lines``, so equal codes mean equal attributes.
+
+    Where ``lines`` lie in buckets of the attribute ``bucket``, its dimension comes first and is joined by it too: the lines
+    stay where they are.
     """
-    columns = list(attributes)
-    known = dim.df.select(key, *[F.col(dst).alias(src) for src, dst in attributes.items()])
-    for c in columns:
-        lines, known = lines.filter(F.col(c).isNotNull()), known.filter(F.col(c).isNotNull())
-    if dim.rows <= BROADCAST_ROWS:
-        return lines.join(F.broadcast(known), columns, "inner").drop(*columns)
-    seed = code_seed(known, columns)
-    coded = lines.select(*[c for c in lines.columns if c not in columns], code(columns, seed))
-    # the row count is known: no broadcast from a guess of the bytes; a sorted join's hot keys can be split
-    how = "broadcast" if dim.rows <= BROADCAST_CODES else "merge"
-    return coded.join(known.select(key, code(columns, seed)).hint(how), ["_code"], "inner").drop("_code")
+    for name, dim in dims.items():
+        lines = lines.filter(_all_known(list(DIMENSIONS[name][0])))
+    for name, dim in dims.items():
+        if dim.rows <= BROADCAST_ROWS:
+            columns = list(DIMENSIONS[name][0])
+            lines = lines.join(F.broadcast(_known(dim, *DIMENSIONS[name])), columns, "inner").drop(*columns)
+    large = {name: _known(dim, *DIMENSIONS[name]) for name, dim in dims.items() if dim.rows > BROADCAST_ROWS}
+    codes = {name: code(list(DIMENSIONS[name][0]), code_seed(known, list(DIMENSIONS[name][0]))) for name, known in large.items()}
+    texts = [c for name in large for c in DIMENSIONS[name][0] if c != bucket]
+    lines = lines.select(*[c for c in lines.columns if c not in texts], *[c.alias(f"_code_{name}") for name, c in codes.items()])
+    for name, known in sorted(large.items(), key=lambda named: (bucket not in DIMENSIONS[named[0]][0], dims[named[0]].rows)):
+        # the row count is known: no broadcast from a guess of the bytes; a sorted join's hot keys can be split
+        how = "broadcast" if dims[name].rows <= BROADCAST_CODES else "merge"
+        on = [c for c in [bucket] if c in DIMENSIONS[name][0]]
+        coded = known.select(DIMENSIONS[name][1], *on, codes[name].alias(f"_code_{name}"))
+        lines = lines.join(coded.hint(how), [*on, f"_code_{name}"], "inner").drop(*on, f"_code_{name}")
+    return lines
+
+
+@contextmanager
+def _joins_by_some_keys(spark: SparkSession) -> Iterator[None]:
+    """Lets a join by several keys use lines that already lie by one of them."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def star_join(staging: DataFrame, shipping: Numbered, geo: Numbered, product: Numbered,
-              customer: Numbered) -> DataFrame:
+              customer: Numbered, bucket: str | None = None) -> DataFrame:
     """Staging lines joined to the four dimensions (built from them) by their natural keys.
 
     Inner joins with plain equality: a line whose key has a NULL (e.g. a
@@ -117,10 +152,7 @@ def star_join(staging: DataFrame, shipping: Numbered, geo: Numbered, product: Nu
         date_key(F.col("ship_date")).alias("ship_date_id"),
         "order_id", "sales", "profit", "quantity", "discount",
         *[F.pmod(LINE_COL, F.lit(TIEBREAKS)).alias(LINE_COL) for _ in _lineage(staging)])
-    # small ones first: their attributes then do not travel to the large ones
-    dims = {"shipping": shipping, "geo": geo, "product": product, "customer": customer}
-    for name, dim in sorted(dims.items(), key=lambda named: named[1].rows):
-        lines = _with_key(lines, dim, *DIMENSIONS[name])
+    lines = _with_keys(lines, {"shipping": shipping, "geo": geo, "product": product, "customer": customer}, bucket)
     return lines.select(*[c for c in FACT_COLUMNS if c != "sales_id"], *_lineage(staging))
 
 
@@ -130,11 +162,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, staging_raw: DataFrame, returns_seed: DataFrame,
                  managers: DataFrame, calendar_start: dt.date = CALENDAR_START,
                  calendar_end: dt.date = CALENDAR_END, share_staging: bool = True,
-                 dates: DataFrame | None = None):
+                 dates: DataFrame | None = None, bucket: str | None = None):
         """``share_staging`` writes a *derived* staging plan (joins) once, as columns, for
         its several consumers; a caller that needs a single table from it, or
         whose staging is already a stored table, skips the write.  ``dates`` holds the
-        dates the calendar must cover (default: those of staging)."""
+        dates the calendar must cover (default: those of staging).  ``bucket`` is a product attribute by
+        which the staging plan deals its lines, if any: staging is then written in buckets of it."""
         self.spark = spark
         self.share_staging = share_staging
         self.staging_raw = staging_raw
@@ -143,11 +176,12 @@ class Warehouse:
         self.calendar_start = calendar_start
         self.calendar_end = calendar_end
         self.dates = dates
+        self.bucket = bucket
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, root: str, share_staging: bool = True) -> "Warehouse":
-        return cls(spark, fixture_staging(spark, root), fixture_returns(spark, root),
-                   managers_seed(spark), share_staging=share_staging, dates=fixture_dates(spark, root))
+        return cls(spark, fixture_staging(spark, root, by_product=share_staging), fixture_returns(spark, root), managers_seed(spark),
+                   share_staging=share_staging, dates=fixture_dates(spark, root), bucket="product_id" if share_staging else None)
 
     @classmethod
     def from_staging_table(cls, spark: SparkSession, staging_path: str, returns: DataFrame,
@@ -178,7 +212,7 @@ class Warehouse:
         a lineage value have that of their place in the written files, which no shuffle before carries."""
         if not self.share_staging:
             return self.staging_raw
-        base = stored(self.staging_raw, "zstd")
+        base = stored_in_buckets(self.staging_raw, self.bucket, "zstd") if self.bucket else stored(self.staging_raw, "zstd")
         return base if LINE_COL in base.columns else base.withColumn(LINE_COL, line_salt())
 
     @property
@@ -190,6 +224,17 @@ class Warehouse:
     def staging_public(self) -> DataFrame:
         return self.staging.select(*STAGING_COLUMNS)
 
+    @cached_property
+    def even_bucket(self) -> str | None:
+        """``bucket`` where no bucket of the written staging is much larger than the others: hot products are joined by codes
+        that a shuffle deals and adaptive execution splits."""
+        if not (self.share_staging and self.bucket):
+            return None
+        files = self.staging_base.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("lines"))
+        most = files.agg(F.max("lines").alias("most"), F.sum("lines").alias("lines")).first()
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.bucket if most["most"] is not None and most["most"] * buckets <= EVEN_BUCKETS * most["lines"] else None
+
     # -- dimensions ----------------------------------------------------------
     @cached_property
     def dimensions(self) -> dict[str, Numbered]:
@@ -242,8 +287,10 @@ class Warehouse:
     @cached_property
     def fact(self) -> Numbered:
         self.dimensions
-        lines = star_join(self.staging, self.shipping, self.geo, self.product, self.customer)
-        numbered = with_dense_ids(lines, FACT_ORDER, "sales_id", start=KEY_BASE + 1, tiebreak=_lineage(lines))
+        bucket = self.even_bucket if self.product.rows > BROADCAST_CODES else None
+        lines = star_join(self.staging, self.shipping, self.geo, self.product, self.customer, bucket)
+        with _joins_by_some_keys(self.spark):
+            numbered = with_dense_ids(lines, FACT_ORDER, "sales_id", start=KEY_BASE + 1, tiebreak=_lineage(lines))
         return Numbered(numbered.df.select(*FACT_COLUMNS), numbered.rows)
 
     @property

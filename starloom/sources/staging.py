@@ -53,6 +53,8 @@ FIXTURE_GAP_CITY = "Burlington"
 FIXTURE_GAP_CITY_BUCKET = 7
 FIXTURE_GAP_NATION = 5
 FIXTURE_MARGIN = "0.20"
+# Nations of at most so many rows, by their exact count, join the lines after the shuffles.
+FEW_NATIONS = 10_000
 
 
 def conform_staging(df: DataFrame, keep_line: bool = False) -> DataFrame:
@@ -90,18 +92,15 @@ def read_staging(spark: SparkSession, path: str, keep_line: bool = False, fmt: s
     return conform_staging(raw, keep_line)
 
 
-def _customer_places(spark: SparkSession, root: str) -> DataFrame:
-    """One row per customer with what its staging attributes follow from (customer-sized)."""
-    customer = read_table(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+def _nations(spark: SparkSession, root: str) -> DataFrame:
     nation = read_table(spark, root, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, root, "region", ["r_regionkey", "r_name"])
-    nations = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
-    return (customer.join(nations, customer.c_nationkey == nations.n_nationkey, "inner")
-            .select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "n_name", "r_name"))
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
+            .select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"))
 
 
 def _customer_columns() -> list[Column]:
-    """The staging attributes of a customer, from the columns of :func:`_customer_places`."""
+    """The staging attributes of a customer, from its columns and those of :func:`_nations`."""
     bucket = F.col("c_custkey") % 20
     gap = (bucket == FIXTURE_GAP_CITY_BUCKET) & (F.col("c_nationkey") == FIXTURE_GAP_NATION)
     return [
@@ -150,17 +149,19 @@ def fixture_dates(spark: SparkSession, root: str) -> DataFrame:
     return ordered.unionByName(shipped)
 
 
-def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) -> DataFrame:
+def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False, by_product: bool = False) -> DataFrame:
     """Derive ``stg_orders`` from the fixture tables; one row per lineitem.
 
-    Plan shape: customers are enriched with nation/region and joined to
-    orders first, so the line-sized side is shuffled once on the order key
-    and once on the part key.  Measures are cast before the shuffles, and
-    texts that follow from keys are made after them.  No join side is hinted: adaptive execution
-    measures each side and broadcasts it only when it proves small (region,
-    nation, and at small scale customers and parts); everything larger stays
-    a shuffle join.  Measuring needs no extra job, which an up-front row
+    Plan shape: customers are joined to orders first, so the line-sized side is
+    shuffled once on the order key and once on the part key.  Measures are cast before the shuffles, and
+    texts that follow from keys are made after them; so are the names of nation and region, which
+    are broadcast once their count shows them to be few.  No other join side is hinted: adaptive execution
+    measures each side and broadcasts it only when it proves small (at small scale customers and parts);
+    everything larger stays a shuffle join.  Measuring needs no extra job, which an up-front row
     count per side would.
+
+    With ``by_product`` the parts are joined by the product id, which tells part keys apart, so that lines which meet them by a
+    shuffle lie by product id.
     """
     lines = read_lines(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
                                                   "l_extendedprice", "l_discount", "l_shipdate"], keep_line)
@@ -169,15 +170,26 @@ def fixture_staging(spark: SparkSession, root: str, keep_line: bool = False) ->
                          F.col("l_extendedprice").cast(sales).alias("sales"), F.col("l_quantity").cast("int").alias("quantity"),
                          F.col("l_discount").cast(discount).alias("discount"), *([LINE_COL] if keep_line else []))
     part = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    product_id = lambda key: F.concat(F.lit("P-"), zero_pad(F.col(key), 8))
     orders = _order_rows(spark, root)
-    places = _customer_places(spark, root)
-    order_rows = orders.join(places, orders.o_custkey == places.c_custkey, "inner").drop("o_custkey")
-    joined = (lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner").drop("l_orderkey")
-              .join(part, lines.l_partkey == part.p_partkey, "inner"))
+    customer = read_table(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    nations = _nations(spark, root)
+    few = nations.count() <= FEW_NATIONS
+    if not few:
+        customer = customer.join(nations, ["c_nationkey"], "inner")
+    order_rows = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").drop("o_custkey")
+    ordered = lines.join(order_rows, lines.l_orderkey == order_rows.o_orderkey, "inner").drop("l_orderkey")
+    if by_product:
+        ordered = ordered.withColumn("product_id", product_id("l_partkey")).drop("l_partkey")
+        joined = ordered.join(part.withColumn("product_id", product_id("p_partkey")).drop("p_partkey"), "product_id", "inner")
+    else:
+        joined = ordered.join(part, ordered.l_partkey == part.p_partkey, "inner").withColumn("product_id", product_id("p_partkey"))
+    if few:
+        joined = joined.join(F.broadcast(nations), ["c_nationkey"], "inner")
     margin = F.lit(FIXTURE_MARGIN).cast(T.DecimalType(4, 2))
     staged = joined.select(
         *_order_columns(), "ship_date", *_customer_columns(),
-        F.concat(F.lit("P-"), zero_pad(F.col("p_partkey"), 8)).alias("product_id"),
+        "product_id",
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),

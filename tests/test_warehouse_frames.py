@@ -203,6 +203,58 @@ def test_lines_travel_narrow(spark, monkeypatch):
     assert len(sides) == 2 and all("_code" in s for s in sides), plan
 
 
+def test_lines_in_buckets_of_the_product_stay_there(spark, monkeypatch):
+    """A large product dimension comes to the lines, which lie by product id; hot products go the way of codes.  The fact is the same."""
+    from conftest import SF_SMALL
+
+    from starloom.plans import warehouse
+    from starloom.sources.staging import fixture_staging
+    usual = sorted(map(str, Warehouse.from_fixture(spark, SF_SMALL).sales_fact.collect()))
+    tables = spark.catalog.listTables()
+    monkeypatch.setattr(warehouse, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(warehouse, "BROADCAST_CODES", 0)
+    w = Warehouse.from_fixture(spark, SF_SMALL)
+    assert w.even_bucket == "product_id"
+    assert sorted(map(str, w.sales_fact.collect())) == usual
+    assert spark.catalog.listTables() == tables
+    exchanges = []
+    with warehouse._joins_by_some_keys(spark):
+        for bucket in (None, "product_id"):
+            lines = warehouse.star_join(w.staging, w.shipping, w.geo, w.product, w.customer, bucket)
+            exchanges.append(lines._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+    assert exchanges == [8, 7]
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    hot = fixture_staging(spark, SF_SMALL).withColumn("product_id", F.lit("P-00000001"))
+    crowded = Warehouse(spark, hot, w.returns_seed, w.managers_dim, bucket="product_id")
+    assert crowded.even_bucket is None and crowded.fact.rows == 6000
+
+
+def test_lines_by_product_are_the_same(spark, tmp_path, monkeypatch):
+    """Parts joined by product id, nations after the lines' shuffles: the rows of the join by keys, with repeated and NULL keys."""
+    from starloom.sources import staging as source
+
+    def write(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    write("lineitem", [(o, p, 3.0, 10.5, 0.1, "1996-01-02") for o in (1, 1, 2, None) for p in (7, 123456789, -5, None)],
+          "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_shipdate string")
+    write("orders", [(1, 4, "1995-05-05", "1-URGENT"), (2, 5, "1995-05-06", "5-LOW"), (2, 6, None, None), (None, 4, None, None)],
+          "o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string")
+    write("customer", [(4, "Ann", 0, "A"), (5, None, 1, None), (5, "Bob", 2, "B"), (6, "Cid", None, "C")],
+          "c_custkey long, c_name string, c_nationkey long, c_mktsegment string")
+    write("part", [(7, "x", "b", "t"), (7, "y", None, "t"), (123456789, "z", "b", "t"), (-5, "m", "b", "t"), (None, "n", "b", "t")],
+          "p_partkey long, p_name string, p_brand string, p_type string")
+    write("nation", [(0, "N0", 0), (0, "N00", 0), (1, None, 0), (2, "N2", None), (None, "N", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    write("region", [(0, "R0")], "r_regionkey long, r_name string")
+    rows = []
+    for few, by_product in ((10_000, False), (10_000, True), (0, False), (0, True)):
+        monkeypatch.setattr(source, "FEW_NATIONS", few)
+        rows.append(sorted(map(str, source.fixture_staging(spark, str(tmp_path), by_product=by_product).collect())))
+    # 2 lines of order 1 at two nations, 1 of order 2 at one; part 7 twice, the others once
+    assert len(rows[0]) == (2 * 2 + 1) * 4
+    assert rows[0] == rows[1] == rows[2] == rows[3]
+
+
 def test_manager_of_an_unknown_region_is_kept_and_reported(spark):
     from conftest import SF_SMALL
     from starloom.sources.seeds import managers_by_region
