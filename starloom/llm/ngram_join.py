@@ -68,6 +68,11 @@ def prefix_length(n, percent: int):
     return min(n, n + (-percent * n) // 100 + MEETINGS + n // SPARE)
 
 
+def prefix_column(percent: int):
+    """:func:`prefix_length` of the column ``n``: it follows from the size, so no key carries it."""
+    return F.expr(f"least(n, n - ({percent} * n + 99) div 100 + {MEETINGS} + n div {SPARE})")
+
+
 def partner_sizes(n: int, percent: int) -> range:
     return range(-(-percent * n // 100), 100 * n // percent + 1)
 
@@ -120,7 +125,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> DataFrame:
-    """(kind, key, set_id, n, listed): subset keys of light sets, list entries of heavy ones; equal sets once a task."""
+    """(kind, key, set_id, n): subset keys of light sets, list entries of heavy ones; equal sets once a task."""
     def subset_keys(shingles: np.ndarray):
         n, marks = len(shingles), mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
         for m in partner_sizes(n, percent):
@@ -135,15 +140,15 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
         counts, done = rarity.value, set()  # ids of the task's own sets
         held: list[tuple] = []
 
-        def add(kind, key, own, n, listed):
-            held.append((kind, _signed(key), own, n, listed))
+        def add(kind, key, own, n):
+            held.append((kind, _signed(key), own, n))
 
         def flushed():
             sizes = [len(x[1]) for x in held]
             whole = [np.repeat(np.array([x[c] for x in held], kind), sizes) if c != 1 else np.concatenate([x[1] for x in held])
-                     for c, kind in enumerate((np.int32, np.int64, np.int64, np.int32, np.int32))]
+                     for c, kind in enumerate((np.int32, np.int64, np.int64, np.int32))]
             held.clear()
-            return pa.record_batch([pa.array(x) for x in whole], names=["kind", "key", "set_id", "n", "listed"])
+            return pa.record_batch([pa.array(x) for x in whole], names=["kind", "key", "set_id", "n"])
 
         for batch in batches:
             for shingles in shingle_sets(batch.column("text"), k):
@@ -154,7 +159,7 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
                 done.add(own)
                 if n <= boundary:
                     for kind, key in subset_keys(shingles):
-                        add(kind, key, own, n, 0)
+                        add(kind, key, own, n)
                 if n > boundary or max(partner_sizes(n, percent)) > boundary:
                     p = prefix_length(n, percent)
                     seen = counts[(shingles >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
@@ -162,13 +167,13 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
                     # all shingles at most as frequent as the p-th, in (count, hash) order
                     within = np.flatnonzero(seen <= seen[rare].max())
                     first = within[np.lexsort((shingles[within], seen[within]))[:p]]
-                    add(LISTED, shingles[first], own, n, p)
+                    add(LISTED, shingles[first], own, n)
                 if len(held) >= SETS_AT_ONCE:
                     yield flushed()
         if held:
             yield flushed()
 
-    return docs.select("text").mapInArrow(run, "kind int, key long, set_id long, n int, listed int")
+    return docs.select("text").mapInArrow(run, "kind int, key long, set_id long, n int")
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -306,15 +311,15 @@ def heavy_links(live: DataFrame, docs: DataFrame, rows: DataFrame, links: DataFr
         entries = stored(listed.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
                          .withColumn("_low", F.min("component").over(over)).withColumn("_high", F.max("component").over(over))
                          .withColumn("_members", F.count(F.lit(1)).over(over)).withColumn("_star", F.min(draw).over(over))
-                         .filter("_low <> _high").drop("_low", "_high"))
+                         .filter("_low <> _high").select("key", "set_id", "n", "component", "_members", "_star.b", "_star.m", "_star.other"), "zstd")
         if turn < STAR_ROUNDS:
-            met = met_often(entries.select("set_id", "n", "component", "_star.b", "_star.m", "_star.other"))
+            met = met_often(entries.select("set_id", "n", "component", "b", "m", "other"))
             pairs = stored(met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b")))
             links = stored(links.unionByName(verified(pairs, pair_sets(pairs), percent)))
     few = entries.filter(F.col("_members") <= CROWD).select("key", "set_id", "n", "component")
     partner = few.select("key", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     pairs = stored(met_often(few.join(partner, "key").filter(F.col("set_id") < F.col("b"))).select("a", "b"))
-    crowded = entries.filter(F.col("_members") > CROWD).select(F.col("_star.b").alias("star"), "set_id", "component")
+    crowded = entries.filter(F.col("_members") > CROWD).select(F.col("b").alias("star"), "set_id", "component")
     return stored(links.unionByName(verified(pairs, pair_sets(pairs), percent)).unionByName(crowd_links(crowded, docs, rows, k, percent)))
 
 
@@ -325,7 +330,7 @@ def jaccard_rows(docs: DataFrame, k: int, percent: int, key: str = "doc_id", tex
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    first = stored(signatures(docs, k))
+    first = stored(signatures(docs, k), "zstd")
     rows = first.filter("bin is null").select("doc_id", "text_id", "n", "set_id")
     sizes = rows.filter(f"n between 1 and {MOST_LIGHT * 2}").groupBy("n").agg(F.countDistinct("set_id").alias("c")).collect()
     boundary = light_boundary({r["n"]: r["c"] for r in sizes}, percent)
@@ -340,8 +345,8 @@ def jaccard_rows(docs: DataFrame, k: int, percent: int, key: str = "doc_id", tex
     of_set = Window.partitionBy("set_id", F.col("kind") == LISTED)
     left = F.expr(f"cast(ceil({percent} * n / 100.0 - 1e-9) as int) div {SPARE}")  # lists that a set of n leaves
     live = stored(shared.withColumn("_rank", F.row_number().over(of_set.orderBy(F.desc("_n"), "key")))
-                  .withColumn("own", F.col("listed") - F.count(F.lit(1)).over(of_set))  # shingles that no other set lists
-                  .filter((F.col("kind") != LISTED) | (F.col("_rank") > left)).drop("_n", "_rank", "listed"))
+                  .withColumn("own", prefix_column(percent) - F.count(F.lit(1)).over(of_set))  # of a list entry: shingles that no other set lists
+                  .filter((F.col("kind") != LISTED) | (F.col("_rank") > left)).drop("_n", "_rank"), "zstd")
     links = heavy_links(live, docs, rows, stored(light_links(live)), k, percent, boundary)
 
     labels = components(links).withColumnRenamed("node", "set_id")

@@ -139,6 +139,19 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     assert result(spark, rows, 4, 85) == plain_components(rows, 4, 85)
 
 
+def test_keys_carry_no_more_than_they_need(spark):
+    """A list entry's prefix length follows from its set's size, and is not shuffled with it."""
+    sizes = spark.range(1, 3000).selectExpr("cast(id as int) n")
+    for percent in (50, 80, 85, 100):
+        rows = sizes.select("n", ngram_join.prefix_column(percent).alias("p")).collect()
+        assert all(r.p == ngram_join.prefix_length(r.n, percent) for r in rows)
+    docs = spark.createDataFrame([(" ".join(map(str, range(60))),)], "text string")
+    counts = spark.sparkContext.broadcast(np.zeros(1 << ngram_join.BIN_BITS, np.int64))
+    keys = ngram_join.keys_of(docs, 4, 85, 10, counts)
+    assert keys.columns == ["kind", "key", "set_id", "n"]
+    assert keys.count() == ngram_join.prefix_length(57, 85)
+
+
 def test_clashing_columns(spark):
     rows = corpus(3, 40, range(8, 30), 1, 4) + ODD
     docs = spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows],
