@@ -55,6 +55,7 @@ CROWD = 32  # longest list whose members are paired
 BLOCK = 512  # sets of a group that are compared with so many others in one task
 SETS_AT_ONCE = 512  # entries (a set's keys of one kind, or whole sets) that are sent on together
 FILTER_BITS = 1 << 23  # most bits of the filter that finds the documents of sets to verify
+BOTH = 2  # the side of a block that is compared with itself; others are 0 and 1
 PLAIN, LESSER, GREATER, LISTED = 0, 1, 2, 3  # what a key's row is: equal sizes, smaller set, larger set, list entry
 
 
@@ -177,10 +178,10 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(set_id, shingles binary) of the sets in ``ids`` (set_id), each from a document of it.
+    """(set_id, shingles binary) of the sets in ``ids`` (set_id), each once; a few others may come with them.
 
-    A Bloom filter of bounded size picks the documents before their shingles are made, so no text is shuffled.  Rows
-    without an id are picked where a set occurs in no other.
+    A Bloom filter of bounded size picks the documents before their shingles are made, so no text is shuffled, another
+    one the sets made from them.  Rows without an id are picked where a set occurs in no other.
     """
     def run(batches):
         for some in (batch.slice(i, SETS_AT_ONCE) for batch in batches for i in range(0, batch.num_rows, SETS_AT_ONCE)):
@@ -188,19 +189,18 @@ def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> Data
             for shingles in shingle_sets(some.column("text"), k):
                 ids.append(set_id(shingles) if len(shingles) else None)
                 sets.append(shingles.tobytes())
-            yield pa.record_batch([some.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=out)
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=out)
 
-    out = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("shingles", pa.binary())])
+    out = pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())])
     wanted = stored(ids.distinct().join(rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set_id"))
-    known = wanted.filter("doc_id is not null")
+    known, n = wanted.filter("doc_id is not null"), wanted.count()
     passes = build_level(known.select(F.col("doc_id").alias("key")), known.count(), 0.05, 9, FILTER_BITS)
     picked = F.col("doc_id").isNotNull() & passes.passes(F.col("doc_id"))
     if not wanted.filter("doc_id is null").isEmpty():
         picked = picked | F.col("doc_id").isNull()
-    made = docs.filter(picked).mapInArrow(run, "doc_id long, set_id long, shingles binary")
-    # rows that repeat an id are filtered by the set they have, and equal ones counted once
-    return (made.join(wanted.withColumnRenamed("doc_id", "of"), "set_id").filter("doc_id <=> of")
-            .select("set_id", "shingles").dropDuplicates(["set_id"]))
+    of_wanted = build_level(wanted.select(F.col("set_id").alias("key")), n, 0.05, 10, FILTER_BITS)
+    made = docs.filter(picked).select("text").mapInArrow(run, "set_id long, shingles binary")
+    return made.filter(F.col("set_id").isNotNull() & of_wanted.passes(F.col("set_id"))).dropDuplicates(["set_id"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -236,7 +236,7 @@ def overlap_column(n, m, percent: int):
 def _block_links(percent: int):
     """Links between the two sides of a block pair that connect different components."""
     def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        left, right = (group[group["side"] == side].sort_values("set_id") for side in (0, 1))
+        left, right = (group[group["side"].isin([side, BOTH])].sort_values("set_id") for side in (0, 1))
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         ours = [np.frombuffer(x, np.uint64) for x in left["shingles"]]
@@ -279,12 +279,11 @@ def crowd_links(crowded: DataFrame, docs: DataFrame, rows: DataFrame, k: int, pe
     met = crowded.select("star", "set_id", "component").distinct()
     blocks = met.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = met.join(blocks, "star").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    sides = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+    # a block that meets itself is sent once, as both sides
+    sides = stored(placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "star", "set_id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        F.explode(F.when(F.col("block") == F.col("other"), F.array(F.lit(0), F.lit(1)))
-                  .otherwise(F.array((F.col("block") > F.col("other")).cast("int")))).alias("side"))
-    sides = stored(sides)
-    sets = stored(whole_sets(docs, rows, sides.select("set_id"), k))
+        F.when(F.col("block") == F.col("other"), F.lit(BOTH)).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side")))
+    sets = whole_sets(docs, rows, sides.select("set_id"), k)
     return sides.join(sets, "set_id").groupBy("star", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
 
 
@@ -297,7 +296,7 @@ def heavy_links(live: DataFrame, docs: DataFrame, rows: DataFrame, links: DataFr
 
     def pair_sets(pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
-        return stored(whole_sets(docs, rows, both, k))
+        return whole_sets(docs, rows, both, k)
 
     def met_often(met: DataFrame) -> DataFrame:
         least = F.least(F.lit(MEETINGS), overlap_column(n, m, percent))
@@ -342,11 +341,12 @@ def jaccard_rows(docs: DataFrame, k: int, percent: int, key: str = "doc_id", tex
     over = Window.partitionBy("key")
     shared = (keys.repartition("key").dropDuplicates(["key", "kind", "set_id"])
               .withColumn("_n", F.count(F.lit(1)).over(over)).filter("_n > 1"))
-    of_set = Window.partitionBy("set_id", F.col("kind") == LISTED)
+    shared = shared.withColumn("_listed", F.col("kind") == LISTED)  # named, so that both windows share one exchange
+    of_set = Window.partitionBy("set_id", "_listed")
     left = F.expr(f"cast(ceil({percent} * n / 100.0 - 1e-9) as int) div {SPARE}")  # lists that a set of n leaves
     live = stored(shared.withColumn("_rank", F.row_number().over(of_set.orderBy(F.desc("_n"), "key")))
                   .withColumn("own", prefix_column(percent) - F.count(F.lit(1)).over(of_set))  # of a list entry: shingles that no other set lists
-                  .filter((F.col("kind") != LISTED) | (F.col("_rank") > left)).drop("_n", "_rank"), "zstd")
+                  .filter(~F.col("_listed") | (F.col("_rank") > left)).drop("_n", "_rank", "_listed"), "zstd")
     links = heavy_links(live, docs, rows, stored(light_links(live)), k, percent, boundary)
 
     labels = components(links).withColumnRenamed("node", "set_id")

@@ -12,9 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.operators.commit_log import remove_folder
 from starloom.session import ensure_checkpoint_dir
 
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _folder: ContextVar[str | None] = ContextVar("scratch folder", default=None)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside the block remove their shuffle files as they end.
+
+    Later steps read what was written.  Otherwise these files lie on the executors' disks until the driver happens to
+    collect garbage, and a job of many steps holds the shuffles of all of them.
+    """
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """What :func:`stored` writes inside the block goes below one folder, which is removed at its end.
@@ -39,7 +59,8 @@ def materialize(df: DataFrame) -> DataFrame:
     positions) stay fixed.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_removed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a frame's plan has the setting of when it was made
 
 
 def _own_path(spark: SparkSession) -> str:
@@ -53,7 +74,8 @@ def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     name and filters reach the scan.  ``compression`` is a Parquet codec in place of the session's.
     """
     path = _own_path(df.sparkSession)
-    df.write.parquet(path, compression=compression)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

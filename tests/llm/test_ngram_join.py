@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -157,3 +158,28 @@ def test_clashing_columns(spark):
     docs = spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows],
                                  "doc_id long, text string, n int, set_id int, text_id int, component int, key int").repartition(3)
     assert sorted(tuple(r) for r in ngram_join.jaccard_components(docs, 4, 85).collect()) == plain_components(rows, 4, 85)
+
+
+def test_whole_sets_are_shuffled_once(spark):
+    """Repeated ids, rows without an id and texts without words: each wanted set comes once, over one exchange."""
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (1, "f g h i j"), (None, "k l m n o"), (None, "k l m n o"), (2, ""), (3, None), (4, "p q r s t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    first = ngram_join.signatures(docs, 4).filter("bin is null").select("doc_id", "text_id", "n", "set_id")
+    wanted = first.filter("set_id is not null and (doc_id is null or doc_id < 4)").select("set_id")
+    sets = ngram_join.whole_sets(docs, first, wanted, 4)
+    assert sets._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {r.set_id: bytes(r.shingles) for r in sets.collect()}
+    assert len(got) == sets.count() and {r.set_id for r in wanted.collect()} <= set(got)
+    texts = pa.array(["a b c d e", "f g h i j", "k l m n o"])
+    for shingles in shingle_sets(texts, 4):
+        assert got[ngram_join.set_id(shingles)] == shingles.tobytes()
+
+
+def test_a_block_that_meets_itself_is_compared_once_sent(spark):
+    """One side marked as both gives the links of the two sides sent apart."""
+    sets = [s for s in shingle_sets(pa.array([t for _, t in corpus(13, 60, range(20, 40), 2, 6)]), 4)]
+    rows = [{"set_id": i, "component": i, "shingles": s.tobytes()} for i, s in enumerate(sets)]
+    once = pd.DataFrame([{**r, "side": ngram_join.BOTH} for r in rows])
+    twice = pd.DataFrame([{**r, "side": side} for side in (0, 1) for r in rows])
+    links = [ngram_join._block_links(85)(None, group) for group in (once, twice)]
+    assert len(links[0]) and links[0].equals(links[1])
