@@ -283,7 +283,7 @@ def crowd_links(crowded: DataFrame, docs: DataFrame, rows: DataFrame, k: int, pe
     sides = stored(placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "star", "set_id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") == F.col("other"), F.lit(BOTH)).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side")))
-    sets = whole_sets(docs, rows, sides.select("set_id"), k)
+    sets = stored(whole_sets(docs, rows, sides.select("set_id"), k))
     return sides.join(sets, "set_id").groupBy("star", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
 
 
@@ -296,7 +296,8 @@ def heavy_links(live: DataFrame, docs: DataFrame, rows: DataFrame, links: DataFr
 
     def pair_sets(pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
-        return whole_sets(docs, rows, both, k)
+        # stored: a join over an aggregate of its own stage could not have its skewed partitions split
+        return stored(whole_sets(docs, rows, both, k))
 
     def met_often(met: DataFrame) -> DataFrame:
         least = F.least(F.lit(MEETINGS), overlap_column(n, m, percent))
