@@ -6,7 +6,7 @@ compatible, i.e. no merge across their boundary would have been applied before t
 that built them.  Both tests run vectorised over all pairs of a batch: each round looks
 up the pair's merge rank and undoes the later of the two pieces' last merges.  Words that
 fail undergo exact merging.  Words are verified once per batch of new words and kept in a
-bounded cache of the worker.
+bounded cache of the task.
 
 The tokenizer file (BPE with word ends, lower-casing, byte-level pieces, no decoder)
 is read on the driver from a path parameter and sent to the executors once; its size is
@@ -23,6 +23,7 @@ import json
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,13 +33,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import table
+from starloom.llm.common import memory_returned, table
 
 TOKENIZER_FILE = "word_bpe_49k.json"
-CACHE_WORDS = 200_000  # entries of a worker's cache; it is emptied when full
-DECODE_IDS = 1_000_000  # ids turned to text at a time
+CACHE_WORDS = 100_000  # entries of a task's cache; it is emptied when full
+DECODE_IDS = 100_000  # ids turned to text at a time
 NO_RANK = np.int64(1) << 40
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 64
 
 
 def byte_alphabet() -> list[str]:
@@ -65,25 +66,25 @@ class WordBpe:
         self.rank = np.full(size, -1, np.int64)
         self.left = np.zeros(size, np.int64)
         self.right = np.zeros(size, np.int64)
-        self.rank_of: dict[tuple[int, int], int] = {}
+        rank_of: dict[tuple[int, int], int] = {}
         unique = True
         for n, (a, b) in enumerate(merges):
             made, a, b = vocab[a + b], vocab[a], vocab[b]
             unique = unique and self.rank[made] < 0
             self.rank[made], self.left[made], self.right[made] = n, a, b
-            self.rank_of[a, b] = n
+            rank_of[a, b] = n
         self.made = np.array([vocab[a + b] for a, b in merges], np.int64)
-        keys = np.array([a * size + b for a, b in self.rank_of], np.int64)
+        keys = np.array([a * size + b for a, b in rank_of], np.int64)
         order = np.argsort(keys)
         self.size, self.pair_keys = size, keys[order]
-        self.pair_ranks = np.array(list(self.rank_of.values()), np.int64)[order]
+        self.pair_ranks = np.array(list(rank_of.values()), np.int64)[order]
         # pairwise tests decide only where every piece has one origin, older than itself
         built = np.flatnonzero(self.rank >= 0)
         self.ordered = bool(unique and np.all(self.rank[built] > np.maximum(self.rank[self.left[built]], self.rank[self.right[built]])))
         self.whole = self._self_encoding(built)
         self.texts = pa.array(self.names)
         self.words: dict[str, int] = {}
-        self._clear()
+        self.forget()
 
     def _build_trie(self, vocab: dict[str, int]) -> None:
         """Nodes are prefixes of pieces, as bytes; pieces with a word end are kept apart."""
@@ -108,7 +109,8 @@ class WordBpe:
         singles = self._child(np.zeros(256, np.int64), np.arange(256))
         self.inner_byte, self.final_byte = self.inner_at[singles], self.final_at[singles]
 
-    def _clear(self):
+    def forget(self) -> None:
+        """Empty the cache of words."""
         self.words.clear()
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.starts, self.lengths = np.zeros(CACHE_WORDS + 1, np.int64), np.zeros(CACHE_WORDS + 1, np.int64)
@@ -264,7 +266,7 @@ class WordBpe:
                 parts.append([self.chunks_of(text)])
         fresh = {c for row in parts for p in row if isinstance(p, list) for c in p if c not in self.words}
         if len(self.words) + len(fresh) > CACHE_WORDS:
-            self._clear()
+            self.forget()
             fresh = {c for row in parts for p in row if isinstance(p, list) for c in p}
             if len(fresh) > CACHE_WORDS:
                 self.starts, self.lengths = np.zeros(len(fresh) + 1, np.int64), np.zeros(len(fresh) + 1, np.int64)
@@ -300,7 +302,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")  # str.split() takes these for white spa
 _WHITE_SPACE = regex.compile(r"\p{White_Space}+")
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _tokenizer(packed: bytes) -> WordBpe:
     return WordBpe(json.loads(zlib.decompress(packed)))
 
@@ -317,9 +319,8 @@ def with_tokens(docs: DataFrame, path: str, text: str = "text", ids: str = "ids"
         packed = docs.sparkSession.sparkContext.broadcast(zlib.compress(file.read().encode("utf-8")))
     kind = "struct<ids:array<int>,decoded:string>" if decoded else "struct<ids:array<int>>"
 
-    @F.arrow_udf(kind)
-    def encode(texts: pa.Array) -> pa.Array:
-        bpe, rows, names = _tokenizer(packed.value), [], []
+    def coded_batch(bpe: WordBpe, texts: pa.Array) -> pa.Array:
+        rows, names = [], []
         for start in range(0, len(texts), ROWS_AT_ONCE):
             got = bpe.encode_rows([t or "" for t in texts.slice(start, ROWS_AT_ONCE).to_pylist()])
             rows += got
@@ -330,6 +331,16 @@ def with_tokens(docs: DataFrame, path: str, text: str = "text", ids: str = "ids"
             columns.append(pa.concat_arrays(names) if names else pa.array([], pa.string()))
         return pa.StructArray.from_arrays(columns, ["ids", "decoded"][:len(columns)])
 
+    @F.arrow_udf(kind)
+    @memory_returned
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = _tokenizer(packed.value)
+        try:
+            for texts in batches:
+                yield coded_batch(bpe, texts)
+        finally:
+            bpe.forget()  # the tokenizer stays with the worker, the words do not
+
     kept = [c for c in docs.columns if c not in (ids, decoded)]
     coded = docs.withColumn("_coded", encode(F.col(text)))
     out = [F.col("_coded.ids").alias(ids)] + ([F.col("_coded.decoded").alias(decoded)] if decoded else [])

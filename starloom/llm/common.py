@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.materialize import stored
 
-__all__ = ["SPACE", "WORD", "ascii_lower", "bounded_batches", "least_hash_sample", "stored", "table", "word_count"]
+__all__ = ["SPACE", "WORD", "ascii_lower", "bounded_batches", "least_hash_sample", "memory_returned", "stored", "table", "word_count"]
 
 # Words are runs of anything but ASCII white space (space, tab, LF, VT, FF, CR).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,6 +42,24 @@ def bounded_batches(run: Callable) -> Callable:
     return bounded
 
 
+def memory_returned(run: Callable) -> Callable:
+    """``run(batches)`` that gives freed memory back to the system at the end of its task.
+
+    Spark's Python workers outlive their tasks, and what one step has used would count beside the next step's.
+    """
+    @wraps(run)
+    def returning(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
+            if trim is not None:
+                trim(0)
+
+    return returning
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, UPPER, LOWER)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stored, table
+from starloom.llm.common import memory_returned, stored, table
 from starloom.llm.components import components
 from starloom.llm.shingles import mix, shingle_sets
 from starloom.llm.url_filter import build_level
@@ -122,7 +122,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                                    pa.array(part, pa.int32()), pa.array(bins[part])], schema=out)
 
     out = pa.schema([("doc_id", pa.int64()), ("text_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.int64()), ("bin", pa.int32()), ("seen", pa.int64())])
-    return docs.withColumn("text_id", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_id long, n int, set_id long, bin int, seen long")
+    return docs.withColumn("text_id", F.xxhash64("text")).mapInArrow(memory_returned(run), "doc_id long, text_id long, n int, set_id long, bin int, seen long")
 
 
 def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> DataFrame:
@@ -174,7 +174,7 @@ def keys_of(docs: DataFrame, k: int, percent: int, boundary: int, rarity) -> Dat
         if held:
             yield flushed()
 
-    return docs.select("text").mapInArrow(run, "kind int, key long, set_id long, n int")
+    return docs.select("text").mapInArrow(memory_returned(run), "kind int, key long, set_id long, n int")
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -199,7 +199,7 @@ def whole_sets(docs: DataFrame, rows: DataFrame, ids: DataFrame, k: int) -> Data
     if not wanted.filter("doc_id is null").isEmpty():
         picked = picked | F.col("doc_id").isNull()
     of_wanted = build_level(wanted.select(F.col("set_id").alias("key")), n, 0.05, 10, FILTER_BITS)
-    made = docs.filter(picked).select("text").mapInArrow(run, "set_id long, shingles binary")
+    made = docs.filter(picked).select("text").mapInArrow(memory_returned(run), "set_id long, shingles binary")
     return made.filter(F.col("set_id").isNotNull() & of_wanted.passes(F.col("set_id"))).dropDuplicates(["set_id"])
 
 
@@ -217,7 +217,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), "a")
     with_b = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b")
-    return with_b.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return with_b.select("a", "b", "x", "y").mapInArrow(memory_returned(run), "a long, b long")
 
 
 def light_links(live: DataFrame) -> DataFrame:

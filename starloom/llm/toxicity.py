@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import least_hash_sample, stored, table
+from starloom.llm.common import least_hash_sample, memory_returned, stored, table
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7)
@@ -39,6 +39,7 @@ PAIR_Z = 6.0  # standard deviations from which on a pair's interaction counts: c
 MIN_ROWS = 3  # rows of the sample that a term must occur in
 FACTORS = 4
 CACHE_WORDS = 150_000  # words that a task remembers; then it starts anew
+ROWS_AT_ONCE = 128  # texts whose terms are counted together
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -133,21 +134,23 @@ def sample_labels(labels: DataFrame, label: str, key: str = "doc_id", most: int
     return least_hash_sample(known, F.xxhash64("_key"), most).select("_key", "_label")
 
 
+def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, label, term, n) of labelled texts, ``ROWS_AT_ONCE`` at a time."""
+    terms = _Terms(None)
+    for batch in (whole[i:i + ROWS_AT_ONCE] for whole in batches for i in range(0, len(whole), ROWS_AT_ONCE)):
+        row, term, n = _counts([t or "" for t in batch["_text"]], terms.__getitem__)
+        cut = np.searchsorted(row, np.arange(len(batch) + 1))
+        yield pd.DataFrame({"id": batch["_key"].astype(str), "label": batch["_label"],
+                            "term": [term[a:b] for a, b in zip(cut, cut[1:])], "n": [n[a:b] for a, b in zip(cut, cut[1:])]})
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
           most: int = SAMPLE) -> FactorizationMachine:
     """Fit on the labelled documents among ``docs``; the broadcast side has at most ``most`` ids."""
     wanted = sample_labels(labels, label, key, most)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(wanted), "_key")
 
-    def counted(batches):
-        terms = _Terms(None)
-        for batch in batches:
-            row, term, n = _counts([t or "" for t in batch["_text"]], terms.__getitem__)
-            cut = np.searchsorted(row, np.arange(len(batch) + 1))
-            yield pd.DataFrame({"id": batch["_key"].astype(str), "label": batch["_label"],
-                                "term": [term[a:b] for a, b in zip(cut, cut[1:])], "n": [n[a:b] for a, b in zip(cut, cut[1:])]})
-
-    sample = stored(rows.mapInPandas(counted, "id string, label int, term array<int>, n array<int>"))
+    sample = stored(rows.mapInPandas(memory_returned(counted), "id string, label int, term array<int>, n array<int>"))
     size = sample.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids")).first()
     if size["rows"] > size["ids"]:
         sample = stored(sample.groupBy("id").agg(F.min(F.struct("label", "term", "n")).alias("least")).select("id", "least.*"))
@@ -173,7 +176,7 @@ def narrowed(sample: DataFrame, terms: np.ndarray) -> list:
                 n.append(np.asarray(c, np.int32)[keep].tobytes())
             yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "at": at, "n": n})
 
-    got = sample.mapInPandas(run, "id string, label int, at binary, n binary").collect()
+    got = sample.mapInPandas(memory_returned(run), "id string, label int, at binary, n binary").collect()
     return sorted(got, key=lambda r: (r["id"], r["label"], r["at"], r["n"]))
 
 
@@ -218,13 +221,14 @@ def score(docs: DataFrame, machine: FactorizationMachine, text: str = "text", ou
     sent = docs.sparkSession.sparkContext.broadcast(machine)  # at most TERMS x (2 + FACTORS) numbers
 
     @F.arrow_udf("double")
+    @memory_returned
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
         lookup = _Terms({int(t): i for i, t in enumerate(model.terms)})  # the task's own: nothing stays in the worker
         for texts in batches:
             out = [np.zeros(0)]
-            for start in range(0, len(texts), 512):
-                some = [t or "" for t in texts.slice(start, 512).to_pylist()]
+            for start in range(0, len(texts), ROWS_AT_ONCE):
+                some = [t or "" for t in texts.slice(start, ROWS_AT_ONCE).to_pylist()]
                 row, at, n = _counts(some, lookup.__getitem__)
                 margin = model.margins(row, at, np.sqrt(n), len(some))
                 out.append(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
