@@ -138,19 +138,20 @@ def pk_violations(tables: list[tuple[DataFrame, TableContract]]) -> DataFrame:
 def fk_violations(child: DataFrame, child_table: str, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Non-NULL ``child.column`` values with no ``parent.parent_key``.
 
-    Child keys are counted per value first (map-side combine), so the
-    anti join sees one row per distinct key.
+    One aggregate over the keys of both sides tells, per key, its uses and whether the parent has it (map-side combine: a
+    hot key costs one row per task).  No join: a planner that takes a table's compressed bytes for its size broadcasts
+    millions of parent keys, built as a hash table in the driver.
     """
-    keys = (child.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("_uses")))
-    orphans = keys.join(parent.select(F.col(parent_key).alias("_k")), ["_k"], "left_anti")
+    uses = child.filter(F.col(column).isNotNull()).select(F.col(column).alias("_k"), F.lit(1).alias("_uses"), F.lit(False).alias("_known"))
+    known = parent.select(F.col(parent_key).alias("_k"), F.lit(0).alias("_uses"), F.lit(True).alias("_known"))
+    orphans = uses.unionByName(known).groupBy("_k").agg(F.sum("_uses").alias("_uses"), F.max("_known").alias("_known")).filter(~F.col("_known"))
     return orphans.agg(F.coalesce(F.sum("_uses"), F.lit(0)).cast("long").alias("n")) \
         .select(F.lit(child_table).alias("table_name"), F.lit(column).alias("column_name"), "n")
 
 
 def violating_rows(df: DataFrame, contract: TableContract, check: str, column: str,
                    parent: DataFrame | None = None, parent_key: str | None = None) -> DataFrame:
-    """The rows of ``df`` that break one check on one column (for samples)."""
+    """The rows of ``df`` that break one check on one column (for samples).  No key set is broadcast: its size is not known."""
     c = F.col(column)
     if check == "not_null":
         return df.filter(c.isNull())
@@ -161,8 +162,8 @@ def violating_rows(df: DataFrame, contract: TableContract, check: str, column: s
         return df.filter(c.isNotNull() & c.try_cast(T.DecimalType(p, s)).isNull())
     if check == "primary_key":
         shared = df.groupBy(column).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
-        return df.filter(c.isNull()).unionByName(df.join(shared.select(column), [column], "left_semi"))
+        return df.filter(c.isNull()).unionByName(df.join(shared.select(column).hint("merge"), [column], "left_semi"))
     if check == "foreign_key":
         keys = parent.select(F.col(parent_key).alias(column))
-        return df.filter(c.isNotNull()).join(keys, [column], "left_anti")
+        return df.filter(c.isNotNull()).join(keys.hint("merge"), [column], "left_anti")
     raise ValueError(f"unknown check {check!r}")

@@ -59,6 +59,33 @@ def test_fk(spark):
     assert _as_dict(report) == {("sales_fact", "manager_id"): 2}
 
 
+def test_fk_broadcasts_no_keys(spark):
+    """Whatever the session's threshold: stored keys look small to the planner by their compressed bytes.  Repeated and NULL keys
+    on both sides, keys of another type, an empty side."""
+    from pyspark.sql import functions as F
+
+    from starloom.operators.materialize import stored
+    child = spark.createDataFrame([(i, k) for i, k in enumerate([1, 1, 2, 7, 7, 7, 8, None, None])], "sales_id bigint, return_id int")
+    parent = stored(spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "return_id bigint"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        found = {}
+        for name, uses, keys in (("both", child, parent), ("no keys", child, parent.limit(0)), ("no uses", child.limit(0), parent)):
+            report = fk_violations(uses, "sales_fact", "return_id", keys, "return_id")
+            found[name] = _as_dict(report)[("sales_fact", "return_id")]
+            plan = report._jdf.queryExecution().executedPlan().toString()
+            assert "Broadcast" not in plan, plan
+        contract = TableContract("sales_fact", "return_id", (C("return_id"),))
+        for check, ids in (("foreign_key", [3, 4, 5, 6]), ("primary_key", [0, 1, 3, 4, 5, 7, 8])):
+            rows = violating_rows(child, contract, check, "return_id", parent, "return_id")
+            assert sorted(r.sales_id for r in rows.collect()) == ids
+            assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {"both": 4, "no keys": 7, "no uses": 0}
+
+
 def test_violating_rows(spark):
     df = _frame(spark)
     ids = lambda check, col: sorted((r.id for r in violating_rows(df, CONTRACT, check, col).collect()),
