@@ -46,8 +46,9 @@ def fact_dimension_keys(fact: DataFrame, shipping: DataFrame, geo: DataFrame, pr
 
 def fact_dimension_join(fact: DataFrame, shipping: Numbered, geo: Numbered, product: Numbered,
                         customer: Numbered) -> DataFrame:
-    """The fact joined back to the four dimensions by surrogate key; the small ones are broadcast."""
-    sides = [F.broadcast(dim.df) if dim.rows <= BROADCAST_ROWS else dim.df for dim in (shipping, geo, product, customer)]
+    """The fact joined back to the four dimensions by surrogate key.  The small ones are broadcast, the others joined by a sort:
+    the row count is known, no broadcast follows from a guess of the bytes."""
+    sides = [F.broadcast(dim.df) if dim.rows <= BROADCAST_ROWS else dim.df.hint("merge") for dim in (shipping, geo, product, customer)]
     return fact_dimension_keys(fact, *sides)
 
 

@@ -186,6 +186,28 @@ def test_coded_joins_equal_broadcast_ones(spark, monkeypatch):
     assert warehouse.code_seed(spark.range(3), ["id"]) == 2
 
 
+def test_large_dimensions_are_not_broadcast_to_count_the_fact(spark, monkeypatch):
+    """Whatever the session's threshold; lines of unknown, NULL and repeated keys count as an inner join has them."""
+    from starloom.operators.dense_ids import Numbered
+    from starloom.operators.materialize import stored
+    keys = ["ship_id", "geo_id", "prod_id", "cust_id"]
+    fact = spark.createDataFrame([(101, 101, 101 + i % 4, 101 + i % 3) for i in range(12)] + [(101, 101, 101, None), (101, 101, 999, 101)],
+                                 ", ".join(f"{k} long" for k in keys))
+    dims = [Numbered(stored(spark.createDataFrame([(r, f"n{r}") for r in rows], f"{k} long, name string")), len(rows))
+            for k, rows in zip(keys, ([101], [101], [101, 102, 103, 104], [101, 102, 103, 103]))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        for most, broadcasts in ((50_000, 4), (1, 2), (0, 0)):
+            monkeypatch.setattr(audits, "BROADCAST_ROWS", most)
+            joined = audits.fact_dimension_join(fact, *dims)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastExchange") == broadcasts, plan
+            assert joined.count() == 16
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_lines_travel_narrow(spark, monkeypatch):
     """A line that is shuffled to a large dimension or to its range carries no text but its order."""
     import re
