@@ -38,6 +38,35 @@ def test_full_refresh_writes_every_table(spark):
     assert burlington and all(r.postal_code is not None for r in burlington)
 
 
+def test_full_refresh_broadcasts_no_keys_of_unknown_number(spark, monkeypatch):
+    """Its checks over the written tables know their rows, whatever the session's threshold."""
+    from starloom.plans import audits, refresh
+    plans, asked = [], []
+
+    def spied(make):
+        def call(*args):
+            df = make(*args)
+            asked.extend(a.rows for a in args if hasattr(a, "rows"))
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return df
+        return call
+
+    monkeypatch.setattr(audits, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(refresh, "fact_dimension_join", spied(refresh.fact_dimension_join))
+    monkeypatch.setattr(refresh, "key_checks", lambda tables, make=refresh.key_checks: {k: spied(lambda d: d)(df) for k, df in make(tables).items()})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        out = tempfile.mkdtemp(prefix="starloom-dw-")
+        result = run(Warehouse.from_fixture(spark, SF_SMALL), out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert result["reconciliation"] == {"staging_rows": 6000, "fact_rows": 6000, "joined_rows": 6000}
+    tables = read_warehouse(spark, out)
+    assert asked == [tables[t].count() for t in ("shipping_dim", "geo_dim", "product_dim", "customer_dim")]
+    assert len(plans) == 3 and not [p for p in plans if "BroadcastExchange" in p]
+
+
 def test_append_with_serial_continues_keys(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="starloom-append-"), "returns_dim")
     first = spark.createDataFrame([("Yes", "B"), ("Yes", "A")], RETURNS_SCHEMA)
