@@ -208,6 +208,26 @@ def test_large_dimensions_are_not_broadcast_to_count_the_fact(spark, monkeypatch
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_updates_of_many_orders_are_not_broadcast(spark, monkeypatch):
+    """Whatever the session's threshold: neither to enrich the fact nor to check what it was given."""
+    from starloom.plans import warehouse
+    from starloom.plans.contracts import warehouse_fk_violations
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        results = []
+        for most in (50_000, 2):
+            monkeypatch.setattr(warehouse, "BROADCAST_ROWS", most)
+            w = _warehouse(spark, [{"order_id": f"O{i % 5}", "quantity": i} for i in range(12)] + [{"order_id": None}], returned=["O1", "O1", "O9", None])
+            fact = w.sales_fact_with_managers
+            plans = [df._jdf.queryExecution().executedPlan().toString() for df in (fact, warehouse_fk_violations(w))]
+            assert ["BroadcastHashJoin" in plan for plan in plans] == [most > 2] * 2, plans
+            results.append((sorted(map(str, fact.collect())), sorted(map(str, warehouse_fk_violations(w).collect()))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(results[0][0]) == 13 and results[0] == results[1]
+
+
 def test_lines_travel_narrow(spark, monkeypatch):
     """A line that is shuffled to a large dimension or to its range carries no text but its order."""
     import re
